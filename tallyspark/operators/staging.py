@@ -75,9 +75,9 @@ def _billing_project(latest: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     )
 
 
-def stage_billing(src: DataFrame, strict: bool = True) -> DataFrame:
+def stage_billing(src: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     latest = latest_per_key(_billing_rows(src, strict), "transaction_id", billing_order())
-    return _billing_project(latest)
+    return _billing_project(latest, keep)
 
 
 def stage_billing_window(src: DataFrame, t_start: dt.date, t_end: dt.date,

@@ -279,3 +279,123 @@ SQL["churn_by_rate"] = typed(
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+# --- quality ----------------------------------------------------------------------------------
+_B, _S, _C = "src_billing_transactions", "src_network_sessions", "src_customers"
+_B_NULL = "transaction_id IS NULL OR customer_id IS NULL"
+_S_NULL = "session_id IS NULL OR customer_id IS NULL"
+_C_NULL = "customer_id IS NULL"
+
+
+def _dups(table: str, key: str) -> str:
+    return (f"(SELECT {key} FROM {table} WHERE {key} IS NOT NULL GROUP BY {key} "
+            f"HAVING COUNT(*) > 1)")
+
+
+_B_DUP = f"transaction_id IN {_dups(_B, 'transaction_id')}"
+_S_DUP = f"session_id IN {_dups(_S, 'session_id')}"
+_C_DUP = f"customer_id IN {_dups(_C, 'customer_id')}"
+_ORPHAN = (f"customer_id IS NOT NULL AND customer_id NOT IN "
+           f"(SELECT customer_id FROM {_C} WHERE customer_id IS NOT NULL)")
+
+_QUARANTINE_SETS = [  # (source table, issue, predicate) in insert order
+    (_B, "NULL transaction_id or customer_id", _B_NULL),
+    (_B, "Duplicate transaction_id", _B_DUP),
+    (_S, "NULL session_id or customer_id", _S_NULL),
+    (_S, "Duplicate session_id", _S_DUP),
+    (_C, "NULL customer_id", _C_NULL),
+    (_C, "Duplicate customer_id", _C_DUP),
+]
+
+SQL["check_billing_null_ids"] = typed(
+    "transaction_id s, customer_id s, amount d, transaction_date s, issue s",
+    f"(SELECT *, 'NULL transaction_id or customer_id' AS issue FROM {_B} WHERE {_B_NULL}) t")
+SQL["check_sessions_null_ids"] = typed(
+    "session_id s, customer_id s, start_time s, end_time s, data_used_mb d, issue s",
+    f"(SELECT *, 'NULL session_id or customer_id' AS issue FROM {_S} WHERE {_S_NULL}) t")
+for _name, _table, _key in [("check_billing_duplicate_ids", _B, "transaction_id"),
+                            ("check_sessions_duplicate_ids", _S, "session_id"),
+                            ("check_customers_duplicate_ids", _C, "customer_id")]:
+    SQL[_name] = typed(f"{_key} s, occurrences i",
+                       f"(SELECT {_key}, COUNT(*) AS occurrences FROM {_table} WHERE {_key} IS NOT NULL "
+                       f"GROUP BY {_key} HAVING COUNT(*) > 1) t")
+
+_SRC_COLS = {_B: COLS["src_billing_transactions"], _S: COLS["src_network_sessions"],
+             _C: COLS["src_customers"]}
+for _name, (_table, _issue, _pred) in zip(
+        ["quarantine_billing_null_ids", "quarantine_billing_duplicates", "quarantine_sessions_null_ids",
+         "quarantine_sessions_duplicates", "quarantine_customers_null_id",
+         "quarantine_customers_duplicates"], _QUARANTINE_SETS):
+    SQL[_name] = typed(_SRC_COLS[_table] + ", source_table s, issue_type s",
+                       f"(SELECT *, '{_table}' AS source_table, '{_issue}' AS issue_type "
+                       f"FROM {_table} WHERE {_pred}) t")
+
+SQL["quarantine_billing_orphans"] = typed(
+    _SRC_COLS[_B] + ", source_table s, issue_type s",
+    f"(SELECT *, '{_B}' AS source_table, 'customer_id not in src_customers' AS issue_type "
+    f"FROM {_B} WHERE {_ORPHAN}) t")
+SQL["check_billing_orphans"] = typed(
+    "transaction_id s, customer_id s, amount d, transaction_date s, issue s",
+    f"(SELECT *, 'customer_id not in src_customers' AS issue FROM {_B} WHERE {_ORPHAN}) t")
+
+
+def _view_part(table: str, issue: str, pred: str) -> str:
+    tid = "transaction_id" if table == _B else "NULL"
+    sid = "session_id" if table == _S else "NULL"
+    return (f"SELECT true AS has_id, '{table}' AS source_table, '{issue}' AS issue_type, "
+            f"CAST({tid} AS VARCHAR) AS transaction_id, CAST({sid} AS VARCHAR) AS session_id, "
+            f"customer_id, TIMESTAMP '2024-02-01 00:00:00' AS detected_at FROM {table} WHERE {pred}")
+
+
+SQL["quarantine_all"] = typed(
+    "has_id s, source_table s, issue_type s, transaction_id s, session_id s, customer_id s, detected_at t",
+    "(" + " UNION ALL ".join(_view_part(*q) for q in _QUARANTINE_SETS) + ") t")
+
+SQL["quarantine_rerun_idempotent"] = typed(
+    "source_table s, issue_type s, first_run_rows i, second_run_rows i",
+    "(SELECT source_table, issue_type, COUNT(*) AS first_run_rows, 0 AS second_run_rows FROM ("
+    + " UNION ALL ".join(f"SELECT '{t}' AS source_table, '{i}' AS issue_type FROM {t} WHERE {p}"
+                         for t, i, p in _QUARANTINE_SETS)
+    + ") q GROUP BY source_table, issue_type) t")
+
+# --- monitoring -------------------------------------------------------------------------------
+SQL["freshness_check"] = typed(
+    "max_transaction_date t, checked_at t, minutes_behind i, is_stale s",
+    "(SELECT m AS max_transaction_date, t AS checked_at, "
+    "CAST(floor(date_diff('microsecond', m, t) / 60000000.0) AS BIGINT) AS minutes_behind, "
+    "(m IS NULL OR date_diff('microsecond', m, t) > CAST(25 AS BIGINT) * 3600000000) AS is_stale "
+    "FROM (SELECT MAX(transaction_date) AS m FROM stg_billing) x, "
+    "(VALUES (TIMESTAMP '2001-08-02 11:00:00'), (TIMESTAMP '2024-02-01 00:00:00')) v(t)) t")
+
+SQL["row_count_gate"] = typed(
+    "window_start day, window_end day, rows i, min_rows i, passed s",
+    f"(SELECT DATE '1998-05-01' AS window_start, DATE '1998-06-01' AS window_end, COUNT(*) AS rows, "
+    f"100 AS min_rows, COUNT(*) >= 100 AS passed FROM {_B} "
+    f"WHERE CAST(transaction_date AS TIMESTAMP) >= TIMESTAMP '1998-05-01' "
+    f"AND CAST(transaction_date AS TIMESTAMP) < TIMESTAMP '1998-06-01') t")
+
+_VOLUME = """
+daily AS (SELECT CAST(transaction_date AS DATE) AS day, COUNT(*) AS loads FROM stg_billing
+          WHERE transaction_date IS NOT NULL GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+          FROM daily),
+series AS (SELECT s.day, COALESCE(d.loads, 0) AS loads FROM spine s LEFT JOIN daily d ON s.day = d.day),
+moments AS (SELECT day, loads, SUM(CAST(loads AS DOUBLE)) OVER w AS s1,
+              SUM(CAST(loads AS DOUBLE) * CAST(loads AS DOUBLE)) OVER w AS s2,
+              CAST(COUNT(loads) OVER w AS DOUBLE) AS c
+            FROM series WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+volume AS (SELECT day, loads, s1 / c AS mean_prev,
+             CASE WHEN c > 1 THEN sqrt(greatest(0.0, (s2 - s1 * s1 / c) / (c - 1))) END AS sd_prev
+           FROM moments)"""
+SQL["volume_anomaly"] = typed(
+    "day day, loads i, mean_prev s, sd_prev s, is_anomaly s",
+    "(SELECT *, COALESCE(loads < mean_prev - 2 * sd_prev, false) AS is_anomaly FROM volume) t",
+    extra_ctes=_VOLUME)
+
+SQL["late_arrivals"] = typed(
+    "transaction_id s, customer_id s, amount d, transaction_date t, ingested_at t, days_late i",
+    "(SELECT transaction_id, customer_id, CAST(COALESCE(amount, 0) AS DECIMAL(12,2)) AS amount, "
+    "CAST(transaction_date AS TIMESTAMP) AS transaction_date, ingested_at, "
+    "date_diff('day', CAST(CAST(transaction_date AS TIMESTAMP) AS DATE), CAST(ingested_at AS DATE)) AS days_late "
+    "FROM billing_ranked WHERE rn = 1) t WHERE days_late > 2")

@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 
 from . import params as P
 from .operators import aggregates as A
+from .operators import quality as QL
 from .plans import analytics as Q
 from .plans.pipeline import Stages, audit, build_stages, warehouse
-from .session import configure
+from .session import configure, fresh_dir
 from .sources.fixtures import sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +89,95 @@ _RAW: dict[str, Query] = {
 }
 
 
+def _srcs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    configure(spark)
+    return sources(spark, sf_dir)
+
+
+def _check_nulls(name: str) -> Query:
+    return lambda s, d: QL.check_null_ids(_srcs(s, d)[name], QL.RULES[name])
+
+
+def _check_dups(name: str) -> Query:
+    return lambda s, d: QL.duplicate_ids(_srcs(s, d)[name], QL.RULES[name].key)
+
+
+def _quarantine(name: str, which: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src, rule = _srcs(spark, sf_dir)[name], QL.RULES[name]
+        existing = QL.empty_quarantine(spark)
+        fn = QL.quarantine_null_ids if which == "null" else QL.quarantine_duplicates
+        return QL.parse_quarantined(fn(src, rule, existing), name)
+    return q
+
+
+def _quarantine_view(q: DataFrame) -> DataFrame:
+    return q.select((F.col("quarantine_id") >= 1).alias("has_id"), "source_table", "issue_type",
+                    F.get_json_object("row_data", "$.transaction_id").alias("transaction_id"),
+                    F.get_json_object("row_data", "$.session_id").alias("session_id"),
+                    F.get_json_object("row_data", "$.customer_id").alias("customer_id"),
+                    "detected_at")
+
+
+def _quarantine_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    existing = QL.empty_quarantine(spark)
+    new = QL.quarantine_all(_srcs(spark, sf_dir), existing)
+    return _quarantine_view(QL.with_quarantine_ids(new, existing))
+
+
+def _quarantine_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the quarantine twice against a written table: the second run must add nothing."""
+    srcs = _srcs(spark, sf_dir)
+    path = fresh_dir(spark, "quarantine")
+    empty = QL.empty_quarantine(spark)
+    first = QL.with_quarantine_ids(QL.quarantine_all(srcs, empty), empty)
+    first.write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    second = QL.quarantine_all(srcs, stored)
+    c1 = stored.groupBy("source_table", "issue_type").agg(F.count(F.lit(1)).alias("first_run_rows"))
+    c2 = second.groupBy("source_table", "issue_type").agg(F.count(F.lit(1)).alias("second_run_rows"))
+    return (c1.join(c2, ["source_table", "issue_type"], "full")
+            .select("source_table", "issue_type",
+                    F.coalesce("first_run_rows", F.lit(0)).alias("first_run_rows"),
+                    F.coalesce("second_run_rows", F.lit(0)).alias("second_run_rows")))
+
+
+def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    srcs = _srcs(spark, sf_dir)
+    return QL.check_billing_orphans(srcs[P.SRC_BILLING], srcs[P.SRC_CUSTOMERS])
+
+
+def _quarantine_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    srcs = _srcs(spark, sf_dir)
+    new = QL.quarantine_billing_orphans(srcs[P.SRC_BILLING], srcs[P.SRC_CUSTOMERS],
+                                        QL.empty_quarantine(spark))
+    return QL.parse_quarantined(new, P.SRC_BILLING)
+
+
+_RAW.update({
+    "check_billing_null_ids": _check_nulls(P.SRC_BILLING),
+    "check_billing_duplicate_ids": _check_dups(P.SRC_BILLING),
+    "check_sessions_null_ids": _check_nulls(P.SRC_SESSIONS),
+    "check_sessions_duplicate_ids": _check_dups(P.SRC_SESSIONS),
+    "check_customers_duplicate_ids": _check_dups(P.SRC_CUSTOMERS),
+    "quarantine_billing_null_ids": _quarantine(P.SRC_BILLING, "null"),
+    "quarantine_billing_duplicates": _quarantine(P.SRC_BILLING, "dup"),
+    "quarantine_sessions_null_ids": _quarantine(P.SRC_SESSIONS, "null"),
+    "quarantine_sessions_duplicates": _quarantine(P.SRC_SESSIONS, "dup"),
+    "quarantine_customers_null_id": _quarantine(P.SRC_CUSTOMERS, "null"),
+    "quarantine_customers_duplicates": _quarantine(P.SRC_CUSTOMERS, "dup"),
+    "quarantine_all": _quarantine_all,
+    "quarantine_rerun_idempotent": _quarantine_rerun,
+    "check_billing_orphans": _orphans,
+    "quarantine_billing_orphans": _quarantine_orphans,
+    "freshness_check": lambda s, d: QL.freshness_check(_stages(s, d).stg_billing,
+                                                       [P.FRESH_CHECK_AT, P.AS_OF]),
+    "volume_anomaly": lambda s, d: QL.volume_anomaly(_stages(s, d).stg_billing),
+    "row_count_gate": lambda s, d: QL.row_count_gate(_srcs(s, d)[P.SRC_BILLING], P.T_START, P.T_END),
+    "late_arrivals": lambda s, d: QL.late_arrivals(_srcs(s, d)[P.SRC_BILLING]),
+})
+
+
 def _wrap(fn: Query) -> Query:
     return lambda spark, sf_dir: comparable(fn(spark, sf_dir))
 
