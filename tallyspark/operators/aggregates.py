@@ -133,3 +133,17 @@ def agg_session_distribution(buckets: DataFrame) -> DataFrame:
             .agg(F.count_if(b == "short").alias("short_sessions"),
                  F.count_if(b == "medium").alias("medium_sessions"),
                  F.count_if(b == "long").alias("long_sessions")))
+
+
+def daily_revenue(stg_billing: DataFrame) -> DataFrame:
+    """Partial aggregate per (customer, day): the unit an incremental rollup stores."""
+    return (stg_billing.where(F.col("customer_id").isNotNull())
+            .groupBy("customer_id", F.to_date("transaction_date").alias("day"))
+            .agg(F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("n")))
+
+
+def roll_up_daily(daily: DataFrame) -> DataFrame:
+    """Per-customer revenue totals from daily partials (stored + recomputed)."""
+    return daily.groupBy("customer_id").agg(
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast(S.TOTAL).alias("total_revenue"),
+        F.sum("n").cast("bigint").alias("total_transactions"))

@@ -59,6 +59,32 @@ def dw_user_analytics(stg_customers: DataFrame, *metrics: DataFrame,
     )
 
 
+def remap_orphan_months(cm: DataFrame, stg_customers: DataFrame,
+                        unknown_id: str = P.UNKNOWN_CUSTOMER_ID) -> DataFrame:
+    """Billing customer-months whose customer is not in the master, moved to a placeholder id.
+
+    Works on the (customer, month) pre-aggregate, so the join sees at most one row per
+    customer-month (never a hot customer's raw rows), then re-aggregates the placeholder.
+    """
+    known = stg_customers.select("customer_id", F.lit(True).alias("_known"))
+    return (cm.join(known, "customer_id", "left")
+            .withColumn("customer_id", F.when(F.col("_known"), F.col("customer_id"))
+                        .otherwise(F.lit(unknown_id)))
+            .groupBy("customer_id", "revenue_month")
+            .agg(F.sum("revenue").alias("revenue"), F.sum("n").alias("n")))
+
+
+def with_unknown_customer(stg_customers: DataFrame, as_of: dt.datetime | None = P.AS_OF,
+                          unknown_id: str = P.UNKNOWN_CUSTOMER_ID) -> DataFrame:
+    """The customer master plus one placeholder row that orphan revenue is attributed to."""
+    spark = stg_customers.sparkSession
+    placeholder = spark.range(1).select(
+        F.lit(unknown_id).alias("customer_id"), F.lit("Unknown Customer").alias("customer_name"),
+        F.lit(None).cast("string").alias("email"), F.lit(None).cast("string").alias("country"),
+        F.lit(None).cast("timestamp").alias("created_at"), _ts(as_of).alias("staged_at"))
+    return stg_customers.unionByName(placeholder)
+
+
 def pipeline_audit_log(stg_billing: DataFrame, stg_sessions: DataFrame, stg_customers: DataFrame,
                        as_of: dt.datetime | None = P.AS_OF, status: str = P.AUDIT_STATUS_SUCCESS) -> DataFrame:
     """One audit row: the three staged-table counts from a single global aggregate.

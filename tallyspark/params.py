@@ -60,7 +60,7 @@ DW_SNAPSHOT_CUTOFF = _dt.date(2022, 6, 1)       # first warehouse load: data bef
 DW_CHANGED_SINCE = _dt.date(2022, 1, 1)         # second load: customers registered since
 CDC_CUTOFF = _dt.date(2023, 6, 1)               # change feed: rows created from this date
 BACKFILL_START = _dt.date(1998, 4, 1)
-RECONCILE_DAYS = 30
+RECONCILE_FROM = _dt.date(2001, 7, 2)           # recompute daily partials from this day
 ROW_GATE_MIN_ROWS = 100
 VOLUME_LOOKBACK_DAYS = 7
 VOLUME_SIGMAS = 2

@@ -53,8 +53,9 @@ class Stages:
         return A.distribution_from_rollup(self.session_rollup)
 
 
-def build_stages(sources: dict[str, DataFrame], stg_billing: DataFrame | None = None) -> Stages:
-    stg_customers = ST.stage_customers(sources[P.SRC_CUSTOMERS])
+def build_stages(sources: dict[str, DataFrame], stg_billing: DataFrame | None = None,
+                 as_of: dt.datetime | None = P.AS_OF) -> Stages:
+    stg_customers = ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of)
     billing = stg_billing if stg_billing is not None else ST.stage_billing(sources[P.SRC_BILLING])
     stg_sessions = ST.stage_sessions(sources[P.SRC_SESSIONS])
     return Stages(stg_customers, billing, stg_sessions,

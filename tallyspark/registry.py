@@ -15,8 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import params as P
+from . import schemas as SC
 from .operators import aggregates as A
 from .operators import quality as QL
+from .operators import staging as ST
+from .operators.incremental import apply_customer_changes, incremental_billing
+from .operators.merge import upsert
+from .operators.warehouse import dw_user_analytics, remap_orphan_months, with_unknown_customer
+from .sources.readers import land, read_or_empty, source_row_counts
+from .sources.sinks import VersionedTable, overwrite
 from .plans import analytics as Q
 from .plans.pipeline import Stages, audit, build_stages, warehouse
 from .session import configure, fresh_dir
@@ -178,6 +185,147 @@ _RAW.update({
 })
 
 
+def _ts(col: str):
+    return F.col(col).cast("timestamp")
+
+
+def _at(d) -> F.Column:
+    return F.lit(d.strftime("%Y-%m-%d 00:00:00")).cast("timestamp")
+
+
+def _landed(name: str) -> Query:
+    """Write the source as a raw CSV file (as the reference receives it), land it, read back."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = _srcs(spark, sf_dir)[name].drop("ingested_at")
+        if name == P.SRC_BILLING:
+            src = src.withColumn("currency", F.lit("NGN"))   # raw column that landing drops
+        raw_dir, out_dir = fresh_dir(spark, f"raw-{name}"), fresh_dir(spark, name)
+        (src.write.option("header", "true").option("nullValue", "")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(raw_dir))
+        overwrite(land(spark, name, raw_dir, "csv", load_time=P.AS_OF), out_dir)
+        return spark.read.parquet(out_dir)
+    return q
+
+
+def _upsert_staged(name: str) -> Query:
+    """Stage the rows before a cutoff as the existing table, upsert the rows after it."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = _srcs(spark, sf_dir)[name]
+        if name == P.SRC_BILLING:
+            col, cutoff, stage, key, schema = ("transaction_date", P.BILLING_UPSERT_CUTOFF,
+                                               ST.stage_billing, "transaction_id", SC.STG_BILLING)
+        else:
+            col, cutoff, stage, key, schema = ("start_time", P.SESSIONS_UPSERT_CUTOFF,
+                                               ST.stage_sessions, "session_id", SC.STG_SESSIONS)
+        table = VersionedTable(spark, fresh_dir(spark, f"upsert-{name}"), schema)
+        table.commit(stage(src.where(_ts(col) < _at(cutoff))))
+        table.commit(upsert(table.read(), stage(src.where(_ts(col) >= _at(cutoff))), key, "update"))
+        return table.read()
+    return q
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target holds everything before the window; load [t_start, t_end) insert-if-absent."""
+    src = _srcs(spark, sf_dir)[P.SRC_BILLING]
+    table = VersionedTable(spark, fresh_dir(spark, "stg_billing_inc"), SC.STG_BILLING)
+    table.commit(ST.stage_billing(src.where(_ts("transaction_date") < _at(P.T_START))))
+    table.commit(incremental_billing(table.read(), src, P.T_START, P.T_END))
+    return table.read()
+
+
+def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target as loaded before the window's run (rows ingested by then); backfill the previous
+    month twice (the second run must change nothing) and return that month."""
+    src = _srcs(spark, sf_dir)[P.SRC_BILLING]
+    table = VersionedTable(spark, fresh_dir(spark, "stg_billing_backfill"), SC.STG_BILLING)
+    table.commit(ST.stage_billing(src.where(F.col("ingested_at") < _at(P.T_START).cast("timestamp_ntz"))))
+    for _ in range(2):
+        table.commit(incremental_billing(table.read(), src, P.BACKFILL_START, P.T_START))
+    d = F.col("transaction_date")
+    return table.read().where((d >= _at(P.BACKFILL_START)) & (d < _at(P.T_START)))
+
+
+def _dw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First load: a snapshot of the sources before a cutoff. Second load: customers registered
+    since an earlier date, with all facts. Upsert: replaced, added and kept rows all occur."""
+    import datetime as dt
+    srcs = _srcs(spark, sf_dir)
+    cut = _at(P.DW_SNAPSHOT_CUTOFF)
+    created = _ts("created_at")
+    snap = {P.SRC_CUSTOMERS: srcs[P.SRC_CUSTOMERS].where((created < cut) | created.isNull()),
+            P.SRC_BILLING: srcs[P.SRC_BILLING].where(_ts("transaction_date") < cut),
+            P.SRC_SESSIONS: srcs[P.SRC_SESSIONS].where(_ts("start_time") < cut)}
+    later = dict(srcs)
+    later[P.SRC_CUSTOMERS] = srcs[P.SRC_CUSTOMERS].where(created >= _at(P.DW_CHANGED_SINCE))
+    first_as_of = dt.datetime.combine(P.DW_SNAPSHOT_CUTOFF, dt.time())
+    table = VersionedTable(spark, fresh_dir(spark, "dw"), SC.DW_USER_ANALYTICS)
+    table.commit(warehouse(build_stages(snap, as_of=first_as_of), as_of=first_as_of))
+    table.commit(upsert(table.read(), warehouse(build_stages(later)), "customer_id", "update"))
+    return table.read()
+
+
+def _dw_missing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's four-table warehouse join with agg_user_usage never written."""
+    st = _stages(spark, sf_dir)
+    usage = read_or_empty(spark, fresh_dir(spark, "agg_user_usage-missing"), SC.AGG_USER_USAGE)
+    return dw_user_analytics(st.stg_customers, st.agg_user_revenue, usage, st.agg_arpu,
+                             A.agg_session_distribution(st.session_buckets))
+
+
+def _dw_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dw = _dw(spark, sf_dir).withColumn("customer_since_date", F.to_date("customer_since"))
+    path = fresh_dir(spark, "dw_partitioned")
+    overwrite(dw, path, partition_by=["customer_since_date"])
+    schema = T.StructType(SC.DW_USER_ANALYTICS.fields + [T.StructField("customer_since_date", T.DateType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def _dw_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _stages(spark, sf_dir)
+    customers = with_unknown_customer(st.stg_customers)
+    billing = A.billing_metrics(remap_orphan_months(st.customer_month, st.stg_customers))
+    return dw_user_analytics(customers, billing, A.session_metrics(st.session_rollup))
+
+
+def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored daily partials for old days + recomputed recent days, rolled up per customer."""
+    st = _stages(spark, sf_dir)
+    start = _at(P.RECONCILE_FROM)
+    stored_path = fresh_dir(spark, "daily_revenue")
+    old = st.stg_billing.where((F.col("transaction_date") < start) | F.col("transaction_date").isNull())
+    overwrite(A.daily_revenue(old), stored_path)
+    recent = A.daily_revenue(st.stg_billing.where(F.col("transaction_date") >= start))
+    return A.roll_up_daily(spark.read.parquet(stored_path).unionByName(recent))
+
+
+def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _srcs(spark, sf_dir)[P.SRC_CUSTOMERS]
+    changed = _ts("created_at") >= _at(P.CDC_CUTOFF)
+    table = VersionedTable(spark, fresh_dir(spark, "stg_customers_cdc"), SC.STG_CUSTOMERS)
+    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull())))
+    table.commit(apply_customer_changes(table.read(), src.where(changed)))
+    return table.read()
+
+
+_RAW.update({
+    "src_customers": _landed(P.SRC_CUSTOMERS),
+    "src_billing_transactions": _landed(P.SRC_BILLING),
+    "src_network_sessions": _landed(P.SRC_SESSIONS),
+    "source_row_counts": lambda s, d: source_row_counts(_srcs(s, d)),
+    "stg_billing_upsert": _upsert_staged(P.SRC_BILLING),
+    "stg_sessions_upsert": _upsert_staged(P.SRC_SESSIONS),
+    "stg_billing_incremental": _incremental,
+    "late_arrival_backfill": _backfill,
+    "dw_upsert": _dw_upsert,
+    "dw_missing_inputs": _dw_missing_inputs,
+    "dw_partitioned": _dw_partitioned,
+    "dw_with_unknown_customer": _dw_unknown,
+    "agg_reconciliation_window": _reconciliation,
+    "cdc_apply_customers": _cdc,
+})
+
+
 def _wrap(fn: Query) -> Query:
     return lambda spark, sf_dir: comparable(fn(spark, sf_dir))
 
