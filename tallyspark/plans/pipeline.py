@@ -72,3 +72,132 @@ def warehouse(st: Stages, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
 
 def audit(st: Stages, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
     return pipeline_audit_log(st.stg_billing, st.stg_sessions, st.stg_customers, as_of=as_of)
+
+
+# --- the daily run ----------------------------------------------------------------------------
+@dataclass
+class RunResult:
+    tables: dict[str, str]                       # table name -> current path
+    status: dict[str, str]                       # step -> "ok" | "failed: ..." | "skipped"
+
+
+def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.date | None = None,
+                 t_end: dt.date | None = None, as_of: dt.datetime | None = P.AS_OF,
+                 billing_mode: str = "incremental") -> RunResult:
+    """quality -> staging -> aggregates -> audit + warehouse, each stage written under ``out``.
+
+    Written stages cut the lineage (a lost executor recomputes from the last written stage, not
+    from raw files) and are what the next run upserts into. Steps follow the reference's data
+    edges: a failed step marks its dependants skipped while independent branches still run.
+    ``billing_mode``: "incremental" loads [t_start, t_end) insert-if-absent, "full" upserts all.
+    """
+    import traceback
+
+    from ..operators import quality as QL
+    from ..operators.incremental import incremental_billing
+    from ..operators.merge import upsert
+    from ..sources.sinks import VersionedTable, append, overwrite
+    from .. import schemas as S
+
+    out = out.rstrip("/")
+    t_start = t_start or (as_of.date() if as_of else dt.date.today())
+    t_end = t_end or (t_start + dt.timedelta(days=1))
+    tables: dict[str, str] = {}
+    status: dict[str, str] = {}
+    vt = {name: VersionedTable(spark, f"{out}/{name}", schema) for name, schema in [
+        ("stg_customers", S.STG_CUSTOMERS), ("stg_billing", S.STG_BILLING),
+        ("stg_sessions", S.STG_SESSIONS), ("dw_user_analytics", S.DW_USER_ANALYTICS)]}
+
+    def step(name: str, deps: tuple[str, ...], fn) -> None:
+        blocked = [d for d in deps if status.get(d) != "ok"]
+        if blocked:
+            status[name] = f"skipped: {', '.join(blocked)} not ok"
+            return
+        try:
+            fn()
+            status[name] = "ok"
+        except Exception as exc:  # noqa: BLE001 - isolate the branch, report, continue
+            status[name] = f"failed: {type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+            traceback.print_exc()
+
+    # Stage 1: quality -> quarantine (append only new rows); one step per source.
+    qpath = f"{out}/quarantine"
+
+    def quality(src_name: str):
+        def run():
+            from ..sources.readers import read_or_empty
+            existing = read_or_empty(spark, qpath, S.QUARANTINE)
+            new = QL.quarantine_source(sources[src_name], QL.RULES[src_name], existing)
+            append(QL.with_quarantine_ids(new, existing, as_of), qpath)
+            tables["quarantine"] = qpath
+        return run
+
+    for src_name, step_name in [(P.SRC_BILLING, "quality_billing"), (P.SRC_SESSIONS, "quality_sessions"),
+                                (P.SRC_CUSTOMERS, "quality_customers")]:
+        step(step_name, (), quality(src_name))
+
+    # Stage 2: staging.
+    def stage_customers():
+        tables["stg_customers"] = vt["stg_customers"].commit(ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of))
+
+    def stage_billing():
+        target = vt["stg_billing"].read()
+        if billing_mode == "incremental":
+            merged = incremental_billing(target, sources[P.SRC_BILLING], t_start, t_end)
+        else:
+            merged = upsert(target, ST.stage_billing(sources[P.SRC_BILLING]), "transaction_id", "update")
+        tables["stg_billing"] = vt["stg_billing"].commit(merged)
+
+    def stage_sessions():
+        merged = upsert(vt["stg_sessions"].read(), ST.stage_sessions(sources[P.SRC_SESSIONS]),
+                        "session_id", "update")
+        tables["stg_sessions"] = vt["stg_sessions"].commit(merged)
+
+    step("stage_customers", ("quality_customers",), stage_customers)
+    step("stage_billing", ("quality_billing",), stage_billing)
+    step("stage_sessions", ("quality_sessions",), stage_sessions)
+
+    # Stage 3: aggregates, rebuilt from the staged tables.
+    read = {k: (lambda k=k: vt[k].read()) for k in vt}
+
+    def write_agg(name: str, build):
+        def run():
+            path = f"{out}/{name}"
+            overwrite(build(), path)
+            tables[name] = path
+        return run
+
+    cm = lambda: A.billing_customer_month(read["stg_billing"]())
+    rollup = lambda: A.session_rollup(read["stg_sessions"]())
+    step("agg_user_revenue", ("stage_billing",), write_agg("agg_user_revenue", lambda: A.agg_user_revenue(cm())))
+    step("agg_monthly_revenue", ("stage_billing",),
+         write_agg("agg_monthly_revenue", lambda: A.agg_monthly_revenue(cm())))
+    step("agg_arpu", ("stage_billing", "stage_customers"),
+         write_agg("agg_arpu", lambda: A.agg_arpu(read["stg_customers"](), cm())))
+    step("agg_user_usage", ("stage_sessions",), write_agg("agg_user_usage", lambda: A.usage_from_rollup(rollup())))
+    step("session_buckets", ("stage_sessions",),
+         write_agg("session_buckets", lambda: A.session_buckets(read["stg_sessions"]())))
+    step("agg_session_distribution", ("session_buckets",),
+         write_agg("agg_session_distribution",
+                   lambda: A.agg_session_distribution(spark.read.parquet(tables["session_buckets"]))))
+
+    # Stage 4: audit row and warehouse upsert, after every aggregate.
+    all_aggs = ("agg_user_revenue", "agg_monthly_revenue", "agg_arpu", "agg_user_usage",
+                "agg_session_distribution")
+
+    def write_audit():
+        path = f"{out}/pipeline_audit_log"
+        append(pipeline_audit_log(read["stg_billing"](), read["stg_sessions"](), read["stg_customers"](),
+                                  as_of=as_of), path)
+        tables["pipeline_audit_log"] = path
+
+    def load_warehouse():
+        aggs = [spark.read.parquet(tables[n]) for n in
+                ("agg_user_revenue", "agg_user_usage", "agg_arpu", "agg_session_distribution")]
+        dw = dw_user_analytics(read["stg_customers"](), *aggs, as_of=as_of)
+        merged = upsert(vt["dw_user_analytics"].read(), dw, "customer_id", "update")
+        tables["dw_user_analytics"] = vt["dw_user_analytics"].commit(merged)
+
+    step("audit_pipeline_run", all_aggs, write_audit)
+    step("load_dw_user_analytics", all_aggs, load_warehouse)
+    return RunResult(tables, status)

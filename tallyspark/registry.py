@@ -308,7 +308,22 @@ def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def _cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed written as files and applied by a Structured Streaming query."""
+    from .streaming.feeds import customer_change_stream
+    src = _srcs(spark, sf_dir)[P.SRC_CUSTOMERS]
+    changed = _ts("created_at") >= _at(P.CDC_CUTOFF)
+    feed_dir = fresh_dir(spark, "customer_feed")
+    src.where(changed).write.parquet(feed_dir)
+    table = VersionedTable(spark, fresh_dir(spark, "stg_customers_stream"), SC.STG_CUSTOMERS)
+    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull())))
+    q = customer_change_stream(spark, feed_dir, table, fresh_dir(spark, "cdc_checkpoint"))
+    q.awaitTermination()
+    return table.read()
+
+
 _RAW.update({
+    "cdc_stream_customers": _cdc_stream,
     "src_customers": _landed(P.SRC_CUSTOMERS),
     "src_billing_transactions": _landed(P.SRC_BILLING),
     "src_network_sessions": _landed(P.SRC_SESSIONS),
