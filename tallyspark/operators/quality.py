@@ -13,12 +13,13 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
 from .. import schemas as S
 from ..functions import row_json
+from .skew import count_copies, expand_copies, salted_semi_join
 from .staging import _ts, stage_billing
 
 
@@ -79,8 +80,16 @@ def _images(rows: DataFrame, rule: IdRule, issue: str, exclude_cols: tuple[str,
 
 
 def _not_already(images: DataFrame, existing: DataFrame, match_issue_type: bool) -> DataFrame:
+    """Images not yet in the quarantine (NOT EXISTS -> left anti join).
+
+    Identical images (exact copies of a retried record) are counted first, so the anti join
+    shuffles one row per distinct image; the copies are re-expanded afterwards (all copies are
+    quarantined, as the reference inserts every one of them).
+    """
     keys = ["source_table", "row_data"] + (["issue_type"] if match_issue_type else [])
-    return images.join(existing.select(*keys), keys, "left_anti")
+    distinct = count_copies(images, ["row_data", "source_table", "issue_type"])
+    fresh = distinct.join(existing.select(*keys), keys, "left_anti")
+    return expand_copies(fresh).select("row_data", "source_table", "issue_type")
 
 
 def quarantine_null_ids(src: DataFrame, rule: IdRule, existing: DataFrame,
@@ -149,16 +158,21 @@ def orphan_customer_ids(src_billing: DataFrame, customers: DataFrame) -> DataFra
     return ids.join(known, "customer_id", "left_anti")
 
 
+def _orphan_rows(src_billing: DataFrame, customers: DataFrame) -> DataFrame:
+    """Billing rows of orphan customers; the raw rows are salted by transaction so a hot
+    customer never lands in one join task."""
+    return salted_semi_join(src_billing, orphan_customer_ids(src_billing, customers), "customer_id",
+                            ["transaction_id", "transaction_date"])
+
+
 def check_billing_orphans(src_billing: DataFrame, customers: DataFrame) -> DataFrame:
-    orphans = orphan_customer_ids(src_billing, customers)
-    return (src_billing.join(orphans, "customer_id", "left_semi")
+    return (_orphan_rows(src_billing, customers)
             .select(*CHECK_COLUMNS[P.SRC_BILLING], F.lit(P.ISSUE_BILLING_ORPHAN).alias("issue")))
 
 
 def quarantine_billing_orphans(src_billing: DataFrame, customers: DataFrame, existing: DataFrame,
                                exclude_cols: tuple[str, ...] = ()) -> DataFrame:
-    rows = src_billing.join(orphan_customer_ids(src_billing, customers), "customer_id", "left_semi")
-    rows = rows.select(*src_billing.columns)
+    rows = _orphan_rows(src_billing, customers).select(*src_billing.columns)
     rule = RULES[P.SRC_BILLING]
     return _not_already(_images(rows, rule, P.ISSUE_BILLING_ORPHAN, exclude_cols), existing, True)
 
@@ -195,10 +209,10 @@ def volume_anomaly(stg_billing: DataFrame, lookback_days: int = P.VOLUME_LOOKBAC
                    sigmas: int = P.VOLUME_SIGMAS) -> DataFrame:
     """Daily loaded rows vs the mean - sigmas * sample sd of the previous ``lookback_days``.
 
-    Daily counts are a distributed aggregate; the calendar spine (missing day = 0 rows) and the
-    rolling window run over one row per calendar day, a size bounded by the date span, not by
-    the data volume. Sample variance from exact integer sums, so every engine gets the same
-    doubles.
+    Daily counts are a distributed aggregate; the calendar spine (missing day = 0 rows) has one
+    row per day of the date span. The rolling statistics are an expand-and-aggregate (no
+    single-partition window). Sample variance from exact integer sums, so every engine gets the
+    same doubles.
     """
     daily = (stg_billing.where(F.col("transaction_date").isNotNull())
              .groupBy(F.to_date("transaction_date").alias("day"))
@@ -206,13 +220,18 @@ def volume_anomaly(stg_billing: DataFrame, lookback_days: int = P.VOLUME_LOOKBAC
     spine = (daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
              .select(F.explode(F.sequence("lo", "hi")).alias("day")))
     series = spine.join(daily, "day", "left").select("day", F.coalesce("loads", F.lit(0)).alias("loads"))
-    w = Window.orderBy("day").rowsBetween(-lookback_days, -1)
+    # Each day contributes to the windows of the next ``lookback_days`` days: expand, then sum
+    # per target day (a shuffle-parallel aggregate instead of a single-partition window).
     x = F.col("loads").cast("double")
-    s1, s2, c = F.sum(x).over(w), F.sum(x * x).over(w), F.count(x).over(w).cast("double")
+    prev = (series.select(F.explode(F.sequence(F.lit(1), F.lit(lookback_days))).alias("k"), "day", x.alias("x"))
+            .groupBy(F.date_add("day", F.col("k")).alias("day"))
+            .agg(F.sum("x").alias("s1"), F.sum(F.col("x") * F.col("x")).alias("s2"),
+                 F.count("x").cast("double").alias("c")))
+    s1, s2, c = F.col("s1"), F.col("s2"), F.col("c")
     mean = s1 / c
-    var = F.when(c > 1, F.greatest(F.lit(0.0), (s2 - s1 * s1 / c) / (c - 1)))
-    sd = F.sqrt(var)
-    return (series.select("day", "loads", mean.alias("mean_prev"), sd.alias("sd_prev"))
+    sd = F.sqrt(F.when(c > 1, F.greatest(F.lit(0.0), (s2 - s1 * s1 / c) / (c - 1))))
+    return (series.join(prev, "day", "left")
+            .select("day", "loads", mean.alias("mean_prev"), sd.alias("sd_prev"))
             .withColumn("is_anomaly", F.coalesce(F.col("loads") < F.col("mean_prev") - sigmas * F.col("sd_prev"),
                                                  F.lit(False))))
 

@@ -48,9 +48,16 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+_STAGES: dict[tuple[str, str], Stages] = {}
+
+
 def _stages(spark: SparkSession, sf_dir: str) -> Stages:
+    """Lazily composed staged frames for a folder, built once per session (plans, not data)."""
     configure(spark)
-    return build_stages(sources(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STAGES:
+        _STAGES[key] = build_stages(sources(spark, sf_dir))
+    return _STAGES[key]
 
 
 def _src(name: str) -> Query:

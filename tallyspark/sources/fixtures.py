@@ -2,14 +2,18 @@
 
 The reference ships no data; these rules plant every defect class it handles (NULL ids,
 retries with changed and identical content, NULL dates, bad clocks, orphans, late arrivals)
-into tables whose size grows with the scale factor. Each table is one scan plus a
+into tables whose size grows with the scale factor. Each table is one pruned scan plus a
 row-multiplying ``explode`` (no self-unions), so the derivation is a single narrow stage.
+The per-row rules are SQL expressions (``selectExpr``): one plan node per table, built with a
+handful of driver round trips.
+
+Arithmetic is exact: integer cents, integer division of non-negative integers, and decimals
+made from integer hundredths by a long-backed decimal product (never from a rounded double).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
 
@@ -17,117 +21,107 @@ from .. import params as P
 NAME_PREFIXES = ["ada o'brien ", "MARY-JANE okafor ", "dr. john SMITH ", "tunde  bello "]
 INGESTED_AT = "2024-02-01 03:00:00"
 
+_SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, value double",
+}
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
-def cents(x: Column) -> Column:
-    return F.round(x * 100, 0).cast("bigint")
+def cents(x: str) -> str:
+    return f"CAST(round({x} * 100, 0) AS BIGINT)"
 
 
-def idiv(a: Column, b: Column) -> Column:
-    """Integer division of non-negative integers (exact: decimal quotient, then floor)."""
-    return F.floor(a.cast("decimal(20,0)") / b.cast("decimal(20,0)")).cast("bigint")
+def idiv(a: str, b: str) -> str:
+    """Integer division of non-negative integers (``div``: exact, truncating)."""
+    return f"(({a}) div ({b}))"
 
 
-def dec2(n: Column, precision: int) -> Column:
-    """Integer hundredths -> decimal(precision, 2), exactly (never via a double)."""
-    return (n.cast("decimal(18,0)") / F.lit(100)).cast(f"decimal({precision},2)")
+def dec2(n: str, precision: int) -> str:
+    """Integer hundredths -> decimal(precision, 2) via a long-backed decimal product."""
+    return f"CAST(CAST({n} AS DECIMAL(10,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL({precision},2))"
 
 
-def _variants(k: Column, modulus: int, first: int) -> Column:
+def _variants(k: str, modulus: int, first: int) -> str:
     """[0] for a base row, [0, 1] / [0, 2] for rows that also get a changed / exact copy."""
-    return (F.when(k % modulus == first, F.array(F.lit(0), F.lit(1)))
-            .when(k % modulus == first + 1, F.array(F.lit(0), F.lit(2)))
-            .otherwise(F.array(F.lit(0))))
+    return (f"explode(CASE WHEN {k} % {modulus} = {first} THEN array(0, 1) "
+            f"WHEN {k} % {modulus} = {first + 1} THEN array(0, 2) ELSE array(0) END) AS v")
 
 
 def src_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    k = F.col("c_custkey")
-    v = F.col("v")
-    created = F.date_add(F.lit("2021-01-01").cast("date"), ((k * 37) % 1150).cast("int"))
-    prefix = F.element_at(F.array(*[F.lit(p) for p in NAME_PREFIXES]), (k % 4 + 1).cast("int"))
-    name = F.concat(prefix, k.cast("string"))
-    variants = (F.when(k % 100 == 7, F.array(F.lit(0), F.lit(1)))
-                .when(k % 100 == 8, F.array(F.lit(0), F.lit(2)))
-                .when(k % 100 == 9, F.array(F.lit(0), F.lit(3)))
-                .otherwise(F.array(F.lit(0))))
-    created_text = F.concat(created.cast("string"), F.lit(" 08:30:00"))
-    created_next = F.concat(F.date_add(created, 1).cast("string"), F.lit(" 08:30:00"))
-    return (
-        c.select("*", F.explode(variants).alias("v"))
-        .select(
-            F.when(k % 97 == 96, F.lit(None).cast("string")).otherwise(k.cast("string")).alias("customer_id"),
-            F.when(v == 1, F.concat(name, F.lit(" new")))
-             .when(v == 3, F.concat(name, F.lit(" null dated")))
-             .otherwise(name).alias("name"),
-            F.concat(F.lit("User."), k.cast("string"), F.lit("@MAIL.com")).alias("email"),
-            F.when(k % 33 == 0, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("Country_"), F.col("c_nationkey").cast("string"))).alias("country"),
-            F.when(v == 1, created_next)
-             .when((v == 3) | (k % 61 == 60), F.lit(None).cast("string"))
-             .otherwise(created_text).alias("created_at"),
-            F.lit(INGESTED_AT).cast("timestamp_ntz").alias("ingested_at"),
-        )
-    )
+    prefixes = ", ".join(_sql_str(p) for p in NAME_PREFIXES)
+    base = _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k", "c_nationkey",
+        f"concat(element_at(array({prefixes}), CAST(c_custkey % 4 + 1 AS INT)), CAST(c_custkey AS STRING)) AS nm",
+        "date_add(DATE'2021-01-01', CAST((c_custkey * 37) % 1150 AS INT)) AS cd",
+        "explode(CASE WHEN c_custkey % 100 = 7 THEN array(0, 1) WHEN c_custkey % 100 = 8 THEN array(0, 2) "
+        "WHEN c_custkey % 100 = 9 THEN array(0, 3) ELSE array(0) END) AS v")
+    return base.selectExpr(
+        "CASE WHEN k % 97 = 96 THEN CAST(NULL AS STRING) ELSE CAST(k AS STRING) END AS customer_id",
+        "CASE v WHEN 1 THEN concat(nm, ' new') WHEN 3 THEN concat(nm, ' null dated') ELSE nm END AS name",
+        "concat('User.', CAST(k AS STRING), '@MAIL.com') AS email",
+        "CASE WHEN k % 33 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE concat('Country_', CAST(c_nationkey AS STRING)) END AS country",
+        "CASE WHEN v = 1 THEN concat(CAST(date_add(cd, 1) AS STRING), ' 08:30:00') "
+        "WHEN v = 3 OR k % 61 = 60 THEN CAST(NULL AS STRING) "
+        "ELSE concat(CAST(cd AS STRING), ' 08:30:00') END AS created_at",
+        f"TIMESTAMP_NTZ'{INGESTED_AT}' AS ingested_at")
 
 
 def src_billing_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = (_read(spark, sf_dir, "orders")
-         .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-         .where(F.col("o_custkey") % 11 != 5))
-    k, ck, v = F.col("o_orderkey"), F.col("o_custkey"), F.col("v")
-    divisor = F.when(ck % 3 == 0, F.lit(100)).when(ck % 3 == 1, F.lit(1000)).otherwise(F.lit(4000))
-    amount_cents = F.when(k % 33 == 0, F.lit(None).cast("bigint")).otherwise(
-        idiv(cents(F.col("o_totalprice")), divisor))
-    day = F.col("o_orderdate").cast("date")
-    lag_days = F.when(k % 40 == 0, F.lit(5)).otherwise(F.lit(2))
-    ingested = (F.date_add(day, lag_days).cast("timestamp_ntz") + F.expr("INTERVAL 3 HOURS"))
-    return (
-        o.select("*", F.explode(_variants(k, 50, 1)).alias("v"))
-        .select(
-            F.when(k % 211 == 0, F.lit(None).cast("string")).otherwise(k.cast("string")).alias("transaction_id"),
-            F.when(k % 101 == 0, F.lit(None).cast("string"))
-             .when(k % 307 == 0, F.concat(F.lit("X"), k.cast("string")))
-             .otherwise(ck.cast("string")).alias("customer_id"),
-            dec2(F.when(v == 1, amount_cents + 1000).otherwise(amount_cents), 12).alias("amount"),
-            F.concat(F.when(v == 1, F.date_add(day, 1)).otherwise(day).cast("string"),
-                     F.lit(" 10:15:00")).alias("transaction_date"),
-            ingested.alias("ingested_at"),
-        )
-    )
+    divisor = "CASE o_custkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 1000 ELSE 4000 END"
+    base = (_read(spark, sf_dir, "orders").where("o_custkey % 11 != 5").selectExpr(
+        "o_orderkey AS k", "o_custkey AS ck", "CAST(o_orderdate AS DATE) AS d",
+        f"CASE WHEN o_orderkey % 33 = 0 THEN CAST(NULL AS BIGINT) "
+        f"ELSE {idiv(cents('o_totalprice'), divisor)} END AS ac",
+        _variants("o_orderkey", 50, 1)))
+    return base.selectExpr(
+        "CASE WHEN k % 211 = 0 THEN CAST(NULL AS STRING) ELSE CAST(k AS STRING) END AS transaction_id",
+        "CASE WHEN k % 101 = 0 THEN CAST(NULL AS STRING) WHEN k % 307 = 0 THEN concat('X', CAST(k AS STRING)) "
+        "ELSE CAST(ck AS STRING) END AS customer_id",
+        dec2("CASE WHEN v = 1 THEN ac + 1000 ELSE ac END", 12) + " AS amount",
+        "concat(CAST(CASE WHEN v = 1 THEN date_add(d, 1) ELSE d END AS STRING), ' 10:15:00') AS transaction_date",
+        "CAST(date_add(d, CASE WHEN k % 40 = 0 THEN 5 ELSE 2 END) AS TIMESTAMP_NTZ) "
+        "+ INTERVAL '3' HOUR AS ingested_at")
 
 
 def src_network_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    k, u, v = F.col("event_id"), F.col("user_id"), F.col("v")
-    st = F.date_trunc("second", F.col("ts").cast("timestamp_ntz"))
-    st = F.when(v == 1, F.timestamp_add("HOUR", F.lit(1), st)).otherwise(st)
-    duration = (F.when(k % 50 == 0, F.lit(-30)).when(k % 53 == 0, F.lit(0))
-                .when(k % 71 == 0, F.lit(60)).when(k % 73 == 0, F.lit(300))
-                .otherwise(idiv(cents(F.col("value")) * 6, F.lit(100))))
-    end = F.timestamp_add("SECOND", duration, st)
-    fmt = "yyyy-MM-dd HH:mm:ss"
-    return (
-        e.select("*", F.explode(_variants(k, 50, 3)).alias("v"))
-        .select(
-            F.when(k % 199 == 0, F.lit(None).cast("string")).otherwise(k.cast("string")).alias("session_id"),
-            F.when(k % 103 == 0, F.lit(None).cast("string"))
-             .otherwise((u * 10 + k % 10).cast("string")).alias("customer_id"),
-            F.date_format(st, fmt).alias("start_time"),
-            F.date_format(end, fmt).alias("end_time"),
-            F.when(k % 47 == 0, F.lit(None).cast("decimal(10,2)"))
-             .otherwise(dec2(cents(F.col("value")) * (u % 5), 10)).alias("data_used_mb"),
-            F.lit(INGESTED_AT).cast("timestamp_ntz").alias("ingested_at"),
-        )
-    )
+    duration = (f"CASE WHEN event_id % 50 = 0 THEN -30 WHEN event_id % 53 = 0 THEN 0 "
+                f"WHEN event_id % 71 = 0 THEN 60 WHEN event_id % 73 = 0 THEN 300 "
+                f"ELSE {idiv(cents('value') + ' * 6', '100')} END")
+    base = _read(spark, sf_dir, "events").selectExpr(
+        "event_id AS k", "user_id AS u", f"{cents('value')} AS vc", f"{duration} AS dur",
+        "date_trunc('SECOND', ts) AS st0", _variants("event_id", 50, 3))
+    fmt = "'yyyy-MM-dd HH:mm:ss'"
+    return base.selectExpr(
+        "k", "u", "vc", "dur",
+        "CASE WHEN v = 1 THEN timestampadd(HOUR, 1, st0) ELSE st0 END AS st").selectExpr(
+        "CASE WHEN k % 199 = 0 THEN CAST(NULL AS STRING) ELSE CAST(k AS STRING) END AS session_id",
+        "CASE WHEN k % 103 = 0 THEN CAST(NULL AS STRING) ELSE CAST(u * 10 + k % 10 AS STRING) END AS customer_id",
+        f"date_format(st, {fmt}) AS start_time",
+        f"date_format(timestampadd(SECOND, dur, st), {fmt}) AS end_time",
+        f"CASE WHEN k % 47 = 0 THEN CAST(NULL AS DECIMAL(10,2)) ELSE {dec2('vc * (u % 5)', 10)} END AS data_used_mb",
+        f"TIMESTAMP_NTZ'{INGESTED_AT}' AS ingested_at")
+
+
+_MEMO: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        P.SRC_CUSTOMERS: src_customers(spark, sf_dir),
-        P.SRC_BILLING: src_billing_transactions(spark, sf_dir),
-        P.SRC_SESSIONS: src_network_sessions(spark, sf_dir),
-    }
+    """The three raw sources (lazy frames, built once per session and folder)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MEMO:
+        _MEMO[key] = {
+            P.SRC_CUSTOMERS: src_customers(spark, sf_dir),
+            P.SRC_BILLING: src_billing_transactions(spark, sf_dir),
+            P.SRC_SESSIONS: src_network_sessions(spark, sf_dir),
+        }
+    return dict(_MEMO[key])
