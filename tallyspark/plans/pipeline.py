@@ -12,6 +12,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import aggregates as A
@@ -83,13 +84,15 @@ class RunResult:
 
 def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.date | None = None,
                  t_end: dt.date | None = None, as_of: dt.datetime | None = P.AS_OF,
-                 billing_mode: str = "incremental") -> RunResult:
+                 billing_mode: str = "incremental", max_bad_ratio: float | None = None) -> RunResult:
     """quality -> staging -> aggregates -> audit + warehouse, each stage written under ``out``.
 
     Written stages cut the lineage (a lost executor recomputes from the last written stage, not
     from raw files) and are what the next run upserts into. Steps follow the reference's data
     edges: a failed step marks its dependants skipped while independent branches still run.
     ``billing_mode``: "incremental" loads [t_start, t_end) insert-if-absent, "full" upserts all.
+    ``max_bad_ratio``: optional gate; a source whose newly quarantined rows exceed this share
+    of its rows fails its quality step, so its staging and everything downstream is skipped.
     """
     import traceback
 
@@ -127,9 +130,17 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         def run():
             from ..sources.readers import read_or_empty
             existing = read_or_empty(spark, qpath, S.QUARANTINE)
+            offset = existing.agg(F.max("quarantine_id")).first()[0] or 0
             new = QL.quarantine_source(sources[src_name], QL.RULES[src_name], existing)
             append(QL.with_quarantine_ids(new, existing, as_of), qpath)
             tables["quarantine"] = qpath
+            if max_bad_ratio is not None:
+                bad = (spark.read.parquet(qpath)
+                       .where((F.col("source_table") == src_name) & (F.col("quarantine_id") > offset)).count())
+                total = sources[src_name].count()
+                if total and bad / total > max_bad_ratio:
+                    raise ValueError(f"{src_name}: {bad} of {total} rows quarantined "
+                                     f"(> {max_bad_ratio:.2%})")
         return run
 
     for src_name, step_name in [(P.SRC_BILLING, "quality_billing"), (P.SRC_SESSIONS, "quality_sessions"),

@@ -26,7 +26,7 @@ from .sources.readers import land, read_or_empty, source_row_counts
 from .sources.sinks import VersionedTable, overwrite
 from .plans import analytics as Q
 from .plans.pipeline import Stages, audit, build_stages, warehouse
-from .session import configure, fresh_dir
+from .session import configure, fresh_dir, session_key
 from .sources.fixtures import sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +54,7 @@ _STAGES: dict[tuple[str, str], Stages] = {}
 def _stages(spark: SparkSession, sf_dir: str) -> Stages:
     """Lazily composed staged frames for a folder, built once per session (plans, not data)."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _STAGES:
         _STAGES[key] = build_stages(sources(spark, sf_dir))
     return _STAGES[key]

@@ -45,17 +45,33 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def work_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; created only when the session has none."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return os.path.dirname(current.rstrip("/")) if _is_uuid_leaf(current) else current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-    sc.setCheckpointDir(conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # noqa: BLE001 - static conf in some deployments
+            pass
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of a running application (for memoising lazily built plans)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return f"session-{id(spark)}"
+
+
 def _is_uuid_leaf(path: str) -> bool:
     leaf = path.rstrip("/").rsplit("/", 1)[-1]
     try:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
+from ..session import session_key
 
 # FIXED VALUES: name prefixes of the customer fixture, picked by custkey % 4.
 NAME_PREFIXES = ["ada o'brien ", "MARY-JANE okafor ", "dr. john SMITH ", "tunde  bello "]
@@ -117,7 +118,7 @@ _MEMO: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three raw sources (lazy frames, built once per session and folder)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _MEMO:
         _MEMO[key] = {
             P.SRC_CUSTOMERS: src_customers(spark, sf_dir),
@@ -125,3 +126,23 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             P.SRC_SESSIONS: src_network_sessions(spark, sf_dir),
         }
     return dict(_MEMO[key])
+
+
+def replicate(srcs: dict[str, DataFrame], copies: int) -> dict[str, DataFrame]:
+    """Each source repeated ``copies`` times with every identifier offset per copy (suffix
+    ``#c``), so copies never collide and every result scales by ``copies`` (copy 0 keeps the
+    original ids). Used for the scaled benchmark run."""
+    if copies <= 1:
+        return dict(srcs)
+    id_cols = {P.SRC_CUSTOMERS: ["customer_id"], P.SRC_BILLING: ["transaction_id", "customer_id"],
+               P.SRC_SESSIONS: ["session_id", "customer_id"]}
+    out = {}
+    for name, df in srcs.items():
+        exprs = []
+        for c in df.columns:
+            if c in id_cols[name]:
+                exprs.append(f"CASE WHEN _copy = 0 THEN {c} ELSE concat({c}, '#', CAST(_copy AS STRING)) END AS {c}")
+            else:
+                exprs.append(c)
+        out[name] = df.selectExpr("*", f"explode(sequence(0, {copies - 1})) AS _copy").selectExpr(*exprs)
+    return out

@@ -62,8 +62,7 @@ def read_source(spark: SparkSession, name: str, location: str, fmt: str = "parqu
     raise ValueError(f"unknown source format {fmt!r}")
 
 
-def conform(raw: DataFrame, name: str, load_time: dt.datetime | None = P.AS_OF) -> DataFrame:
-    """Project a raw frame onto the declared schema of ``name`` (drop extras, cast, stamp)."""
+def _conform_exprs(raw: DataFrame, name: str, load_time: dt.datetime | None) -> list:
     out = []
     for f in DECLARED[name].fields:
         if f.name in raw.columns:
@@ -78,20 +77,38 @@ def conform(raw: DataFrame, name: str, load_time: dt.datetime | None = P.AS_OF)
             out.append(ts.alias("ingested_at"))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return raw.select(*out)
+    return out
+
+
+def conform(raw: DataFrame, name: str, load_time: dt.datetime | None = P.AS_OF) -> DataFrame:
+    """Project a raw frame onto the declared schema of ``name`` (drop extras, cast, stamp)."""
+    return raw.select(*_conform_exprs(raw, name, load_time))
+
+
+CORRUPT = "_corrupt_record"
 
 
 def land(spark: SparkSession, name: str, location: str, fmt: str = "csv",
-         load_time: dt.datetime | None = P.AS_OF, **options: str) -> DataFrame:
-    """Raw source -> declared table (to be written with ``sinks.overwrite``)."""
+         load_time: dt.datetime | None = P.AS_OF, keep_corrupt: bool = False,
+         **options: str) -> DataFrame:
+    """Raw source -> declared table (to be written with ``sinks.overwrite``).
+
+    CSV lines whose values do not fit the declared types load with NULLs in those fields
+    (PERMISSIVE). With ``keep_corrupt`` the raw line is kept in ``_corrupt_record`` (NULL for
+    good lines) so the caller can quarantine or count malformed input.
+    """
     if fmt == "csv":
         header = spark.read.options(**{**CSV_OPTIONS, **options}).csv(location).columns
         wanted = {f.name: f.dataType for f in DECLARED[name].fields}
         fields = [T.StructField(c, wanted.get(c, T.StringType()), True) for c in header]
+        if keep_corrupt:
+            fields.append(T.StructField(CORRUPT, T.StringType(), True))
+            options = {**options, "columnNameOfCorruptRecord": CORRUPT}
         raw = read_csv(spark, location, T.StructType(fields), **options)
     else:
         raw = read_source(spark, name, location, fmt, **options)
-    return conform(raw, name, load_time)
+    extra = [F.col(CORRUPT)] if keep_corrupt and CORRUPT in raw.columns else []
+    return raw.select(*_conform_exprs(raw, name, load_time), *extra)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -103,7 +120,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def source_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count per table from one aggregate over the tagged union of all tables."""
+    """Row count per table from one aggregate over the tagged union of all tables (an empty
+    table reports 0)."""
     tagged = [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()]
-    return (reduce(DataFrame.unionByName, tagged).groupBy("table_name")
-            .agg(F.count(F.lit(1)).alias("row_count")))
+    counts = (reduce(DataFrame.unionByName, tagged).groupBy("table_name")
+              .agg(F.count(F.lit(1)).alias("row_count")))
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.createDataFrame([(n,) for n in tables], "table_name string")
+    return (names.join(counts, "table_name", "left")
+            .select("table_name", F.coalesce("row_count", F.lit(0)).alias("row_count")))

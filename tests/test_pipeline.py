@@ -42,3 +42,27 @@ def test_incremental_window_run(spark):
     assert res.status["stage_billing"] == "ok"
     assert spark.read.parquet(res.tables["stg_billing"]).count() == 171   # FIXTURES.md section 3
     assert res.tables["stg_billing"] and dt.date(1998, 5, 1) == P.T_START
+
+
+def test_bad_ratio_gate_stops_only_that_source(spark):
+    srcs = sources(spark, "/root/testdata/sf0.001")
+    res = run_pipeline(spark, srcs, fresh_dir(spark, "pipeline-gate"), billing_mode="full",
+                       max_bad_ratio=0.09)
+    # quarantined share at sf0.001: billing 131/1428 (9.2%), sessions 96/1040 (9.2%),
+    # customers 13/156 (8.3%)
+    assert res.status["quality_billing"].startswith("failed")
+    assert res.status["stage_billing"].startswith("skipped")
+    assert res.status["agg_arpu"].startswith("skipped")
+    assert res.status["quality_customers"] == "ok" and res.status["stage_customers"] == "ok"
+
+
+def test_replicated_sources_scale_results(spark):
+    from tallyspark.plans.pipeline import build_stages, warehouse
+    from tallyspark.sources.fixtures import replicate
+    srcs = sources(spark, "/root/testdata/sf0.001")
+    dw1 = warehouse(build_stages(srcs))
+    dw3 = warehouse(build_stages(replicate(srcs, 3)))
+    assert dw3.count() == 3 * dw1.count()
+    s1 = dw1.agg(F.sum("total_revenue"), F.sum("total_sessions")).first()
+    s3 = dw3.agg(F.sum("total_revenue"), F.sum("total_sessions")).first()
+    assert s3[0] == 3 * s1[0] and s3[1] == 3 * s1[1]
