@@ -73,29 +73,33 @@ def empty_quarantine(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], S.QUARANTINE)
 
 
-def _images(rows: DataFrame, rule: IdRule, issue: str, exclude_cols: tuple[str, ...]) -> DataFrame:
+def _images(rows: DataFrame, exclude_cols: tuple[str, ...]) -> DataFrame:
     cols = [c for c in rows.columns if c not in exclude_cols]
-    return rows.select(row_json(cols).alias("row_data"), F.lit(rule.source_table).alias("source_table"),
-                       F.lit(issue).alias("issue_type"))
+    return rows.select(row_json(cols).alias("row_data"))
 
 
-def _not_already(images: DataFrame, existing: DataFrame, match_issue_type: bool) -> DataFrame:
-    """Images not yet in the quarantine (NOT EXISTS -> left anti join).
+def _not_already(images: DataFrame, existing: DataFrame, source_table: str, issue: str,
+                 match_issue_type: bool) -> DataFrame:
+    """Images not yet in the quarantine (NOT EXISTS -> left anti join), tagged with the set.
 
-    Identical images (exact copies of a retried record) are counted first, so the anti join
-    shuffles one row per distinct image; the copies are re-expanded afterwards (all copies are
-    quarantined, as the reference inserts every one of them).
+    The set's source table and issue are constants, so the existing quarantine is filtered to
+    them and the anti join keys on ``row_data`` alone. Identical images (exact copies of a
+    retried record) are counted first, grouped by that same key, so the join reuses the
+    aggregate's partitioning and the shuffle carries one row per distinct image; the copies
+    are re-expanded afterwards (the reference inserts every copy).
     """
-    keys = ["source_table", "row_data"] + (["issue_type"] if match_issue_type else [])
-    distinct = count_copies(images, ["row_data", "source_table", "issue_type"])
-    fresh = distinct.join(existing.select(*keys), keys, "left_anti")
-    return expand_copies(fresh).select("row_data", "source_table", "issue_type")
+    prior = existing.where(F.col("source_table") == source_table)
+    if match_issue_type:
+        prior = prior.where(F.col("issue_type") == issue)
+    fresh = count_copies(images, ["row_data"]).join(prior.select("row_data"), "row_data", "left_anti")
+    return expand_copies(fresh).select("row_data", F.lit(source_table).alias("source_table"),
+                                       F.lit(issue).alias("issue_type"))
 
 
 def quarantine_null_ids(src: DataFrame, rule: IdRule, existing: DataFrame,
                         exclude_cols: tuple[str, ...] = ()) -> DataFrame:
     bad = src.where(_any_null(rule.null_cols))
-    return _not_already(_images(bad, rule, rule.null_issue, exclude_cols), existing,
+    return _not_already(_images(bad, exclude_cols), existing, rule.source_table, rule.null_issue,
                         rule.null_matches_issue_type)
 
 
@@ -108,7 +112,7 @@ def quarantine_duplicates(src: DataFrame, rule: IdRule, existing: DataFrame,
     """
     dups = dups if dups is not None else duplicate_ids(src, rule.key)
     bad = src.join(dups.select(rule.key), rule.key, "left_semi")
-    return _not_already(_images(bad, rule, rule.dup_issue, exclude_cols), existing, True)
+    return _not_already(_images(bad, exclude_cols), existing, rule.source_table, rule.dup_issue, True)
 
 
 def quarantine_source(src: DataFrame, rule: IdRule, existing: DataFrame,
@@ -173,8 +177,7 @@ def check_billing_orphans(src_billing: DataFrame, customers: DataFrame) -> DataF
 def quarantine_billing_orphans(src_billing: DataFrame, customers: DataFrame, existing: DataFrame,
                                exclude_cols: tuple[str, ...] = ()) -> DataFrame:
     rows = _orphan_rows(src_billing, customers).select(*src_billing.columns)
-    rule = RULES[P.SRC_BILLING]
-    return _not_already(_images(rows, rule, P.ISSUE_BILLING_ORPHAN, exclude_cols), existing, True)
+    return _not_already(_images(rows, exclude_cols), existing, P.SRC_BILLING, P.ISSUE_BILLING_ORPHAN, True)
 
 
 # --- monitoring checks ----------------------------------------------------------------------------
