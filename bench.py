@@ -54,6 +54,15 @@ def main() -> None:
         assert all(v == "ok" for v in res.status.values()), res.status
     results["full_pipeline"] = round(statistics.median(times), 3)
 
+    replicas = int(os.environ.get("BENCH_REPLICAS", "0"))
+    if replicas > 1:                                    # scaled run: key-offset copies
+        from tallyspark.sources.fixtures import replicate
+        t0 = time.perf_counter()
+        res = run_pipeline(spark, replicate(sources(spark, sf_dir), replicas),
+                           fresh_dir(spark, "bench-pipeline-x"), billing_mode="full")
+        assert all(v == "ok" for v in res.status.values()), res.status
+        results[f"full_pipeline_x{replicas}"] = round(time.perf_counter() - t0, 3)
+
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(results.values()), 3),
                       "unit": "sec", "queries": results, "sf": float(sf) if sf else sf_dir,

@@ -168,29 +168,37 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     step("stage_billing", ("quality_billing",), stage_billing)
     step("stage_sessions", ("quality_sessions",), stage_sessions)
 
-    # Stage 3: aggregates, rebuilt from the staged tables.
+    # Stage 3: aggregates, rebuilt from the staged tables. Each staged fact table is scanned
+    # once: its shared pre-aggregate (billing per customer-month, sessions per customer) is
+    # written, and the reference's aggregate tables are small roll-ups / projections of it.
     read = {k: (lambda k=k: vt[k].read()) for k in vt}
 
-    def write_agg(name: str, build):
+    def write_table(name: str, build):
         def run():
             path = f"{out}/{name}"
             overwrite(build(), path)
             tables[name] = path
         return run
 
-    cm = lambda: A.billing_customer_month(read["stg_billing"]())
-    rollup = lambda: A.session_rollup(read["stg_sessions"]())
-    step("agg_user_revenue", ("stage_billing",), write_agg("agg_user_revenue", lambda: A.agg_user_revenue(cm())))
-    step("agg_monthly_revenue", ("stage_billing",),
-         write_agg("agg_monthly_revenue", lambda: A.agg_monthly_revenue(cm())))
-    step("agg_arpu", ("stage_billing", "stage_customers"),
-         write_agg("agg_arpu", lambda: A.agg_arpu(read["stg_customers"](), cm())))
-    step("agg_user_usage", ("stage_sessions",), write_agg("agg_user_usage", lambda: A.usage_from_rollup(rollup())))
+    def written(name: str) -> DataFrame:
+        return spark.read.parquet(tables[name])
+
+    step("billing_customer_month", ("stage_billing",),
+         write_table("_billing_customer_month", lambda: A.billing_customer_month(read["stg_billing"]())))
+    step("session_rollup", ("stage_sessions",),
+         write_table("_session_rollup", lambda: A.session_rollup(read["stg_sessions"]())))
+    step("agg_user_revenue", ("billing_customer_month",),
+         write_table("agg_user_revenue", lambda: A.agg_user_revenue(written("_billing_customer_month"))))
+    step("agg_monthly_revenue", ("billing_customer_month",),
+         write_table("agg_monthly_revenue", lambda: A.agg_monthly_revenue(written("_billing_customer_month"))))
+    step("agg_arpu", ("billing_customer_month", "stage_customers"),
+         write_table("agg_arpu", lambda: A.agg_arpu(read["stg_customers"](), written("_billing_customer_month"))))
+    step("agg_user_usage", ("session_rollup",),
+         write_table("agg_user_usage", lambda: A.usage_from_rollup(written("_session_rollup"))))
     step("session_buckets", ("stage_sessions",),
-         write_agg("session_buckets", lambda: A.session_buckets(read["stg_sessions"]())))
-    step("agg_session_distribution", ("session_buckets",),
-         write_agg("agg_session_distribution",
-                   lambda: A.agg_session_distribution(spark.read.parquet(tables["session_buckets"]))))
+         write_table("session_buckets", lambda: A.session_buckets(read["stg_sessions"]())))
+    step("agg_session_distribution", ("session_rollup",),
+         write_table("agg_session_distribution", lambda: A.distribution_from_rollup(written("_session_rollup"))))
 
     # Stage 4: audit row and warehouse upsert, after every aggregate.
     all_aggs = ("agg_user_revenue", "agg_monthly_revenue", "agg_arpu", "agg_user_usage",

@@ -36,6 +36,31 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                     max_partitions: int = 50_000) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of source data.
+
+    Splits and shuffle partitions target ~256 MB each, so a task's working set stays well inside
+    executor memory; AQE starts from that partition count and coalesces small stages down, and
+    splits skewed partitions (>5x the median and >1 GB) of sort-merge joins. The shuffle count
+    is capped: past it, AQE's skew handling and map-side partial aggregation do the rest.
+    Example: 100 TB -> 50,000 initial shuffle partitions.
+    """
+    parts = max(200, min(max_partitions, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on (time zone) and make sure a checkpoint dir exists."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -41,3 +41,12 @@ def test_missing_table_reads_empty_and_counts(spark):
     assert empty.count() == 0 and empty.schema == S.AGG_USER_USAGE
     counts = {r[0]: r[1] for r in source_row_counts({"a": spark.range(3), "b": empty}).collect()}
     assert counts == {"a": 3, "b": 0}
+
+
+def test_cluster_settings_scale_with_input():
+    from tallyspark.session import cluster_settings
+    big = cluster_settings(100 * 2**40)
+    small = cluster_settings(10 * 2**30)
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
