@@ -3,7 +3,8 @@
 Each query runs the whole chain (fixture derivation -> quality/staging -> aggregates ->
 warehouse -> question) and is forced with the ``noop`` sink (full execution, no collect).
 One warm-up pass, then the median of $BENCH_REPEAT runs per query. Also times the full
-daily run (quality + staging + aggregates + audit + warehouse upsert, all written).
+daily run (landing + quality + staging + aggregates + audit + warehouse upsert, all
+written) and, with $BENCH_REPLICAS > 1, the same run over that many key-offset copies.
 Prints one JSON line.
 """
 
@@ -49,7 +50,7 @@ def main() -> None:
     for _ in range(repeat):
         t0 = time.perf_counter()
         res = run_pipeline(spark, sources(spark, sf_dir), fresh_dir(spark, "bench-pipeline"),
-                           billing_mode="full")
+                           billing_mode="full", land=True)
         times.append(time.perf_counter() - t0)
         assert all(v == "ok" for v in res.status.values()), res.status
     results["full_pipeline"] = round(statistics.median(times), 3)
@@ -59,7 +60,7 @@ def main() -> None:
         from tallyspark.sources.fixtures import replicate
         t0 = time.perf_counter()
         res = run_pipeline(spark, replicate(sources(spark, sf_dir), replicas),
-                           fresh_dir(spark, "bench-pipeline-x"), billing_mode="full")
+                           fresh_dir(spark, "bench-pipeline-x"), billing_mode="full", land=True)
         assert all(v == "ok" for v in res.status.values()), res.status
         results[f"full_pipeline_x{replicas}"] = round(time.perf_counter() - t0, 3)
 

@@ -80,11 +80,13 @@ def audit(st: Stages, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
 class RunResult:
     tables: dict[str, str]                       # table name -> current path
     status: dict[str, str]                       # step -> "ok" | "failed: ..." | "skipped"
+    seconds: dict[str, float] = field(default_factory=dict)   # step -> wall time
 
 
 def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.date | None = None,
                  t_end: dt.date | None = None, as_of: dt.datetime | None = P.AS_OF,
-                 billing_mode: str = "incremental", max_bad_ratio: float | None = None) -> RunResult:
+                 billing_mode: str = "incremental", max_bad_ratio: float | None = None,
+                 land: bool = False) -> RunResult:
     """quality -> staging -> aggregates -> audit + warehouse, each stage written under ``out``.
 
     Written stages cut the lineage (a lost executor recomputes from the last written stage, not
@@ -93,7 +95,10 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     ``billing_mode``: "incremental" loads [t_start, t_end) insert-if-absent, "full" upserts all.
     ``max_bad_ratio``: optional gate; a source whose newly quarantined rows exceed this share
     of its rows fails its quality step, so its staging and everything downstream is skipped.
+    ``land``: first write the sources as ``src_*`` tables under ``out`` (full refresh) and run
+    on those, so sources given as expensive plans (raw CSV, derivations) are computed once.
     """
+    import time
     import traceback
 
     from ..operators import quality as QL
@@ -107,6 +112,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     t_end = t_end or (t_start + dt.timedelta(days=1))
     tables: dict[str, str] = {}
     status: dict[str, str] = {}
+    seconds: dict[str, float] = {}
     vt = {name: VersionedTable(spark, f"{out}/{name}", schema) for name, schema in [
         ("stg_customers", S.STG_CUSTOMERS), ("stg_billing", S.STG_BILLING),
         ("stg_sessions", S.STG_SESSIONS), ("dw_user_analytics", S.DW_USER_ANALYTICS)]}
@@ -116,12 +122,26 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         if blocked:
             status[name] = f"skipped: {', '.join(blocked)} not ok"
             return
+        started = time.perf_counter()
         try:
             fn()
             status[name] = "ok"
         except Exception as exc:  # noqa: BLE001 - isolate the branch, report, continue
             status[name] = f"failed: {type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
             traceback.print_exc()
+        finally:
+            seconds[name] = round(time.perf_counter() - started, 3)
+
+    # Stage 0: optional landing of the sources as tables.
+    if land:
+        from ..sources.readers import fan_out
+        landed = {}
+        for src_name, df in sources.items():
+            path = f"{out}/{src_name}"
+            overwrite(fan_out(df), path)
+            tables[src_name] = path
+            landed[src_name] = spark.read.parquet(path)
+        sources = landed
 
     # Stage 1: quality -> quarantine (append only new rows); one step per source.
     qpath = f"{out}/quarantine"
@@ -219,4 +239,4 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
 
     step("audit_pipeline_run", all_aggs, write_audit)
     step("load_dw_user_analytics", all_aggs, load_warehouse)
-    return RunResult(tables, status)
+    return RunResult(tables, status, seconds)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
 from ..session import session_key
+from .readers import fan_out
 
 # FIXED VALUES: name prefixes of the customer fixture, picked by custkey % 4.
 NAME_PREFIXES = ["ada o'brien ", "MARY-JANE okafor ", "dr. john SMITH ", "tunde  bello "]
@@ -138,6 +139,7 @@ def replicate(srcs: dict[str, DataFrame], copies: int) -> dict[str, DataFrame]:
                P.SRC_SESSIONS: ["session_id", "customer_id"]}
     out = {}
     for name, df in srcs.items():
+        df = fan_out(df)            # the copies are generated by all tasks, not the scan's one
         exprs = []
         for c in df.columns:
             if c in id_cols[name]:

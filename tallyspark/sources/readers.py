@@ -25,6 +25,14 @@ CSV_OPTIONS = {"header": "true", "nullValue": "", "mode": "PERMISSIVE",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+def fan_out(df: DataFrame) -> DataFrame:
+    """Spread an input with fewer partitions than the session's parallelism (one unsplittable
+    file, a single row group, one gzip CSV) over all cores; unchanged otherwise, as on a
+    cluster where the scan has more splits than cores."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
     """Header CSV with a bound schema; with PERMISSIVE mode malformed values become NULL (add a
     ``_corrupt_record`` string field to the schema to keep the raw line)."""
