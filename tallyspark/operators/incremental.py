@@ -21,6 +21,13 @@ def incremental_billing(target: DataFrame, src_billing: DataFrame, t_start: dt.d
     return upsert(target, stage_billing_window(src_billing, t_start, t_end), "transaction_id", "ignore")
 
 
+def new_billing_rows(target: DataFrame, src_billing: DataFrame, t_start: dt.date,
+                     t_end: dt.date) -> DataFrame:
+    """Only the rows ``incremental_billing`` would add (for append-only commits)."""
+    staged = stage_billing_window(src_billing, t_start, t_end)
+    return staged.join(target.select("transaction_id"), "transaction_id", "left_anti")
+
+
 def latest_changes(feed: DataFrame, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
     """One staged row per customer from a change feed (the latest change wins, same order as
     staging: created_at DESC NULLS FIRST, then name, email, country)."""

@@ -78,9 +78,16 @@ def audit(st: Stages, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
 # --- the daily run ----------------------------------------------------------------------------
 @dataclass
 class RunResult:
-    tables: dict[str, str]                       # table name -> current path
+    tables: dict[str, str]                       # table name -> folder (versioned: table root)
     status: dict[str, str]                       # step -> "ok" | "failed: ..." | "skipped"
     seconds: dict[str, float] = field(default_factory=dict)   # step -> wall time
+    versioned: tuple[str, ...] = ()              # tables stored as VersionedTable roots
+
+    def read(self, spark, name: str) -> DataFrame:
+        if name in self.versioned:
+            from ..sources.sinks import VersionedTable
+            return VersionedTable(spark, self.tables[name]).read()
+        return spark.read.parquet(self.tables[name])
 
 
 def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.date | None = None,
@@ -102,7 +109,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     import traceback
 
     from ..operators import quality as QL
-    from ..operators.incremental import incremental_billing
+    from ..operators.incremental import new_billing_rows
     from ..operators.merge import upsert
     from ..sources.sinks import VersionedTable, append, overwrite
     from .. import schemas as S
@@ -152,7 +159,10 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
             existing = read_or_empty(spark, qpath, S.QUARANTINE)
             offset = existing.agg(F.max("quarantine_id")).first()[0] or 0
             new = QL.quarantine_source(sources[src_name], QL.RULES[src_name], existing)
-            append(QL.with_quarantine_ids(new, existing, as_of), qpath)
+            # partitioned by (source_table, issue_type): each issue set's anti join reads only
+            # its own partition of the ever-growing quarantine
+            append(QL.with_quarantine_ids(new, existing, as_of), qpath,
+                   partition_by=["source_table", "issue_type"])
             tables["quarantine"] = qpath
             if max_bad_ratio is not None:
                 bad = (spark.read.parquet(qpath)
@@ -169,20 +179,23 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
 
     # Stage 2: staging.
     def stage_customers():
-        tables["stg_customers"] = vt["stg_customers"].commit(ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of))
+        vt["stg_customers"].commit(ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of))
+        tables["stg_customers"] = vt["stg_customers"].root
 
     def stage_billing():
         target = vt["stg_billing"].read()
-        if billing_mode == "incremental":
-            merged = incremental_billing(target, sources[P.SRC_BILLING], t_start, t_end)
+        if billing_mode == "incremental":   # insert-only: write just the window's new rows
+            vt["stg_billing"].append(new_billing_rows(target, sources[P.SRC_BILLING], t_start, t_end))
         else:
             merged = upsert(target, ST.stage_billing(sources[P.SRC_BILLING]), "transaction_id", "update")
-        tables["stg_billing"] = vt["stg_billing"].commit(merged)
+            vt["stg_billing"].commit(merged)
+        tables["stg_billing"] = vt["stg_billing"].root
 
     def stage_sessions():
         merged = upsert(vt["stg_sessions"].read(), ST.stage_sessions(sources[P.SRC_SESSIONS]),
                         "session_id", "update")
-        tables["stg_sessions"] = vt["stg_sessions"].commit(merged)
+        vt["stg_sessions"].commit(merged)
+        tables["stg_sessions"] = vt["stg_sessions"].root
 
     step("stage_customers", ("quality_customers",), stage_customers)
     step("stage_billing", ("quality_billing",), stage_billing)
@@ -235,8 +248,9 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
                 ("agg_user_revenue", "agg_user_usage", "agg_arpu", "agg_session_distribution")]
         dw = dw_user_analytics(read["stg_customers"](), *aggs, as_of=as_of)
         merged = upsert(vt["dw_user_analytics"].read(), dw, "customer_id", "update")
-        tables["dw_user_analytics"] = vt["dw_user_analytics"].commit(merged)
+        vt["dw_user_analytics"].commit(merged)
+        tables["dw_user_analytics"] = vt["dw_user_analytics"].root
 
     step("audit_pipeline_run", all_aggs, write_audit)
     step("load_dw_user_analytics", all_aggs, load_warehouse)
-    return RunResult(tables, status, seconds)
+    return RunResult(tables, status, seconds, tuple(vt))

@@ -60,13 +60,6 @@ def _stages(spark: SparkSession, sf_dir: str) -> Stages:
     return _STAGES[key]
 
 
-def _src(name: str) -> Query:
-    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
-        return sources(spark, sf_dir)[name]
-    return q
-
-
 def _stage_attr(attr: str) -> Query:
     return lambda spark, sf_dir: getattr(_stages(spark, sf_dir), attr)
 
@@ -80,9 +73,6 @@ def _on_dw(fn) -> Query:
 
 
 _RAW: dict[str, Query] = {
-    "src_customers": _src(P.SRC_CUSTOMERS),
-    "src_billing_transactions": _src(P.SRC_BILLING),
-    "src_network_sessions": _src(P.SRC_SESSIONS),
     "stg_customers": _stage_attr("stg_customers"),
     "stg_billing": _stage_attr("stg_billing"),
     "stg_sessions": _stage_attr("stg_sessions"),

@@ -27,11 +27,19 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     w.parquet(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    w = df.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
 
 
 class VersionedTable:
+    """A table as immutable data folders plus a pointer listing the folders of the current
+    version. ``commit`` writes a full new version (one folder); ``append`` writes only the new
+    rows and points at the previous folders plus the delta, so an insert-only load costs the
+    size of the delta, not of the table; ``compact`` folds the folders back into one."""
+
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
@@ -39,30 +47,48 @@ class VersionedTable:
     def _pointer(self) -> str:
         return f"{self.root}/_current"
 
-    def current_path(self) -> str | None:
+    def current_paths(self) -> list[str]:
         try:
-            row = self.spark.read.text(self._pointer).first()
+            return [r[0] for r in self.spark.read.text(self._pointer).collect()]
         except AnalysisException:
-            return None
-        return row[0] if row else None
+            return []
+
+    def current_path(self) -> str | None:
+        paths = self.current_paths()
+        return paths[-1] if paths else None
 
     def read(self) -> DataFrame:
-        path = self.current_path()
-        if path is None:
+        paths = self.current_paths()
+        if not paths:
             if self.schema is None:
                 raise FileNotFoundError(self.root)
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read
         if self.schema is not None:
             reader = reader.schema(self.schema)
-        return reader.parquet(path)
+        return reader.parquet(*paths)
 
-    def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+    def _write(self, df: DataFrame, partition_by: list[str] | None) -> str:
         path = f"{self.root}/v-{uuid.uuid4().hex}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        self.spark.createDataFrame([(path,)], "value string").coalesce(1) \
+        return path
+
+    def _point(self, paths: list[str]) -> None:
+        self.spark.createDataFrame([(p,) for p in paths], "value string").coalesce(1) \
             .write.mode("overwrite").text(self._pointer)
+
+    def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        path = self._write(df, partition_by)
+        self._point([path])
         return path
+
+    def append(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        path = self._write(df, partition_by)
+        self._point(self.current_paths() + [path])
+        return path
+
+    def compact(self) -> str:
+        return self.commit(self.read())

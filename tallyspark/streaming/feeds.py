@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import params as P
 from .. import schemas as S
 from ..operators.incremental import apply_customer_changes
-from ..operators.merge import upsert
 from ..operators.staging import stage_billing
 from ..sources.sinks import VersionedTable
 
@@ -46,7 +45,10 @@ def billing_file_stream(spark: SparkSession, landing_dir: str, target: Versioned
     feed = spark.readStream.schema(S.SRC_BILLING).parquet(landing_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        target.commit(upsert(target.read(), stage_billing(batch), "transaction_id", "ignore"))
+        # insert-only: append the batch's transactions the target does not hold yet. A replayed
+        # batch finds its rows already present and appends nothing.
+        new = stage_billing(batch).join(target.read().select("transaction_id"), "transaction_id", "left_anti")
+        target.append(new)
 
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
