@@ -64,8 +64,14 @@ def _stage_attr(attr: str) -> Query:
     return lambda spark, sf_dir: getattr(_stages(spark, sf_dir), attr)
 
 
+_DW: dict[tuple[str, str], DataFrame] = {}
+
+
 def _dw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse(_stages(spark, sf_dir))
+    key = (session_key(spark), sf_dir.rstrip("/"))
+    if key not in _DW:
+        _DW[key] = warehouse(_stages(spark, sf_dir))
+    return _DW[key]
 
 
 def _on_dw(fn) -> Query:
