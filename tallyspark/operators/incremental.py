@@ -12,19 +12,20 @@ from .staging import stage_billing_window, stage_customers
 
 
 def incremental_billing(target: DataFrame, src_billing: DataFrame, t_start: dt.date,
-                        t_end: dt.date) -> DataFrame:
+                        t_end: dt.date, iso_text: bool = False) -> DataFrame:
     """Stage the window [t_start, t_end) and insert transactions the target does not have yet.
 
     Rerunning a window is a no-op (insert-if-absent), so a past window can be backfilled with
     the same call; a transaction already loaded keeps its loaded version.
     """
-    return upsert(target, stage_billing_window(src_billing, t_start, t_end), "transaction_id", "ignore")
+    staged = stage_billing_window(src_billing, t_start, t_end, iso_text=iso_text)
+    return upsert(target, staged, "transaction_id", "ignore")
 
 
 def new_billing_rows(target: DataFrame, src_billing: DataFrame, t_start: dt.date,
-                     t_end: dt.date) -> DataFrame:
+                     t_end: dt.date, iso_text: bool = False) -> DataFrame:
     """Only the rows ``incremental_billing`` would add (for append-only commits)."""
-    staged = stage_billing_window(src_billing, t_start, t_end)
+    staged = stage_billing_window(src_billing, t_start, t_end, iso_text=iso_text)
     return staged.join(target.select("transaction_id"), "transaction_id", "left_anti")
 
 

@@ -80,13 +80,26 @@ def stage_billing(src: DataFrame, strict: bool = True, keep: tuple[str, ...] = (
     return _billing_project(latest, keep)
 
 
+def iso_text_window(col: str, t_start: dt.date, t_end: dt.date) -> Column:
+    """[t_start, t_end) on ISO 'yyyy-MM-dd HH:mm:ss' text as a plain string range.
+
+    For ISO text, string order is time order, so this is implied by the typed predicate; added
+    next to it, it is what the parquet reader can push down (row-group min/max skipping)."""
+    return (F.col(col) >= F.lit(t_start.isoformat())) & (F.col(col) < F.lit(t_end.isoformat()))
+
+
 def stage_billing_window(src: DataFrame, t_start: dt.date, t_end: dt.date,
-                         strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+                         strict: bool = True, keep: tuple[str, ...] = (),
+                         iso_text: bool = False) -> DataFrame:
     """Staged billing rows whose transaction_date is in the half-open window [t_start, t_end).
 
     The window predicate is applied before the dedup so only the window's rows are shuffled.
-    On a source stored with a typed (timestamp/date) column the predicate reaches the scan.
+    The typed predicate is evaluated after the scan (the column is text); with ``iso_text``
+    (the source's dates are ISO-formatted text) an equivalent string range is added that
+    reaches the parquet scan, so a daily load skips the row groups outside the window.
     """
+    if iso_text:
+        src = src.where(iso_text_window("transaction_date", t_start, t_end))
     rows = _billing_rows(src, strict).where(
         (F.col("_date_ts") >= _ts(t_start)) & (F.col("_date_ts") < _ts(t_end)))
     return _billing_project(latest_per_key(rows, "transaction_id", billing_order()), keep)

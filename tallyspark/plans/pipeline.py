@@ -93,7 +93,7 @@ class RunResult:
 def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.date | None = None,
                  t_end: dt.date | None = None, as_of: dt.datetime | None = P.AS_OF,
                  billing_mode: str = "incremental", max_bad_ratio: float | None = None,
-                 land: bool = False) -> RunResult:
+                 land: bool = False, iso_text_dates: bool = False) -> RunResult:
     """quality -> staging -> aggregates -> audit + warehouse, each stage written under ``out``.
 
     Written stages cut the lineage (a lost executor recomputes from the last written stage, not
@@ -104,6 +104,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     of its rows fails its quality step, so its staging and everything downstream is skipped.
     ``land``: first write the sources as ``src_*`` tables under ``out`` (full refresh) and run
     on those, so sources given as expensive plans (raw CSV, derivations) are computed once.
+    ``iso_text_dates``: the sources' date texts are ISO formatted, so the billing window is also
+    pushed to the scan as a string range (see ``staging.stage_billing_window``).
     """
     import time
     import traceback
@@ -185,7 +187,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     def stage_billing():
         target = vt["stg_billing"].read()
         if billing_mode == "incremental":   # insert-only: write just the window's new rows
-            vt["stg_billing"].append(new_billing_rows(target, sources[P.SRC_BILLING], t_start, t_end))
+            vt["stg_billing"].append(new_billing_rows(target, sources[P.SRC_BILLING], t_start, t_end,
+                                                      iso_text=iso_text_dates))
         else:
             merged = upsert(target, ST.stage_billing(sources[P.SRC_BILLING]), "transaction_id", "update")
             vt["stg_billing"].commit(merged)

@@ -85,9 +85,15 @@ class VersionedTable:
         self._point([path])
         return path
 
-    def append(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+    def append(self, df: DataFrame, partition_by: list[str] | None = None,
+               compact_after: int | None = None) -> str:
+        """Add ``df`` as a delta folder; with ``compact_after``, fold all folders into one once
+        their number exceeds it (bounds the listing and the small-file count)."""
         path = self._write(df, partition_by)
-        self._point(self.current_paths() + [path])
+        paths = self.current_paths() + [path]
+        self._point(paths)
+        if compact_after is not None and len(paths) > compact_after:
+            return self.compact()
         return path
 
     def compact(self) -> str:

@@ -40,3 +40,11 @@ def test_versioned_table_reads_empty_then_latest(spark):
     t.commit(spark.createDataFrame([("1", None, 0)], S.AGG_ARPU))
     t.commit(spark.createDataFrame([("1", None, 0), ("2", None, 1)], S.AGG_ARPU))
     assert t.read().count() == 2
+
+
+def test_append_then_compact(spark):
+    t = VersionedTable(spark, fresh_dir(spark, "t-append"), S.AGG_ARPU)
+    for i in range(3):
+        t.append(spark.createDataFrame([(str(i), None, i)], S.AGG_ARPU), compact_after=2)
+    assert len(t.current_paths()) == 1                  # folded on the third append
+    assert sorted(r[0] for r in t.read().collect()) == ["0", "1", "2"]

@@ -39,3 +39,27 @@ def test_warehouse_joins_add_no_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_iso_window_reaches_the_parquet_scan(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tallyspark.session import fresh_dir
+    from tallyspark.sources.sinks import overwrite
+    src = sources(spark, "/root/testdata/sf0.001")[P.SRC_BILLING]
+    path = fresh_dir(spark, "landed-billing")
+    overwrite(src, path)
+    landed = spark.read.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        p = plan(stage_billing_window(landed, P.T_START, P.T_END, iso_text=True))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(transaction_date,1998-05-01)" in p
+    assert "LessThan(transaction_date,1998-06-01)" in p
+    plain = stage_billing_window(landed, P.T_START, P.T_END)
+    iso = stage_billing_window(landed, P.T_START, P.T_END, iso_text=True)
+    assert plain.exceptAll(iso).count() == 0 and iso.count() == plain.count() == 30
+    assert dt.date(1998, 5, 1) == P.T_START and F is not None
