@@ -57,3 +57,22 @@ def test_arpu_matches_model(spark, data):
     cm = A.billing_customer_month(ST.stage_billing(_src(spark, data)))
     got = {r["customer_id"]: (r["arpu"], r["active_months"]) for r in A.arpu_by_customer(cm).collect()}
     assert got == expected
+
+
+def _model_title(text):
+    out, start = [], True
+    for ch in text.lower():
+        out.append(ch.upper() if start else ch)
+        start = not ch.isalnum()
+    return "".join(out)
+
+
+names = st.text(alphabet="abcXYZ019 -'.,_/", min_size=0, max_size=20)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(names, min_size=1, max_size=30))
+def test_title_case_matches_model(spark, texts):
+    from tallyspark.functions import title_case
+    df = spark.createDataFrame([(t,) for t in texts], "n string")
+    assert [r[0] for r in df.select(title_case("n")).collect()] == [_model_title(t) for t in texts]
