@@ -2,7 +2,7 @@
 
 Each query runs the whole chain (fixture derivation -> quality/staging -> aggregates ->
 warehouse -> question) and is forced with the ``noop`` sink (full execution, no collect).
-One warm-up pass, then the median of $BENCH_REPEAT runs per query. Also times the full
+One warm-up pass over all queries, then the median of $BENCH_REPEAT runs per query. Also times the full
 daily run (landing + quality + staging + aggregates + audit + warehouse upsert, all
 written) and, with $BENCH_REPLICAS > 1, the same run over that many key-offset copies.
 Prints one JSON line.
@@ -39,10 +39,10 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    results = {}
-    for name in HEADLINE:
-        run(name)                                       # warm-up (JIT, file listing caches)
-        results[name] = round(statistics.median(run(name) for _ in range(repeat)), 3)
+    for name in HEADLINE:                               # warm-up pass (JIT, codegen, listings)
+        run(name)
+    results = {name: round(statistics.median(run(name) for _ in range(repeat)), 3)
+               for name in HEADLINE}
 
     from tallyspark.plans.pipeline import run_pipeline
     from tallyspark.sources.fixtures import sources

@@ -130,13 +130,15 @@ def quarantine_all(sources: dict[str, DataFrame], existing: DataFrame,
 
 
 def with_quarantine_ids(new_rows: DataFrame, existing: DataFrame,
-                        as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
+                        as_of: dt.datetime | None = P.AS_OF, offset: int | None = None) -> DataFrame:
     """Assign BIGSERIAL-like ids (unique, increasing, gaps allowed) and detected_at.
 
-    The offset is one global max over the existing table (a single value); ids come from
-    ``monotonically_increasing_id`` so no task ever sees all rows.
+    The offset is one global max over the existing table (a single value, or passed in by a
+    caller that already has it); ids come from ``monotonically_increasing_id`` so no task ever
+    sees all rows.
     """
-    offset = existing.agg(F.coalesce(F.max("quarantine_id"), F.lit(0)).alias("m")).first()["m"]
+    if offset is None:
+        offset = existing.agg(F.coalesce(F.max("quarantine_id"), F.lit(0)).alias("m")).first()["m"]
     return new_rows.select(
         (F.monotonically_increasing_id() + F.lit(offset + 1)).alias("quarantine_id"),
         "row_data", "source_table", "issue_type", _ts(as_of).alias("detected_at"))

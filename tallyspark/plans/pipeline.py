@@ -163,7 +163,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
             new = QL.quarantine_source(sources[src_name], QL.RULES[src_name], existing)
             # partitioned by (source_table, issue_type): each issue set's anti join reads only
             # its own partition of the ever-growing quarantine
-            append(QL.with_quarantine_ids(new, existing, as_of), qpath,
+            append(QL.with_quarantine_ids(new, existing, as_of, offset=offset), qpath,
                    partition_by=["source_table", "issue_type"])
             tables["quarantine"] = qpath
             if max_bad_ratio is not None:
