@@ -74,3 +74,18 @@ def test_replicated_sources_scale_results(spark):
     s1 = dw1.agg(F.sum("total_revenue"), F.sum("total_sessions")).first()
     s3 = dw3.agg(F.sum("total_revenue"), F.sum("total_sessions")).first()
     assert s3[0] == 3 * s1[0] and s3[1] == 3 * s1[1]
+
+
+def test_command_line_run_from_csv(spark):
+    from tallyspark.__main__ import main
+    srcs = sources(spark, "/root/testdata/sf0.001")
+    paths = {}
+    for name, df in srcs.items():
+        paths[name] = fresh_dir(spark, f"csv-{name}")
+        df.drop("ingested_at").write.option("header", "true").csv(paths[name])
+    report = main(["--customers", paths[P.SRC_CUSTOMERS], "--billing", paths[P.SRC_BILLING],
+                   "--sessions", paths[P.SRC_SESSIONS], "--out", fresh_dir(spark, "cli-out"),
+                   "--mode", "full", "--as-of", "2024-02-01 00:00:00"], spark=spark)
+    assert all(v == "ok" for v in report["status"].values()), report["status"]
+    from tallyspark.sources.sinks import VersionedTable
+    assert VersionedTable(spark, report["tables"]["dw_user_analytics"]).read().count() == 149
