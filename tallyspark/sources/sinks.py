@@ -45,7 +45,7 @@ class VersionedTable:
 
     @property
     def _pointer(self) -> str:
-        return f"{self.root}/_current"
+        return f"{self.root}/CURRENT"
 
     def current_paths(self) -> list[str]:
         try:
