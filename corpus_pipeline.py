@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import byte_bpe, decontaminate, quality, secrets
+from tallyspark.llm import byte_bpe, decontaminate, jaccard_join, quality, secrets
 from tallyspark.llm.common import table, written
 
 
@@ -19,6 +19,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays."""
+    return jaccard_join.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth of their words or more in benchmark windows go."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -37,6 +42,7 @@ def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality_classifier", quality_classifier),
+    ("ngram_jaccard_join", ngram_jaccard_join),
     ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scans", secret_scans),
     ("byte_level_bpe", byte_level_bpe),

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, quality, secrets
+from . import byte_bpe, decontaminate, jaccard_join, quality, secrets
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_quality": quality.op7_quality,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
+    "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }
 
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
+    "op10_jaccard_join": jaccard_join.ORACLE,
 }
