@@ -33,6 +33,8 @@ linked and all rows of the doc_id get its component; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +47,12 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 80                    # the bounds below are those of 80 %: (1 - t) / (1 + t) = 1/9
-BITMAP_BITS = 22
+BITMAP_BITS = 24                # 2 MB
 CHEAP = 24                      # sets that share a key, or a deletion key, at little cost
-STAR_ROUNDS = 3                 # then what is left is compared pair by pair
+STAR_ROUNDS = 2                 # then what is left is compared pair by pair
+ASKS = 6                        # comparisons of a set in a round
 OWN, BELOW = 0, 1
+SKETCH = tuple(f"p{k}" for k in range(16))
 
 _U = np.uint64
 _FACTOR = (np.arange(1, 64, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -68,31 +72,61 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> set[bytes]:
     return set(map(b" ".join, zip(*(words[k:] for k in range(size)))))
 
 
-class Hasher:
-    """Sorted distinct 64-bit hashes of a text's shingles. Word hashes are memoised."""
-
-    def __init__(self, size: int = SHINGLE, kept: int = 1_000_000):
-        self.size, self.kept, self.memo = size, kept, {}
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, _U)
-        memo = self.memo
-        h = list(map(memo.get, words))
-        if None in h:
-            if len(memo) > self.kept:
-                memo.clear()
-            for i, x in enumerate(h):
-                if x is None:
-                    w = words[i]
-                    h[i] = memo[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        h = np.array(h, _U)
-        n = max(1, len(h) - self.size + 1)
-        out = np.full(n, min(len(h), self.size), _U)
-        for k in range(min(self.size, len(h))):
-            out += mix(h[k:k + n] + _FACTOR[k]) * _FACTOR[k]
-        return np.unique(mix(out))
+# fixed random values for bytes, and powers of an odd number and of its inverse (modulo 2**64)
+_BYTE = mix(np.arange(256, dtype=_U) * _U(0x9E3779B97F4A7C15) + _U(1))[
+    np.frombuffer(bytes(range(256)).lower(), np.uint8)]
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BASE = 0x2545F4914F6CDD1D
+CHUNK = 1 << 19                 # bytes hashed at a time; a longer text is a chunk of its own
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(n, _U(_BASE)), np.full(n, _U(pow(_BASE, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def _chunks(texts: list[bytes | None]) -> Iterator[list[bytes]]:
+    part, size = [], 0
+    for t in texts:
+        t = t or b""
+        if part and size + len(t) > CHUNK:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t) + 1
+    if part:
+        yield part
+
+
+def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles.
+
+    A word's hash is a polynomial in its bytes, taken from a running sum over the whole chunk.
+    """
+    for part in _chunks(texts):
+        raw = np.frombuffer(b"\n".join(part) + b"\n", np.uint8)
+        n = 1 << max(19, len(raw).bit_length())
+        up, down = _powers(n)
+        total = np.zeros(len(raw) + 1, _U)
+        np.cumsum(_BYTE[raw] * up[:len(raw)], out=total[1:])
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], _BLANK[raw]]).view(np.int8)))
+        begin, end = edge[0::2], edge[1::2]                  # the last byte is blank: words end
+        word = mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(_U))
+        offset = np.cumsum([0] + [len(t) + 1 for t in part])
+        at = np.searchsorted(begin, offset)                  # words before each text
+        long = np.zeros(max(0, len(word) - size + 1), _U)
+        for k in range(size):
+            long += word[k:k + len(long)] * _FACTOR[k]
+        long = mix(long + _U(size))
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            if b - a >= size:
+                yield np.unique(long[a:b - size + 1])
+            elif b > a:                                      # too few words: the sequence itself
+                yield mix((word[a:b] * _FACTOR[:b - a]).sum(keepdims=True) + _U(b - a))
+            else:
+                yield np.zeros(0, _U)
 
 
 def band_of(n: int) -> int:
@@ -129,12 +163,9 @@ def _sides(n: int) -> list[tuple[int, int]]:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, sig: digest of the set, n, and for both sides: segments that are not empty)."""
-    hasher = Hasher()
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sig, n, full = [], [], ([], [])
-        for text in text_bytes(batch.column(1)):
-            h = hasher(text)
+        for h in shingle_sets(text_bytes(batch.column(1))):
             sig.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
             n.append(len(h))
             counts = [None, None]
@@ -151,12 +182,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def segment_keys(texts: DataFrame) -> DataFrame:
     """(key, id, side) for each segment that is not empty, in the own band and the one below."""
-    hasher = Hasher()
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, ids, sides = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int8)]
-        for i, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-            h = hasher(text)
+        for i, h in zip(batch.column(0).to_pylist(), shingle_sets(text_bytes(batch.column(1)))):
             if len(h):
                 for side, band in _sides(len(h)):
                     seg, sums, _ = segment_sums(h, band)
@@ -182,19 +210,17 @@ def with_rests(h: np.ndarray, band: int) -> tuple[np.ndarray, ...]:
 def neighbourhoods(texts: DataFrame) -> DataFrame:
     """(id, side, seg, size, kind, key) of ``texts``(id, side, text): of every segment, empty or not, its key (kind 0)
     and the keys with one shingle missing (kind 1)."""
-    hasher = Hasher()
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         cols = [[] for _ in range(6)]
-        for i, side, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2))):
-            h = hasher(text)
-            sizes, keys, of, rests = with_rests(h, band_of(len(h)) - side)
+        for i, side, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                              shingle_sets(text_bytes(batch.column(2)))):
+            sizes, keys, of, rest = with_rests(h, band_of(len(h)) - side)
             m, n = len(sizes), len(of)
             for c, x in zip(cols, (np.full(m + n, i), np.full(m + n, side, np.int8),
                                    np.concatenate([np.arange(m), of]).astype(np.int32),
                                    np.concatenate([sizes, sizes[of]]).astype(np.int32),
                                    np.repeat(np.array([0, 1], np.int8), [m, n]),
-                                   np.concatenate([keys, rests]).view(np.int64))):
+                                   np.concatenate([keys, rest]).view(np.int64))):
                 c.append(x)
         return pa.record_batch([pa.array(np.concatenate(c)) for c in cols],
                                names=["id", "side", "seg", "size", "kind", "key"])
@@ -204,17 +230,16 @@ def neighbourhoods(texts: DataFrame) -> DataFrame:
 
 def deletion_index(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
     """(key, y, y_side, y_kind): keys and one-deletion keys of all sets that the bitmap lets through."""
-    hasher = Hasher()
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         cols = [[np.zeros(0, t)] for t in (np.int64, np.int64, np.int8, np.int8)]
-        for i, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-            h = hasher(text)
+        for i, h in zip(batch.column(0).to_pylist(), shingle_sets(text_bytes(batch.column(1)))):
             for side, band in _sides(len(h)) if len(h) else ():
                 _, keys, _, rests = with_rests(h, band)
                 for kind, k in ((0, keys), (1, rests)):
                     k = k[in_bitmap(shared.value, k)]
+                    k = k[in_bitmap(shared.value, k << _U(BITMAP_BITS))]
                     for c, x in zip(cols, (k.view(np.int64), np.full(len(k), i), np.full(len(k), side, np.int8),
                                            np.full(len(k), kind, np.int8))):
                         c.append(x)
@@ -231,7 +256,7 @@ def met(rows: DataFrame) -> DataFrame:
 
 
 def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, id, f, probe): shared keys of the sets that may have partners, ``probe`` if the set takes it as a credit;
+    """(key, id, side, probe): shared keys of the sets that may have partners, ``probe`` if the set takes it as a credit;
     and (a, b): pairs from one-deletion neighbourhoods."""
     need = sets.select("id", F.explode(F.expr(
         "filter(array(struct(cast(0 as tinyint) as side, full_own as full, cast(n div 4 as int) as most),"
@@ -278,24 +303,44 @@ def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]
     poor = written(poor.join(hot, ["id", "side"], "left")
                    .select("id", "side", (F.col("lack") > F.coalesce("hot", F.lit(0))).alias("all")), "poor")
     probes = (ranked.join(poor, ["id", "side"], "left")
-              .select("key", "id", "f", (F.col("cheap") | F.col("all").isNotNull()).alias("probe")))
+              .select("key", "id", "side", (F.col("cheap") | F.col("all").isNotNull()).alias("probe")))
     asked = near.join(chosen, ["id", "side", "seg"]).select("key", "id", "side", "kind").unionByName(
         near.join(poor.filter("all"), ["id", "side"]).select("key", "id", "side", "kind"))
     asked = written(asked.distinct(), "deletion-probes")
     top = asked.join(sets.select("id", "n"), "id").agg(F.max("n")).first()[0]
     if top is None:                                          # nobody asks
         return probes, asked.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    index = deletion_index(texts.filter(100 * F.lit(top) >= PERCENT * F.col("n")), hash_bitmap(asked, "key", BITMAP_BITS))
+    index = deletion_index(texts.filter(100 * F.lit(top) >= PERCENT * F.col("n")), hash_bitmap(
+        asked.select(F.explode(F.array("key", F.shiftleft("key", BITMAP_BITS))).alias("key")), "key", BITMAP_BITS))
     pairs = (asked.join(index, "key").filter((F.col("id") != F.col("y")) & (F.col("kind") + F.col("y_kind") < 2)
                                              & (F.col("side") + F.col("y_side") < 2))
              .select(F.greatest("id", "y").alias("a"), F.least("id", "y").alias("b")).distinct())
     return probes, pairs
 
 
+def parity(h: np.ndarray) -> list[int]:
+    """1,024 parities: how many hashes fall on each place, modulo 2. Two sets' parities differ in no
+    more places than the sets differ in shingles."""
+    bits = (np.bincount((h & _U(64 * len(SKETCH) - 1)).astype(np.int64), minlength=64 * len(SKETCH)) & 1).astype(np.uint8)
+    return np.packbits(bits).view(np.int64).tolist()
+
+
+def within_bounds(x: str, y: str) -> F.Column:
+    """What a linking pair fulfils by its sizes and parities alone."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    apart = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in SKETCH[1:]),
+                F.bit_count(F.col(f"{x}{SKETCH[0]}").bitwiseXOR(F.col(f"{y}{SKETCH[0]}"))))
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (9 * apart <= n + m)
+
+
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of ids whose texts link: exact, over the shingles themselves."""
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"), F.col("n").alias("na"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"), F.col("n").alias("nb"))
+    small = texts.drop("text")
+    pairs = (pairs.join(small.select(*(F.col(c).alias(f"x_{c}") for c in small.columns)), F.col("a") == F.col("x_id"))
+             .join(small.select(*(F.col(c).alias(f"y_{c}") for c in small.columns)), F.col("b") == F.col("y_id"))
+             .filter(within_bounds("x_", "y_")).select("a", "b"))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep, last, set_a = [], None, set()
@@ -309,9 +354,7 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 keep.append(i)
         keep = pa.array(keep, pa.int64())
         return pa.record_batch([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
-    sized = (pairs.join(right, "b").join(left, "a")
-             .filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
-    return map_arrow(sized.select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
+    return map_arrow(pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
 
 
 def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -328,35 +371,50 @@ def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) ->
         return batch.select(["id", "n", "text"]).filter(pa.array(in_bitmap(shared.value, h)))
     few = map_arrow(texts.withColumn("h", F.xxhash64("id")).select("id", "n", "text", "h"), may_be,
                     "id bigint, n bigint, text string")
-    texts = written(few.join(ids, "id", "left_semi"), "candidate-texts")
+
+    def sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = np.array([parity(h) for h in shingle_sets(text_bytes(batch.column("text")))], np.int64)
+        return pa.record_batch([*batch.columns, *(pa.array(rows[:, k]) for k in range(len(SKETCH)))],
+                               names=["id", "n", "text", *SKETCH])
+    texts = written(map_arrow(few.join(ids, "id", "left_semi").select("id", "n", "text"), sketched,
+                              "id bigint, n bigint, text string, " + ", ".join(f"{c} bigint" for c in SKETCH)),
+                    "candidate-texts")
 
     links = written(compare(pairs, texts), "links")
     tried = pairs
-    for _ in range(STAR_ROUNDS):
+    for turn in range(STAR_ROUNDS):
         comp = written(components(links), "components")
         rows = probes.join(comp, probes["id"] == comp["node"], "left") \
-            .select("key", "id", "probe", F.coalesce("component", "id").alias("c"))
+            .select("key", "id", "side", "probe", F.coalesce("component", "id").alias("c"))
         by_key = Window.partitionBy("key")
-        low, high = F.min(F.struct("c", "id")).over(by_key), F.max(F.struct("c", "id")).over(by_key)
-        rows = written(rows.withColumn("low", low).withColumn("high", high).filter("low.c <> high.c"), "open-keys")
-        other = F.when(F.col("c") != F.col("low.c"), F.col("low.id")).otherwise(F.col("high.id"))
-        asks = (rows.filter("probe").select("id", other.alias("o"))
-                .select(F.greatest("id", "o").alias("a"), F.least("id", "o").alias("b"), "id")
-                .groupBy("id", "a", "b").agg(F.count("*").alias("keys"))
-                .join(tried, ["a", "b"], "left_anti"))
-        # one question for each set in a round: the member that most of its keys name
-        asks = asks.groupBy("id").agg(F.max(F.struct("keys", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+        rows = (rows.withColumn("low", F.min("c").over(by_key)).withColumn("high", F.max("c").over(by_key))
+                .filter("low <> high").select("key", "id", "side", "probe", "c"))
+        rows = written(rows, "open-keys")
+        # a few members of each key's group, by several orders that are the same for all keys
+        some = rows.groupBy("key").agg(F.array_distinct(F.array(*(
+            F.min(F.struct(F.xxhash64(F.lit(k + ASKS * turn), "id").alias("o"), "id", "c")) for k in range(ASKS)))).alias("some"))
+        asks = (rows.filter("probe").select("key", "id", "c").join(some, "key")
+                .select("id", "c", F.explode("some").alias("s")).filter("s.c <> c")
+                .groupBy("id", F.col("s.id").alias("o")).agg(F.count("*").alias("keys"))
+                .select("id", "keys", F.greatest("id", "o").alias("a"), F.least("id", "o").alias("b"))
+                .join(tried, ["a", "b"], "left_anti")
+                .withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("keys"), "a", "b")))
+                .filter(F.col("nth") <= ASKS).select("a", "b").distinct())
         asks = written(asks, "asks")
         if not asks.take(1):
             break
         tried = tried.unionByName(asks)
         links = written(links.unionByName(compare(asks, texts)), "links")
     comp = written(components(links), "components")
-    open_rows = rows.select("key", "id", "probe").join(comp, F.col("id") == F.col("node"), "left") \
-        .select("key", "id", "probe", F.coalesce("component", "id").alias("c"))
-    mine = open_rows.filter("probe").select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
-    theirs = open_rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    last = (mine.join(theirs, "key").filter("b < a and ca <> cb").select("a", "b").distinct()
+    open_rows = rows.select("key", "id", "side", "probe").join(comp, F.col("id") == F.col("node"), "left") \
+        .select("key", "id", "side", "probe", F.coalesce("component", "id").alias("c"))
+    open_rows = written(open_rows.join(texts.drop("text"), "id"), "open-sets")
+    mine = open_rows.filter("probe").select("key", *(F.col(c).alias(f"x_{c}") for c in ("id", "c", "n", *SKETCH)))
+    theirs = open_rows.select("key", *(F.col(c).alias(f"y_{c}") for c in ("id", "c", "n", *SKETCH)))
+    may_link = (F.col("y_id") < F.col("x_id")) & (F.col("x_c") != F.col("y_c")) & within_bounds("x_", "y_")
+    mine, theirs = mine.alias("x"), theirs.alias("y")
+    last = (mine.join(theirs, (F.col("x.key") == F.col("y.key")) & may_link)
+            .select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
             .join(tried, ["a", "b"], "left_anti"))
     return components(links.unionByName(compare(written(last, "last-pairs"), texts)))
 
@@ -396,12 +454,10 @@ def _repeats(sigs: DataFrame) -> bool:
 
 def _text_of_set(texts: DataFrame) -> DataFrame:
     """Of rows with the same doc_id, those whose set has the digest ``the_sig``."""
-    hasher = Hasher()
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         want = batch.column("the_sig").to_pylist()
-        same = [hashlib.blake2b(hasher(t).tobytes(), digest_size=16).digest() == w
-                for t, w in zip(text_bytes(batch.column("text")), want)]
+        same = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() == w
+                for h, w in zip(shingle_sets(text_bytes(batch.column("text"))), want)]
         return batch.filter(pa.array(same))
     cols = texts.select("doc_id", "text", "id", "n", "the_sig")
     return map_arrow(cols, run, "doc_id bigint, text string, id bigint, n bigint, the_sig binary")
