@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, jaccard_join, quality, secrets
+from . import (byte_bpe, decontaminate, jaccard_join, langid, pivot_search, quality, secrets,
+               toxicity, url_filter)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_url_filter": url_filter.op3_url_filter,
+    "op4_langid": langid.op4_langid,
+    "op5_pivot_search": pivot_search.op5_pivot_search,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_quality": quality.op7_quality,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
@@ -14,6 +19,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
+    "op3_url_filter": url_filter.ORACLE,
+    "op5_pivot_search": pivot_search.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
 }
