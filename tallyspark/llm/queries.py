@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, decontaminate, jaccard_join, langid, pivot_search, quality, secrets,
-               toxicity, url_filter)
+from . import (byte_bpe, decontaminate, jaccard_join, langid, language_model, pivot_search,
+               quality, secrets, toxicity, url_filter)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_pivot_search": pivot_search.op5_pivot_search,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_quality": quality.op7_quality,
+    "op8_language_model": language_model.op8_language_model,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }

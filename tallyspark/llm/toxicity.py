@@ -1,17 +1,18 @@
 """Toxicity: a subsequence string kernel with Nyström landmarks and a linear support vector machine.
 
 The kernel of two strings sums over all common subsequences of three characters, each weighted by LAMBDA for every
-character that it spans in the one and in the other, so ``i.d-iot`` still shares most of the weight of ``idiot``. Units are
-words, with a mark for their start, and runs of single characters (``i d i o t``). A unit's features are its kernel values with the
-landmarks, times the inverse root of the landmarks' own kernel matrix (Nyström); a sentence is as toxic as its worst unit, and a
+character that it spans in the one and in the other, divided by both strings' own values, so ``i.d-iot`` still is close to
+``idiot``. Units are words, with marks for their start and end, with and without the punctuation around them, and runs of single
+characters (``i d i o t``). A unit's features are its kernel values with the landmarks, times the inverse root of the landmarks' own kernel matrix (Nyström); a sentence is as toxic as its worst unit, and a
 text as its worst sentence.
 
-Landmarks are word beginnings that sentences of toxic documents have and others lack, picked greedily by the toxic documents that
-they newly cover, and some of the most frequent clean words. The machine learns from the worst unit of each
+Landmarks are words that toxic documents have and others lack, picked greedily by the toxic documents that they cover and few others
+do, and clean words: some of the most frequent ones, and those that are closest to the toxic ones. The machine learns from the worst unit of each
 labelled sentence, chosen anew in some rounds, and from copies of the toxic ones with a character put in.
 
-At most ``max_train`` labelled documents are learnt from (those with the smallest hash of their id).
-A unit that shares less than ``SHARED`` of every toxic landmark's distinct letters is not put through the kernel: it counts as clean.
+At most ``max_toxic`` and ``max_clean`` labelled documents are learnt from (those with the smallest hash of their id).
+A unit that holds less than ``SHARED`` of every toxic landmark's neighbouring characters (in order, two others between them at most), or is longer than twice the landmark and
+two, or shorter than three fifths of it, is not put through the kernel: it counts as clean.
 
 Results for odd input: NULL and empty texts have no unit and get the score of clean ones; without labels of both
 classes every score is 0; several labels of a doc_id each count; rows with equal or NULL ids give a row each, and those
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +34,16 @@ from . import svm
 from .common import map_arrow, split_of, table
 
 HELD_OUT = (4, 2)
-MAX_TRAIN = 3_000
+MAX_TOXIC, MAX_CLEAN = 1_500, 3_000
 THRESHOLD = 0.3
 LAMBDA = 0.6
 WIDTH = 24                      # a longer unit is cut into windows that overlap by half
-LANDMARKS = 28
-CLEAN_LANDMARKS = 8
+LANDMARKS = 110
+CLEAN_LANDMARKS = 20
 SHARED = 0.7
 CLEAN_KEPT = 400_000            # clean units remembered per worker
 _SENTENCE = re.compile(r"[\n.!?]+\s")
+_EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _SPELT = re.compile(r"(?<!\S)\S(?:[ \t]\S(?!\S)){2,}")
 
 
@@ -51,17 +53,20 @@ def sentences(text: str) -> list[str]:
 
 
 def units(text: str) -> set[str]:
-    """Distinct lower-case words, and runs of three single characters or more as one word."""
+    """Distinct lower-case words, also without punctuation around them, and runs of three single characters or
+    more as one word."""
     text = text.lower()
     out = set(text.split())
+    out.update([w.strip(_EDGE) for w in out if not w.isalpha()])
     if _SPELT.search(text):
         out.update("".join(m[0].split()) for m in _SPELT.finditer(text))
+    out.discard("")
     return out
 
 
 def windows(unit: str) -> list[str]:
-    u = "^" + unit
-    return [u[k:k + WIDTH] for k in range(0, max(1, len(u) - WIDTH // 2), WIDTH // 2)] if len(u) > WIDTH else [u]
+    u = f"^{unit}$"
+    return [u[k:k + WIDTH] for k in range(0, max(1, len(u) - WIDTH // 2), WIDTH // 2)]
 
 
 def codes(strings: list[str], width: int) -> np.ndarray:
@@ -71,89 +76,121 @@ def codes(strings: list[str], width: int) -> np.ndarray:
     return out
 
 
+def common_weight(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the common subsequences of order 3 of each row of ``x`` (n, width) with ``y`` (n or 1, m, width): all pairs
+    at once, character by character of ``x``, with running sums over the characters of ``y``."""
+    lam = np.float32(LAMBDA)
+    shape = (len(x), *y.shape[1:])
+    seen = [np.zeros(shape, np.float32), np.zeros(shape, np.float32)]       # subsequences of 1 and 2 so far
+    total = np.zeros(shape[:2], np.float32)
+    for j in range(x.shape[1]):
+        c = x[:, j][:, None, None]
+        eq = ((c == y) & (c > 0)).astype(np.float32) * (lam * lam)
+        ends = [eq]
+        for s in seen:
+            before = np.zeros(shape, np.float32)
+            for t in range(1, shape[2]):
+                before[:, :, t] = lam * before[:, :, t - 1] + s[:, :, t - 1]
+            ends.append(eq * before)
+        total += ends[2].sum(2)
+        for s, e in zip(seen, ends):
+            s *= lam
+            s += e
+    return total
+
+
 def kernel(strings: list[str], landmarks: list[str]) -> np.ndarray:
-    """Subsequence kernel of order 3 of each string with each landmark: all pairs of a batch at once, character by
-    character of the strings, with running sums over the characters of the landmarks."""
+    """The subsequence kernel of each string with each landmark, 1 for equal strings."""
     lm = codes(landmarks, max(map(len, landmarks)))
+    own = np.diag(common_weight(lm, lm[None]))
     out = np.zeros((len(strings), len(landmarks)), np.float32)
-    lam = np.float32(LAMBDA)
     order = np.argsort([len(s) for s in strings], kind="stable")
-    for at in range(0, len(order), 2048):
-        part = order[at:at + 2048]
+    for at in range(0, len(order), 512):
+        part = order[at:at + 512]
         x = codes([strings[i] for i in part], max(len(strings[i]) for i in part))
-        shape = (len(part), *lm.shape)
-        seen = [np.zeros(shape, np.float32), np.zeros(shape, np.float32)]   # subsequences of 1 and 2 so far
-        total = np.zeros(shape[:2], np.float32)
-        for j in range(x.shape[1]):
-            c = x[:, j]
-            eq = ((c[:, None, None] == lm) & (c[:, None, None] > 0)).astype(np.float32) * (lam * lam)
-            ends = [eq]
-            for s in seen:
-                before = np.zeros(shape, np.float32)
-                for t in range(1, lm.shape[1]):
-                    before[:, :, t] = lam * before[:, :, t - 1] + s[:, :, t - 1]
-                ends.append(eq * before)
-            total += ends[2].sum(2)
-            for s, e in zip(seen, ends):
-                s *= lam
-                s += e
-        out[part] = total
+        norm = np.maximum(common_weight(x, x[:, None]), 1e-9)
+        out[part] = common_weight(x, lm[None]) / np.sqrt(norm * own[None])
     return out
 
 
+def pair_masks(strings: list[str], reach: int) -> np.ndarray:
+    """256 bits for the ordered pairs of characters of a string that lie ``reach`` places apart at most."""
+    size = np.array([len(s) for s in strings])
+    c = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    start = np.cumsum(size) - size
+    of = np.repeat(np.arange(len(size)), size)
+    bits = np.zeros((len(c), 4), np.uint64)
+    for d in range(1, reach + 1):
+        same = np.flatnonzero(of[d:] == of[:-d])
+        slot = (c[same] * np.uint64(31) + c[same + d] * np.uint64(17)) & np.uint64(255)
+        bits[same, (slot >> np.uint64(6)).astype(int)] |= np.uint64(1) << (slot & np.uint64(63))
+    return np.bitwise_or.reduceat(bits, start)
+
+
 class Model:
     def __init__(self, toxic: list[str], clean: list[str]):
         self.landmarks = toxic + clean
-        own = kernel(self.landmarks, self.landmarks).astype(np.float64)
-        self.scale = 1 / np.sqrt(np.diag(own))
-        own = own * self.scale[:, None] * self.scale[None, :]
-        value, vector = np.linalg.eigh(own)
-        self.root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-        self.letters = [frozenset(s[1:]) for s in toxic]
+        value, vector = np.linalg.eigh(kernel(self.landmarks, self.landmarks).astype(np.float64))
+        self.root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-2))) @ vector.T
+        self.masks = pair_masks([s.strip("^$") for s in toxic], 1)
+        self.sizes = np.array([len(s) - 2 for s in toxic])
         self.w, self.b, self.a, self.c = np.zeros(len(self.landmarks)), -1.0, 1.0, 0.0
 
     def features(self, strings: list[str]) -> np.ndarray:
-        if not strings:
-            return np.zeros((0, len(self.landmarks)))
-        # capped: a unit may hold a landmark, but not count for more than that
-        return np.minimum(kernel(strings, self.landmarks) * self.scale[None, :] ** 2, 1.2) @ self.root
+        return kernel(strings, self.landmarks) @ self.root if strings else np.zeros((0, len(self.landmarks)))
 
     def margin(self, strings: list[str]) -> np.ndarray:
         return self.features(strings) @ self.w + self.b
 
-    def near(self, unit: str) -> bool:
-        have = set(unit)
-        return any(len(have & s) >= SHARED * len(s) for s in self.letters)
+    def near(self, names: list[str]) -> np.ndarray:
+        """Which units hold enough of a toxic landmark's neighbouring characters, in order."""
+        if not names:
+            return np.zeros(0, bool)
+        masks, size = pair_masks(names, 3), np.array([len(s) for s in names])
+        out = np.zeros(len(names), bool)
+        for want, n in zip(self.masks, self.sizes):
+            both = np.bitwise_count(masks & want).sum(1)
+            out |= (both >= SHARED * np.bitwise_count(want).sum()) & (size <= 2 * n + 2) & (size >= 0.6 * n)
+        return out
 
     def score(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.a * margin + self.c, -30, 30)))
 
 
 def pick_landmarks(docs: list[set[str]], y: np.ndarray) -> list[str]:
-    """Word beginnings, greedily by the toxic documents that they newly cover; of equals the longest."""
-    starts = [{("^" + u)[:k] for u in d for k in range(4, min(len(u) + 1, 10) + 1)} for d in docs]
+    """Words, greedily by the toxic documents that hold them and few chosen before."""
     bad, good = Counter(), Counter()
-    for s, label in zip(starts, y):
-        (bad if label else good).update(s)
+    starts = lambda d: {f"^{u}$" for u in d if 3 < len(u) <= WIDTH - 2}
+    for d, label in zip(docs, y):
+        if label:
+            bad.update(starts(d))
+    maybe = {s for s, n in bad.items() if n >= 4}
+    for d, label in zip(docs, y):
+        if not label:
+            good.update(starts(d) & maybe)
     n_bad, n_good = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    usable = {s for s, n in bad.items() if n >= 4 and n / n_bad > 25 * (good[s] + 0.2) / n_good}
-    holds = [s & usable for s, label in zip(starts, y) if label]
+    lift = lambda s: (bad[s] / n_bad) / ((good[s] + 0.3) / n_good)
+    usable = {s for s in maybe if lift(s) > 12}
+    holds = [starts(d) & usable for d, label in zip(docs, y) if label]
+    where = defaultdict(list)
+    for k, h in enumerate(holds):
+        for s in h:
+            where[s].append(k)
+    worth = np.ones(len(holds))                              # halved by each landmark that a document has
     out: list[str] = []
-    while holds and len(out) < LANDMARKS:
-        count = Counter(s for h in holds for s in h)
-        if not count:
-            break
-        top = max(count.values())
-        if top < 3:
+    while where and len(out) < LANDMARKS:
+        gain = {s: worth[k].sum() for s, k in where.items()}
+        best = max(gain, key=lambda s: (gain[s], s))
+        if gain[best] < 1.2:
             break
-        out.append(max((s for s, n in count.items() if n >= 0.95 * top), key=lambda s: (len(s), s)))
-        holds = [h for h in holds if out[-1] not in h]
+        out.append(best)
+        worth[where.pop(best)] /= 2
     return out
 
 
 def fit(rows: list[tuple[list[set[str]], int]]) -> Model | None:
     """``rows``: the units of each sentence of a document, and its label."""
-    distinct = {frozenset().union(*s): (s, y) for s, y in rows}             # copies count once
+    distinct = {hash(frozenset().union(*s)): (s, y) for s, y in rows}       # copies count once
     rows = list(distinct.values())
     y = np.array([label for _, label in rows])
     if not len(y) or y.min() == y.max():
@@ -161,49 +198,50 @@ def fit(rows: list[tuple[list[set[str]], int]]) -> Model | None:
     toxic = pick_landmarks([set().union(*s) for s, _ in rows], y)
     if not toxic:
         return None
-    common = Counter(u for (s, label) in rows if not label for u in set().union(*s) if len(u) > 3)
-    model = Model(toxic, ["^" + u[:WIDTH - 1] for u, _ in common.most_common(CLEAN_LANDMARKS)])
-    vocabulary = sorted({u for s, _ in rows for sent in s for u in sent if model.near(u)})
-    pieces = [w for u in vocabulary for w in windows(u)]
-    of = np.repeat(np.arange(len(vocabulary)), [len(windows(u)) for u in vocabulary])
-    feats = model.features(pieces)
-    place = {u: i for i, u in enumerate(vocabulary)}
-    unit_score = np.full(len(vocabulary), -np.inf)
-    np.maximum.at(unit_score, of, kernel(pieces, toxic).max(1) if pieces else np.zeros(0))
-    stems = tuple(toxic)
+    common = Counter(u for (s, label) in rows if not label for u in set().union(*s) if len(u) > 1)
+    first = Model(toxic, [])
+    rivals = [u for u, n in common.most_common(20_000) if n > 2 and len(u) <= WIDTH - 2 and f"^{u}$" not in set(toxic)]
+    rivals = [u for u, k in zip(rivals, first.near(rivals)) if k]
+    close = kernel([f"^{u}$" for u in rivals], toxic).max(1) if rivals else np.zeros(0)
+    rivals = [rivals[i] for i in np.argsort(-close, kind="stable")[:CLEAN_LANDMARKS]]
+    often = [u for u, _ in common.most_common(CLEAN_LANDMARKS // 2) if u not in rivals and len(u) <= WIDTH - 2]
+    model = Model(toxic, [f"^{u}$" for u in rivals + often])
+    names = sorted({u for s, _ in rows for sent in s for u in sent})
+    names = [u for u, k in zip(names, model.near(names)) if k]
+    place = {u: i for i, u in enumerate(names)}
+    is_toxic = np.isin(np.array([f"^{u}$" for u in names], object), toxic)
+    feats = np.concatenate([model.features([windows(u)[0] for u in names[k:k + 4096]]) for k in range(0, len(names), 4096)])
+    score = is_toxic.astype(float)                                          # before the first round
+    known = [(label, [[place[u] for u in sent if u in place] for sent in s]) for s, label in rows]
     rng = np.random.default_rng(7)
-    for _ in range(3):
-        pos, neg = set(), set()
-        for sents, label in rows:
-            for sent in sents:
-                known = [place[u] for u in sent if u in place]
-                if not known:
-                    continue
-                if label:        # a sentence of a toxic document is toxic if a unit of it starts like a landmark
-                    pos.update(i for i in known if ("^" + vocabulary[i]).startswith(stems))
-                else:
-                    neg.add(max(known, key=lambda i: unit_score[i]))
-        neg -= pos
-        # toxic units with a character put in, or two
-        bent = []
+    for turn in range(3):
+        pos, neg = set(), Counter()
+        for label, sents in known:
+            for sent in filter(None, sents):
+                top = max(sent, key=lambda i: (score[i], i))
+                if not label:
+                    neg[top] += 1                                           # the worst unit of a clean sentence
+                elif is_toxic[top]:
+                    pos.add(top)
+        if turn == 0:                                                       # clean units at large
+            neg.update(int(i) for i in rng.choice(len(names), min(len(names), 4000), replace=False) if not is_toxic[i])
+            first = dict(neg)
+        neg = {i for i in {*neg, *first} if i not in pos}
+        bent = []                                                           # a character put into toxic units
         for i in sorted(pos):
-            u = vocabulary[i]
-            for _ in range(2):
-                k = int(rng.integers(1, max(2, min(len(u), 8))))
-                bent.append("^" + u[:k] + "*.-_x"[int(rng.integers(5))] + u[k:])
-        bent = [b[:WIDTH] for b in bent]
-        rows_of = lambda want: np.flatnonzero(np.isin(of, sorted(want)))
-        xp, xn = rows_of(pos), rows_of(neg)
+            u = names[i]
+            for _ in range(3):
+                k = int(rng.integers(1, max(2, len(u))))
+                bent.append(f"^{u[:k]}{'*.-_x'[int(rng.integers(5))]}{u[k:]}$"[:WIDTH])
+        xp, xn = np.array(sorted(pos), int), np.array(sorted(neg), int)
         x = np.concatenate([feats[xp], model.features(bent), feats[xn]])
         label = np.concatenate([np.ones(len(xp) + len(bent)), -np.ones(len(xn))])
-        weight = np.concatenate([np.full(len(xp), 1 / max(1, len(xp))), np.full(len(bent), 0.3 / max(1, len(bent))),
-                                 np.full(len(xn), 1.3 / max(1, len(xn)))])
-        model.w, model.b = svm.fit(x, label, weight, ridge=1e-5, rounds=400)
+        weight = np.concatenate([np.full(len(xp), 1 / max(1, len(xp))), np.full(len(bent), 0.15 / max(1, len(bent))),
+                                 np.full(len(xn), 1.5 / max(1, len(xn)))])
+        model.w, model.b = svm.fit(x, label, weight, ridge=1e-6, rounds=600)
         score = feats @ model.w + model.b
-        unit_score = np.full(len(vocabulary), -np.inf)
-        np.maximum.at(unit_score, of, score)
-    doc = np.array([max([unit_score[place[u]] for sent in s for u in sent if u in place], default=-2.0) for s, _ in rows])
-    model.a, model.c = svm.calibrate(np.clip(doc, -3, 3), y)
+    doc = np.array([max([score[i] for sent in s for i in sent], default=-2.0) for _, s in known])
+    model.a, model.c = svm.calibrate(np.clip(doc, -2, 2), np.array([label for label, _ in known]))
     return model
 
 
@@ -212,38 +250,35 @@ _CLEAN: dict[str, set[str]] = {}                    # per Python worker and mode
 
 def text_margins(model: Model, clean: set[str], texts: list[str | None]) -> np.ndarray:
     """The worst unit of each text; -2 if none comes near a landmark. ``clean`` remembers units that are far."""
-    found, fresh = [], {}
-    for t in texts:
-        mine = []
-        for u in units(t or "") - clean:
-            if u in fresh or model.near(u):
-                fresh.setdefault(u, len(fresh))
-                mine.append(fresh[u])
-            elif len(clean) < CLEAN_KEPT:
-                clean.add(u)
-        found.append(mine)
-    names = list(fresh)
+    own = [units(t or "") - clean for t in texts]
+    names = list(set().union(*own))
+    near = model.near(names)
+    clean.update([u for u, k in zip(names, near) if not k][:max(0, CLEAN_KEPT - len(clean))])
+    names = [u for u, k in zip(names, near) if k]
+    place = {u: i for i, u in enumerate(names)}
     cut = [windows(u) for u in names]
-    of = np.repeat(np.arange(len(names)), [len(c) for c in cut])
-    worst = np.full(len(names) + 1, -2.0)
+    worst = np.full(len(names), -2.0)
     if names:
-        np.maximum.at(worst, of, np.clip(model.margin([w for c in cut for w in c]), -2, 3))
-        clean.update(u for u, m in zip(names, worst) if m <= -1.5 and len(clean) < CLEAN_KEPT)
-    return np.array([worst[m].max() if m else -2.0 for m in found])
+        np.maximum.at(worst, np.repeat(np.arange(len(names)), [len(c) for c in cut]),
+                      np.clip(model.margin([w for c in cut for w in c]), -2, 2))
+    clean.update([u for u, m in zip(names, worst) if m <= -1.2][:max(0, CLEAN_KEPT - len(clean))])
+    return np.array([max([worst[place[u]] for u in mine if u in place], default=-2.0) for mine in own])
 
 
-def scored(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> DataFrame:
     """(doc_id, score) of every row of ``docs``(doc_id, text)."""
     parts, out = HELD_OUT
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marks = (labels.select(F.col("doc_id").cast("bigint").alias("l_id"), F.col("toxic").cast("int").alias("y"))
-             .filter(F.col("l_id").isNotNull() & F.col("y").isNotNull() & (split_of("l_id", parts) != out))
-             .orderBy(F.xxhash64("l_id"), "l_id", "y").limit(max_train))
+             .filter(F.col("l_id").isNotNull() & F.col("y").isNotNull() & (split_of("l_id", parts) != out)))
+    first = [F.xxhash64("l_id"), F.col("l_id"), F.col("y")]
+    marks = marks.filter("y > 0").orderBy(*first).limit(max_toxic).unionByName(
+        marks.filter("y <= 0").orderBy(*first).limit(max_clean))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         sents = [[list(units(s)) for s in sentences(t or "")] for t in batch.column(0).to_pylist()]
         return pa.record_batch([pa.array(sents, pa.list_(pa.list_(pa.string()))), batch.column(1)], names=["s", "y"])
-    # max_train ids at most: small enough to broadcast
+    # max_toxic + max_clean ids at most: small enough to broadcast
     some = base.join(F.broadcast(marks), F.col("doc_id") == F.col("l_id")).select("text", "y")
     rows = map_arrow(some, cut, "s array<array<string>>, y int").toArrow().to_pylist()
     model = fit([([set(u) for u in r["s"]], int(r["y"] > 0)) for r in rows if r["s"]])
