@@ -88,6 +88,7 @@ class Network:
         adds the gradients of their sum and returns that of the states."""
         p, rows = self.p, np.arange(len(cls))
         logit = states @ p["c"] + p["cb"]
+        logit[:, :CLASSES][:, sizes == 0] = -np.inf             # classes without members
         logit -= logit.max(1, keepdims=True)
         e = np.exp(logit)
         prob = e / e.sum(1, keepdims=True)
