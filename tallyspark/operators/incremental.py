@@ -29,13 +29,13 @@ def new_billing_rows(target: DataFrame, src_billing: DataFrame, t_start: dt.date
     return staged.join(target.select("transaction_id"), "transaction_id", "left_anti")
 
 
-def latest_changes(feed: DataFrame, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
+def latest_changes(feed: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """One staged row per customer from a change feed (the latest change wins, same order as
     staging: created_at DESC NULLS FIRST, then name, email, country)."""
     return stage_customers(feed, as_of)
 
 
 def apply_customer_changes(target: DataFrame, feed: DataFrame,
-                           as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
+                           as_of: dt.datetime | None = None) -> DataFrame:
     """Latest change per key, then upsert into the staged customer table."""
     return upsert(target, latest_changes(feed, as_of), "customer_id", "update")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from .. import schemas as S
 from ..functions import row_json
-from .skew import count_copies, expand_copies, salted_semi_join
+from .skew import count_copies, expand_copies
 from .staging import _ts, stage_billing
 
 
@@ -68,6 +68,16 @@ def duplicate_ids(src: DataFrame, key: str) -> DataFrame:
             .where(F.col("occurrences") > 1))
 
 
+def bad_rows(src: DataFrame, rule: IdRule) -> tuple[int, int]:
+    """(rows with a NULL identifier or a duplicated id, each once; all rows), in one aggregate. NULL ids are
+    counted before the shuffle, so they never meet in one task."""
+    per_id = (src.select(F.col(rule.key).alias("k"), _any_null(rule.null_cols).cast("int").alias("bad"))
+              .groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
+    worst = F.when((F.col("n") > 1) | F.col("k").isNull(), F.col("n")).otherwise(F.col("bad"))
+    got = per_id.agg(F.sum(worst), F.sum("n")).first()
+    return got[0] or 0, got[1] or 0
+
+
 # --- quarantine --------------------------------------------------------------------------------
 def empty_quarantine(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], S.QUARANTINE)
@@ -130,7 +140,7 @@ def quarantine_all(sources: dict[str, DataFrame], existing: DataFrame,
 
 
 def with_quarantine_ids(new_rows: DataFrame, existing: DataFrame,
-                        as_of: dt.datetime | None = P.AS_OF, offset: int | None = None) -> DataFrame:
+                        as_of: dt.datetime | None = None, offset: int | None = None) -> DataFrame:
     """Assign BIGSERIAL-like ids (unique, increasing, gaps allowed) and detected_at.
 
     The offset is one global max over the existing table (a single value, or passed in by a
@@ -165,10 +175,10 @@ def orphan_customer_ids(src_billing: DataFrame, customers: DataFrame) -> DataFra
 
 
 def _orphan_rows(src_billing: DataFrame, customers: DataFrame) -> DataFrame:
-    """Billing rows of orphan customers; the raw rows are salted by transaction so a hot
-    customer never lands in one join task."""
-    return salted_semi_join(src_billing, orphan_customer_ids(src_billing, customers), "customer_id",
-                            ["transaction_id", "transaction_date"])
+    """Billing rows of orphan customers: one anti join, one scan of billing. AQE's skew join splits
+    a hot customer's partition, as the billing side of an anti join may be split."""
+    known = customers.where(F.col("customer_id").isNotNull()).select("customer_id")
+    return src_billing.where(F.col("customer_id").isNotNull()).join(known, "customer_id", "left_anti")
 
 
 def check_billing_orphans(src_billing: DataFrame, customers: DataFrame) -> DataFrame:

@@ -13,22 +13,6 @@ from pyspark.sql import functions as F
 COPIES_PER_CHUNK = 100_000
 
 
-def salted_semi_join(left: DataFrame, right_keys: DataFrame, key: str, salt_from: list[str],
-                     buckets: int = 16) -> DataFrame:
-    """``left`` rows whose ``key`` is in ``right_keys``, with a hot key spread over ``buckets``.
-
-    Each left row gets a deterministic salt from a hash of ``salt_from`` (stable when a task is
-    recomputed); each right key is replicated once per salt value. The right side is a set of
-    distinct keys, so replication costs ``buckets`` x its size, while a hot key's rows are
-    spread over ``buckets`` join tasks instead of one.
-    """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets)).cast("int")
-    salted_right = right_keys.select(key).distinct().select(
-        key, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_salt"))
-    return (left.withColumn("_salt", salt)
-            .join(salted_right, [key, "_salt"], "left_semi").drop("_salt"))
-
-
 def count_copies(df: DataFrame, cols: list[str]) -> DataFrame:
     """Identical rows collapsed to one row with a ``_copies`` count (partial aggregation first,
     so a group of copies is reduced in every map task before the shuffle)."""
@@ -47,6 +31,6 @@ def expand_copies(df: DataFrame, per_chunk: int = COPIES_PER_CHUNK) -> DataFrame
     chunked = df.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / per_chunk).cast("int"))))
     size = F.least(F.lit(per_chunk), n - F.col("_chunk") * per_chunk).cast("int")
-    return (chunked.repartition(*cols, "_chunk")
+    return (chunked.hint("rebalance")                        # split by size: a no-op shuffle when small
             .select(*cols, F.explode(F.sequence(F.lit(1), size)).alias("_i"))
             .drop("_i"))

@@ -46,7 +46,7 @@ def sessions_order() -> list[Column]:
             F.col("data_used_mb").desc_nulls_last(), F.col("customer_id").asc_nulls_last()]
 
 
-def stage_customers(src: DataFrame, as_of: dt.datetime | None = P.AS_OF,
+def stage_customers(src: DataFrame, as_of: dt.datetime | None = None,
                     default_country: str = P.DEFAULT_COUNTRY, strict: bool = True) -> DataFrame:
     rows = (src.where(F.col("customer_id").isNotNull())
             .withColumn("_created_ts", text_to_timestamp("created_at", strict)))

@@ -21,7 +21,7 @@ _METRICS = {
 
 
 def dw_user_analytics(stg_customers: DataFrame, *metrics: DataFrame,
-                      as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
+                      as_of: dt.datetime | None = None) -> DataFrame:
     """Customer master LEFT JOIN per-customer metric frames (each unique on customer_id).
 
     Accepts the four reference tables (revenue, usage, arpu, distribution) or fused frames
@@ -74,7 +74,7 @@ def remap_orphan_months(cm: DataFrame, stg_customers: DataFrame,
             .agg(F.sum("revenue").alias("revenue"), F.sum("n").alias("n")))
 
 
-def with_unknown_customer(stg_customers: DataFrame, as_of: dt.datetime | None = P.AS_OF,
+def with_unknown_customer(stg_customers: DataFrame, as_of: dt.datetime | None = None,
                           unknown_id: str = P.UNKNOWN_CUSTOMER_ID) -> DataFrame:
     """The customer master plus one placeholder row that orphan revenue is attributed to."""
     spark = stg_customers.sparkSession
@@ -86,7 +86,7 @@ def with_unknown_customer(stg_customers: DataFrame, as_of: dt.datetime | None =
 
 
 def pipeline_audit_log(stg_billing: DataFrame, stg_sessions: DataFrame, stg_customers: DataFrame,
-                       as_of: dt.datetime | None = P.AS_OF, status: str = P.AUDIT_STATUS_SUCCESS) -> DataFrame:
+                       as_of: dt.datetime | None = None, status: str = P.AUDIT_STATUS_SUCCESS) -> DataFrame:
     """One audit row: the three staged-table counts from a single global aggregate.
 
     The three inputs are tagged and unioned, so each task emits partial counts and one final

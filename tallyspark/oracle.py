@@ -42,13 +42,14 @@ src_billing_transactions AS (
     CAST(CASE WHEN v = 1 THEN d + 1 ELSE d END AS VARCHAR) || ' 10:15:00' AS transaction_date,
     CAST(d + CASE WHEN k % 40 = 0 THEN 5 ELSE 2 END AS TIMESTAMP) + INTERVAL 3 HOUR AS ingested_at
   FROM (
-    SELECT o_orderkey AS k, o_custkey AS ck, CAST(o_orderdate AS DATE) AS d,
+    SELECT o_orderkey AS k, CASE WHEN o_custkey % 11 = 5 THEN o_custkey - 1 ELSE o_custkey END AS ck,
+      CAST(o_orderdate AS DATE) AS d,
       CASE WHEN o_orderkey % 33 = 0 THEN NULL
            ELSE CAST(round(o_totalprice * 100) AS BIGINT)
                 // (CASE o_custkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 1000 ELSE 4000 END) END AS ac,
       UNNEST(CASE WHEN o_orderkey % 50 = 1 THEN [0, 1] WHEN o_orderkey % 50 = 2 THEN [0, 2]
                   ELSE [0] END) AS v
-    FROM orders WHERE o_custkey % 11 <> 5) o
+    FROM orders) o
 ),
 src_network_sessions AS (
   SELECT

@@ -27,7 +27,7 @@ def q1_top_customers(dw: DataFrame, k: int = 10) -> DataFrame:
             .limit(k))
 
 
-def q2_churn_risk(dw: DataFrame, as_of: dt.datetime | None = P.AS_OF,
+def q2_churn_risk(dw: DataFrame, as_of: dt.datetime | None = None,
                   max_sessions: int = P.CHURN_MAX_SESSIONS, max_revenue: int = P.CHURN_MAX_REVENUE,
                   min_tenure_days: int = P.CHURN_MIN_TENURE_DAYS) -> DataFrame:
     now = _now(as_of)
@@ -85,7 +85,7 @@ def q5_session_mix(dw: DataFrame) -> DataFrame:
             .orderBy(F.col("pct_long").desc(), F.col("customer_id").asc()))
 
 
-def churn_by_rate(dw: DataFrame, as_of: dt.datetime | None = P.AS_OF,
+def churn_by_rate(dw: DataFrame, as_of: dt.datetime | None = None,
                   sessions_per_week: int = P.CHURN_SESSIONS_PER_WEEK,
                   revenue_per_week: int = P.CHURN_REVENUE_PER_WEEK) -> DataFrame:
     """Tenure-normalised churn: < 1 session and < 250 revenue per week since registration.

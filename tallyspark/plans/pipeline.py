@@ -55,7 +55,7 @@ class Stages:
 
 
 def build_stages(sources: dict[str, DataFrame], stg_billing: DataFrame | None = None,
-                 as_of: dt.datetime | None = P.AS_OF) -> Stages:
+                 as_of: dt.datetime | None = None) -> Stages:
     stg_customers = ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of)
     billing = stg_billing if stg_billing is not None else ST.stage_billing(sources[P.SRC_BILLING])
     stg_sessions = ST.stage_sessions(sources[P.SRC_SESSIONS])
@@ -63,7 +63,7 @@ def build_stages(sources: dict[str, DataFrame], stg_billing: DataFrame | None =
                   A.billing_customer_month(billing), A.session_rollup(stg_sessions))
 
 
-def warehouse(st: Stages, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
+def warehouse(st: Stages, as_of: dt.datetime | None = None) -> DataFrame:
     """dw_user_analytics from two fused metric frames: billing (revenue + ARPU) and sessions
     (usage + bucket mix); three-way join on customer_id instead of five."""
     billing = A.billing_metrics(st.customer_month)
@@ -71,7 +71,7 @@ def warehouse(st: Stages, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
     return dw_user_analytics(st.stg_customers, billing, sessions, as_of=as_of)
 
 
-def audit(st: Stages, as_of: dt.datetime | None = P.AS_OF) -> DataFrame:
+def audit(st: Stages, as_of: dt.datetime | None = None) -> DataFrame:
     return pipeline_audit_log(st.stg_billing, st.stg_sessions, st.stg_customers, as_of=as_of)
 
 
@@ -91,7 +91,7 @@ class RunResult:
 
 
 def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.date | None = None,
-                 t_end: dt.date | None = None, as_of: dt.datetime | None = P.AS_OF,
+                 t_end: dt.date | None = None, as_of: dt.datetime | None = None,
                  billing_mode: str = "incremental", max_bad_ratio: float | None = None,
                  land: bool = False, iso_text_dates: bool = False) -> RunResult:
     """quality -> staging -> aggregates -> audit + warehouse, each stage written under ``out``.
@@ -100,8 +100,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     from raw files) and are what the next run upserts into. Steps follow the reference's data
     edges: a failed step marks its dependants skipped while independent branches still run.
     ``billing_mode``: "incremental" loads [t_start, t_end) insert-if-absent, "full" upserts all.
-    ``max_bad_ratio``: optional gate; a source whose newly quarantined rows exceed this share
-    of its rows fails its quality step, so its staging and everything downstream is skipped.
+    ``max_bad_ratio``: optional gate; a source whose bad rows (a NULL id or a duplicated one, each row
+    once) exceed this share of its rows fails its quality step, so its staging and everything downstream is skipped.
     ``land``: first write the sources as ``src_*`` tables under ``out`` (full refresh) and run
     on those, so sources given as expensive plans (raw CSV, derivations) are computed once.
     ``iso_text_dates``: the sources' date texts are ISO formatted, so the billing window is also
@@ -117,7 +117,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     from .. import schemas as S
 
     out = out.rstrip("/")
-    t_start = t_start or (as_of.date() if as_of else dt.date.today())
+    t_start = t_start or ((as_of or dt.datetime.now()).date() - dt.timedelta(days=1))
     t_end = t_end or (t_start + dt.timedelta(days=1))
     tables: dict[str, str] = {}
     status: dict[str, str] = {}
@@ -143,11 +143,10 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
 
     # Stage 0: optional landing of the sources as tables.
     if land:
-        from ..sources.readers import fan_out
         landed = {}
         for src_name, df in sources.items():
             path = f"{out}/{src_name}"
-            overwrite(fan_out(df), path)
+            overwrite(df.hint("rebalance"), path)
             tables[src_name] = path
             landed[src_name] = spark.read.parquet(path)
         sources = landed
@@ -158,6 +157,10 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     def quality(src_name: str):
         def run():
             from ..sources.readers import read_or_empty
+            if max_bad_ratio is not None:        # before anything is appended: a retry fails again
+                bad, total = QL.bad_rows(sources[src_name], QL.RULES[src_name])
+                if total and bad / total > max_bad_ratio:
+                    raise ValueError(f"{src_name}: {bad} of {total} rows are bad (> {max_bad_ratio:.2%})")
             existing = read_or_empty(spark, qpath, S.QUARANTINE)
             offset = existing.agg(F.max("quarantine_id")).first()[0] or 0
             new = QL.quarantine_source(sources[src_name], QL.RULES[src_name], existing)
@@ -166,13 +169,6 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
             append(QL.with_quarantine_ids(new, existing, as_of, offset=offset), qpath,
                    partition_by=["source_table", "issue_type"])
             tables["quarantine"] = qpath
-            if max_bad_ratio is not None:
-                bad = (spark.read.parquet(qpath)
-                       .where((F.col("source_table") == src_name) & (F.col("quarantine_id") > offset)).count())
-                total = sources[src_name].count()
-                if total and bad / total > max_bad_ratio:
-                    raise ValueError(f"{src_name}: {bad} of {total} rows quarantined "
-                                     f"(> {max_bad_ratio:.2%})")
         return run
 
     for src_name, step_name in [(P.SRC_BILLING, "quality_billing"), (P.SRC_SESSIONS, "quality_sessions"),

@@ -56,7 +56,7 @@ def _stages(spark: SparkSession, sf_dir: str) -> Stages:
     configure(spark)
     key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _STAGES:
-        _STAGES[key] = build_stages(sources(spark, sf_dir))
+        _STAGES[key] = build_stages(sources(spark, sf_dir), as_of=P.AS_OF)
     return _STAGES[key]
 
 
@@ -70,7 +70,7 @@ _DW: dict[tuple[str, str], DataFrame] = {}
 def _dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _DW:
-        _DW[key] = warehouse(_stages(spark, sf_dir))
+        _DW[key] = warehouse(_stages(spark, sf_dir), as_of=P.AS_OF)
     return _DW[key]
 
 
@@ -89,13 +89,13 @@ _RAW: dict[str, Query] = {
     "session_buckets": _stage_attr("session_buckets"),
     "agg_session_distribution": lambda s, d: A.agg_session_distribution(_stages(s, d).session_buckets),
     "dw_user_analytics": _dw,
-    "pipeline_audit_log": lambda s, d: audit(_stages(s, d)),
+    "pipeline_audit_log": lambda s, d: audit(_stages(s, d), as_of=P.AS_OF),
     "q1_top_customers": _on_dw(Q.q1_top_customers),
-    "q2_churn_risk": _on_dw(Q.q2_churn_risk),
+    "q2_churn_risk": _on_dw(lambda dw: Q.q2_churn_risk(dw, P.AS_OF)),
     "q3_revenue_usage_mismatch": _on_dw(Q.q3_revenue_usage_mismatch),
     "q4_monthly_trend": lambda s, d: Q.q4_monthly_trend(_stages(s, d).agg_monthly_revenue),
     "q5_session_mix": _on_dw(Q.q5_session_mix),
-    "churn_by_rate": _on_dw(Q.churn_by_rate),
+    "churn_by_rate": _on_dw(lambda dw: Q.churn_by_rate(dw, P.AS_OF)),
 }
 
 
@@ -132,7 +132,7 @@ def _quarantine_view(q: DataFrame) -> DataFrame:
 def _quarantine_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     existing = QL.empty_quarantine(spark)
     new = QL.quarantine_all(_srcs(spark, sf_dir), existing)
-    return _quarantine_view(QL.with_quarantine_ids(new, existing))
+    return _quarantine_view(QL.with_quarantine_ids(new, existing, P.AS_OF))
 
 
 def _quarantine_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +222,8 @@ def _upsert_staged(name: str) -> Query:
             col, cutoff, stage, key, schema = ("start_time", P.SESSIONS_UPSERT_CUTOFF,
                                                ST.stage_sessions, "session_id", SC.STG_SESSIONS)
         table = VersionedTable(spark, fresh_dir(spark, f"upsert-{name}"), schema)
-        table.commit(stage(src.where(_ts(col) < _at(cutoff))))
+        before = _ts(col) < _at(cutoff)
+        table.commit(stage(src.where(before | _ts(col).isNull())))
         table.commit(upsert(table.read(), stage(src.where(_ts(col) >= _at(cutoff))), key, "update"))
         return table.read()
     return q
@@ -264,7 +265,7 @@ def _dw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_as_of = dt.datetime.combine(P.DW_SNAPSHOT_CUTOFF, dt.time())
     table = VersionedTable(spark, fresh_dir(spark, "dw"), SC.DW_USER_ANALYTICS)
     table.commit(warehouse(build_stages(snap, as_of=first_as_of), as_of=first_as_of))
-    table.commit(upsert(table.read(), warehouse(build_stages(later)), "customer_id", "update"))
+    table.commit(upsert(table.read(), warehouse(build_stages(later, as_of=P.AS_OF), as_of=P.AS_OF), "customer_id", "update"))
     return table.read()
 
 
@@ -273,7 +274,7 @@ def _dw_missing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = _stages(spark, sf_dir)
     usage = read_or_empty(spark, fresh_dir(spark, "agg_user_usage-missing"), SC.AGG_USER_USAGE)
     return dw_user_analytics(st.stg_customers, st.agg_user_revenue, usage, st.agg_arpu,
-                             A.agg_session_distribution(st.session_buckets))
+                             A.agg_session_distribution(st.session_buckets), as_of=P.AS_OF)
 
 
 def _dw_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,9 +287,9 @@ def _dw_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dw_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = _stages(spark, sf_dir)
-    customers = with_unknown_customer(st.stg_customers)
+    customers = with_unknown_customer(st.stg_customers, P.AS_OF)
     billing = A.billing_metrics(remap_orphan_months(st.customer_month, st.stg_customers))
-    return dw_user_analytics(customers, billing, A.session_metrics(st.session_rollup))
+    return dw_user_analytics(customers, billing, A.session_metrics(st.session_rollup), as_of=P.AS_OF)
 
 
 def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,8 +307,8 @@ def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _srcs(spark, sf_dir)[P.SRC_CUSTOMERS]
     changed = _ts("created_at") >= _at(P.CDC_CUTOFF)
     table = VersionedTable(spark, fresh_dir(spark, "stg_customers_cdc"), SC.STG_CUSTOMERS)
-    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull())))
-    table.commit(apply_customer_changes(table.read(), src.where(changed)))
+    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull()), P.AS_OF))
+    table.commit(apply_customer_changes(table.read(), src.where(changed), P.AS_OF))
     return table.read()
 
 
@@ -319,8 +320,8 @@ def _cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_dir = fresh_dir(spark, "customer_feed")
     src.where(changed).write.parquet(feed_dir)
     table = VersionedTable(spark, fresh_dir(spark, "stg_customers_stream"), SC.STG_CUSTOMERS)
-    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull())))
-    q = customer_change_stream(spark, feed_dir, table, fresh_dir(spark, "cdc_checkpoint"))
+    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull()), P.AS_OF))
+    q = customer_change_stream(spark, feed_dir, table, fresh_dir(spark, "cdc_checkpoint"), as_of=P.AS_OF)
     q.awaitTermination()
     return table.read()
 

@@ -1,8 +1,8 @@
 """Session construction and the shared work folder.
 
 Intermediate tables (upsert versions, landed sources, checkpoints) go under the folder the
-cluster names in ``spark.checkpoint.dir``. Only when the session has none (local tests) do we
-create one under the system temp folder and register it as the checkpoint dir.
+cluster names in ``spark.checkpoint.dir``. Where it is unset, a ``local`` session gets one under
+the system temp folder; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -36,17 +36,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                     max_partitions: int = 50_000) -> dict[str, str]:
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of source data.
 
     Splits and shuffle partitions target ~256 MB each, so a task's working set stays well inside
     executor memory; AQE starts from that partition count and coalesces small stages down, and
-    splits skewed partitions (>5x the median and >1 GB) of sort-merge joins. The shuffle count
-    is capped: past it, AQE's skew handling and map-side partial aggregation do the rest.
-    Example: 100 TB -> 50,000 initial shuffle partitions.
+    splits skewed partitions (>5x the median and >1 GB) of sort-merge joins.
+    Example: 100 TB -> 409,600 initial shuffle partitions.
     """
-    parts = max(200, min(max_partitions, input_bytes // target_partition_bytes))
+    parts = max(200, input_bytes // target_partition_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -82,11 +80,10 @@ def work_root(spark: SparkSession) -> str:
         return os.path.dirname(current.rstrip("/")) if _is_uuid_leaf(current) else current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
-        except Exception:  # noqa: BLE001 - static conf in some deployments
-            pass
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="tallyspark-ckpt-")      # one process: its own disk is shared
     if sc is not None:
         sc.setCheckpointDir(conf_dir)
     return conf_dir

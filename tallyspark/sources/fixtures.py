@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
 from ..session import session_key
-from .readers import fan_out
 
 # FIXED VALUES: name prefixes of the customer fixture, picked by custkey % 4.
 NAME_PREFIXES = ["ada o'brien ", "MARY-JANE okafor ", "dr. john SMITH ", "tunde  bello "]
@@ -80,8 +79,8 @@ def src_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def src_billing_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     divisor = "CASE o_custkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 1000 ELSE 4000 END"
-    base = (_read(spark, sf_dir, "orders").where("o_custkey % 11 != 5").selectExpr(
-        "o_orderkey AS k", "o_custkey AS ck", "CAST(o_orderdate AS DATE) AS d",
+    base = (_read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "CASE WHEN o_custkey % 11 = 5 THEN o_custkey - 1 ELSE o_custkey END AS ck", "CAST(o_orderdate AS DATE) AS d",
         f"CASE WHEN o_orderkey % 33 = 0 THEN CAST(NULL AS BIGINT) "
         f"ELSE {idiv(cents('o_totalprice'), divisor)} END AS ac",
         _variants("o_orderkey", 50, 1)))
@@ -139,7 +138,7 @@ def replicate(srcs: dict[str, DataFrame], copies: int) -> dict[str, DataFrame]:
                P.SRC_SESSIONS: ["session_id", "customer_id"]}
     out = {}
     for name, df in srcs.items():
-        df = fan_out(df)            # the copies are generated by all tasks, not the scan's one
+        df = df.hint("rebalance")   # the copies are generated by all tasks, not the scan's one
         exprs = []
         for c in df.columns:
             if c in id_cols[name]:

@@ -21,21 +21,16 @@ from .. import schemas as S
 DECLARED = {P.SRC_CUSTOMERS: S.SRC_CUSTOMERS, P.SRC_BILLING: S.SRC_BILLING,
             P.SRC_SESSIONS: S.SRC_SESSIONS}
 
-CSV_OPTIONS = {"header": "true", "nullValue": "", "mode": "PERMISSIVE",
+# a doubled quote in a quoted field is a quote; a header that differs from the schema is an error
+CSV_OPTIONS = {"header": "true", "nullValue": "", "mode": "FAILFAST", "quote": '"', "escape": '"',
+               "enforceSchema": "false",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def fan_out(df: DataFrame) -> DataFrame:
-    """Spread an input with fewer partitions than the session's parallelism (one unsplittable
-    file, a single row group, one gzip CSV) over all cores; unchanged otherwise, as on a
-    cluster where the scan has more splits than cores."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
-    """Header CSV with a bound schema; with PERMISSIVE mode malformed values become NULL (add a
-    ``_corrupt_record`` string field to the schema to keep the raw line)."""
+    """Header CSV with a bound schema. A value that does not fit, or a file whose header differs, is an
+    error; with ``mode=PERMISSIVE`` the value becomes NULL (add a ``_corrupt_record`` string field to the
+    schema to keep the raw line). ``multiLine=true`` for line breaks in quoted fields."""
     return spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(path)
 
 
@@ -88,7 +83,7 @@ def _conform_exprs(raw: DataFrame, name: str, load_time: dt.datetime | None) ->
     return out
 
 
-def conform(raw: DataFrame, name: str, load_time: dt.datetime | None = P.AS_OF) -> DataFrame:
+def conform(raw: DataFrame, name: str, load_time: dt.datetime | None = None) -> DataFrame:
     """Project a raw frame onto the declared schema of ``name`` (drop extras, cast, stamp)."""
     return raw.select(*_conform_exprs(raw, name, load_time))
 
@@ -97,12 +92,12 @@ CORRUPT = "_corrupt_record"
 
 
 def land(spark: SparkSession, name: str, location: str, fmt: str = "csv",
-         load_time: dt.datetime | None = P.AS_OF, keep_corrupt: bool = False,
+         load_time: dt.datetime | None = None, keep_corrupt: bool = False,
          **options: str) -> DataFrame:
     """Raw source -> declared table (to be written with ``sinks.overwrite``).
 
-    CSV lines whose values do not fit the declared types load with NULLs in those fields
-    (PERMISSIVE). With ``keep_corrupt`` the raw line is kept in ``_corrupt_record`` (NULL for
+    A CSV line whose values do not fit the declared types is an error. With ``keep_corrupt`` it loads with NULLs in those
+    fields and the raw line is kept in ``_corrupt_record`` (NULL for
     good lines) so the caller can quarantine or count malformed input.
     """
     if fmt == "csv":
@@ -111,7 +106,7 @@ def land(spark: SparkSession, name: str, location: str, fmt: str = "csv",
         fields = [T.StructField(c, wanted.get(c, T.StringType()), True) for c in header]
         if keep_corrupt:
             fields.append(T.StructField(CORRUPT, T.StringType(), True))
-            options = {**options, "columnNameOfCorruptRecord": CORRUPT}
+            options = {"mode": "PERMISSIVE", "enforceSchema": "true", **options, "columnNameOfCorruptRecord": CORRUPT}
         raw = read_csv(spark, location, T.StructType(fields), **options)
     else:
         raw = read_source(spark, name, location, fmt, **options)
@@ -120,10 +115,13 @@ def land(spark: SparkSession, name: str, location: str, fmt: str = "csv",
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CREATE TABLE IF NOT EXISTS for readers: a missing table reads as empty, typed."""
+    """CREATE TABLE IF NOT EXISTS for readers: a missing table reads as empty, typed. Any other error
+    of the path stays one."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

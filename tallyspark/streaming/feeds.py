@@ -21,8 +21,11 @@ from ..operators.staging import stage_billing
 from ..sources.sinks import VersionedTable
 
 
+COMPACT_AFTER = 64              # deltas before they are folded into one run
+
+
 def customer_change_stream(spark: SparkSession, feed_dir: str, target: VersionedTable,
-                           checkpoint: str, as_of: dt.datetime | None = P.AS_OF,
+                           checkpoint: str, as_of: dt.datetime | None = None,
                            available_now: bool = True, max_files_per_trigger: int | None = None
                            ) -> StreamingQuery:
     reader = spark.readStream.schema(S.SRC_CUSTOMERS)
@@ -31,6 +34,8 @@ def customer_change_stream(spark: SparkSession, feed_dir: str, target: Versioned
     feed = reader.parquet(feed_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():                  # nothing to rewrite the table for
+            return
         target.commit(apply_customer_changes(target.read(), batch, as_of))
 
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -48,7 +53,7 @@ def billing_file_stream(spark: SparkSession, landing_dir: str, target: Versioned
         # insert-only: append the batch's transactions the target does not hold yet. A replayed
         # batch finds its rows already present and appends nothing.
         new = stage_billing(batch).join(target.read().select("transaction_id"), "transaction_id", "left_anti")
-        target.append(new)
+        target.append(new, compact_after=COMPACT_AFTER)
 
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -48,3 +48,40 @@ def test_append_then_compact(spark):
         t.append(spark.createDataFrame([(str(i), None, i)], S.AGG_ARPU), compact_after=2)
     assert len(t.current_paths()) == 1                  # folded on the third append
     assert sorted(r[0] for r in t.read().collect()) == ["0", "1", "2"]
+
+
+def test_interrupted_commit_keeps_history(spark):
+    t = VersionedTable(spark, fresh_dir(spark, "t-cut"), S.AGG_ARPU)
+    t.commit(spark.createDataFrame([("1", None, 0)], S.AGG_ARPU))
+    broken = t._folder(2, "full")                       # written, but never marked
+    spark.createDataFrame([("x", None, 0)], S.AGG_ARPU).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(broken)
+    assert [r[0] for r in t.read().collect()] == ["1"]
+    t.append(spark.createDataFrame([("2", None, 0)], S.AGG_ARPU))
+    assert sorted(r[0] for r in t.read().collect()) == ["1", "2"]
+
+
+def test_old_runs_are_deleted(spark):
+    t = VersionedTable(spark, fresh_dir(spark, "t-old"), S.AGG_ARPU)
+    for i in range(5):
+        t.commit(spark.createDataFrame([(str(i), None, i)], S.AGG_ARPU))
+    assert len(t._runs()) == 2 and t.read().first()[0] == "4"
+
+
+def test_partitioned_refresh_keeps_nothing_stale(spark):
+    from tallyspark.sources.sinks import overwrite, replace_partitions
+    path = fresh_dir(spark, "t-part")
+    overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "k int, d string"), path, ["d"])
+    overwrite(spark.createDataFrame([(1, "b")], "k int, d string"), path, ["d"])
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(1, "b")]
+    replace_partitions(spark.createDataFrame([(3, "c")], "k int, d string"), path, ["d"])
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_upsert_evaluates_each_side_once(spark, make):
+    target = make("k int, v string", [(1, "old"), (2, "kept"), (None, "null")])
+    new = make("k int, v string", [(1, "new"), (3, "added")])
+    assert sorted(map(str, upsert(target, new, "k").collect())) == sorted(
+        map(str, make("k int, v string", [(1, "new"), (2, "kept"), (3, "added"), (None, "null")]).collect()))
+    plan = upsert(target, new, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan

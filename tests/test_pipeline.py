@@ -3,20 +3,24 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tallyspark import params as P
+from tallyspark import schemas as S
+from tallyspark.operators import quality as QL
 from tallyspark.plans.pipeline import run_pipeline
 from tallyspark.session import fresh_dir
 from tallyspark.sources.fixtures import sources
 
+from .conftest import billing_rows
+
 
 def test_pipeline_runs_and_reruns_idempotently(spark):
     srcs = sources(spark, "/root/testdata/sf0.001")
     out = fresh_dir(spark, "pipeline")
-    first = run_pipeline(spark, srcs, out, billing_mode="full")
+    first = run_pipeline(spark, srcs, out, billing_mode="full", as_of=P.AS_OF)
     assert all(v == "ok" for v in first.status.values()), first.status
     q1 = first.read(spark, "quarantine").count()
     dw1 = first.read(spark, "dw_user_analytics")
     assert dw1.count() == 149
-    second = run_pipeline(spark, srcs, out, billing_mode="full")
+    second = run_pipeline(spark, srcs, out, billing_mode="full", as_of=P.AS_OF)
     assert all(v == "ok" for v in second.status.values()), second.status
     assert second.read(spark, "quarantine").count() == q1
     dw2 = second.read(spark, "dw_user_analytics")
@@ -41,7 +45,7 @@ def test_incremental_window_runs_append_only(spark):
     out = fresh_dir(spark, "pipeline-inc")
     res = run_pipeline(spark, srcs, out, t_start=P.T_START, t_end=P.T_END)
     assert res.status["stage_billing"] == "ok"
-    assert res.read(spark, "stg_billing").count() == 171            # FIXTURES.md section 3
+    assert res.read(spark, "stg_billing").count() == 186            # FIXTURES.md section 3
     nxt = run_pipeline(spark, srcs, out, t_start=P.T_END, t_end=dt.date(1998, 7, 1))
     again = run_pipeline(spark, srcs, out, t_start=P.T_END, t_end=dt.date(1998, 7, 1))
     from tallyspark.sources.sinks import VersionedTable
@@ -52,12 +56,24 @@ def test_incremental_window_runs_append_only(spark):
     assert nxt.read(spark, "stg_billing").count() == got.count()    # the rerun added nothing
 
 
+def test_default_window_is_the_day_before(spark, make):
+    rows = billing_rows(("a", "1", "1.00", "2024-05-17 10:00:00"), ("b", "1", "2.00", "2024-05-18 01:00:00"))
+    srcs = {"src_customers": make(S.SRC_CUSTOMERS, []), "src_network_sessions": make(S.SRC_SESSIONS, []),
+            "src_billing_transactions": make(S.SRC_BILLING, rows)}
+    res = run_pipeline(spark, srcs, fresh_dir(spark, "pipeline-day"), as_of=dt.datetime(2024, 5, 18, 3))
+    assert [r["transaction_id"] for r in res.read(spark, "stg_billing").collect()] == ["a"]
+
+
 def test_bad_ratio_gate_stops_only_that_source(spark):
     srcs = sources(spark, "/root/testdata/sf0.001")
-    res = run_pipeline(spark, srcs, fresh_dir(spark, "pipeline-gate"), billing_mode="full",
-                       max_bad_ratio=0.09)
-    # quarantined share at sf0.001: billing 131/1428 (9.2%), sessions 96/1040 (9.2%),
-    # customers 13/156 (8.3%)
+    out = fresh_dir(spark, "pipeline-gate")
+    shares = {n: QL.bad_rows(df, QL.RULES[n]) for n, df in srcs.items()}
+    bad, total = shares["src_billing_transactions"]
+    limit = (bad / total + shares["src_customers"][0] / shares["src_customers"][1]) / 2
+    assert shares["src_customers"][0] / shares["src_customers"][1] < limit < bad / total
+    res = run_pipeline(spark, srcs, out, billing_mode="full", max_bad_ratio=limit)
+    again = run_pipeline(spark, srcs, out, billing_mode="full", max_bad_ratio=limit)
+    assert again.status["quality_billing"].startswith("failed")         # a retry does not open the gate
     assert res.status["quality_billing"].startswith("failed")
     assert res.status["stage_billing"].startswith("skipped")
     assert res.status["agg_arpu"].startswith("skipped")

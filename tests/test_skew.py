@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tallyspark.operators.skew import count_copies, expand_copies, salted_semi_join
+from tallyspark.operators.skew import count_copies, expand_copies
 
 
 def test_copies_round_trip_in_chunks(spark):
@@ -9,13 +9,3 @@ def test_copies_round_trip_in_chunks(spark):
     assert {r["x"]: r["_copies"] for r in counted.collect()} == {"a": 23, "b": 2, "c": 1}
     back = expand_copies(counted, per_chunk=5)
     assert sorted(r["x"] for r in back.collect()) == sorted(r["x"] for r in df.collect())
-
-
-def test_salted_semi_join_equals_plain_semi_join(spark):
-    left = spark.range(2000).select(F.col("id").cast("string").alias("tid"),
-                                    F.when(F.col("id") % 3 == 0, "hot").otherwise(
-                                        (F.col("id") % 50).cast("string")).alias("k"))
-    right = spark.createDataFrame([("hot",), ("7",), ("missing",)], "k string")
-    salted = salted_semi_join(left, right, "k", ["tid"], buckets=8)
-    plain = left.join(right, "k", "left_semi")
-    assert salted.count() == plain.count() and salted.exceptAll(plain).count() == 0

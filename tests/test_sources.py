@@ -47,6 +47,6 @@ def test_cluster_settings_scale_with_input():
     from tallyspark.session import cluster_settings
     big = cluster_settings(100 * 2**40)
     small = cluster_settings(10 * 2**30)
-    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
