@@ -40,8 +40,8 @@ LAMBDA = 0.6
 WIDTH = 24                      # a longer unit is cut into windows that overlap by half
 LANDMARKS = 110
 CLEAN_LANDMARKS = 20
-SHARED = 0.7
-CLEAN_KEPT = 400_000            # clean units remembered per worker
+SHARED = 0.85
+CLEAN_KEPT = 1_200_000            # clean units remembered per worker
 _SENTENCE = re.compile(r"[\n.!?]+\s")
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _SPELT = re.compile(r"(?<!\S)\S(?:[ \t]\S(?!\S)){2,}")
