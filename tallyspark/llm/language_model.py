@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -102,13 +103,13 @@ class Network:
             back = d @ p["c"].T
         order = np.argsort(cls, kind="stable")
         edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
+        for k in np.flatnonzero(sizes > 1):                     # the only member of a class is certain
             at = order[edge[k]:edge[k + 1]]
             if not len(at):
                 continue
-            s = states[at]
-            logit = s @ p["w"][k] + p["wb"][k]
-            logit[:, sizes[k]:] = -np.inf
+            s, m = states[at], sizes[k]
+            w = p["w"][k][:, :m]
+            logit = s @ w + p["wb"][k][:m]
             logit -= logit.max(1, keepdims=True)
             e = np.exp(logit)
             prob = e / e.sum(1, keepdims=True)
@@ -117,9 +118,9 @@ class Network:
             if grads is not None:
                 d = -prob
                 d[own, member[at]] += 1
-                grads["w"][k] += s.T @ d
-                grads["wb"][k] += d.sum(0)
-                back[at] += d @ p["w"][k].T
+                grads["w"][k][:, :m] += s.T @ d
+                grads["wb"][k][:m] += d.sum(0)
+                back[at] += d @ w.T
         return out, back
 
     def backward(self, prev: np.ndarray, kept: list, d_out: np.ndarray, grads: dict) -> None:
@@ -161,8 +162,7 @@ class Vocabulary:
         return Network(len(self.place), int(max(1, self.sizes.max(initial=1))))
 
     def places(self, toks: list[bytes]) -> np.ndarray:
-        get = self.place.get
-        return np.array([get(t, -1) for t in toks], np.int64)
+        return np.fromiter(map(self.place.get, toks, repeat(-1)), np.int64, len(toks))
 
 
 def train(vocab: Vocabulary, streams: np.ndarray, net: Network) -> None:
@@ -193,21 +193,21 @@ def train(vocab: Vocabulary, streams: np.ndarray, net: Network) -> None:
 
 def score_documents(vocab: Vocabulary, net: Network, docs: list[np.ndarray]) -> np.ndarray:
     """Sum of the natural log probabilities of class and member over each whole document, window by window."""
-    out = np.zeros(len(docs))
-    order = np.argsort([-len(d) for d in docs], kind="stable")
+    out, sizes = np.zeros(len(docs)), np.array([len(d) for d in docs], np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    begin = np.cumsum(sizes) - sizes
+    flat = np.concatenate([np.zeros(0, np.int64), *docs])
     other = len(vocab.place)
     for at in range(0, len(order), STREAMS):
         part = order[at:at + STREAMS]
-        size = np.array([len(docs[i]) for i in part])
+        size = sizes[part]
         h = np.zeros((len(part), HIDDEN), np.float32)
         last = np.full(len(part), vocab.begin)
         for t in range(0, int(size[0]), WINDOW):
             n = int((size > t).sum())                                   # longest first: the rest has ended
             width = min(WINDOW, int(size[0]) - t)
-            now = np.full((width, n), -2, np.int64)
-            for k in range(n):
-                piece = docs[part[k]][t:t + width]
-                now[:len(piece), k] = piece
+            step = np.arange(t, t + width)[:, None]
+            now = np.where(step < size[:n], flat[np.minimum(begin[part[:n]] + step, len(flat) - 1)], -2)
             prev = np.vstack([last[:n], now[:-1]])
             states, _ = net.steps(np.where(prev < 0, other, prev), h[:n])
             keep = now.ravel() != -2
@@ -297,13 +297,15 @@ def log_likelihood(docs: DataFrame, is_training: F.Column) -> DataFrame:
 
     def score(key: tuple, t: pa.Table, c: pa.Table) -> pa.Table:
         v, net = model.value
-        n_of = dict(zip(c.column("token").to_pylist(), c.column("n").to_pylist()))
+        counted = c.column("token").to_pylist()                         # 0: not counted in training
+        index = dict(zip(counted, range(1, len(counted) + 1)))
+        n_at, place_at = np.append(0, c.column("n").to_numpy()), np.append(-1, v.places(counted))
         low = np.log10(v.total + v.distinct + 1)
         rows, docs_places = [], []
         for i, x in zip(t.column("doc_id").to_pylist(), text_bytes(t.column("text").combine_chunks())):
             toks = tokens_of(x)
-            n = np.array([n_of.get(w, 0) for w in toks], np.int64)
-            places = v.places(toks)
+            ids = np.fromiter(map(index.get, toks, repeat(0)), np.int64, len(toks))
+            n, places = n_at[ids], place_at[ids]
             rest = n[places < 0]
             rows.append((i, len(toks), int((n > 0).sum()), v.total, float((np.log10(n + 1) - low).sum()),
                          float((np.log10(rest + 1) - np.log10(v.rest)).sum())))
