@@ -188,7 +188,7 @@ def test_language_model_gradient_and_normalisation():
     states, kept = net.steps(prev, h0)
     _, back = net.log_probs(states.reshape(-1, language_model.HIDDEN), v.cls[now], v.member[now], v.sizes, grads)
     net.backward(prev, kept, back.reshape(states.shape), grads)
-    for name, at in (("u", (2, 5)), ("x", (1, 3)), ("c", (3, 2)), ("u", (1, 40))):
+    for name, at in (("u", (2, 5)), ("x", (1, 3)), ("c", (3, 2)), ("u", (1, 2 * language_model.HIDDEN + 8))):
         net.p[name][at] += 1e-2
         up = loss()
         net.p[name][at] -= 2e-2
