@@ -9,6 +9,8 @@ short/medium/long mix) come from one per-customer rollup for the same reason.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,3 +149,10 @@ def roll_up_daily(daily: DataFrame) -> DataFrame:
     return daily.groupBy("customer_id").agg(
         F.coalesce(F.sum("revenue"), F.lit(0)).cast(S.TOTAL).alias("total_revenue"),
         F.sum("n").cast("bigint").alias("total_transactions"))
+
+
+def reconcile_daily(stored: DataFrame, stg_billing: DataFrame, since: dt.date) -> DataFrame:
+    """Daily partials in which every day from ``since`` on is recomputed from ``stg_billing`` and older days, and
+    rows without a date, stay as they are stored."""
+    recent = daily_revenue(stg_billing.where(F.to_date("transaction_date") >= F.lit(since)))
+    return stored.where((F.col("day") < F.lit(since)) | F.col("day").isNull()).unionByName(recent)

@@ -37,5 +37,6 @@ def latest_changes(feed: DataFrame, as_of: dt.datetime | None = None) -> DataFra
 
 def apply_customer_changes(target: DataFrame, feed: DataFrame,
                            as_of: dt.datetime | None = None) -> DataFrame:
-    """Latest change per key, then upsert into the staged customer table."""
-    return upsert(target, latest_changes(feed, as_of), "customer_id", "update")
+    """Latest change per key, then upsert into the staged customer table. A change that is older than
+    the target's own row (both dated) arrived late and leaves that row as it is."""
+    return upsert(target, latest_changes(feed, as_of), "customer_id", "update", newest_by="created_at")

@@ -220,16 +220,17 @@ def row_count_gate(src_billing: DataFrame, t_start: dt.date, t_end: dt.date,
                     (F.col("rows") >= min_rows).alias("passed"))
 
 
-def volume_anomaly(stg_billing: DataFrame, lookback_days: int = P.VOLUME_LOOKBACK_DAYS,
-                   sigmas: int = P.VOLUME_SIGMAS) -> DataFrame:
+def volume_anomaly(stg_billing: DataFrame, first_day: dt.date, last_day: dt.date,
+                   lookback_days: int = P.VOLUME_LOOKBACK_DAYS, sigmas: int = P.VOLUME_SIGMAS) -> DataFrame:
     """Daily loaded rows vs the mean - sigmas * sample sd of the previous ``lookback_days``.
 
     Daily counts are a distributed aggregate; the calendar spine (missing day = 0 rows) has one
-    row per day of the date span. The rolling statistics are an expand-and-aggregate (no
+    row per day of the date span within [first_day, last_day], so a mistyped date in the data cannot
+    stretch it. The rolling statistics are an expand-and-aggregate (no
     single-partition window). Sample variance from exact integer sums, so every engine gets the
     same doubles.
     """
-    daily = (stg_billing.where(F.col("transaction_date").isNotNull())
+    daily = (stg_billing.where(F.to_date("transaction_date").between(F.lit(first_day), F.lit(last_day)))
              .groupBy(F.to_date("transaction_date").alias("day"))
              .agg(F.count(F.lit(1)).alias("loads")))
     spine = (daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))

@@ -39,7 +39,8 @@ src_billing_transactions AS (
          ELSE CAST(ck AS VARCHAR) END AS customer_id,
     CAST(CAST(CASE WHEN v = 1 THEN ac + 1000 ELSE ac END AS DECIMAL(18,0))
          * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS amount,
-    CAST(CASE WHEN v = 1 THEN d + 1 ELSE d END AS VARCHAR) || ' 10:15:00' AS transaction_date,
+    CASE WHEN k % 89 = 88 AND v = 0 THEN NULL
+         ELSE CAST(CASE WHEN v = 1 THEN d + 1 ELSE d END AS VARCHAR) || ' 10:15:00' END AS transaction_date,
     CAST(d + CASE WHEN k % 40 = 0 THEN 5 ELSE 2 END AS TIMESTAMP) + INTERVAL 3 HOUR AS ingested_at
   FROM (
     SELECT o_orderkey AS k, CASE WHEN o_custkey % 11 = 5 THEN o_custkey - 1 ELSE o_custkey END AS ck,
@@ -55,14 +56,14 @@ src_network_sessions AS (
   SELECT
     CASE WHEN k % 199 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS session_id,
     CASE WHEN k % 103 = 0 THEN NULL ELSE CAST(u * 10 + k % 10 AS VARCHAR) END AS customer_id,
-    strftime(st, '%Y-%m-%d %H:%M:%S') AS start_time,
-    strftime(st + to_seconds(dur), '%Y-%m-%d %H:%M:%S') AS end_time,
+    CASE WHEN k % 83 = 82 AND v = 0 THEN NULL ELSE strftime(st, '%Y-%m-%d %H:%M:%S') END AS start_time,
+    CASE WHEN k % 79 = 78 THEN NULL ELSE strftime(st + to_seconds(dur), '%Y-%m-%d %H:%M:%S') END AS end_time,
     CASE WHEN k % 47 = 0 THEN NULL
          ELSE CAST(CAST(vc * (u % 5) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2))
     END AS data_used_mb,
     TIMESTAMP '2024-02-01 03:00:00' AS ingested_at
   FROM (
-    SELECT k, u, vc, dur, CASE WHEN v = 1 THEN st0 + INTERVAL 1 HOUR ELSE st0 END AS st
+    SELECT k, u, vc, dur, v, CASE WHEN v = 1 THEN st0 + INTERVAL 1 HOUR ELSE st0 END AS st
     FROM (
       SELECT event_id AS k, user_id AS u, CAST(round(value * 100) AS BIGINT) AS vc,
         date_trunc('second', CAST(ts AS TIMESTAMP)) AS st0,
@@ -455,18 +456,18 @@ def _merged(table: str, key: str, old: str, new: str, mode: str) -> str:
 
 SQL["stg_billing_upsert"] = typed(
     COLS["stg_billing"], _merged("stg_billing", "transaction_id", "_ex", "_in", "update"),
-    extra_ctes=chain("_ex", billing=_ts_lt("transaction_date", "1998-05-01")) + ",\n"
+    extra_ctes=chain("_ex", billing=_ts_lt("transaction_date", "1998-05-01") + " OR transaction_date IS NULL") + ",\n"
     + chain("_in", billing=_ts_ge("transaction_date", "1998-05-01")))
 
 SQL["stg_sessions_upsert"] = typed(
     COLS["stg_sessions"], _merged("stg_sessions", "session_id", "_ex", "_in", "update"),
-    extra_ctes=chain("_ex", sessions=_ts_lt("start_time", "2024-01-15")) + ",\n"
+    extra_ctes=chain("_ex", sessions=_ts_lt("start_time", "2024-01-15") + " OR start_time IS NULL") + ",\n"
     + chain("_in", sessions=_ts_ge("start_time", "2024-01-15")))
 
 _WINDOW = (_ts_ge("transaction_date", "1998-05-01") + " AND " + _ts_lt("transaction_date", "1998-06-01"))
 SQL["stg_billing_incremental"] = typed(
     COLS["stg_billing"], _merged("stg_billing", "transaction_id", "_ex", "_w", "ignore"),
-    extra_ctes=chain("_ex", billing=_ts_lt("transaction_date", "1998-05-01")) + ",\n"
+    extra_ctes=chain("_ex", billing=_ts_lt("transaction_date", "1998-05-01") + " OR transaction_date IS NULL") + ",\n"
     + chain("_w", billing=_WINDOW))
 
 _BACKFILL = (_ts_ge("transaction_date", "1998-04-01") + " AND " + _ts_lt("transaction_date", "1998-05-01"))
@@ -479,8 +480,9 @@ SQL["late_arrival_backfill"] = typed(
 SQL["dw_upsert"] = typed(
     COLS["dw_user_analytics"], _merged("dw_user_analytics", "customer_id", "_s", "_n", "update"),
     extra_ctes=chain("_s", customers=_ts_lt("created_at", "2022-06-01") + " OR created_at IS NULL",
-                     billing=_ts_lt("transaction_date", "2022-06-01"),
-                     sessions=_ts_lt("start_time", "2022-06-01"), as_of="2022-06-01 00:00:00")
+                     billing=_ts_lt("transaction_date", "2022-06-01") + " OR transaction_date IS NULL",
+                     sessions=_ts_lt("start_time", "2022-06-01") + " OR start_time IS NULL",
+                     as_of="2022-06-01 00:00:00")
     + ",\n" + chain("_n", customers=_ts_ge("created_at", "2022-01-01")))
 
 SQL["cdc_apply_customers"] = typed(
@@ -541,3 +543,17 @@ dw_u AS (
 SQL["dw_with_unknown_customer"] = typed(COLS["dw_user_analytics"], "dw_u", extra_ctes=_UNKNOWN)
 
 SQL["cdc_stream_customers"] = SQL["cdc_apply_customers"]
+
+#: The daily run: billing as loaded incrementally, customers and sessions whole.
+_RUN_NAMES = ["stg_billing", *CHAIN_NAMES[4:]]
+_RUN = (chain("_ex", billing=_ts_lt("transaction_date", "1998-05-01") + " OR transaction_date IS NULL") + ",\n"
+        + chain("_w", billing=_WINDOW) + ",\nstg_billing_run AS (SELECT * FROM "
+        + _merged("stg_billing", "transaction_id", "_ex", "_w", "ignore") + "),\n"
+        + re.sub(r"\b(" + "|".join(_RUN_NAMES) + r")\b", lambda m: m.group(1) + "_run",
+                 TRANSFORMS.strip().replace("__ASOF__", "2024-02-01 00:00:00")))
+SQL["pipeline_daily_run"] = typed(COLS["dw_user_analytics"], "dw_user_analytics_run", extra_ctes=_RUN)
+SQL["pipeline_daily_quarantine"] = typed(
+    "source_table s, issue_type s, n_rows i",
+    "(SELECT source_table, issue_type, COUNT(*) AS n_rows FROM ("
+    + " UNION ALL ".join(f"SELECT '{t}' AS source_table, '{i}' AS issue_type FROM {t} WHERE {p}"
+                         for t, i, p in _QUARANTINE_SETS) + ") q GROUP BY source_table, issue_type) t")

@@ -109,6 +109,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     """
     import time
     import traceback
+    from concurrent.futures import ThreadPoolExecutor
 
     from ..operators import quality as QL
     from ..operators.incremental import new_billing_rows
@@ -141,6 +142,11 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         finally:
             seconds[name] = round(time.perf_counter() - started, 3)
 
+    def together(*steps: tuple) -> None:
+        """Steps that don't depend on each other, at the same time: Spark runs their jobs side by side."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            list(pool.map(lambda s: step(*s), steps))
+
     # Stage 0: optional landing of the sources as tables.
     if land:
         landed = {}
@@ -196,9 +202,9 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         vt["stg_sessions"].commit(merged)
         tables["stg_sessions"] = vt["stg_sessions"].root
 
-    step("stage_customers", ("quality_customers",), stage_customers)
-    step("stage_billing", ("quality_billing",), stage_billing)
-    step("stage_sessions", ("quality_sessions",), stage_sessions)
+    together(("stage_customers", ("quality_customers",), stage_customers),
+             ("stage_billing", ("quality_billing",), stage_billing),
+             ("stage_sessions", ("quality_sessions",), stage_sessions))
 
     # Stage 3: aggregates, rebuilt from the staged tables. Each staged fact table is scanned
     # once: its shared pre-aggregate (billing per customer-month, sessions per customer) is
@@ -215,22 +221,22 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     def written(name: str) -> DataFrame:
         return spark.read.parquet(tables[name])
 
-    step("billing_customer_month", ("stage_billing",),
-         write_table("_billing_customer_month", lambda: A.billing_customer_month(read["stg_billing"]())))
-    step("session_rollup", ("stage_sessions",),
-         write_table("_session_rollup", lambda: A.session_rollup(read["stg_sessions"]())))
-    step("agg_user_revenue", ("billing_customer_month",),
-         write_table("agg_user_revenue", lambda: A.agg_user_revenue(written("_billing_customer_month"))))
-    step("agg_monthly_revenue", ("billing_customer_month",),
-         write_table("agg_monthly_revenue", lambda: A.agg_monthly_revenue(written("_billing_customer_month"))))
-    step("agg_arpu", ("billing_customer_month", "stage_customers"),
-         write_table("agg_arpu", lambda: A.agg_arpu(read["stg_customers"](), written("_billing_customer_month"))))
-    step("agg_user_usage", ("session_rollup",),
-         write_table("agg_user_usage", lambda: A.usage_from_rollup(written("_session_rollup"))))
-    step("session_buckets", ("stage_sessions",),
-         write_table("session_buckets", lambda: A.session_buckets(read["stg_sessions"]())))
-    step("agg_session_distribution", ("session_rollup",),
-         write_table("agg_session_distribution", lambda: A.distribution_from_rollup(written("_session_rollup"))))
+    together(("billing_customer_month", ("stage_billing",),
+              write_table("_billing_customer_month", lambda: A.billing_customer_month(read["stg_billing"]()))),
+             ("session_rollup", ("stage_sessions",),
+              write_table("_session_rollup", lambda: A.session_rollup(read["stg_sessions"]()))),
+             ("session_buckets", ("stage_sessions",),
+              write_table("session_buckets", lambda: A.session_buckets(read["stg_sessions"]()))))
+    together(("agg_user_revenue", ("billing_customer_month",),
+              write_table("agg_user_revenue", lambda: A.agg_user_revenue(written("_billing_customer_month")))),
+             ("agg_monthly_revenue", ("billing_customer_month",),
+              write_table("agg_monthly_revenue", lambda: A.agg_monthly_revenue(written("_billing_customer_month")))),
+             ("agg_arpu", ("billing_customer_month", "stage_customers"),
+              write_table("agg_arpu", lambda: A.agg_arpu(read["stg_customers"](), written("_billing_customer_month")))),
+             ("agg_user_usage", ("session_rollup",),
+              write_table("agg_user_usage", lambda: A.usage_from_rollup(written("_session_rollup")))),
+             ("agg_session_distribution", ("session_rollup",),
+              write_table("agg_session_distribution", lambda: A.distribution_from_rollup(written("_session_rollup")))))
 
     # Stage 4: audit row and warehouse upsert, after every aggregate.
     all_aggs = ("agg_user_revenue", "agg_monthly_revenue", "agg_arpu", "agg_user_usage",
@@ -250,6 +256,6 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         vt["dw_user_analytics"].commit(merged)
         tables["dw_user_analytics"] = vt["dw_user_analytics"].root
 
-    step("audit_pipeline_run", all_aggs, write_audit)
-    step("load_dw_user_analytics", all_aggs, load_warehouse)
+    together(("audit_pipeline_run", all_aggs, write_audit),
+             ("load_dw_user_analytics", all_aggs, load_warehouse))
     return RunResult(tables, status, seconds, tuple(vt))

@@ -25,7 +25,7 @@ from .operators.warehouse import dw_user_analytics, remap_orphan_months, with_un
 from .sources.readers import land, read_or_empty, source_row_counts
 from .sources.sinks import VersionedTable, overwrite
 from .plans import analytics as Q
-from .plans.pipeline import Stages, audit, build_stages, warehouse
+from .plans.pipeline import Stages, audit, build_stages, run_pipeline, warehouse
 from .session import configure, fresh_dir, session_key
 from .sources.fixtures import sources
 
@@ -182,7 +182,7 @@ _RAW.update({
     "quarantine_billing_orphans": _quarantine_orphans,
     "freshness_check": lambda s, d: QL.freshness_check(_stages(s, d).stg_billing,
                                                        [P.FRESH_CHECK_AT, P.AS_OF]),
-    "volume_anomaly": lambda s, d: QL.volume_anomaly(_stages(s, d).stg_billing),
+    "volume_anomaly": lambda s, d: QL.volume_anomaly(_stages(s, d).stg_billing, P.VOLUME_FIRST_DAY, P.AS_OF.date()),
     "row_count_gate": lambda s, d: QL.row_count_gate(_srcs(s, d)[P.SRC_BILLING], P.T_START, P.T_END),
     "late_arrivals": lambda s, d: QL.late_arrivals(_srcs(s, d)[P.SRC_BILLING]),
 })
@@ -230,10 +230,11 @@ def _upsert_staged(name: str) -> Query:
 
 
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target holds everything before the window; load [t_start, t_end) insert-if-absent."""
+    """Target holds everything before the window, and what has no date; load [t_start, t_end) insert-if-absent."""
     src = _srcs(spark, sf_dir)[P.SRC_BILLING]
     table = VersionedTable(spark, fresh_dir(spark, "stg_billing_inc"), SC.STG_BILLING)
-    table.commit(ST.stage_billing(src.where(_ts("transaction_date") < _at(P.T_START))))
+    date = _ts("transaction_date")
+    table.commit(ST.stage_billing(src.where((date < _at(P.T_START)) | date.isNull())))
     table.commit(incremental_billing(table.read(), src, P.T_START, P.T_END))
     return table.read()
 
@@ -258,8 +259,8 @@ def _dw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _at(P.DW_SNAPSHOT_CUTOFF)
     created = _ts("created_at")
     snap = {P.SRC_CUSTOMERS: srcs[P.SRC_CUSTOMERS].where((created < cut) | created.isNull()),
-            P.SRC_BILLING: srcs[P.SRC_BILLING].where(_ts("transaction_date") < cut),
-            P.SRC_SESSIONS: srcs[P.SRC_SESSIONS].where(_ts("start_time") < cut)}
+            P.SRC_BILLING: srcs[P.SRC_BILLING].where((_ts("transaction_date") < cut) | _ts("transaction_date").isNull()),
+            P.SRC_SESSIONS: srcs[P.SRC_SESSIONS].where((_ts("start_time") < cut) | _ts("start_time").isNull())}
     later = dict(srcs)
     later[P.SRC_CUSTOMERS] = srcs[P.SRC_CUSTOMERS].where(created >= _at(P.DW_CHANGED_SINCE))
     first_as_of = dt.datetime.combine(P.DW_SNAPSHOT_CUTOFF, dt.time())
@@ -295,12 +296,34 @@ def _dw_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored daily partials for old days + recomputed recent days, rolled up per customer."""
     st = _stages(spark, sf_dir)
-    start = _at(P.RECONCILE_FROM)
     stored_path = fresh_dir(spark, "daily_revenue")
+    start = _at(P.RECONCILE_FROM)
     old = st.stg_billing.where((F.col("transaction_date") < start) | F.col("transaction_date").isNull())
     overwrite(A.daily_revenue(old), stored_path)
-    recent = A.daily_revenue(st.stg_billing.where(F.col("transaction_date") >= start))
-    return A.roll_up_daily(spark.read.parquet(stored_path).unionByName(recent))
+    return A.roll_up_daily(A.reconcile_daily(spark.read.parquet(stored_path), st.stg_billing, P.RECONCILE_FROM))
+
+
+def _daily_runs(spark: SparkSession, sf_dir: str):
+    """The written pipeline, run twice: in full on what was there before the window, then for the window."""
+    srcs = _srcs(spark, sf_dir)
+    date = _ts("transaction_date")
+    before = srcs | {P.SRC_BILLING: srcs[P.SRC_BILLING].where((date < _at(P.T_START)) | date.isNull())}
+    out = fresh_dir(spark, "daily-runs")
+    results = [run_pipeline(spark, before, out, billing_mode="full", as_of=P.AS_OF),
+               run_pipeline(spark, srcs, out, P.T_START, P.T_END, as_of=P.AS_OF)]
+    bad = {k: v for r in results for k, v in r.status.items() if v != "ok"}
+    if bad:
+        raise RuntimeError(f"pipeline steps: {bad}")
+    return results[-1]
+
+
+def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily_runs(spark, sf_dir).read(spark, "dw_user_analytics")
+
+
+def _daily_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (_daily_runs(spark, sf_dir).read(spark, "quarantine")
+            .groupBy("source_table", "issue_type").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,6 +365,8 @@ _RAW.update({
     "dw_with_unknown_customer": _dw_unknown,
     "agg_reconciliation_window": _reconciliation,
     "cdc_apply_customers": _cdc,
+    "pipeline_daily_run": _daily_run,
+    "pipeline_daily_quarantine": _daily_quarantine,
 })
 
 

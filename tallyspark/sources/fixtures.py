@@ -89,7 +89,8 @@ def src_billing_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN k % 101 = 0 THEN CAST(NULL AS STRING) WHEN k % 307 = 0 THEN concat('X', CAST(k AS STRING)) "
         "ELSE CAST(ck AS STRING) END AS customer_id",
         dec2("CASE WHEN v = 1 THEN ac + 1000 ELSE ac END", 12) + " AS amount",
-        "concat(CAST(CASE WHEN v = 1 THEN date_add(d, 1) ELSE d END AS STRING), ' 10:15:00') AS transaction_date",
+        "CASE WHEN k % 89 = 88 AND v = 0 THEN CAST(NULL AS STRING) "
+        "ELSE concat(CAST(CASE WHEN v = 1 THEN date_add(d, 1) ELSE d END AS STRING), ' 10:15:00') END AS transaction_date",
         "CAST(date_add(d, CASE WHEN k % 40 = 0 THEN 5 ELSE 2 END) AS TIMESTAMP_NTZ) "
         "+ INTERVAL '3' HOUR AS ingested_at")
 
@@ -103,12 +104,13 @@ def src_network_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_trunc('SECOND', ts) AS st0", _variants("event_id", 50, 3))
     fmt = "'yyyy-MM-dd HH:mm:ss'"
     return base.selectExpr(
-        "k", "u", "vc", "dur",
+        "k", "u", "vc", "dur", "v",
         "CASE WHEN v = 1 THEN timestampadd(HOUR, 1, st0) ELSE st0 END AS st").selectExpr(
         "CASE WHEN k % 199 = 0 THEN CAST(NULL AS STRING) ELSE CAST(k AS STRING) END AS session_id",
         "CASE WHEN k % 103 = 0 THEN CAST(NULL AS STRING) ELSE CAST(u * 10 + k % 10 AS STRING) END AS customer_id",
-        f"date_format(st, {fmt}) AS start_time",
-        f"date_format(timestampadd(SECOND, dur, st), {fmt}) AS end_time",
+        f"CASE WHEN k % 83 = 82 AND v = 0 THEN CAST(NULL AS STRING) ELSE date_format(st, {fmt}) END AS start_time",
+        f"CASE WHEN k % 79 = 78 THEN CAST(NULL AS STRING) "
+        f"ELSE date_format(timestampadd(SECOND, dur, st), {fmt}) END AS end_time",
         f"CASE WHEN k % 47 = 0 THEN CAST(NULL AS DECIMAL(10,2)) ELSE {dec2('vc * (u % 5)', 10)} END AS data_used_mb",
         f"TIMESTAMP_NTZ'{INGESTED_AT}' AS ingested_at")
 

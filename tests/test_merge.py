@@ -85,3 +85,32 @@ def test_upsert_evaluates_each_side_once(spark, make):
         map(str, make("k int, v string", [(1, "new"), (2, "kept"), (3, "added"), (None, "null")]).collect()))
     plan = upsert(target, new, "k")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan
+
+
+def test_late_older_change_leaves_the_newer_row(spark):
+    from tallyspark import schemas as S
+    from tallyspark.operators.incremental import apply_customer_changes
+    from tallyspark.operators.staging import stage_customers
+    raw = "customer_id string, name string, email string, country string, created_at string, ingested_at timestamp_ntz"
+
+    def feed(*rows):
+        return spark.createDataFrame([(i, n, "a@b.c", None, d, None) for i, n, d in rows], raw)
+    target = stage_customers(feed(("1", "march", "2024-03-01 00:00:00"), ("2", "undated", None),
+                                  ("3", "kept", "2024-01-01 00:00:00")))
+    got = apply_customer_changes(target, feed(("1", "january", "2024-01-01 00:00:00"), ("2", "dated", "2024-01-01 00:00:00"),
+                                              ("4", "added", None)))
+    assert got.columns == S.STG_CUSTOMERS.names
+    assert {r["customer_id"]: r["customer_name"] for r in got.collect()} == {
+        "1": "March", "2": "Dated", "3": "Kept", "4": "Added"}
+
+
+def test_reconciliation_recomputes_recent_days_only(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+    from tallyspark.operators.aggregates import reconcile_daily
+    stored = spark.createDataFrame([("1", dt.date(2024, 1, 1), D(5), 1), ("1", dt.date(2024, 1, 9), D(7), 1), ("1", None, D(2), 1)],
+                                   "customer_id string, day date, revenue decimal(22,2), n bigint")
+    stg = spark.createDataFrame([("1", D(100), dt.datetime(2024, 1, 1, 10)), ("1", D(9), dt.datetime(2024, 1, 9, 10))],
+                                "customer_id string, amount decimal(12,2), transaction_date timestamp")
+    got = {(r["day"], int(r["revenue"])) for r in reconcile_daily(stored, stg, dt.date(2024, 1, 8)).collect()}
+    assert got == {(dt.date(2024, 1, 1), 5), (None, 2), (dt.date(2024, 1, 9), 9)}

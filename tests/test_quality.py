@@ -41,10 +41,10 @@ def test_billing_null_insert_ignores_issue_type(spark, make):
 def test_checks_on_fixture(spark):
     from tallyspark.sources.fixtures import sources
     srcs = sources(spark, "/root/testdata/sf0.001")
-    assert QL.check_null_ids(srcs[P.SRC_BILLING], QL.RULES[P.SRC_BILLING]).count() == 23
+    assert QL.check_null_ids(srcs[P.SRC_BILLING], QL.RULES[P.SRC_BILLING]).count() == 24
     assert QL.duplicate_ids(srcs[P.SRC_SESSIONS], "session_id").count() == 40
     late = QL.late_arrivals(srcs[P.SRC_BILLING])
-    assert late.count() == 34
+    assert late.count() == 36
 
 
 def test_freshness(spark):
@@ -62,5 +62,12 @@ def test_volume_anomaly_counts(spark):
     from tallyspark.operators.staging import stage_billing
     from tallyspark.sources.fixtures import sources
     stg = stage_billing(sources(spark, "/root/testdata/sf0.01")[P.SRC_BILLING])
-    v = QL.volume_anomaly(stg)
-    assert v.count() == 2405 and v.where(F.col("is_anomaly")).count() == 93
+    v = QL.volume_anomaly(stg, P.VOLUME_FIRST_DAY, P.AS_OF.date())
+    assert v.count() == 2405 and v.where(F.col("is_anomaly")).count() == 111
+
+
+def test_volume_calendar_is_bounded(spark):
+    import datetime as dt
+    stg = spark.createDataFrame([(dt.datetime(2024, 1, 1),), (dt.datetime(9999, 12, 30),)], "transaction_date timestamp")
+    days = QL.volume_anomaly(stg, dt.date(2023, 1, 1), dt.date(2024, 2, 1)).collect()
+    assert [r["day"] for r in days] == [dt.date(2024, 1, 1)]
