@@ -77,7 +77,7 @@ _BYTE = mix(np.arange(256, dtype=_U) * _U(0x9E3779B97F4A7C15) + _U(1))[
     np.frombuffer(bytes(range(256)).lower(), np.uint8)]
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x2545F4914F6CDD1D
-CHUNK = 1 << 19                 # bytes hashed at a time; a longer text is a chunk of its own
+CHUNK = 1 << 17                 # bytes hashed at a time; a longer text is a chunk of its own
 
 
 @lru_cache(maxsize=2)
@@ -100,33 +100,44 @@ def _chunks(texts: list[bytes | None]) -> Iterator[list[bytes]]:
         yield part
 
 
-def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> Iterator[np.ndarray]:
-    """For each text the sorted distinct 64-bit hashes of its shingles.
+def hashed(texts: list[bytes | None], size: int = SHINGLE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chunk by chunk: the sorted distinct 64-bit hashes of each text's shingles, one text after the other, and their
+    number for each text.
 
     A word's hash is a polynomial in its bytes, taken from a running sum over the whole chunk.
     """
     for part in _chunks(texts):
         raw = np.frombuffer(b"\n".join(part) + b"\n", np.uint8)
-        n = 1 << max(19, len(raw).bit_length())
-        up, down = _powers(n)
+        up, down = _powers(1 << max(17, len(raw).bit_length()))
         total = np.zeros(len(raw) + 1, _U)
         np.cumsum(_BYTE[raw] * up[:len(raw)], out=total[1:])
         edge = np.flatnonzero(np.diff(np.concatenate([[True], _BLANK[raw]]).view(np.int8)))
         begin, end = edge[0::2], edge[1::2]                  # the last byte is blank: words end
         word = mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(_U))
-        offset = np.cumsum([0] + [len(t) + 1 for t in part])
-        at = np.searchsorted(begin, offset)                  # words before each text
-        long = np.zeros(max(0, len(word) - size + 1), _U)
+        at = np.searchsorted(begin, np.cumsum([0] + [len(t) + 1 for t in part]))   # words before each text
+        words = np.diff(at)
+        long = np.zeros(len(word), _U)                       # of each word, the shingle that it begins
+        inner = max(0, len(word) - size + 1)
         for k in range(size):
-            long += word[k:k + len(long)] * _FACTOR[k]
+            long[:inner] += word[k:k + inner] * _FACTOR[k]
         long = mix(long + _U(size))
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-            if b - a >= size:
-                yield np.unique(long[a:b - size + 1])
-            elif b > a:                                      # too few words: the sequence itself
-                yield mix((word[a:b] * _FACTOR[:b - a]).sum(keepdims=True) + _U(b - a))
-            else:
-                yield np.zeros(0, _U)
+        begins = np.arange(len(word)) + size <= np.repeat(at[1:], words)
+        for i in np.flatnonzero((words > 0) & (words < size)).tolist():            # too few words: the sequence itself
+            few = word[at[i]:at[i + 1]]
+            long[at[i]] = mix((few * _FACTOR[:len(few)]).sum(keepdims=True) + _U(len(few)))[0]
+            begins[at[i]] = True
+        h, first = long[begins], np.concatenate([[0], np.cumsum(begins)])[at]
+        for x, y in zip(first[:-1].tolist(), first[1:].tolist()):
+            h[x:y].sort()
+        new = np.concatenate([[True], h[1:] != h[:-1]])[:len(h)]
+        new[first[:-1][first[:-1] < first[1:]]] = True
+        yield h[new], np.diff(np.concatenate([[0], np.cumsum(new)])[first])
+
+
+def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles."""
+    for h, n in hashed(texts, size):
+        yield from np.split(h, np.cumsum(n)[:-1])
 
 
 def band_of(n: int) -> int:
@@ -144,6 +155,27 @@ def probes_below(n: int) -> bool:
     return n > 1 and 100 * ((1 << band_of(n)) - 1) >= PERCENT * n
 
 
+_SEGMENTS = np.array([segments_in(band) for band in range(48)])
+
+
+def sides_of(h: np.ndarray, n: np.ndarray) -> Iterator[tuple]:
+    """For both sides: the side, which of a chunk's sets have it, their hashes, sizes and bands."""
+    band = np.frexp(n.astype(float))[1].astype(np.int64) - 1
+    below = (n > 1) & (100 * ((1 << np.maximum(band, 0)) - 1) >= PERCENT * n)
+    for side, has in ((OWN, n > 0), (BELOW, below)):
+        yield side, np.flatnonzero(has), h[np.repeat(has, n)], n[has], band[has] - side
+
+
+def chunk_segments(h: np.ndarray, n: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``segment_sums`` of many sets at once: for each segment that is not empty its set, number, sum and size."""
+    of = np.repeat(np.arange(len(n)), n)
+    seg = ((h >> _U(32)) * np.repeat(_SEGMENTS[band].astype(_U), n)) >> _U(32)
+    if not len(h):
+        return of, seg, h, of
+    first = np.flatnonzero(np.concatenate([[True], (seg[1:] != seg[:-1]) | (of[1:] != of[:-1])]))
+    return of[first], seg[first], np.add.reduceat(mix(h + _FACTOR[7]), first), np.diff(np.append(first, len(h)))
+
+
 def segment_sums(h: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each segment that is not empty: its number, the sum of its (mixed) hashes, its size."""
     m = segments_in(band)
@@ -153,8 +185,8 @@ def segment_sums(h: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.n
     return seg[first], sums, np.diff(np.append(first, len(h)))
 
 
-def keys_of(seg: np.ndarray, sums: np.ndarray, band: int) -> np.ndarray:
-    return mix(sums + mix(seg * _U(64) + _U(band)))
+def keys_of(seg: np.ndarray, sums: np.ndarray, band: int | np.ndarray) -> np.ndarray:
+    return mix(sums + mix(seg * _U(64) + np.asarray(band).astype(_U)))
 
 
 def _sides(n: int) -> list[tuple[int, int]]:
@@ -164,18 +196,19 @@ def _sides(n: int) -> list[tuple[int, int]]:
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, sig: digest of the set, n, and for both sides: segments that are not empty)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sig, n, full = [], [], ([], [])
-        for h in shingle_sets(text_bytes(batch.column(1))):
-            sig.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
-            n.append(len(h))
-            counts = [None, None]
-            if len(h):
-                for side, band in _sides(len(h)):
-                    counts[side] = len(segment_sums(h, band)[0])
-            for side in (OWN, BELOW):
-                full[side].append(counts[side])
-        return pa.record_batch([batch.column(0), pa.array(sig, pa.binary()), pa.array(n, pa.int64()),
-                                pa.array(full[0], pa.int32()), pa.array(full[1], pa.int32())],
+        sig, sizes, full = [], [], ([], [])
+        for h, n in hashed(text_bytes(batch.column(1))):
+            last = np.cumsum(n)
+            sig += [hashlib.blake2b(h[x:y].tobytes(), digest_size=16).digest()
+                    for x, y in zip((last - n).tolist(), last.tolist())]
+            sizes.append(n)
+            for side, sets, own, m, band in sides_of(h, n):
+                counts = np.full(len(n), -1)
+                counts[sets] = np.bincount(chunk_segments(own, m, band)[0], minlength=len(sets))
+                full[side].append(counts)
+        own, below = (np.concatenate(x).astype(np.int32) for x in full)
+        return pa.record_batch([batch.column(0), pa.array(sig, pa.binary()), pa.array(np.concatenate(sizes)),
+                                pa.array(own, mask=own < 0), pa.array(below, mask=below < 0)],
                                names=["doc_id", "sig", "n", "full_own", "full_below"])
     return map_arrow(docs, run, "doc_id bigint, sig binary, n bigint, full_own int, full_below int")
 
@@ -184,13 +217,14 @@ def segment_keys(texts: DataFrame) -> DataFrame:
     """(key, id, side) for each segment that is not empty, in the own band and the one below."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, ids, sides = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int8)]
-        for i, h in zip(batch.column(0).to_pylist(), shingle_sets(text_bytes(batch.column(1)))):
-            if len(h):
-                for side, band in _sides(len(h)):
-                    seg, sums, _ = segment_sums(h, band)
-                    keys.append(keys_of(seg, sums, band))
-                    ids.append(np.full(len(seg), i, np.int64))
-                    sides.append(np.full(len(seg), side, np.int8))
+        names, done = batch.column(0).to_numpy(), 0
+        for h, n in hashed(text_bytes(batch.column(1))):
+            for side, sets, own, m, band in sides_of(h, n):
+                of, seg, sums, _ = chunk_segments(own, m, band)
+                keys.append(keys_of(seg, sums, band[of]))
+                ids.append(names[done + sets[of]])
+                sides.append(np.full(len(of), side, np.int8))
+            done += len(n)
         return pa.record_batch([pa.array(np.concatenate(x)) for x in
                                 ([k.view(np.int64) for k in keys], ids, sides)], names=["key", "id", "side"])
     return map_arrow(texts, run, "key bigint, id bigint, side tinyint")
@@ -234,15 +268,24 @@ def deletion_index(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         cols = [[np.zeros(0, t)] for t in (np.int64, np.int64, np.int8, np.int8)]
-        for i, h in zip(batch.column(0).to_pylist(), shingle_sets(text_bytes(batch.column(1)))):
-            for side, band in _sides(len(h)) if len(h) else ():
-                _, keys, _, rests = with_rests(h, band)
-                for kind, k in ((0, keys), (1, rests)):
-                    k = k[in_bitmap(shared.value, k)]
-                    k = k[in_bitmap(shared.value, k << _U(BITMAP_BITS))]
-                    for c, x in zip(cols, (k.view(np.int64), np.full(len(k), i), np.full(len(k), side, np.int8),
-                                           np.full(len(k), kind, np.int8))):
+        names, done = batch.column(0).to_numpy(), 0
+        for h, n in hashed(text_bytes(batch.column(1))):
+            for side, sets, own, m, band in sides_of(h, n):
+                of, seg, sums, size = chunk_segments(own, m, band)
+                many = _SEGMENTS[band]
+                before = np.cumsum(many) - many
+                every = np.zeros(many.sum(), _U)             # segments that are empty have keys too
+                every[before[of] + seg.astype(np.int64)] = sums
+                at = np.repeat(np.arange(len(sets)), many)
+                keys = keys_of((np.arange(len(at)) - before[at]).astype(_U), every, band[at])
+                rests = keys_of(np.repeat(seg, size), np.repeat(sums, size) - mix(own + _FACTOR[7]), np.repeat(band, m))
+                for kind, k, of in ((0, keys, at), (1, rests, np.repeat(np.arange(len(sets)), m))):
+                    some = np.flatnonzero(in_bitmap(shared.value, k))
+                    some = some[in_bitmap(shared.value, k[some] << _U(BITMAP_BITS))]
+                    for c, x in zip(cols, (k[some].view(np.int64), names[done + sets[of[some]]],
+                                           np.full(len(some), side, np.int8), np.full(len(some), kind, np.int8))):
                         c.append(x)
+            done += len(n)
         return pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["key", "y", "y_side", "y_kind"])
     return map_arrow(texts.select("id", "text"), run, "key bigint, y bigint, y_side tinyint, y_kind tinyint")
 
