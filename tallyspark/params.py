@@ -65,3 +65,7 @@ ROW_GATE_MIN_ROWS = 100
 VOLUME_FIRST_DAY = _dt.date(1990, 1, 1)         # calendar of the volume check
 VOLUME_LOOKBACK_DAYS = 7
 VOLUME_SIGMAS = 2
+
+# fixed values: CSV fields that stand for a missing value, besides the empty field
+MISSING_TOKENS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                  "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")

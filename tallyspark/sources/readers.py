@@ -11,7 +11,7 @@ import datetime as dt
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,18 +96,27 @@ def land(spark: SparkSession, name: str, location: str, fmt: str = "csv",
          **options: str) -> DataFrame:
     """Raw source -> declared table (to be written with ``sinks.overwrite``).
 
-    A CSV line whose values do not fit the declared types is an error. With ``keep_corrupt`` it loads with NULLs in those
-    fields and the raw line is kept in ``_corrupt_record`` (NULL for
-    good lines) so the caller can quarantine or count malformed input.
+    CSV fields are read as text; those of ``P.MISSING_TOKENS`` are NULL, the others are cast. A value that does not
+    fit its declared type is an error. With ``keep_corrupt`` it loads as NULL and the line is kept in
+    ``_corrupt_record`` (NULL for good lines) so the caller can quarantine or count malformed input.
     """
     if fmt == "csv":
         header = spark.read.options(**{**CSV_OPTIONS, **options}).csv(location).columns
         wanted = {f.name: f.dataType for f in DECLARED[name].fields}
-        fields = [T.StructField(c, wanted.get(c, T.StringType()), True) for c in header]
+        fields = [T.StructField(c, T.StringType(), True) for c in header]
         if keep_corrupt:
             fields.append(T.StructField(CORRUPT, T.StringType(), True))
             options = {"mode": "PERMISSIVE", "enforceSchema": "true", **options, "columnNameOfCorruptRecord": CORRUPT}
-        raw = read_csv(spark, location, T.StructType(fields), **options)
+        text = read_csv(spark, location, T.StructType(fields), **options)
+        given = {c: F.when(~F.col(c).isin(*P.MISSING_TOKENS), F.col(c)) for c in header}
+        typed = [c for c in header if c in wanted and not isinstance(wanted[c], T.StringType)]
+        if keep_corrupt:
+            bad = reduce(Column.__or__, (given[c].isNotNull() & given[c].try_cast(wanted[c]).isNull() for c in typed),
+                         F.lit(False))
+            line = F.coalesce(F.col(CORRUPT), F.when(bad, F.to_csv(F.struct(*header))))
+            raw = text.select(*(given[c].try_cast(wanted.get(c, T.StringType())).alias(c) for c in header), line.alias(CORRUPT))
+        else:
+            raw = text.select(*(given[c].cast(wanted.get(c, T.StringType())).alias(c) for c in header))
     else:
         raw = read_source(spark, name, location, fmt, **options)
     extra = [F.col(CORRUPT)] if keep_corrupt and CORRUPT in raw.columns else []

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark import params as P
@@ -28,6 +29,21 @@ def test_csv_landing_prunes_casts_stamps_and_keeps_corrupt_lines(spark):
     assert rows["t1"]["ingested_at"] == dt.datetime(2024, 2, 1)
 
 
+def test_csv_missing_tokens_quotes_and_bad_numbers(spark):
+    path = fresh_dir(spark, "raw-billing")
+    _write_lines(spark, path, ["transaction_id,customer_id,amount,transaction_date,currency",
+                               't1,NA,null,"a ""b"" c",NGN', "t2,8,3.5,N/A,NGN"])
+    rows = {r["transaction_id"]: r for r in land(spark, P.SRC_BILLING, path).collect()}
+    assert rows["t1"]["customer_id"] is None and rows["t1"]["amount"] is None
+    assert rows["t1"]["transaction_date"] == 'a "b" c' and rows["t2"]["transaction_date"] is None
+    kept = land(spark, P.SRC_BILLING, path, keep_corrupt=True).collect()
+    assert len(kept) == 2 and all(r["_corrupt_record"] is None for r in kept)
+    bad = fresh_dir(spark, "raw-billing")
+    _write_lines(spark, bad, ["transaction_id,customer_id,amount,transaction_date,currency", "t3,8,abc,x,NGN"])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        land(spark, P.SRC_BILLING, bad).collect()
+
+
 def test_nan_becomes_null_before_decimal_cast(spark):
     raw = spark.createDataFrame([("t1", "1", float("nan"), "2024-01-01 00:00:00"),
                                  ("t2", "1", 3.25, "2024-01-01 00:00:00")],
