@@ -69,7 +69,7 @@ def q4_monthly_trend(monthly: DataFrame) -> DataFrame:
     return (monthly.groupBy("revenue_month")
             .agg(F.sum("monthly_revenue").alias("total_monthly_revenue"),
                  F.count("customer_id").alias("active_customers"))
-            .orderBy("revenue_month"))
+            .orderBy(F.col("revenue_month").asc_nulls_last()))
 
 
 def q5_session_mix(dw: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from tallyspark import schemas as S
 from tallyspark.plans import analytics as Q
 
@@ -36,3 +38,19 @@ def test_session_mix_percentages(spark):
         "pyspark.sql.functions", fromlist=["lit"]).lit(2).cast("bigint"))
     r = Q.q5_session_mix(dw).first()
     assert r["pct_long"] == 66.7 and r["pct_short"] == 0.0
+
+
+def test_order_of_q2_to_q5(spark):
+    as_of, old = dt.datetime(2024, 2, 1), dt.datetime(2020, 1, 1)
+    dw = _dw(spark, [("c", old, 2, "20"), ("b", old, 2, "20"), ("a", old, 3, "20"), ("d", old, 4, "10")]).repartition(3)
+    assert [r[0] for r in Q.q2_churn_risk(dw, as_of).collect()] == ["d", "b", "c", "a"]
+    usage = F.when(F.col("total_revenue") > 5000, 50).otherwise(600).cast("decimal(14,2)")
+    dw3 = _dw(spark, [("low", old, 1, "9000"), ("h1", old, 1, "10"), ("h3", old, 1, "90"), ("h2", old, 1, "90")]) \
+        .withColumn("total_data_used_mb", usage).repartition(3)
+    assert [r[0] for r in Q.q3_revenue_usage_mismatch(dw3).collect()] == ["h2", "h3", "h1", "low"]
+    monthly = spark.createDataFrame([("a", dt.date(2024, 3, 1), Decimal("1")), ("a", dt.date(2023, 12, 1), Decimal("2")),
+                                     ("b", dt.date(2024, 3, 1), Decimal("4")), ("b", None, Decimal("8"))],
+                                    "customer_id string, revenue_month date, monthly_revenue decimal(14,2)").repartition(3)
+    assert [r[0] for r in Q.q4_monthly_trend(monthly).collect()] == [dt.date(2023, 12, 1), dt.date(2024, 3, 1), None]
+    dw5 = dw.withColumn("long_sessions", F.when(F.col("customer_id") == "d", 4).otherwise(0).cast("bigint"))
+    assert [r[0] for r in Q.q5_session_mix(dw5).collect()] == ["d", "a", "b", "c"]
