@@ -6,7 +6,7 @@ version) pairs that the ledger lacks, runs only those, appends them, and joins t
 paths that hold the blob, so a text on a thousand paths or in ten commits is scanned once for each rule
 version. DataFrame functions only.
 
-Spans are in code points, end exclusive. ``split`` by a rule's pattern gives the texts between its leftmost
+Spans are in code points, end exclusive. An assignment counts by the length of its value alone, without keyword and sign. ``split`` by a rule's pattern gives the texts between its leftmost
 non-overlapping matches, ``regexp_extract_all`` the matches; a running sum of their lengths gives the positions.
 
 Results for odd input: a NULL text counts as empty; empty texts have no spans; rows with equal or
@@ -26,21 +26,27 @@ from .common import table, written
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` matches one character at least. ``keep`` is SQL over a match ``m``."""
+    """``pattern`` matches one character at least. ``value``: a pattern whose group 1 is, in a match, the part that
+    must have ``least`` characters; without it every match counts."""
     kind: str
     pattern: str
-    keep: str = "true"
+    value: str = ""
+    least: int = 0
     version: int = 1
 
     @property
     def key(self) -> str:
         return f"{self.kind}@{self.version}"
 
+    def keeps(self, m: Column) -> Column:
+        return F.length(F.regexp_extract(m, self.value, 1)) >= self.least if self.value else F.lit(True)
+
 
 # fixed values of the scan: kinds in the order that breaks ties, patterns, least lengths
+_VALUE = "[A-Za-z0-9+/_.=-]+"
 _ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 RULES = (
-    Rule("assign", _ASSIGN + r"[A-Za-z0-9+/_.=-]+", "length(regexp_extract(m, '([A-Za-z0-9+/_.=-]+)$', 1)) >= 8"),
+    Rule("assign", _ASSIGN + _VALUE, f"^{_ASSIGN}({_VALUE})", 8, version=2),
     Rule("access", "AKIA[A-Z0-9]{12,}"),
     Rule("hex", "[0-9a-f]{32,}"),
     # added to the base kinds
@@ -84,7 +90,7 @@ def scan_blobs(paths: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | No
 
     keep = F.lit(False)
     for r in rules:
-        keep = keep | ((F.col("kind") == r.kind) & F.expr(r.keep))
+        keep = keep | ((F.col("kind") == r.kind) & r.keeps(F.col("m")))
     so_far = Window.partitionBy("blob", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = (scanned.select("blob", F.explode("hits").alias("h"))
              .select("blob", "h.rank", "h.kind", F.posexplode(F.arrays_zip("h.gaps", "h.ms")).alias("i", "z"))
@@ -108,10 +114,12 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     paths = _paths(docs, id_col, text_col)
     added = written(scan_blobs(paths, rules, ledger), "ledger")
     rows = added if ledger is None else ledger.select("blob", "scanned", "spans").unionByName(added)
-    kinds = [r.kind for r in rules]
+    # a row's spans of a kind are those of the version that the row was scanned for
+    passed = [F.when(F.array_contains("scanned", r.key), F.lit(r.kind)) for r in rules]
     found = (rows.filter(F.size("spans") > 0)
-             .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
-             .withColumn("spans", F.filter("spans", lambda s: s["kind"].isin(kinds))))
+             .withColumn("kinds", F.array_compact(F.array(*passed)))
+             .withColumn("spans", F.filter("spans", lambda s: F.array_contains("kinds", s["kind"])))
+             .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")))
     return (paths.select("doc_id", "blob").join(found, "blob", "left")
             .select("doc_id", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans")), added)
 

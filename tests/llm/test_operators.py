@@ -139,6 +139,23 @@ def test_secret_spans_equal_finditer(spark):
     assert masked[5]["text"] == ODD[6][1] and secrets.scan(empty(spark))[0].count() == 0
 
 
+def test_secret_value_is_the_part_after_the_sign(spark):
+    texts = ["token=abc", "api_key=1", "token=abcdefgh", "http://x.org/?token=abc&secret=0", "password=x", "PASSWD: 'a=b=c=d='",
+             "token=token=abc", "secret = 1234567", "api-key=abcdefgh", 'Api_Key":"====AAAA"', "token=abc token=abcdefgh1"]
+    rule = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    want = {k: [(m.start(), m.end()) for m in rule.finditer(t) if len(m[2]) >= 8] for k, t in enumerate(texts)}
+    assert not want[0] and not want[1] and want[2]
+    docs = docs_of(spark, list(enumerate(texts)))
+    spans = lambda found: {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in found.collect()}
+    assert spans(secrets.scan(docs)[0]) == want
+    # what an earlier version of the rule put in the ledger does not count
+    old = docs.selectExpr("sha2(text, 256) AS blob", "array('assign@1') AS scanned",
+                          f"cast(array(struct(0, 0, length(text), 'assign')) AS array<{secrets.SPAN}>) AS spans")
+    assert spans(secrets.scan(docs, old)[0]) == want
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask(docs).collect()}
+    assert masked[0] == "token=abc" and masked[2] == "[SECRET]" and masked[10] == "token=abc [SECRET]"
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme org/", "http://ORG/", "https://a.example.org/es/x", "http://example.org/en/123?x#y",
             "http://example.org", "http://notorg/", "http://x.com/de/", "http://x.com/FR/", "http://b.net/casino/?a=1"]
