@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from .common import split_of, table, text_bytes, written
 
 HELD_OUT = (7, 2)
-SHORT = 512
-CLASSES = 20                    # of the short list; one more for all other tokens
-HIDDEN = 12
+SHORT = 1024
+CLASSES = 32                    # of the short list; one more for all other tokens
+HIDDEN = 16
 WINDOW = 16                     # tokens between updates, and of a scoring window
 STREAMS = 512
 RATE = 0.5

@@ -217,6 +217,13 @@ def test_language_model_gradient_and_normalisation():
     assert abs(total - 1) < 1e-4
 
 
+def test_language_model_short_list_is_not_cut():
+    short = [b"%d" % k for k in range(language_model.SHORT)]
+    v = language_model.Vocabulary(short, [language_model.SHORT - k for k in range(len(short))], 10**6, 10**5)
+    assert len(short) >= 1024 and language_model.CLASSES >= 32 and np.count_nonzero(v.sizes) >= 32
+    assert v.network().p["u"].shape[0] >= 16 and (v.places(short) >= 0).all()
+
+
 def test_language_model_counts(spark):
     rows = ODD + [(k, f"Alpha beta gamma{k}") for k in range(20, 60)]
     got = language_model.log_likelihood(docs_of(spark, rows), language_model.F.col("doc_id") < 40).collect()
