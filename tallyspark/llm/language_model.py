@@ -6,9 +6,11 @@ counts, plus one. The network reads the token before (all others as one), predic
 token within its class by another softmax; so every token has a probability and all of them sum to one, with one
 unknown token counted in.
 
-It is trained by truncated backpropagation in numpy: each partition of the training documents trains the same
-initial network over its own texts, in parallel streams, and the networks are averaged by the tokens they saw. A document is
-scored from its first token to its end token; its state goes from window to window.
+It is trained by truncated backpropagation in numpy. A hash of id and text deals the training documents to blocks of about
+``TRAIN_TOKENS`` tokens, and the blocks to ``ROUNDS`` rounds, or as many as the root of the number of blocks. In a round each block trains the network of the
+round before over its own texts, in parallel streams that hold each token once, and the networks are averaged by the tokens they saw. So what is
+learnt depends on the rows alone, not on files or partitions, and more text gives more updates. A document is scored from its first token to
+its end token; its state goes from window to window.
 
 To look up counts, documents are dealt to blocks of bounded size, and each block gets the counts of its own distinct tokens only; no
 vocabulary is sent to all tasks but the ``SHORT`` tokens.
@@ -22,13 +24,16 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import split_of, table, text_bytes, written
+from ..session import fresh_dir
+from .common import map_arrow, split_of, table, text_bytes, written
 
 HELD_OUT = (7, 2)
 SHORT = 1024
@@ -36,6 +41,11 @@ CLASSES = 32                    # of the short list; one more for all other toke
 HIDDEN = 16
 WINDOW = 16                     # tokens between updates, and of a scoring window
 STREAMS = 512
+LEARN_STREAMS = 256
+UPDATES = 64                    # of a block at least, by fewer streams where it is small
+TRAIN_TOKENS = UPDATES * WINDOW * LEARN_STREAMS
+ROUNDS = 16                     # at least, one block each where there are no more
+CHUNK = 1 << 13                 # parameters averaged in one group
 RATE = 0.5
 BLOCK_BYTES = 12 << 20
 KEPT = 300_000                  # distinct tokens counted before partial counts go out
@@ -56,15 +66,17 @@ class Network:
         self.p = {"x": small(vocab + 2, 3 * h), "u": small(h, 3 * h), "c": small(h, CLASSES + 1),
                   "cb": np.zeros(CLASSES + 1, np.float32), "w": small(CLASSES, h, per_class),
                   "wb": np.zeros((CLASSES, per_class), np.float32)}
+        self.seen = {k: np.full(v.shape, 1e-2, np.float32) for k, v in self.p.items()}      # squared gradients so far
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([v.ravel() for v in self.p.values()])
+        return np.concatenate([v.ravel() for part in (self.p, self.seen) for v in part.values()])
 
     def load(self, flat: np.ndarray) -> "Network":
         at = 0
-        for k, v in self.p.items():
-            self.p[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
-            at += v.size
+        for part in (self.p, self.seen):
+            for k, v in part.items():
+                part[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
         return self
 
     def steps(self, prev: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list]:
@@ -165,10 +177,17 @@ class Vocabulary:
         return np.fromiter(map(self.place.get, toks, repeat(-1)), np.int64, len(toks))
 
 
+def streams_of(flat: np.ndarray, mark: int) -> np.ndarray:
+    """(time, batch): ``flat`` cut into streams, the last one filled with the mark. The first row is the token before each
+    stream, so that every token is predicted once."""
+    n = max(1, min(LEARN_STREAMS, len(flat) // (UPDATES * WINDOW)))
+    rows = np.append(flat, np.full(-len(flat) % n, mark)).reshape(n, -1)
+    return np.column_stack([np.append(mark, rows[:-1, -1]), rows]).T
+
+
 def train(vocab: Vocabulary, streams: np.ndarray, net: Network) -> None:
     """One pass of truncated backpropagation over ``streams`` (time, batch) of places; the state carries over windows."""
     h = np.zeros((streams.shape[1], HIDDEN), np.float32)
-    seen = {k: np.full(v.shape, 1e-2, np.float32) for k, v in net.p.items()}
     other = len(vocab.place)
     for at in range(0, len(streams) - 1, WINDOW):
         part = streams[at:at + WINDOW + 1]
@@ -186,8 +205,8 @@ def train(vocab: Vocabulary, streams: np.ndarray, net: Network) -> None:
         scale = 1 / max(1, int(keep.sum()))
         for k, g in grads.items():
             g *= scale
-            seen[k] += g * g * 100
-            net.p[k] += RATE * g * 10 / np.sqrt(seen[k]) / 10
+            net.seen[k] += g * g * 100
+            net.p[k] += RATE * g * 10 / np.sqrt(net.seen[k]) / 10
         h = states[-1]
 
 
@@ -236,38 +255,62 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def trained(docs: DataFrame, vocab: Vocabulary) -> Network:
-    """The networks that the partitions of ``docs``(text) train, averaged by their tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        net, mark, tokens = v.network(), np.array([v.begin]), 0
-        held: list[np.ndarray] = []
-
-        def learn() -> None:
-            flat = np.concatenate(held)
-            n = max(1, min(STREAMS, len(flat) // (2 * WINDOW)))
-            steps = len(flat) // n
-            train(v, flat[:steps * n].reshape(n, steps).T, net)
-            held.clear()
-        for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                held += [mark, v.places(tokens_of(text))]
-                tokens += len(held[-1])
-            if sum(map(len, held)) > 1 << 20:
-                learn()
-        if held:
-            learn()
-        if tokens:
-            flat = net.flat().astype(np.float64) * tokens
-            yield pa.record_batch([pa.array(np.arange(len(flat) + 1)), pa.array(np.append(flat, tokens))], names=["at", "v"])
-    sums = docs.select("text").mapInArrow(run, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
+def copy_of(net: Network, vocab: Vocabulary) -> Network:
+    """A copy of ``net``, to be trained."""
+    return vocab.network().load(net.flat())
+
+
+def trained_round(part: DataFrame, shared: Broadcast, net: Network) -> Network:
+    """The networks that the blocks of ``part``(block, key, places) make of ``net``, averaged by their tokens."""
+    model = part.sparkSession.sparkContext.broadcast(net)
+
+    def learn(t: pa.Table) -> pa.Table:
+        v, own = shared.value, copy_of(model.value, shared.value)
+        docs = sorted(zip(t.column("key").to_pylist(), t.column("places").to_pylist()))     # not as they came
+        mark = np.array([v.begin], np.int16).tobytes()
+        flat = np.frombuffer(mark + mark.join(places for _, places in docs), np.int16).astype(np.int64)
+        train(v, streams_of(flat, v.begin), own)
+        out = own.flat()
+        at = range(0, len(out), CHUNK)
+        return pa.table([pa.array(range(len(at)), pa.int32()), pa.array([t.column("block")[0].as_py()] * len(at), pa.int64()),
+                         pa.array([len(flat) - len(docs)] * len(at), pa.int64()),
+                         pa.array([out[k:k + CHUNK].tobytes() for k in at], pa.binary())], names=["chunk", "block", "n", "v"])
+
+    def average(t: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(t.column(c).to_pylist() for c in ("block", "n", "v"))))        # sums in the same order
+        total = sum(n for _, n, _ in rows)
+        mean = sum(np.frombuffer(v, np.float32).astype(np.float64) * (n / total) for _, n, v in rows)
+        return pa.table([t.column("chunk").slice(0, 1), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], names=["chunk", "v"])
+    rows = (part.groupBy("block").applyInArrow(learn, "chunk int, block bigint, n bigint, v binary")
+            .groupBy("chunk").applyInArrow(average, "chunk int, v binary").collect())
+    model.unpersist()
+    if not rows:                                                        # no block of this round has a row
+        return net
+    flat = np.frombuffer(b"".join(bytes(r["v"]) for r in sorted(rows, key=lambda r: r["chunk"])), np.float32)
+    return net.load(flat)
+
+
+def trained(docs: DataFrame, vocab: Vocabulary, block_tokens: int = TRAIN_TOKENS) -> Network:
+    """The network after all rounds over ``docs``(doc_id, text)."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(vocab)
+    blocks = 1 + vocab.total // block_tokens
+    rounds = min(blocks, max(ROUNDS, 1 + isqrt(blocks - 1)))
+
+    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
+        places = [shared.value.places(tokens_of(t)).astype(np.int16).tobytes() for t in text_bytes(batch.column(1))]
+        return pa.record_batch([batch.column(0), pa.array(places, pa.binary())], names=["key", "places"])
+    placed = map_arrow(docs.select(F.xxhash64("doc_id", "text"), "text"), place, "key bigint, places binary")
+    block = F.pmod("key", F.lit(blocks))
+    path = fresh_dir(spark, "llm-places")
+    schema = "key bigint, places binary, block bigint, round int"
+    (placed.withColumn("block", block).withColumn("round", (block % rounds).cast("int"))
+     .repartition("round", "block").write.partitionBy("round").parquet(path))
     net = vocab.network()
-    if len(sums):
-        flat = np.zeros(len(sums))
-        flat[sums["at"].to_numpy()] = sums["v"].to_numpy()
-        net.load(flat[:-1] / flat[-1])
+    for k in range(rounds if vocab.total else 0):
+        part = spark.read.schema(schema).parquet(path).filter(F.col("round") == k)
+        # a stated number of tasks: by size, blocks that train side by side would be merged
+        net = trained_round(part.repartition(4 * (1 + blocks // rounds), "block"), shared, net)
     return net
 
 

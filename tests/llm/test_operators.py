@@ -224,6 +224,31 @@ def test_language_model_short_list_is_not_cut():
     assert v.network().p["u"].shape[0] >= 16 and (v.places(short) >= 0).all()
 
 
+def test_language_model_learns_the_same_from_any_layout(spark):
+    rng = random.Random(2)
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(40)))) for k in range(120)] + ODD[:6]
+    toks = [w for _, t in rows for w in language_model.tokens_of((t or "").encode())]
+    short = sorted(set(toks))
+    v = language_model.Vocabulary(short, [toks.count(w) for w in short], len(toks), len(short))
+    nets = [language_model.trained(d, v, 150).flat() for d in
+            (docs_of(spark, rows).repartition(1), docs_of(spark, rows[::-1]).repartition(7, "text"))]
+    assert np.array_equal(*nets) and not np.array_equal(nets[0], v.network().flat())
+    base = language_model.F.lit(True)
+    one, many = ({(r["doc_id"], r["n_tokens"], round(r["score"], 3)) for r in language_model.log_likelihood(docs_of(spark, rows).repartition(n), base).collect()}
+                 for n in (1, 9))
+    assert one == many
+
+
+@pytest.mark.parametrize("n", [1, 3, 700, 5000, 600_000])
+def test_language_model_streams_predict_every_token_once(n):
+    flat = np.append(-7, np.arange(n))                     # a document's mark, then tokens that all differ
+    streams = language_model.streams_of(flat, -7)
+    prev, now = streams[:-1].T.ravel(), streams[1:].T.ravel()
+    assert sorted(now[now != -7].tolist()) == list(range(n))
+    assert all(p == t - 1 or t == 0 and p == -7 for p, t in zip(prev, now) if t != -7)
+    assert streams.shape[1] <= language_model.STREAMS and len(streams) > min(n, language_model.UPDATES * language_model.WINDOW)
+
+
 def test_language_model_counts(spark):
     rows = ODD + [(k, f"Alpha beta gamma{k}") for k in range(20, 60)]
     got = language_model.log_likelihood(docs_of(spark, rows), language_model.F.col("doc_id") < 40).collect()
