@@ -2,7 +2,7 @@
 
 The kernel of two strings sums over all common subsequences of three characters, each weighted by LAMBDA for every
 character that it spans in the one and in the other, divided by both strings' own values, so ``i.d-iot`` still is close to
-``idiot``. Units are words, with marks for their start and end, with and without the punctuation around them, and runs of single
+``idiot``. Units are words, with marks for their start and end, with and without the punctuation around and within them, their parts between it, and runs of single
 characters (``i d i o t``). A unit's features are its kernel values with the landmarks, times the inverse root of the landmarks' own kernel matrix (Nyström); a sentence is as toxic as its worst unit, and a
 text as its worst sentence.
 
@@ -11,8 +11,9 @@ do, and clean words: some of the most frequent ones, and those that are closest
 labelled sentence, chosen anew in some rounds, and from copies of the toxic ones with a character put in.
 
 At most ``max_toxic`` and ``max_clean`` labelled documents are learnt from (those with the smallest hash of their id).
-A unit that holds less than ``SHARED`` of every toxic landmark's neighbouring characters (in order, two others between them at most), or is longer than twice the landmark and
-two, or shorter than three fifths of it, is not put through the kernel: it counts as clean.
+A long unit is cut into pieces first, wide and narrow ones that overlap, and is as toxic as its worst piece. A piece that holds less than
+``SHARED`` of every toxic landmark's neighbouring characters (in order, two others between them at most), or is longer than three times the
+landmark, or shorter than three fifths of it, is not put through the kernel: it counts as clean.
 
 Results for odd input: NULL and empty texts have no unit and get the score of clean ones; without labels of both
 classes every score is 0; several labels of a doc_id each count; rows with equal or NULL ids give a row each, and those
@@ -38,12 +39,15 @@ MAX_TOXIC, MAX_CLEAN = 1_500, 3_000
 THRESHOLD = 0.3
 LAMBDA = 0.6
 WIDTH = 24                      # a longer unit is cut into windows that overlap by half
+NARROW = 12                     # and any longer than this into such windows too, for short words glued to others
 LANDMARKS = 110
 CLEAN_LANDMARKS = 20
-SHARED = 0.85
-CLEAN_KEPT = 1_200_000            # clean units remembered per worker
+SHARED = 0.7
+CLEAN_KEPT = 1_200_000            # units far from all landmarks remembered per worker
+NEAR_KEPT = 400_000               # margins of others remembered per worker
 _SENTENCE = re.compile(r"[\n.!?]+\s")
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_INNER = re.compile("[" + re.escape(_EDGE) + "]+")
 _SPELT = re.compile(r"(?<!\S)\S(?:[ \t]\S(?!\S)){2,}")
 
 
@@ -53,20 +57,29 @@ def sentences(text: str) -> list[str]:
 
 
 def units(text: str) -> set[str]:
-    """Distinct lower-case words, also without punctuation around them, and runs of three single characters or
-    more as one word."""
+    """Distinct lower-case words, also without punctuation around them; where some is within, without that too, and
+    its parts of three characters or more; and runs of three single characters or more as one word."""
     text = text.lower()
     out = set(text.split())
-    out.update([w.strip(_EDGE) for w in out if not w.isalpha()])
+    bare = {w.strip(_EDGE) for w in out if not w.isalpha()}
+    out |= bare
+    for w in bare:
+        if not w.isalnum():
+            parts = _INNER.split(w)
+            out.add("".join(parts))
+            out.update([p for p in parts if len(p) > 2])
     if _SPELT.search(text):
         out.update("".join(m[0].split()) for m in _SPELT.finditer(text))
     out.discard("")
     return out
 
 
-def windows(unit: str) -> list[str]:
+def pieces(unit: str) -> list[str]:
+    """The unit with its marks, or windows of it, and narrower windows."""
     u = f"^{unit}$"
-    return [u[k:k + WIDTH] for k in range(0, max(1, len(u) - WIDTH // 2), WIDTH // 2)]
+    if len(u) <= NARROW + 2:
+        return [u]
+    return list(dict.fromkeys(u[k:k + w] for w in (WIDTH, NARROW) for k in range(0, max(1, len(u) - w // 2), w // 2)))
 
 
 def codes(strings: list[str], width: int) -> np.ndarray:
@@ -142,15 +155,15 @@ class Model:
     def margin(self, strings: list[str]) -> np.ndarray:
         return self.features(strings) @ self.w + self.b
 
-    def near(self, names: list[str]) -> np.ndarray:
-        """Which units hold enough of a toxic landmark's neighbouring characters, in order."""
-        if not names:
+    def near(self, cut: list[str]) -> np.ndarray:
+        """Which pieces hold enough of a toxic landmark's neighbouring characters, in order."""
+        if not cut:
             return np.zeros(0, bool)
-        masks, size = pair_masks(names, 3), np.array([len(s) for s in names])
-        out = np.zeros(len(names), bool)
+        masks, size = pair_masks(cut, 3), np.array([len(s) - s.startswith("^") - s.endswith("$") for s in cut])
+        out = np.zeros(len(cut), bool)
         for want, n in zip(self.masks, self.sizes):
             both = np.bitwise_count(masks & want).sum(1)
-            out |= (both >= SHARED * np.bitwise_count(want).sum()) & (size <= 2 * n + 2) & (size >= 0.6 * n)
+            out |= (both >= SHARED * np.bitwise_count(want).sum()) & (size <= 3 * n) & (size >= 0.6 * n)
         return out
 
     def score(self, margin: np.ndarray) -> np.ndarray:
@@ -201,18 +214,18 @@ def fit(rows: list[tuple[list[set[str]], int]]) -> Model | None:
     common = Counter(u for (s, label) in rows if not label for u in set().union(*s) if len(u) > 1)
     first = Model(toxic, [])
     rivals = [u for u, n in common.most_common(20_000) if n > 2 and len(u) <= WIDTH - 2 and f"^{u}$" not in set(toxic)]
-    rivals = [u for u, k in zip(rivals, first.near(rivals)) if k]
+    rivals = [u for u, k in zip(rivals, first.near([f"^{u}$" for u in rivals])) if k]
     close = kernel([f"^{u}$" for u in rivals], toxic).max(1) if rivals else np.zeros(0)
     rivals = [rivals[i] for i in np.argsort(-close, kind="stable")[:CLEAN_LANDMARKS]]
     often = [u for u, _ in common.most_common(CLEAN_LANDMARKS // 2) if u not in rivals and len(u) <= WIDTH - 2]
     model = Model(toxic, [f"^{u}$" for u in rivals + often])
-    names = sorted({u for s, _ in rows for sent in s for u in sent})
+    names = sorted({f"^{u}$" for s, _ in rows for sent in s for u in sent if len(u) <= WIDTH - 2})
     names = [u for u, k in zip(names, model.near(names)) if k]
     place = {u: i for i, u in enumerate(names)}
-    is_toxic = np.isin(np.array([f"^{u}$" for u in names], object), toxic)
-    feats = np.concatenate([model.features([windows(u)[0] for u in names[k:k + 4096]]) for k in range(0, len(names), 4096)])
+    is_toxic = np.isin(np.array(names, object), toxic)
+    feats = np.concatenate([model.features(names[k:k + 4096]) for k in range(0, len(names), 4096)])
     score = is_toxic.astype(float)                                          # before the first round
-    known = [(label, [[place[u] for u in sent if u in place] for sent in s]) for s, label in rows]
+    known = [(label, [[place[f"^{u}$"] for u in sent if f"^{u}$" in place] for sent in s]) for s, label in rows]
     rng = np.random.default_rng(7)
     for turn in range(3):
         pos, neg = set(), Counter()
@@ -229,7 +242,7 @@ def fit(rows: list[tuple[list[set[str]], int]]) -> Model | None:
         neg = {i for i in {*neg, *first} if i not in pos}
         bent = []                                                           # a character put into toxic units
         for i in sorted(pos):
-            u = names[i]
+            u = names[i][1:-1]
             for _ in range(3):
                 k = int(rng.integers(1, max(2, len(u))))
                 bent.append(f"^{u[:k]}{'*.-_x'[int(rng.integers(5))]}{u[k:]}$"[:WIDTH])
@@ -245,24 +258,31 @@ def fit(rows: list[tuple[list[set[str]], int]]) -> Model | None:
     return model
 
 
-_CLEAN: dict[str, set[str]] = {}                    # per Python worker and model
+_SEEN: dict[str, tuple[set[str], dict[str, float]]] = {}     # per Python worker and model
 
 
-def text_margins(model: Model, clean: set[str], texts: list[str | None]) -> np.ndarray:
-    """The worst unit of each text; -2 if none comes near a landmark. ``clean`` remembers units that are far."""
-    own = [units(t or "") - clean for t in texts]
-    names = list(set().union(*own))
-    near = model.near(names)
-    clean.update([u for u, k in zip(names, near) if not k][:max(0, CLEAN_KEPT - len(clean))])
-    names = [u for u, k in zip(names, near) if k]
-    place = {u: i for i, u in enumerate(names)}
-    cut = [windows(u) for u in names]
+def unit_margins(model: Model, names: list[str]) -> np.ndarray:
+    """The worst piece of each unit; -2 if none comes near a landmark."""
+    cut = [pieces(u) for u in names]
+    flat, of = [p for c in cut for p in c], np.repeat(np.arange(len(names)), [len(c) for c in cut])
+    near = np.flatnonzero(model.near(flat))
     worst = np.full(len(names), -2.0)
-    if names:
-        np.maximum.at(worst, np.repeat(np.arange(len(names)), [len(c) for c in cut]),
-                      np.clip(model.margin([w for c in cut for w in c]), -2, 2))
-    clean.update([u for u, m in zip(names, worst) if m <= -1.2][:max(0, CLEAN_KEPT - len(clean))])
-    return np.array([max([worst[place[u]] for u in mine if u in place], default=-2.0) for mine in own])
+    if len(near):
+        np.maximum.at(worst, of[near], np.clip(model.margin([flat[k] for k in near]), -2, 2))
+    return worst
+
+
+def text_margins(model: Model, seen: tuple[set[str], dict[str, float]], texts: list[str | None]) -> np.ndarray:
+    """The worst unit of each text; -2 if none comes near a landmark. ``seen`` remembers the units that are far, and
+    the margins of others."""
+    far, known = seen
+    own = [units(t or "") - far for t in texts]
+    names = [u for u in set().union(*own) if u not in known]
+    new = dict(zip(names, unit_margins(model, names).tolist()))
+    out = np.array([max([known[u] if u in known else new[u] for u in mine], default=-2.0) for mine in own])
+    far.update([u for u, m in new.items() if m <= -2][:max(0, CLEAN_KEPT - len(far))])
+    known.update([x for x in new.items() if x[1] > -2][:max(0, NEAR_KEPT - len(known))])
+    return out
 
 
 def scored(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> DataFrame:
@@ -290,11 +310,11 @@ def scored(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_c
         if m is None:
             score = np.zeros(batch.num_rows)
         else:
-            if key not in _CLEAN:
-                _CLEAN.clear()
-            clean = _CLEAN.setdefault(key, set())
+            if key not in _SEEN:
+                _SEEN.clear()
+            seen = _SEEN.setdefault(key, (set(), {}))
             texts = batch.column(1).to_pylist()
-            score = m.score(np.concatenate([text_margins(m, clean, texts[k:k + 500]) for k in range(0, len(texts), 500)]))
+            score = m.score(np.concatenate([text_margins(m, seen, texts[k:k + 500]) for k in range(0, len(texts), 500)]))
         return pa.record_batch([batch.column(0), pa.array(score)], names=["doc_id", "score"])
     return map_arrow(base, run, "doc_id bigint, score double")
 

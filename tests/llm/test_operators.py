@@ -287,6 +287,17 @@ def test_toxicity_kernel():
     assert "idiot" in toxicity.units("you I D I O T!")or "idiot!" in toxicity.units("you I D I O T!") or "idiot" in toxicity.units("an i d i o t here")
 
 
+def test_toxicity_filter_lets_bent_forms_through():
+    m = toxicity.Model(["^idiot$", "^trash$"], ["^there$"])
+    bent = ["t..r..a..s..h", "i..d..i..o..t", "you-idiot-go-away-now", "youaresuchanidiotsogoawaynow", "you_trash_you", "idot", "idiiot"]
+    assert all(m.near(toxicity.pieces(u)).any() for u in bent) and not m.near(toxicity.pieces("wonderful")).any()
+    m.w[:2] = 1.0
+    seen = (set(), {})
+    first, again = (toxicity.text_margins(m, seen, [*bent, "a wonderful day", None]) for _ in range(2))
+    assert np.array_equal(first, again) and (first[:-2] > -2).all() and (first[-2:] == -2).all()
+    assert len(toxicity.pieces("x" * 5000)) < 10 and toxicity.pieces("idiot") == ["^idiot$"]
+
+
 def test_language_identification(spark):
     got = {r["doc_id"]: r for r in langid.identify(docs_of(spark, ODD)).collect()}
     assert got[1]["lang_pred"] == got[2]["lang_pred"] == "und" and got[4]["lang_pred"] == "en"
