@@ -25,6 +25,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dense_ids(df: DataFrame, name: str, id_col: str = "id") -> tuple[DataFrame, int]:
+    """``df`` with ``id_col`` from 1 to its number of rows, and that number.
+
+    Rows are numbered within partitions and written; offsets come from one count for each partition."""
+    rows = written(df.withColumn("numbered", F.monotonically_increasing_id()), name)
+    part = F.shiftright("numbered", 33)
+    sizes = sorted(map(tuple, rows.groupBy(part.alias("p")).count().collect()))
+    offsets, total = [], 0
+    for p, n in sizes:
+        offsets.append((p, total))
+        total += n
+    spark = df.sparkSession
+    before = F.broadcast(spark.createDataFrame(offsets, "numbered_part bigint, numbered_before bigint"))   # a row a partition
+    out = (rows.join(before, part == F.col("numbered_part"))
+           .withColumn(id_col, F.col("numbered_before") + F.col("numbered").bitwiseAND((1 << 33) - 1) + 1)
+           .drop("numbered", "numbered_part", "numbered_before"))
+    return out, total
+
+
 def split_of(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts`` (NULL ids count as the empty text)."""
     text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))

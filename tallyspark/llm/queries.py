@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, decontaminate, jaccard_join, langid, language_model, pivot_search,
+from . import (byte_bpe, collocations, decontaminate, jaccard_join, langid, language_model, pivot_search,
                quality, secrets, toxicity, url_filter)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_language_model": language_model.op8_language_model,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op12_collocations": collocations.op12_collocations,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op5_pivot_search": pivot_search.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
+    "op12_collocations": collocations.ORACLE,
 }
