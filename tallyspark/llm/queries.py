@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, collocations, decontaminate, jaccard_join, langid, language_model, pivot_search,
+from . import (byte_bpe, collocations, decontaminate, jaccard_join, langid, language_model, lexical_search, pivot_search,
                quality, secrets, toxicity, url_filter)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
     "op12_collocations": collocations.op12_collocations,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op6_secret_scan": secrets.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
     "op12_collocations": collocations.ORACLE,
+    "op13_lexical_search": lexical_search.ORACLE,
 }
