@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, collocations, decontaminate, jaccard_join, langid, language_model, lexical_search, pivot_search,
-               quality, secrets, toxicity, url_filter)
+from . import (byte_bpe, collocations, decontaminate, jaccard_join, langid, language_model, lexical_search,
+               personal_data, pivot_search, quality, secrets, toxicity, url_filter)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_language_model": language_model.op8_language_model,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op11_personal_data": personal_data.op11_personal_data,
     "op12_collocations": collocations.op12_collocations,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
