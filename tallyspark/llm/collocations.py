@@ -5,8 +5,8 @@ bits: the packed integer can always be had back. Its top bits name the shard, th
 as remainder, so a filter is lossless: a bit vector of run lengths (the quotients), full remainders, and counters of one byte
 with an overflow list. Entries are sorted by the permuted value, so filters of a shard merge as sorted runs.
 
-*Passes.* Texts become chunks of word codes with a dictionary each; the words' counts are summed, and those frequent enough get dense ids.
-Then, for n = 2 to 5, each chunk builds a filter for each shard over its n-grams, the shards merge all chunks' filters, and send every chunk those
+*Passes.* Texts become chunks of word codes with a dictionary each; shards of words add the counts up, and give those frequent enough an id that is
+unique in the language: the shard, then a running number. Then, for n = 2 to 5, each chunk builds a filter for each shard over its n-grams, the shards merge all chunks' filters, and send every chunk those
 of its n-grams that are frequent. An n-gram is counted only where its two (n-1)-grams are frequent, which loses
 nothing, as no phrase is more frequent than its parts. A chunk holds about ``CHUNK`` words of one language and a shard about ``SHARD`` counters, whatever the
 input; a very frequent n-gram is one counter in each chunk.
@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import re
 import struct
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import dense_ids, map_arrow, mix, table, text_bytes, written
+from .common import map_arrow, mix, table, text_bytes, written
 
 LEAST = 100                     # occurrences of a candidate
 LONGEST = 5
@@ -255,6 +257,66 @@ def chunks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "chunk bigint, lang string, words array<binary>, counts array<bigint>, codes binary")
 
 
+WORDS = "chunk bigint, lang string, bits int, shard bigint, words array<binary>, codes binary, numbers binary"
+
+
+def _words_table(rows: list[tuple]) -> pa.Table:
+    cols = list(zip(*rows)) or [()] * 7
+    kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=["chunk", "lang", "bits", "shard", "words", "codes", "numbers"])
+
+
+def word_shards(parts: DataFrame) -> DataFrame:
+    """Each chunk's dictionary, dealt to its language's shards by a hash: words, their codes in the chunk, their counts."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for chunk, lang, bits, words, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "lang", "bits", "words", "counts"))):
+            of = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) >> (32 - bits)
+            order = np.argsort(of, kind="stable")
+            counts = np.array(counts, np.int64)
+            for own in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+                rows.append((chunk, lang, bits, int(of[own[0]]), [words[i] for i in own.tolist()], (own + 1).astype("<i4").tobytes(), counts[own].tobytes()))
+        return _words_table(rows).combine_chunks().to_batches()[0] if rows else None
+    return map_arrow(parts, run, WORDS)
+
+
+def frequent_words(shards: DataFrame, least: int) -> DataFrame:
+    """Of each shard the words with ``least`` occurrences or more: all with their counts (chunk -1), and for each chunk the codes and the running
+    numbers of those that it holds."""
+    def run(t: pa.Table) -> pa.Table:
+        total: dict[bytes, int] = defaultdict(int)
+        held = list(zip(*(t.column(c).to_pylist() for c in ("chunk", "words", "codes", "numbers"))))
+        lang, bits, shard = (t.column(c)[0].as_py() for c in ("lang", "bits", "shard"))
+        for _, words, _, counts in held:
+            for w, c in zip(words, np.frombuffer(counts, np.int64).tolist()):
+                total[w] += c
+        number = {w: k for k, w in enumerate((w for w, c in total.items() if c >= least), 1)}
+        if not number:
+            return _words_table([])
+        rows = [(-1, lang, bits, shard, list(number), None, np.array([total[w] for w in number], np.int64).tobytes())]
+        for chunk, words, codes, _ in held:
+            own = np.fromiter((number.get(w, 0) for w in words), np.int64, len(words))
+            has = own > 0
+            if has.any():
+                rows.append((chunk, lang, bits, shard, None, np.frombuffer(codes, "<i4")[has].tobytes(), own[has].tobytes()))
+        return _words_table(rows)
+    return shards.groupBy("lang", "shard").applyInArrow(run, WORDS)
+
+
+def spelling(frequent: DataFrame, low_bits: int) -> DataFrame:
+    """(lang, id, word, c) of all frequent words."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        langs, ids, words, counts = [], [], [], []
+        for lang, shard, own, c in zip(*(batch.column(x).to_pylist() for x in ("lang", "shard", "words", "numbers"))):
+            langs += [lang] * len(own)
+            words += own
+            ids.append((shard << low_bits) + np.arange(1, len(own) + 1))
+            counts.append(np.frombuffer(c, np.int64))
+        return pa.record_batch([pa.array(langs, pa.string()), pa.array(np.concatenate(ids)), pa.array(words, pa.binary()),
+                                pa.array(np.concatenate(counts))], names=["lang", "id", "word", "c"])
+    return map_arrow(frequent.filter("chunk = -1").select("lang", "shard", "words", "numbers"), run, "lang string, id bigint, word binary, c bigint")
+
+
 def windows(ids: np.ndarray, n: int) -> np.ndarray:
     """Where n words follow each other without a break."""
     ok = ids > 0
@@ -292,19 +354,18 @@ def _counted(chunk: int, lang: str, bits: int, ids: np.ndarray, at: np.ndarray,
                     names=["chunk", "lang", "bits", "shard", "body"])
 
 
-def first_filters(parts: DataFrame, known: DataFrame, id_bits: int) -> DataFrame:
-    """Filters of the 2-grams of frequent words: ``parts``(chunk, lang, bits, codes) with ``known``(chunk, code, id)."""
+def first_filters(parts: DataFrame, known: DataFrame, id_bits: int, low_bits: int) -> DataFrame:
+    """Filters of the 2-grams of frequent words: ``parts``(chunk, lang, bits, codes) with ``known``(chunk, shard, codes, numbers)."""
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        bodies, rows = a.column("codes").to_pylist(), []
-        if not bodies:
+        bodies = a.column("codes").to_pylist()
+        if not bodies or not b.num_rows:
             return _nothing(COUNTED)
         codes = np.frombuffer(bodies[0], np.int32)
         ids = np.zeros(int(codes.max()) + 1, np.int64)
-        ids[b.column("code").to_numpy()] = b.column("id").to_numpy()
-        seq = ids[codes]
-        bits = a.column("bits")[0].as_py()
-        rows = _counted(a.column("chunk")[0].as_py(), a.column("lang")[0].as_py(), bits, seq, windows(seq, 2), Layout(2, id_bits, bits))
-        return rows
+        for shard, own, numbers in zip(*(b.column(c).to_pylist() for c in ("shard", "codes", "numbers"))):
+            ids[np.frombuffer(own, "<i4")] = (shard << low_bits) + np.frombuffer(numbers, np.int64)
+        seq, bits = ids[codes], a.column("bits")[0].as_py()
+        return _counted(a.column("chunk")[0].as_py(), a.column("lang")[0].as_py(), bits, seq, windows(seq, 2), Layout(2, id_bits, bits))
     return parts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, COUNTED)
 
 
@@ -375,24 +436,26 @@ def listed(frequent: DataFrame, n: int, id_bits: int) -> DataFrame:
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, lang_col: str = "lang",
                   text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame] | None:
-    """(lang, g, a) of all phrases of 1 to ``longest`` words with ``least`` occurrences; (id, lang, word) of their words;
-    (lang, n) of all words. None if there is no phrase of two words or more."""
+    """(lang, g, a) of all phrases of 1 to ``longest`` words with ``least`` occurrences; (lang, id, word) of their words;
+    (lang, n) of all words. None if no word is frequent."""
     base = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     made = written(chunks(base), "chunks")
-    each = made.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w")) \
-        .select("chunk", "lang", F.col("pos").alias("pos"), F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    words = each.groupBy("lang", "word").agg(F.sum("c").alias("c"))
-    vocabulary, size = dense_ids(words.filter(F.col("c") >= least), "vocabulary")
-    if not size:
-        return None
     totals = written(made.select("lang", F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y).alias("n"))
                      .groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    shard_bits = totals.select("lang", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / SHARD))).cast("int").alias("bits"))
-    id_bits = int(size).bit_length()
-    known = each.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]) \
-        .select(F.col("chunk").alias("chunk"), (F.col("pos") + 1).alias("code"), "id")
+    bits = totals.select("lang", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / SHARD))).cast("int").alias("bits"))
+    dealt = written(word_shards(made.join(bits, "lang").select("chunk", "lang", "bits", "words", "counts")), "word-shards")
+    known = written(frequent_words(dealt, least), "frequent-words")
+    most, top_bits = known.filter("chunk = -1").agg(F.max(F.size("words")), F.max("bits")).first()
+    if most is None:
+        return None
+    low_bits = int(most).bit_length()
+    id_bits = low_bits + top_bits
+    if id_bits > 32:
+        raise ValueError(f"word ids of {id_bits} bits: phrases are written with 4 bytes a word")
+    vocabulary = written(spelling(known, low_bits), "vocabulary")
     found = [vocabulary.select("lang", F.unhex(F.lpad(F.hex("id"), 8, "0")).alias("g"), F.col("c").alias("a"))]
-    filters = written(first_filters(made.join(shard_bits, "lang").select("chunk", "lang", "bits", "codes"), known, id_bits), "filters")
+    filters = written(first_filters(made.join(bits, "lang").select("chunk", "lang", "bits", "codes"), known.filter("chunk >= 0")
+                                    .select(F.col("chunk").alias("chunk"), "shard", "codes", "numbers"), id_bits, low_bits), "filters")
     for n in range(2, longest + 1):
         frequent = written(merged(filters.filter("shard >= 0"), n, id_bits, least), "frequent")
         found.append(listed(frequent, n, id_bits))
@@ -415,15 +478,14 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     size = F.expr("cast(octet_length(g) div 4 as int)")
     phrases = counts.withColumn("m", size).filter("m > 1")
     # a phrase goes if one that is a word longer occurs as often; longer ones still then do, too, or not at all
-    around = phrases.filter("m > 2").select(F.explode(F.array(F.expr("substring(g, 1, 4 * m - 4)"), F.expr("substring(g, 5, 4 * m - 4)"))).alias("g"), "a") \
-        .groupBy("g").agg(F.max("a").alias("longer"))
-    stay = phrases.join(around, "g", "left").filter("longer is null or 100 * longer < 100 * a").select("lang", "g", "a", "m")
+    around = phrases.filter("m > 2").select("lang", F.explode(F.array(F.expr("substring(g, 1, 4 * m - 4)"), F.expr("substring(g, 5, 4 * m - 4)"))).alias("g"), "a") \
+        .groupBy("lang", "g").agg(F.max("a").alias("longer"))
+    stay = phrases.join(around, ["lang", "g"], "left").filter("longer is null or 100 * longer < 100 * a").select("lang", "g", "a", "m")
     cuts = stay.select("lang", "g", "a", F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k")) \
         .select("lang", "g", "a", "k", F.expr("substring(g, 1, 4 * k)").alias("gl"), F.expr("substring(g, 4 * k + 1)").alias("gr"))
-    part = counts.select(F.col("g").alias("part"), F.col("a").alias("f"))
     wide = "decimal(38,0)"
-    scored = (cuts.join(part.withColumnRenamed("f", "l"), F.col("gl") == F.col("part")).drop("part")
-              .join(part.withColumnRenamed("f", "r"), F.col("gr") == F.col("part")).drop("part")
+    scored = (cuts.join(counts.select("lang", F.col("g").alias("gl"), F.col("a").alias("l")), ["lang", "gl"])
+              .join(counts.select("lang", F.col("g").alias("gr"), F.col("a").alias("r")), ["lang", "gr"])
               .join(totals, "lang")
               .withColumn("score", F.expr(f"cast(1000 as {wide}) * a * n div (cast(l as {wide}) * r)"))
               .groupBy("lang", "g", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("low"))
@@ -436,12 +498,12 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     wanted = (bands.withColumn("before", F.coalesce(F.sum("count").over(above), F.lit(0))).filter(F.col("before") < top)
               .groupBy("lang").agg(F.min("band").alias("least_band")))
     first = scored.join(wanted, "lang").filter(band >= F.col("least_band")).drop("least_band")
-    spelt = (first.select("g", F.posexplode(F.expr("transform(sequence(1, cast(octet_length(g) div 4 as int)), i -> substring(g, 4 * i - 3, 4))")).alias("pos", "w"))
-             .withColumn("id", F.conv(F.hex("w"), 16, 10).cast("bigint")).join(vocabulary.select("id", "word"), "id")
-             .groupBy("g").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("word").cast("string").alias("word")))).alias("ws"))
-             .select("g", F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("phrase")))
+    spelt = (first.select("lang", "g", F.posexplode(F.expr("transform(sequence(1, cast(octet_length(g) div 4 as int)), i -> substring(g, 4 * i - 3, 4))")).alias("pos", "w"))
+             .withColumn("id", F.conv(F.hex("w"), 16, 10).cast("bigint")).join(vocabulary.select("lang", "id", "word"), ["lang", "id"])
+             .groupBy("lang", "g").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("word").cast("string").alias("word")))).alias("ws"))
+             .select("lang", "g", F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("phrase")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (first.join(spelt, "g").withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= top)
+    return (first.join(spelt, ["lang", "g"]).withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= top)
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 
