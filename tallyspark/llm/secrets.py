@@ -177,7 +177,7 @@ p AS (SELECT doc_id, rank, kind, m[i] AS m,
              list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
       FROM f),
 k AS (SELECT doc_id, rank, kind, CAST(s AS BIGINT) AS s, CAST(s + length(m) AS BIGINT) AS e FROM p
-      WHERE kind <> 'assign' OR length(regexp_extract(m, '([A-Za-z0-9+/_.=-]+)$', 1)) >= 8),
+      WHERE kind <> 'assign' OR length(regexp_extract(m, '{RULES[0].value.replace("'", "''")}', 1)) >= {RULES[0].least}),
 a AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
              count(*) FILTER (kind = 'hex') AS n_hex,
              string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base,

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -127,7 +128,7 @@ def test_secret_spans_equal_finditer(spark):
         t, spans = t or "", []
         for rank, r in enumerate(secrets.RULES):
             for m in re.finditer(r.pattern, t):
-                if r.kind != "assign" or len(re.search(r"[A-Za-z0-9+/_.=-]+$", m[0])[0]) >= 8:
+                if not r.value or len(re.search(r.value, m[0])[1]) >= r.least:
                     spans.append((m.start(), rank, m.end(), r.kind))
         want.add((i, tuple(sorted(spans))))
     assert {(r["doc_id"], tuple(map(tuple, r["spans"]))) for r in found.collect()} == want
@@ -148,6 +149,12 @@ def test_secret_value_is_the_part_after_the_sign(spark):
     docs = docs_of(spark, list(enumerate(texts)))
     spans = lambda found: {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in found.collect()}
     assert spans(secrets.scan(docs)[0]) == want
+    # the query's SQL, too
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    got = {r[0]: (r[1], r[5]) for r in con.sql(secrets.ORACLE).fetchall()}
+    assert got == {k: (len(v), ",".join(f"assign:{s}:{e}" for s, e in v)) for k, v in want.items()}
     # what an earlier version of the rule put in the ledger does not count
     old = docs.selectExpr("sha2(text, 256) AS blob", "array('assign@1') AS scanned",
                           f"cast(array(struct(0, 0, length(text), 'assign')) AS array<{secrets.SPAN}>) AS spans")
