@@ -42,7 +42,7 @@ def test_fixture_properties(spark):
     rev = st.agg_user_revenue.agg(F.sum("total_revenue")).first()[0]
     monthly = st.agg_monthly_revenue.agg(F.sum("monthly_revenue")).first()[0]
     staged = st.stg_billing.agg(F.sum("amount")).first()[0]
-    assert rev == monthly == staged == Decimal("1225412.23")      # FIXTURES.md section 3
+    assert rev == monthly == staged == Decimal("1342875.44")      # FIXTURES.md section 3
     dist = st.agg_session_distribution.join(A.agg_user_usage(st.stg_sessions), "customer_id")
     assert dist.where(F.col("short_sessions") + F.col("medium_sessions") + F.col("long_sessions")
                       != F.col("total_sessions")).count() == 0

@@ -4,12 +4,16 @@ import pytest
 
 from .oracle_check import compare
 
+#: Queries that SQL cannot express; each has a brute-force test instead.
+WITHOUT_SQL = {"op2_toxicity", "op4_langid", "op7_quality", "op8_language_model", "op9_byte_bpe", "op11_personal_data", "pipeline"}
+
 
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001"])
 def test_all_queries_match_oracle(spark, sf_dir):
     res = compare(spark, sf_dir, verbose=False)
-    bad = {k: v for k, v in res.items() if v[0] not in ("ok",)}
-    assert not bad, bad
+    wrong = {k: v for k, v in res.items() if v[0] not in ("ok", "no-oracle")}
+    assert not wrong, "\n".join(f"{k}: {v}" for k, v in wrong.items())
+    assert {k for k, v in res.items() if v[0] == "no-oracle"} <= WITHOUT_SQL
 
 
 def test_entry_smoke(spark):

@@ -61,5 +61,5 @@ def test_iso_window_reaches_the_parquet_scan(spark):
     assert "LessThan(transaction_date,1998-06-01)" in p
     plain = stage_billing_window(landed, P.T_START, P.T_END)
     iso = stage_billing_window(landed, P.T_START, P.T_END, iso_text=True)
-    assert plain.exceptAll(iso).count() == 0 and iso.count() == plain.count() == 30
+    assert plain.exceptAll(iso).count() == 0 and iso.count() == plain.count() == 32
     assert dt.date(1998, 5, 1) == P.T_START and F is not None
