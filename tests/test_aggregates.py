@@ -47,7 +47,7 @@ def test_fixture_properties(spark):
     assert dist.where(F.col("short_sessions") + F.col("medium_sessions") + F.col("long_sessions")
                       != F.col("total_sessions")).count() == 0
     buckets = {r["bucket"]: r["count"] for r in st.session_buckets.groupBy("bucket").count().collect()}
-    assert buckets == {"short": 192, "medium": 424, "long": 369}
+    assert buckets == {"short": 212, "medium": 410, "long": 363}
     dw = warehouse(st)
     assert dw.count() == st.stg_customers.count() == 149
 
