@@ -530,6 +530,9 @@ _RUN = (chain("_ex", billing=_ts_lt("transaction_date", "1998-05-01") + " OR tra
         + re.sub(r"\b(" + "|".join(_RUN_NAMES) + r")\b", lambda m: m.group(1) + "_run",
                  TRANSFORMS.strip().replace("__ASOF__", "2024-02-01 00:00:00")))
 SQL["pipeline_daily_run"] = typed(COLS["dw_user_analytics"], "dw_user_analytics_run", extra_ctes=_RUN)
+for _key, _table in (("second_day_revenue", "agg_user_revenue"), ("second_day_monthly_revenue", "agg_monthly_revenue"),
+                     ("second_day_usage", "agg_user_usage")):
+    SQL[_key] = typed(COLS[_table], f"{_table}_run", extra_ctes=_RUN)
 SQL["pipeline_daily_quarantine"] = typed(
     "source_table s, issue_type s, n_rows i",
     "(SELECT source_table, issue_type, COUNT(*) AS n_rows FROM ("

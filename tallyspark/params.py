@@ -61,6 +61,7 @@ DW_CHANGED_SINCE = _dt.date(2022, 1, 1)         # second load: customers registe
 CDC_CUTOFF = _dt.date(2023, 6, 1)               # change feed: rows created from this date
 BACKFILL_START = _dt.date(1998, 4, 1)
 RECONCILE_FROM = _dt.date(2001, 7, 2)           # recompute daily partials from this day
+RECONCILE_DAYS = 40                             # of the second daily run
 ROW_GATE_MIN_ROWS = 100
 VOLUME_FIRST_DAY = _dt.date(1990, 1, 1)         # calendar of the volume check
 VOLUME_LOOKBACK_DAYS = 7

@@ -19,10 +19,10 @@ from . import schemas as SC
 from .operators import aggregates as A
 from .operators import quality as QL
 from .operators import staging as ST
-from .operators.incremental import apply_customer_changes, incremental_billing
-from .operators.merge import upsert
+from .operators.incremental import apply_customer_changes
 from .operators.warehouse import dw_user_analytics, remap_orphan_months, with_unknown_customer
 from .sources.readers import land, read_or_empty, source_row_counts
+from .sources.partitioned import PartitionedTable
 from .sources.sinks import VersionedTable, overwrite
 from .plans import analytics as Q
 from .plans.pipeline import Stages, audit, build_stages, run_pipeline, warehouse
@@ -216,26 +216,30 @@ def _upsert_staged(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         src = _srcs(spark, sf_dir)[name]
         if name == P.SRC_BILLING:
-            col, cutoff, stage, key, schema = ("transaction_date", P.BILLING_UPSERT_CUTOFF,
-                                               ST.stage_billing, "transaction_id", SC.STG_BILLING)
+            col, cutoff, stage, key, date, schema = ("transaction_date", P.BILLING_UPSERT_CUTOFF, ST.stage_billing,
+                                                     "transaction_id", "transaction_date", SC.STG_BILLING)
         else:
-            col, cutoff, stage, key, schema = ("start_time", P.SESSIONS_UPSERT_CUTOFF,
-                                               ST.stage_sessions, "session_id", SC.STG_SESSIONS)
-        table = VersionedTable(spark, fresh_dir(spark, f"upsert-{name}"), schema)
+            col, cutoff, stage, key, date, schema = ("start_time", P.SESSIONS_UPSERT_CUTOFF, ST.stage_sessions,
+                                                     "session_id", "session_date", SC.STG_SESSIONS)
+        table = PartitionedTable(spark, fresh_dir(spark, f"upsert-{name}"), schema, key, date)
         before = _ts(col) < _at(cutoff)
-        table.commit(stage(src.where(before | _ts(col).isNull())))
-        table.commit(upsert(table.read(), stage(src.where(_ts(col) >= _at(cutoff))), key, "update"))
+        table.upsert(stage(src.where(before | _ts(col).isNull())))
+        table.upsert(stage(src.where(_ts(col) >= _at(cutoff))))
         return table.read()
     return q
 
 
+def _billing_table(spark: SparkSession, name: str) -> PartitionedTable:
+    return PartitionedTable(spark, fresh_dir(spark, name), SC.STG_BILLING, "transaction_id", "transaction_date")
+
+
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target holds everything before the window, and what has no date; load [t_start, t_end) insert-if-absent."""
     src = _srcs(spark, sf_dir)[P.SRC_BILLING]
-    table = VersionedTable(spark, fresh_dir(spark, "stg_billing_inc"), SC.STG_BILLING)
+    table = _billing_table(spark, "stg_billing_inc")
     date = _ts("transaction_date")
-    table.commit(ST.stage_billing(src.where((date < _at(P.T_START)) | date.isNull())))
-    table.commit(incremental_billing(table.read(), src, P.T_START, P.T_END))
+    table.upsert(ST.stage_billing(src.where((date < _at(P.T_START)) | date.isNull())))
+    table.insert(ST.stage_billing_window(src, P.T_START, P.T_END))
     return table.read()
 
 
@@ -243,10 +247,10 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target as loaded before the window's run (rows ingested by then); backfill the previous
     month twice (the second run must change nothing) and return that month."""
     src = _srcs(spark, sf_dir)[P.SRC_BILLING]
-    table = VersionedTable(spark, fresh_dir(spark, "stg_billing_backfill"), SC.STG_BILLING)
-    table.commit(ST.stage_billing(src.where(F.col("ingested_at") < _at(P.T_START).cast("timestamp_ntz"))))
+    table = _billing_table(spark, "stg_billing_backfill")
+    table.upsert(ST.stage_billing(src.where(F.col("ingested_at") < _at(P.T_START).cast("timestamp_ntz"))))
     for _ in range(2):
-        table.commit(incremental_billing(table.read(), src, P.BACKFILL_START, P.T_START))
+        table.insert(ST.stage_billing_window(src, P.BACKFILL_START, P.T_START))
     d = F.col("transaction_date")
     return table.read().where((d >= _at(P.BACKFILL_START)) & (d < _at(P.T_START)))
 
@@ -264,9 +268,9 @@ def _dw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = dict(srcs)
     later[P.SRC_CUSTOMERS] = srcs[P.SRC_CUSTOMERS].where(created >= _at(P.DW_CHANGED_SINCE))
     first_as_of = dt.datetime.combine(P.DW_SNAPSHOT_CUTOFF, dt.time())
-    table = VersionedTable(spark, fresh_dir(spark, "dw"), SC.DW_USER_ANALYTICS)
-    table.commit(warehouse(build_stages(snap, as_of=first_as_of), as_of=first_as_of))
-    table.commit(upsert(table.read(), warehouse(build_stages(later, as_of=P.AS_OF), as_of=P.AS_OF), "customer_id", "update"))
+    table = PartitionedTable(spark, fresh_dir(spark, "dw"), SC.DW_USER_ANALYTICS, "customer_id", "customer_since")
+    table.upsert(warehouse(build_stages(snap, as_of=first_as_of), as_of=first_as_of))
+    table.upsert(warehouse(build_stages(later, as_of=P.AS_OF), as_of=P.AS_OF))
     return table.read()
 
 
@@ -310,7 +314,7 @@ def _daily_runs(spark: SparkSession, sf_dir: str):
     before = srcs | {P.SRC_BILLING: srcs[P.SRC_BILLING].where((date < _at(P.T_START)) | date.isNull())}
     out = fresh_dir(spark, "daily-runs")
     results = [run_pipeline(spark, before, out, billing_mode="full", as_of=P.AS_OF),
-               run_pipeline(spark, srcs, out, P.T_START, P.T_END, as_of=P.AS_OF)]
+               run_pipeline(spark, srcs, out, P.T_START, P.T_END, as_of=P.AS_OF, reconcile_days=P.RECONCILE_DAYS)]
     bad = {k: v for r in results for k, v in r.status.items() if v != "ok"}
     if bad:
         raise RuntimeError(f"pipeline steps: {bad}")
@@ -321,6 +325,11 @@ def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily_runs(spark, sf_dir).read(spark, "dw_user_analytics")
 
 
+def _second_day(name: str) -> Query:
+    """An aggregate of the second run: rolled up from daily state, of which the run recomputed some partitions."""
+    return lambda spark, sf_dir: _daily_runs(spark, sf_dir).read(spark, name)
+
+
 def _daily_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (_daily_runs(spark, sf_dir).read(spark, "quarantine")
             .groupBy("source_table", "issue_type").agg(F.count(F.lit(1)).alias("n_rows")))
@@ -366,6 +375,9 @@ _RAW.update({
     "agg_reconciliation_window": _reconciliation,
     "cdc_apply_customers": _cdc,
     "pipeline_daily_run": _daily_run,
+    "second_day_revenue": _second_day("agg_user_revenue"),
+    "second_day_monthly_revenue": _second_day("agg_monthly_revenue"),
+    "second_day_usage": _second_day("agg_user_usage"),
     "pipeline_daily_quarantine": _daily_quarantine,
 })
 
