@@ -2,7 +2,7 @@
 
 The state has a row for each customer and day, with sums and counts that merge by addition; a day knows its month, so months in which a customer
 was active are counted from it as well. It lies in the same partitions as the facts. A refresh recomputes the partitions whose fact files
-changed since they were last read, and those of the last ``reconcile_days`` days; all others stay as stored, and their facts are
+changed since they were last read, and those of the last ``reconcile_days`` days before ``until``; all others stay as stored, and their facts are
 not read. What the state was built from is written down last, so an interrupted refresh is done again.
 """
 
@@ -82,7 +82,7 @@ class DailyState:
         was = {r[PART]: r["files"] for r in read_or_empty(self.spark, self.built, _BUILT).collect()}     # a row a partition
         due = {p for p, f in now.items() if was.get(p) != f}
         if reconcile_days and until is not None:
-            due |= set(self.facts.parts_since(until - dt.timedelta(days=reconcile_days)))
+            due |= set(self.facts.parts_between(until - dt.timedelta(days=reconcile_days), until))
         gone = set(was) - set(now)
         if due:
             rows = self.build(self.facts.read(due))

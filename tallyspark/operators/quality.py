@@ -4,7 +4,8 @@ Quarantine semantics (per source, in order): rows with a NULL identifier, then e
 duplicated identifier (the surviving copy too), each as a JSON image of the whole row, skipped
 when the same (source_table, [issue_type], row_data) is already quarantined (NOT EXISTS ->
 left anti join). Within one run all copies of a duplicate are inserted; a rerun inserts none.
-Quarantine never removes rows from the source: staging filters and dedups on its own.
+Quarantine never removes rows from the source: staging filters and dedups on its own. Images are
+compared by their SHA-256, which the stored quarantine keeps beside them.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from .. import params as P
 from .. import schemas as S
 from ..functions import row_json
-from .skew import count_copies, expand_copies
+from .ids import dense_ids
+from .skew import expand_copies
 from .staging import _ts, stage_billing
 
 
@@ -83,75 +85,95 @@ def empty_quarantine(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], S.QUARANTINE)
 
 
-def _images(rows: DataFrame, exclude_cols: tuple[str, ...]) -> DataFrame:
-    cols = [c for c in rows.columns if c not in exclude_cols]
-    return rows.select(row_json(cols).alias("row_data"))
+def _image(rows: DataFrame, exclude_cols: tuple[str, ...]) -> F.Column:
+    return row_json([c for c in rows.columns if c not in exclude_cols])
 
 
-def _not_already(images: DataFrame, existing: DataFrame, source_table: str, issue: str,
-                 match_issue_type: bool) -> DataFrame:
-    """Images not yet in the quarantine (NOT EXISTS -> left anti join), tagged with the set.
+def _problems(src: DataFrame, rule: IdRule, exclude_cols: tuple[str, ...], which: tuple[str, ...]) -> DataFrame:
+    """(row_data, issue_type): an image for each issue of ``which`` that a row has. The ids are counted from their column alone; then one scan
+    of the rows tags both issues. Rows without an id are dealt out by number in the join that looks up duplicates, so they never meet in a task."""
+    null = F.when(_any_null(rule.null_cols), F.lit(rule.null_issue))
+    if which == (rule.null_issue,):
+        return src.where(_any_null(rule.null_cols)).select(_image(src, exclude_cols).alias("row_data"), null.alias("issue_type"))
+    spread = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % 4096).cast("string"))
+    dups = duplicate_ids(src, rule.key).select(F.col(rule.key).alias("_k"), F.lit(True).alias("_dup"))
+    rows = src.select(_image(src, exclude_cols).alias("row_data"), null.alias("_null"), F.coalesce(F.col(rule.key), spread).alias("_k"))
+    issues = ([F.col("_null")] if rule.null_issue in which else []) + [F.when(F.col("_dup"), F.lit(rule.dup_issue))]
+    return (rows.join(dups, "_k", "left").where(F.col("_dup") | F.col("_null").isNotNull())
+            .select("row_data", F.explode(F.array_compact(F.array(*issues))).alias("issue_type")))
 
-    The set's source table and issue are constants, so the existing quarantine is filtered to
-    them and the anti join keys on ``row_data`` alone. Identical images (exact copies of a
-    retried record) are counted first, grouped by that same key, so the join reuses the
-    aggregate's partitioning and the shuffle carries one row per distinct image; the copies
-    are re-expanded afterwards (the reference inserts every copy).
+
+def _hash(df: DataFrame) -> F.Column:
+    """The stored hash of an image, or its own."""
+    own = F.sha2("row_data", 256)
+    return F.coalesce(F.col("row_hash"), own) if "row_hash" in df.columns else own
+
+
+def _not_already(images: DataFrame, existing: DataFrame, source_table: str, ignores_issue: str | None = None) -> DataFrame:
+    """Images (row_data, issue_type) not yet in the quarantine (NOT EXISTS -> left anti join), with source table and hash.
+
+    Images meet by their SHA-256, never by their text. Identical ones (exact copies of a retried record) are counted first, so the
+    shuffle carries one row per distinct image; the copies are re-expanded afterwards (the reference inserts every
+    copy). Images of the issue ``ignores_issue`` are known if they are quarantined under any issue.
     """
-    prior = existing.where(F.col("source_table") == source_table)
-    if match_issue_type:
-        prior = prior.where(F.col("issue_type") == issue)
-    fresh = count_copies(images, ["row_data"]).join(prior.select("row_data"), "row_data", "left_anti")
-    return expand_copies(fresh).select("row_data", F.lit(source_table).alias("source_table"),
-                                       F.lit(issue).alias("issue_type"))
+    prior = (existing.where(F.col("source_table") == source_table)
+             .select(_hash(existing).alias("old_hash"), F.col("issue_type").alias("old_issue")).distinct())
+    counted = (images.withColumn("row_hash", F.sha2("row_data", 256)).groupBy("row_hash", "issue_type")
+               .agg(F.count(F.lit(1)).alias("_copies"), F.any_value("row_data").alias("row_data")))
+    same = F.col("old_issue") == F.col("issue_type")
+    if ignores_issue is not None:
+        same = same | (F.col("issue_type") == ignores_issue)
+    fresh = counted.join(prior, (F.col("row_hash") == F.col("old_hash")) & same, "left_anti")
+    return expand_copies(fresh, ["row_hash"], number="copy_no") \
+        .select("row_data", F.lit(source_table).alias("source_table"), "issue_type", "row_hash", "copy_no")
+
+
+def _quarantine(src: DataFrame, rule: IdRule, existing: DataFrame, exclude_cols: tuple[str, ...], which: tuple[str, ...]) -> DataFrame:
+    return _not_already(_problems(src, rule, exclude_cols, which), existing, rule.source_table,
+                        None if rule.null_matches_issue_type else rule.null_issue)
 
 
 def quarantine_null_ids(src: DataFrame, rule: IdRule, existing: DataFrame,
                         exclude_cols: tuple[str, ...] = ()) -> DataFrame:
-    bad = src.where(_any_null(rule.null_cols))
-    return _not_already(_images(bad, exclude_cols), existing, rule.source_table, rule.null_issue,
-                        rule.null_matches_issue_type)
+    return _quarantine(src, rule, existing, exclude_cols, (rule.null_issue,))
 
 
 def quarantine_duplicates(src: DataFrame, rule: IdRule, existing: DataFrame,
-                          exclude_cols: tuple[str, ...] = (), dups: DataFrame | None = None) -> DataFrame:
-    """Every row whose id is duplicated: semi join with the duplicate-id set.
-
-    AQE broadcasts the duplicate-id set at runtime when its measured size is small, otherwise
-    both sides are shuffled on the id (uniform: ids are record keys).
-    """
-    dups = dups if dups is not None else duplicate_ids(src, rule.key)
-    bad = src.join(dups.select(rule.key), rule.key, "left_semi")
-    return _not_already(_images(bad, exclude_cols), existing, rule.source_table, rule.dup_issue, True)
+                          exclude_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Every row whose id is duplicated."""
+    return _quarantine(src, rule, existing, exclude_cols, (rule.dup_issue,))
 
 
 def quarantine_source(src: DataFrame, rule: IdRule, existing: DataFrame,
                       exclude_cols: tuple[str, ...] = ()) -> DataFrame:
-    return quarantine_null_ids(src, rule, existing, exclude_cols).unionByName(
-        quarantine_duplicates(src, rule, existing, exclude_cols))
+    """Both issues of a source, in one pass over its rows."""
+    return _quarantine(src, rule, existing, exclude_cols, (rule.null_issue, rule.dup_issue))
 
 
 def quarantine_all(sources: dict[str, DataFrame], existing: DataFrame,
                    exclude_cols: tuple[str, ...] = ()) -> DataFrame:
-    """The six quarantine inserts of one run, in order (billing, sessions, customers)."""
-    parts = [quarantine_source(sources[name], RULES[name], existing, exclude_cols)
-             for name in (P.SRC_BILLING, P.SRC_SESSIONS, P.SRC_CUSTOMERS)]
+    """The quarantine inserts of one run (billing, sessions, customers; of each the NULL ids, then the duplicates)."""
+    parts = [quarantine_source(sources[name], RULES[name], existing, exclude_cols) for name in RULES]
     return reduce(DataFrame.unionByName, parts)
 
 
+INSERT_ORDER = [(r.source_table, issue) for r in RULES.values() for issue in (r.null_issue, r.dup_issue)]
+
+
 def with_quarantine_ids(new_rows: DataFrame, existing: DataFrame,
                         as_of: dt.datetime | None = None, offset: int | None = None) -> DataFrame:
-    """Assign BIGSERIAL-like ids (unique, increasing, gaps allowed) and detected_at.
-
-    The offset is one global max over the existing table (a single value, or passed in by a
-    caller that already has it); ids come from ``monotonically_increasing_id`` so no task ever
-    sees all rows.
-    """
+    """Assign BIGSERIAL-like ids and detected_at: dense, after the largest id there is, in the order of the reference's six
+    inserts (other issues last)."""
     if offset is None:
         offset = existing.agg(F.coalesce(F.max("quarantine_id"), F.lit(0)).alias("m")).first()["m"]
-    return new_rows.select(
-        (F.monotonically_increasing_id() + F.lit(offset + 1)).alias("quarantine_id"),
-        "row_data", "source_table", "issue_type", _ts(as_of).alias("detected_at"))
+    place = F.lit(len(INSERT_ORDER))
+    for k, (source, issue) in reversed(list(enumerate(INSERT_ORDER))):
+        place = F.when((F.col("source_table") == source) & (F.col("issue_type") == issue), F.lit(k)).otherwise(place)
+    if "row_hash" not in new_rows.columns:
+        new_rows = new_rows.withColumn("row_hash", F.sha2("row_data", 256))
+    order = ["_place", "row_hash"] + [c for c in ("copy_no",) if c in new_rows.columns]       # copies of a hot row are many partitions
+    numbered = dense_ids(new_rows.withColumn("_place", place), order, "quarantine_id", offset)
+    return numbered.select("quarantine_id", "row_data", "source_table", "issue_type", _ts(as_of).alias("detected_at"), "row_hash")
 
 
 def parse_quarantined(q: DataFrame, source_table: str) -> DataFrame:
@@ -189,7 +211,8 @@ def check_billing_orphans(src_billing: DataFrame, customers: DataFrame) -> DataF
 def quarantine_billing_orphans(src_billing: DataFrame, customers: DataFrame, existing: DataFrame,
                                exclude_cols: tuple[str, ...] = ()) -> DataFrame:
     rows = _orphan_rows(src_billing, customers).select(*src_billing.columns)
-    return _not_already(_images(rows, exclude_cols), existing, P.SRC_BILLING, P.ISSUE_BILLING_ORPHAN, True)
+    images = rows.select(_image(rows, exclude_cols).alias("row_data"), F.lit(P.ISSUE_BILLING_ORPHAN).alias("issue_type"))
+    return _not_already(images, existing, P.SRC_BILLING)
 
 
 # --- monitoring checks ----------------------------------------------------------------------------

@@ -118,6 +118,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
 
     from ..operators import daily_state as DS
     from ..operators import quality as QL
+    from ..session import fresh_dir
     from ..sources.partitioned import PartitionedTable
     from ..sources.sinks import VersionedTable, append, overwrite
     from .. import schemas as S
@@ -167,29 +168,36 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
             landed[src_name] = spark.read.parquet(path)
         sources = landed
 
-    # Stage 1: quality -> quarantine (append only new rows); one step per source.
+    # Stage 1: quality. Each source's new bad rows are written aside, side by side; the quarantine step numbers those of
+    # all sources that passed and appends them once.
     qpath = f"{out}/quarantine"
+    aside: dict[str, str] = {}
+
+    def stored_quarantine() -> DataFrame:
+        from ..sources.readers import read_or_empty
+        return read_or_empty(spark, qpath, S.QUARANTINE_STORED)
 
     def quality(src_name: str):
         def run():
-            from ..sources.readers import read_or_empty
             if max_bad_ratio is not None:        # before anything is appended: a retry fails again
                 bad, total = QL.bad_rows(sources[src_name], QL.RULES[src_name])
                 if total and bad / total > max_bad_ratio:
                     raise ValueError(f"{src_name}: {bad} of {total} rows are bad (> {max_bad_ratio:.2%})")
-            existing = read_or_empty(spark, qpath, S.QUARANTINE)
-            offset = existing.agg(F.max("quarantine_id")).first()[0] or 0
-            new = QL.quarantine_source(sources[src_name], QL.RULES[src_name], existing)
-            # partitioned by (source_table, issue_type): each issue set's anti join reads only
-            # its own partition of the ever-growing quarantine
-            append(QL.with_quarantine_ids(new, existing, as_of, offset=offset), qpath,
-                   partition_by=["source_table", "issue_type"])
-            tables["quarantine"] = qpath
+            path = fresh_dir(spark, f"bad-{src_name}")
+            QL.quarantine_source(sources[src_name], QL.RULES[src_name], stored_quarantine()).write.parquet(path)
+            aside[src_name] = path
         return run
 
-    for src_name, step_name in [(P.SRC_BILLING, "quality_billing"), (P.SRC_SESSIONS, "quality_sessions"),
-                                (P.SRC_CUSTOMERS, "quality_customers")]:
-        step(step_name, (), quality(src_name))
+    def write_quarantine():
+        tables["quarantine"] = qpath
+        if not aside:
+            return
+        rows = spark.read.parquet(*(aside[name] for name in QL.RULES if name in aside))
+        # partitioned by (source_table, issue_type): the anti join reads only a source's part of the ever-growing quarantine
+        append(QL.with_quarantine_ids(rows, stored_quarantine(), as_of), qpath, partition_by=["source_table", "issue_type"])
+
+    together(*((step_name, (), quality(src_name)) for src_name, step_name in [
+        (P.SRC_BILLING, "quality_billing"), (P.SRC_SESSIONS, "quality_sessions"), (P.SRC_CUSTOMERS, "quality_customers")]))
 
     # Stage 2: staging.
     def stage_customers():
@@ -207,7 +215,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         refreshed["stg_sessions"] = vt["stg_sessions"].upsert(ST.stage_sessions(sources[P.SRC_SESSIONS]))
         tables["stg_sessions"] = vt["stg_sessions"].root
 
-    together(("stage_customers", ("quality_customers",), stage_customers),
+    together(("quarantine", (), write_quarantine),
+             ("stage_customers", ("quality_customers",), stage_customers),
              ("stage_billing", ("quality_billing",), stage_billing),
              ("stage_sessions", ("quality_sessions",), stage_sessions))
 

@@ -26,6 +26,8 @@ SRC_SESSIONS = _st(("session_id", S), ("customer_id", S), ("start_time", S), ("e
 QUARANTINE = _st(("quarantine_id", LONG), ("row_data", S), ("source_table", S),
                  ("issue_type", S), ("detected_at", TS))
 
+QUARANTINE_STORED = T.StructType([*QUARANTINE.fields, T.StructField("row_hash", S, True)])
+
 STG_CUSTOMERS = _st(("customer_id", S), ("customer_name", S), ("email", S), ("country", S),
                     ("created_at", TS), ("staged_at", TS))
 STG_BILLING = _st(("transaction_id", S), ("customer_id", S), ("amount", AMOUNT),

@@ -9,6 +9,7 @@ dynamic partition overwrite, so the table is never read while it is replaced; an
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,10 +60,10 @@ class PartitionedTable:
                     out[name.removeprefix(f"{PART}=")] = sorted(f for f in files if f.endswith(".parquet"))
         return {p: tuple(f) for p, f in out.items() if f}
 
-    def parts_since(self, day) -> list[str]:
-        """The partitions that can hold rows of ``day`` or later."""
-        first = day.strftime("%Y-%m" if self.grain == "month" else "%Y-%m-%d")
-        return [p for p in self.files() if p != NO_DATE and p >= first]
+    def parts_between(self, first, end) -> list[str]:
+        """The partitions that can hold rows dated from ``first`` to before ``end``."""
+        low, high = (d.strftime("%Y-%m" if self.grain == "month" else "%Y-%m-%d") for d in (first, end - dt.timedelta(days=1)))
+        return [p for p in self.files() if p != NO_DATE and low <= p <= high]
 
     # --- writing
     def _write(self, df: DataFrame, mode: str) -> None:

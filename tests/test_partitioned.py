@@ -58,7 +58,8 @@ def test_insert_adds_files_and_never_replaces(spark):
     assert t.files()["2024-01-05"] == before["2024-01-05"] and set(before["2024-01-06"]) < set(t.files()["2024-01-06"])
     again = t.files()
     t.insert(rows_of(spark, [("c", "2024-01-06", 3)]))
-    assert t.files() == again and t.parts_since(dt.date(2024, 1, 6)) == ["2024-01-06"]
+    assert t.files() == again and t.parts_between(dt.date(2024, 1, 6), dt.date(2024, 2, 1)) == ["2024-01-06"]
+    assert t.parts_between(dt.date(2024, 1, 1), dt.date(2024, 1, 6)) == ["2024-01-05"]
 
 
 def test_interrupted_upsert_is_mended_by_a_rerun(spark):

@@ -22,6 +22,32 @@ def test_exact_copies_both_quarantined_then_rerun_adds_nothing(spark, make):
     assert QL.quarantine_source(src, rule, first).count() == 0
 
 
+def test_ids_are_dense_over_two_runs_in_insert_order(spark, make):
+    from .conftest import customers_rows, sessions_rows
+    bill = [("t1", "1", "1.00", "2024-01-01 00:00:00")] * 3 + [("t2", None, "2.00", None), (None, "3", "2.00", None), ("t9", "1", "1.00", None)]
+    srcs = {P.SRC_BILLING: make(S.SRC_BILLING, billing_rows(*bill)),
+            P.SRC_SESSIONS: make(S.SRC_SESSIONS, sessions_rows((None, "1", None, None, None), ("s", "1", None, None, None), ("s", "1", None, None, None))),
+            P.SRC_CUSTOMERS: make(S.SRC_CUSTOMERS, customers_rows((None, "a", "b", None, None), ("c", "a", "b", None, None), ("c", "x", "b", None, None)))}
+    empty = QL.empty_quarantine(spark)
+    first = QL.with_quarantine_ids(QL.quarantine_all(srcs, empty), empty)
+    more = srcs | {P.SRC_BILLING: make(S.SRC_BILLING, billing_rows(*bill, ("t3", None, None, None), ("t9", "1", "5.00", None)))}
+    second = QL.with_quarantine_ids(QL.quarantine_all(more, first), first)
+    rows = sorted(first.unionByName(second).collect(), key=lambda r: r["quarantine_id"])
+    assert [r["quarantine_id"] for r in rows] == list(range(1, len(rows) + 1)) and first.count() == 11 and second.count() == 3
+    places = [QL.INSERT_ORDER.index((r["source_table"], r["issue_type"])) for r in rows]
+    assert places[:11] == sorted(places[:11]) and places[11:] == [0, 1, 1]
+
+
+def test_row_images_are_never_a_shuffle_key(spark):
+    from tallyspark.sources.fixtures import sources
+    from .test_plans import plan
+    src = sources(spark, "/root/testdata/sf0.001")[P.SRC_BILLING]
+    text = plan(QL.quarantine_source(src, QL.RULES[P.SRC_BILLING], QL.empty_quarantine(spark)))
+    keys = [line for line in text.splitlines() if "hashpartitioning(" in line]
+    assert keys and not any("row_data" in line for line in keys)
+    assert text.count("Scan parquet") == 2                          # the id column to count, then the rows once
+
+
 def test_null_fields_kept_in_row_data(spark, make):
     src = make(S.SRC_BILLING, billing_rows(("t2", None, None, "2024-01-01 00:00:00")))
     r = QL.quarantine_source(src, QL.RULES[P.SRC_BILLING], QL.empty_quarantine(spark)).first()
