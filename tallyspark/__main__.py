@@ -2,9 +2,10 @@
 
     python -m tallyspark --customers c.csv --billing b.csv --sessions s.csv --out /warehouse \\
         [--format csv|parquet] [--t-start 2024-05-18 --t-end 2024-05-19] [--mode incremental|full]
-        [--as-of "2024-05-19 03:00:00"] [--max-bad-ratio 0.05] [--iso-text-dates]
+        [--as-of "2024-05-19 03:00:00"] [--max-bad-ratio 0.05] [--iso-text-dates] [--reconcile-days 7]
+        [--stamp-changed-only] [--grain month|day] [--gate-min-rows 1000] [--monitor]
 
-Without --t-start the window is the run date (as-of) to the next day; --t-end defaults to
+Without --t-start the window is the day before the run date (as-of); --t-end defaults to
 t-start + 1 day. Uses the active Spark session (spark-submit) or creates a local one.
 """
 
@@ -31,6 +32,11 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--as-of", type=dt.datetime.fromisoformat)
     ap.add_argument("--max-bad-ratio", type=float)
     ap.add_argument("--iso-text-dates", action="store_true")
+    ap.add_argument("--reconcile-days", type=int, default=0)
+    ap.add_argument("--stamp-changed-only", action="store_true")
+    ap.add_argument("--grain", choices=["month", "day"], default="month")
+    ap.add_argument("--gate-min-rows", type=int)
+    ap.add_argument("--monitor", action="store_true")
     ap.add_argument("--master", default="local[*]")
     return ap.parse_args(argv)
 
@@ -50,8 +56,10 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     sources = {name: land(spark, name, path, args.format, load_time=as_of) for name, path in locations.items()}
     res = run_pipeline(spark, sources, args.out, t_start=args.t_start, t_end=args.t_end, as_of=as_of,
                        billing_mode=args.mode, max_bad_ratio=args.max_bad_ratio, land=True,
-                       iso_text_dates=args.iso_text_dates)
-    report = {"status": res.status, "tables": res.tables, "seconds": res.seconds}
+                       iso_text_dates=args.iso_text_dates, reconcile_days=args.reconcile_days,
+                       stamp_changed_only=args.stamp_changed_only, grain=args.grain, gate_min_rows=args.gate_min_rows,
+                       monitor=args.monitor)
+    report = {"status": res.status, "tables": res.tables, "seconds": res.seconds, "metrics": res.metrics}
     print(json.dumps(report, indent=2, default=str))
     return report
 

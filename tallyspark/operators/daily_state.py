@@ -27,17 +27,19 @@ def _st(*fields) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
 
-BILLING_STATE = _st(("customer_id", _S), ("day", _D), ("revenue", T.DecimalType(22, 2)), ("n", _L))
+BILLING_STATE = _st(("customer_id", _S), ("day", _D), ("revenue", T.DecimalType(22, 2)), ("n", _L),
+                    ("latest", T.TimestampType()))
 SESSION_STATE = _st(("customer_id", _S), ("day", _D), ("data_sum", T.DecimalType(20, 2)), ("duration_sum", _L), ("n", _L),
                     ("short_sessions", _L), ("medium_sessions", _L), ("long_sessions", _L))
 _BUILT = _st((PART, _S), ("files", _S))
 
 
 def billing_days(stg_billing: DataFrame) -> DataFrame:
-    """(customer_id, day, revenue, n)."""
+    """(customer_id, day, revenue, n, latest)."""
     return (stg_billing.where(F.col("customer_id").isNotNull())
             .groupBy("customer_id", F.to_date("transaction_date").alias("day"))
-            .agg(F.sum("amount").cast("decimal(22,2)").alias("revenue"), F.count(F.lit(1)).alias("n")))
+            .agg(F.sum("amount").cast("decimal(22,2)").alias("revenue"), F.count(F.lit(1)).alias("n"),
+                 F.max("transaction_date").alias("latest")))
 
 
 def session_days(stg_sessions: DataFrame) -> DataFrame:

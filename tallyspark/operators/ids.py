@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_dir
 
+
 def dense_ids(df: DataFrame, order_by: list[str], id_col: str, after: int = 0) -> DataFrame:
     """``df`` with ``id_col``: ``after`` + 1, + 2, ... in the order of ``order_by`` (rows that tie, in any order).
 

@@ -217,13 +217,14 @@ def quarantine_billing_orphans(src_billing: DataFrame, customers: DataFrame, exi
 
 # --- monitoring checks ----------------------------------------------------------------------------
 def freshness_check(stg_billing: DataFrame, checked_at: list[dt.datetime],
-                    max_hours: int = P.FRESHNESS_MAX_HOURS) -> DataFrame:
+                    max_hours: int = P.FRESHNESS_MAX_HOURS, date_col: str = "transaction_date") -> DataFrame:
     """Latest loaded transaction vs each check time: stale when more than ``max_hours`` behind.
 
-    One global max (partial per task); the check times are expanded from that single row.
+    One global max (partial per task); the check times are expanded from that single row. Daily state serves as well as the
+    facts, with its ``latest`` as ``date_col``.
     """
     times = F.array(*[_ts(t, ntz=True) for t in checked_at])
-    latest = stg_billing.agg(F.max("transaction_date").cast("timestamp_ntz").alias("latest"))
+    latest = stg_billing.agg(F.max(date_col).cast("timestamp_ntz").alias("latest"))
     behind = (F.unix_micros(F.col("checked_at").cast("timestamp")) -
               F.unix_micros(F.col("latest").cast("timestamp"))) / F.lit(60_000_000)
     return (latest.select("latest", F.explode(times).alias("checked_at"))
@@ -233,7 +234,7 @@ def freshness_check(stg_billing: DataFrame, checked_at: list[dt.datetime],
 
 
 def row_count_gate(src_billing: DataFrame, t_start: dt.date, t_end: dt.date,
-                   min_rows: int = P.ROW_GATE_MIN_ROWS) -> DataFrame:
+                   min_rows: int = 1) -> DataFrame:
     """Does the source hold at least ``min_rows`` rows for the window? (evaluated once)"""
     ts = F.col("transaction_date").cast("timestamp")
     n = (src_billing.where((ts >= _ts(t_start)) & (ts < _ts(t_end)))
@@ -243,19 +244,10 @@ def row_count_gate(src_billing: DataFrame, t_start: dt.date, t_end: dt.date,
                     (F.col("rows") >= min_rows).alias("passed"))
 
 
-def volume_anomaly(stg_billing: DataFrame, first_day: dt.date, last_day: dt.date,
-                   lookback_days: int = P.VOLUME_LOOKBACK_DAYS, sigmas: int = P.VOLUME_SIGMAS) -> DataFrame:
-    """Daily loaded rows vs the mean - sigmas * sample sd of the previous ``lookback_days``.
-
-    Daily counts are a distributed aggregate; the calendar spine (missing day = 0 rows) has one
-    row per day of the date span within [first_day, last_day], so a mistyped date in the data cannot
-    stretch it. The rolling statistics are an expand-and-aggregate (no
-    single-partition window). Sample variance from exact integer sums, so every engine gets the
-    same doubles.
-    """
-    daily = (stg_billing.where(F.to_date("transaction_date").between(F.lit(first_day), F.lit(last_day)))
-             .groupBy(F.to_date("transaction_date").alias("day"))
-             .agg(F.count(F.lit(1)).alias("loads")))
+def anomalies(daily: DataFrame, lookback_days: int = P.VOLUME_LOOKBACK_DAYS, sigmas: int = P.VOLUME_SIGMAS) -> DataFrame:
+    """``daily``(day, loads) on a calendar without gaps (missing day = 0), against the mean - sigmas * sample sd of the
+    ``lookback_days`` days before. The rolling statistics are an expand-and-aggregate (no single-partition window); the sample
+    variance comes from exact integer sums, so every engine gets the same doubles."""
     spine = (daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
              .select(F.explode(F.sequence("lo", "hi")).alias("day")))
     series = spine.join(daily, "day", "left").select("day", F.coalesce("loads", F.lit(0)).alias("loads"))
@@ -275,7 +267,22 @@ def volume_anomaly(stg_billing: DataFrame, first_day: dt.date, last_day: dt.date
                                                  F.lit(False))))
 
 
-def late_arrivals(src_billing: DataFrame, lag_days: int = P.LATE_LAG_DAYS) -> DataFrame:
+def volume_anomaly(stg_billing: DataFrame, first_day: dt.date, last_day: dt.date,
+                   lookback_days: int = P.VOLUME_LOOKBACK_DAYS, sigmas: int = P.VOLUME_SIGMAS) -> DataFrame:
+    """Rows of each transaction day vs the days before (see ``anomalies``).
+
+    The calendar has one row per day of the date span within [first_day, last_day], so a mistyped date in the data cannot
+    stretch it; rows without a date or dated outside are counted in one more line, whose day is NULL.
+    """
+    day = F.to_date("transaction_date")
+    inside = F.coalesce(day.between(F.lit(first_day), F.lit(last_day)), F.lit(False))
+    counts = stg_billing.groupBy(F.when(inside, day).alias("day")).agg(F.count(F.lit(1)).alias("loads"))
+    outside = counts.where(F.col("day").isNull()).select("day", "loads", F.lit(None).cast("double").alias("mean_prev"),
+                                                         F.lit(None).cast("double").alias("sd_prev"), F.lit(False).alias("is_anomaly"))
+    return anomalies(counts.where(F.col("day").isNotNull()), lookback_days, sigmas).unionByName(outside)
+
+
+def late_arrivals(src_billing: DataFrame, lag_days: int = 1) -> DataFrame:
     """Staged billing rows ingested more than ``lag_days`` after their transaction date, i.e.
     missed by their own daily window. ``stg_billing`` has no ingestion time, so the source's
     latest version of each transaction is used (same dedup order as staging)."""

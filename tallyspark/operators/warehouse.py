@@ -102,3 +102,11 @@ def pipeline_audit_log(stg_billing: DataFrame, stg_sessions: DataFrame, stg_cust
         F.count_if(F.col("_t") == 2).alias("customer_rows"),
     ).select(now.cast("date").alias("run_date"), "billing_rows", "session_rows",
              "customer_rows", F.lit(status).alias("status"), now.alias("created_at"))
+
+
+def audit_row(spark, billing_rows: int, session_rows: int, customer_rows: int, as_of: dt.datetime | None = None,
+              status: str = P.AUDIT_STATUS_SUCCESS) -> DataFrame:
+    """The audit row from counts that are known already."""
+    counts = spark.createDataFrame([(billing_rows, session_rows, customer_rows)], "billing_rows bigint, session_rows bigint, customer_rows bigint")
+    now = _ts(as_of)
+    return counts.select(now.cast("date").alias("run_date"), "*", F.lit(status).alias("status"), now.alias("created_at"))

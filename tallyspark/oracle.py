@@ -419,7 +419,9 @@ volume AS (SELECT day, loads, s1 / c AS mean_prev,
            FROM moments)"""
 SQL["volume_anomaly"] = typed(
     "day day, loads i, mean_prev s, sd_prev s, is_anomaly s",
-    "(SELECT *, COALESCE(loads < mean_prev - 2 * sd_prev, false) AS is_anomaly FROM volume) t",
+    "(SELECT *, COALESCE(loads < mean_prev - 2 * sd_prev, false) AS is_anomaly FROM volume UNION ALL "
+    "SELECT NULL, COUNT(*), NULL, NULL, false FROM stg_billing WHERE transaction_date IS NULL "
+    "OR CAST(transaction_date AS DATE) NOT BETWEEN DATE '1990-01-01' AND DATE '2024-02-01' HAVING COUNT(*) > 0) t",
     extra_ctes=_VOLUME)
 
 SQL["late_arrivals"] = typed(
@@ -486,6 +488,11 @@ SQL["late_arrival_backfill"] = typed(
     extra_ctes=chain("_k", billing="ingested_at < TIMESTAMP '1998-05-01'") + ",\n"
     + chain("_w", billing=_BACKFILL))
 
+_APRIL_MAY = _ts_ge("transaction_date", "1998-04-01") + " AND " + _ts_lt("transaction_date", "1998-06-01")
+SQL["backfill_planned"] = typed(
+    COLS["stg_billing"], _merged("stg_billing", "transaction_id", "_a", "_m", "ignore"),
+    extra_ctes=chain("_a", billing=_BACKFILL) + ",\n" + chain("_m", billing=_APRIL_MAY + " AND NOT (" + _BACKFILL + ")"))
+
 SQL["dw_upsert"] = typed(
     COLS["dw_user_analytics"], _merged("dw_user_analytics", "customer_id", "_s", "_n", "update"),
     extra_ctes=chain("_s", customers=_ts_lt("created_at", "2022-06-01") + " OR created_at IS NULL",

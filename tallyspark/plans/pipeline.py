@@ -11,13 +11,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import aggregates as A
 from ..operators import staging as ST
-from ..operators.warehouse import dw_user_analytics, pipeline_audit_log
+from ..operators.warehouse import audit_row, dw_user_analytics, pipeline_audit_log
 
 
 @dataclass
@@ -83,6 +83,7 @@ class RunResult:
     seconds: dict[str, float] = field(default_factory=dict)   # step -> wall time
     stored: dict[str, object] = field(default_factory=dict)   # table name -> its VersionedTable or PartitionedTable
     refreshed: dict[str, list[str]] = field(default_factory=dict)   # table -> partitions that this run rewrote
+    metrics: dict[str, dict[str, int]] = field(default_factory=dict)   # table -> counts taken while it was written
 
     def read(self, spark, name: str) -> DataFrame:
         if name in self.stored:
@@ -94,7 +95,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
                  t_end: dt.date | None = None, as_of: dt.datetime | None = None,
                  billing_mode: str = "incremental", max_bad_ratio: float | None = None,
                  land: bool = False, iso_text_dates: bool = False, reconcile_days: int = 0,
-                 stamp_changed_only: bool = False, grain: str = "month") -> RunResult:
+                 stamp_changed_only: bool = False, grain: str = "month", gate_min_rows: int | None = None,
+                 monitor: bool = False) -> RunResult:
     """quality -> staging -> aggregates -> audit + warehouse, each stage written under ``out``.
 
     Written stages cut the lineage (a lost executor recomputes from the last written stage, not
@@ -111,12 +113,16 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     those it changes; aggregates come from daily state, which is recomputed for changed partitions and for those of the last
     ``reconcile_days`` days before ``t_end``. ``stamp_changed_only``: warehouse rows whose values stay keep their
     ``last_updated`` (else every row gets the run's time, as in the reference, and every partition is rewritten).
+    ``gate_min_rows``: the source must hold as many billing rows for the window, else billing is not loaded. ``monitor``: backfill late
+    rows of windows that were loaded before, quarantine billing rows of unknown customers, and write ``check_freshness`` and
+    ``check_volume``. Freshness, volume and audit read the state, the load ledger and counts taken while writing, not the facts.
     """
     import time
     import traceback
     from concurrent.futures import ThreadPoolExecutor
 
     from ..operators import daily_state as DS
+    from ..operators import load_ledger as LL
     from ..operators import quality as QL
     from ..session import fresh_dir
     from ..sources.partitioned import PartitionedTable
@@ -130,6 +136,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     status: dict[str, str] = {}
     seconds: dict[str, float] = {}
     refreshed: dict[str, list[str]] = {}
+    metrics: dict[str, dict[str, int]] = {}
+    ledger = LL.LoadLedger(spark, f"{out}/load_ledger")
     vt = {"stg_customers": VersionedTable(spark, f"{out}/stg_customers", S.STG_CUSTOMERS)}
     vt |= {name: PartitionedTable(spark, f"{out}/{name}", schema, key, date, grain) for name, schema, key, date in [
         ("stg_billing", S.STG_BILLING, "transaction_id", "transaction_date"),
@@ -200,13 +208,26 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         (P.SRC_BILLING, "quality_billing"), (P.SRC_SESSIONS, "quality_sessions"), (P.SRC_CUSTOMERS, "quality_customers")]))
 
     # Stage 2: staging.
+    def row_gate():
+        got = QL.row_count_gate(sources[P.SRC_BILLING], t_start, t_end, gate_min_rows).first()
+        if not got["passed"]:
+            raise ValueError(f"{got['rows']} billing rows for {t_start} to {t_end}, of {gate_min_rows} at least")
+
+    if gate_min_rows is not None:
+        step("row_gate", (), row_gate)
+    before_billing = ("quality_billing",) + (("row_gate",) if gate_min_rows is not None else ())
+
     def stage_customers():
-        vt["stg_customers"].commit(ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of))
+        seen = Observation("customers")
+        vt["stg_customers"].commit(ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of).observe(seen, F.count(F.lit(1)).alias("rows")))
+        metrics["stg_customers"] = seen.get
         tables["stg_customers"] = vt["stg_customers"].root
 
     def stage_billing():
         if billing_mode == "incremental":   # insert-only: write just the window's new rows
-            vt["stg_billing"].insert(ST.stage_billing_window(sources[P.SRC_BILLING], t_start, t_end, iso_text=iso_text_dates))
+            if monitor:
+                refreshed["backfill"] = [f"{a}/{b}" for a, b in LL.run_backfill(vt["stg_billing"], ledger, sources[P.SRC_BILLING], as_of, iso_text_dates)]
+            metrics["stg_billing"] = LL.load_window(vt["stg_billing"], ledger, sources[P.SRC_BILLING], t_start, t_end, as_of, iso_text_dates)
         else:
             refreshed["stg_billing"] = vt["stg_billing"].upsert(ST.stage_billing(sources[P.SRC_BILLING]))
         tables["stg_billing"] = vt["stg_billing"].root
@@ -217,7 +238,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
 
     together(("quarantine", (), write_quarantine),
              ("stage_customers", ("quality_customers",), stage_customers),
-             ("stage_billing", ("quality_billing",), stage_billing),
+             ("stage_billing", before_billing, stage_billing),
              ("stage_sessions", ("quality_sessions",), stage_sessions))
 
     # Stage 3: aggregates. The daily state of changed partitions is recomputed from their facts; the shared pre-aggregates
@@ -264,8 +285,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
 
     def write_audit():
         path = f"{out}/pipeline_audit_log"
-        append(pipeline_audit_log(read["stg_billing"](), read["stg_sessions"](), read["stg_customers"](),
-                                  as_of=as_of), path)
+        counts = [states[k].read().agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for k in ("billing", "sessions")]
+        append(audit_row(spark, *counts, metrics["stg_customers"]["rows"], as_of=as_of), path)
         tables["pipeline_audit_log"] = path
 
     def load_warehouse():
@@ -277,4 +298,15 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
 
     together(("audit_pipeline_run", all_aggs, write_audit),
              ("load_dw_user_analytics", all_aggs, load_warehouse))
-    return RunResult(tables, status, seconds, vt, refreshed)
+    if monitor:
+        def orphans():
+            known = read["stg_customers"]()
+            new = QL.quarantine_billing_orphans(sources[P.SRC_BILLING], known, stored_quarantine())
+            append(QL.with_quarantine_ids(new, stored_quarantine(), as_of), qpath, partition_by=["source_table", "issue_type"])
+
+        now = as_of or dt.datetime.now()
+        together(("quarantine_orphans", ("quarantine", "stage_customers"), orphans),
+                 ("check_freshness", ("billing_customer_month",), write_table(
+                     "check_freshness", lambda: QL.freshness_check(states["billing"].read(), [now], date_col="latest"))),
+                 ("check_volume", ("stage_billing",), write_table("check_volume", lambda: LL.load_volume(ledger))))
+    return RunResult(tables, status, seconds, vt, refreshed, metrics)

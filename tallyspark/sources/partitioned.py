@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,9 +69,11 @@ class PartitionedTable:
     def _write(self, df: DataFrame, mode: str) -> None:
         (df.hint("rebalance", PART).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.root))
 
-    def insert(self, rows: DataFrame) -> None:
-        """Add the rows whose key the table does not hold (files are added, none is rewritten)."""
+    def insert(self, rows: DataFrame, counted: Observation | None = None) -> None:
+        """Add the rows whose key the table does not hold (files are added, none is rewritten); ``counted`` gets their number as ``rows``."""
         fresh = rows.select(*self.schema.names).join(self.with_parts().select(self.key), self.key, "left_anti")
+        if counted is not None:
+            fresh = fresh.observe(counted, F.count(F.lit(1)).alias("rows"))
         self._write(fresh.select(*self.schema.names, self.part_of().alias(PART)), "append")
 
     def _digest(self, rows: DataFrame, without: tuple[str, ...]) -> DataFrame:

@@ -149,7 +149,7 @@ def test_reconciliation_repairs_recent_days_only(spark, make):
     assert state.refresh() == ["2024-03-01", "2024-04-01", "none"] and state.refresh() == []
     wrong = state.read().withColumn("revenue", (F.col("revenue") * 10).cast("decimal(22,2)"))
     drifted = [tuple(r) for r in wrong.select("*", table.part_of(F.col("day")).alias("part")).collect()]
-    spark.createDataFrame(drifted, "customer_id string, day date, revenue decimal(22,2), n bigint, part string").write.mode("overwrite") \
+    spark.createDataFrame(drifted, "customer_id string, day date, revenue decimal(22,2), n bigint, latest timestamp, part string").write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(root)
     assert state.refresh(3, dt.date(2024, 4, 2)) == ["2024-04-01"]
     got = {(r["customer_id"], str(r["day"])): float(r["revenue"]) for r in state.read().collect()}
