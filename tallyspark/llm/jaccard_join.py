@@ -21,8 +21,8 @@ pairs, as its documents pay with their other segments, and a large group of near
 have nothing else, is met in its keys. The index of deletion keys is held back by a bitmap of fixed
 size, which lets through what can meet a probe.
 
-*Verification.* Each set is first compared with one member of a group of its keys, in some rounds, and
-links join into components; what then still is in two components is compared pair by pair, so no link between components
+*Verification.* Each set is first compared with some members of its keys' groups that its size and parities allow, in rounds that go on while they
+find links, and links join into components; what then still is in two components is compared pair by pair, so no link between components
 is lost and a group of copies costs a row each. Comparison is exact, over the texts' own shingles.
 
 Results for odd input: texts without words have no shingles (n_shingles 0) and link with nothing; a row without a doc_id has
@@ -49,8 +49,9 @@ SHINGLE = 5
 PERCENT = 80                    # the bounds below are those of 80 %: (1 - t) / (1 + t) = 1/9
 BITMAP_BITS = 24                # 2 MB
 CHEAP = 24                      # sets that share a key, or a deletion key, at little cost
-STAR_ROUNDS = 2                 # then what is left is compared pair by pair
+MEMBERS = 12                    # of a key's group, whom its sets may be compared with in a round
 ASKS = 6                        # comparisons of a set in a round
+LEAST_FOUND = 0.05              # rounds go on while they link so large a part of what they compare
 OWN, BELOW = 0, 1
 SKETCH = tuple(f"p{k}" for k in range(16))
 
@@ -424,34 +425,41 @@ def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) ->
                     "candidate-texts")
 
     links = written(compare(pairs, texts), "links")
-    tried = pairs
-    for turn in range(STAR_ROUNDS):
+    tried, small, turn = pairs, texts.drop("text"), 0
+    x, y = (small.select(*(F.col(c).alias(f"{side}_{c}") for c in small.columns)) for side in "xy")
+    while True:
         comp = written(components(links), "components")
-        rows = probes.join(comp, probes["id"] == comp["node"], "left") \
+        held = probes.join(comp, probes["id"] == comp["node"], "left") \
             .select("key", "id", "side", "probe", F.coalesce("component", "id").alias("c"))
-        by_key = Window.partitionBy("key")
-        rows = (rows.withColumn("low", F.min("c").over(by_key)).withColumn("high", F.max("c").over(by_key))
-                .filter("low <> high").select("key", "id", "side", "probe", "c"))
-        rows = written(rows, "open-keys")
-        # a few members of each key's group, by several orders that are the same for all keys
+        # keys whose sets lie in two components or more; counted apart, so that a key that very many share is not one task
+        split = held.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select(F.col("key").alias("key"))
+        rows = written(held.join(split, "key"), "open-keys")
+        # some members of each key's group, by several orders that are the same for all keys; those go first that the set's bounds allow
         some = rows.groupBy("key").agg(F.array_distinct(F.array(*(
-            F.min(F.struct(F.xxhash64(F.lit(k + ASKS * turn), "id").alias("o"), "id", "c")) for k in range(ASKS)))).alias("some"))
+            F.min(F.struct(F.xxhash64(F.lit(k + MEMBERS * turn), "id").alias("o"), "id", "c")) for k in range(MEMBERS)))).alias("some"))
         asks = (rows.filter("probe").select("key", "id", "c").join(some, "key")
                 .select("id", "c", F.explode("some").alias("s")).filter("s.c <> c")
                 .groupBy("id", F.col("s.id").alias("o")).agg(F.count("*").alias("keys"))
                 .select("id", "keys", F.greatest("id", "o").alias("a"), F.least("id", "o").alias("b"))
                 .join(tried, ["a", "b"], "left_anti")
+                .join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id")).filter(within_bounds("x_", "y_"))
                 .withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("keys"), "a", "b")))
                 .filter(F.col("nth") <= ASKS).select("a", "b").distinct())
         asks = written(asks, "asks")
-        if not asks.take(1):
+        asked = asks.count()
+        if not asked:
             break
         tried = tried.unionByName(asks)
-        links = written(links.unionByName(compare(asks, texts)), "links")
+        more = written(compare(asks, texts), "links")
+        found = more.count()
+        links, turn = links.unionByName(more), turn + 1
+        if found < LEAST_FOUND * asked:
+            break
+    # what still is apart is compared pair by pair
     comp = written(components(links), "components")
     open_rows = rows.select("key", "id", "side", "probe").join(comp, F.col("id") == F.col("node"), "left") \
         .select("key", "id", "side", "probe", F.coalesce("component", "id").alias("c"))
-    open_rows = written(open_rows.join(texts.drop("text"), "id"), "open-sets")
+    open_rows = written(open_rows.join(small, "id"), "open-sets")
     mine = open_rows.filter("probe").select("key", *(F.col(c).alias(f"x_{c}") for c in ("id", "c", "n", *SKETCH)))
     theirs = open_rows.select("key", *(F.col(c).alias(f"y_{c}") for c in ("id", "c", "n", *SKETCH)))
     may_link = (F.col("y_id") < F.col("x_id")) & (F.col("x_c") != F.col("y_c")) & within_bounds("x_", "y_")
