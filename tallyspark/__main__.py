@@ -4,6 +4,7 @@
         [--format csv|parquet] [--t-start 2024-05-18 --t-end 2024-05-19] [--mode incremental|full]
         [--as-of "2024-05-19 03:00:00"] [--max-bad-ratio 0.05] [--iso-text-dates] [--reconcile-days 7]
         [--stamp-changed-only] [--grain month|day] [--gate-min-rows 1000] [--monitor]
+        [--keep-bad-lines]
 
 Without --t-start the window is the day before the run date (as-of); --t-end defaults to
 t-start + 1 day. Uses the active Spark session (spark-submit) or creates a local one.
@@ -37,6 +38,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--grain", choices=["month", "day"], default="month")
     ap.add_argument("--gate-min-rows", type=int)
     ap.add_argument("--monitor", action="store_true")
+    ap.add_argument("--keep-bad-lines", action="store_true", help="quarantine and count CSV lines that cannot be read, instead of failing")
     ap.add_argument("--master", default="local[*]")
     return ap.parse_args(argv)
 
@@ -53,7 +55,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     configure(spark)
     as_of = args.as_of or dt.datetime.now().replace(microsecond=0)
     locations = {P.SRC_CUSTOMERS: args.customers, P.SRC_BILLING: args.billing, P.SRC_SESSIONS: args.sessions}
-    sources = {name: land(spark, name, path, args.format, load_time=as_of) for name, path in locations.items()}
+    sources = {name: land(spark, name, path, args.format, load_time=as_of, keep_corrupt=args.keep_bad_lines) for name, path in locations.items()}
     res = run_pipeline(spark, sources, args.out, t_start=args.t_start, t_end=args.t_end, as_of=as_of,
                        billing_mode=args.mode, max_bad_ratio=args.max_bad_ratio, land=True,
                        iso_text_dates=args.iso_text_dates, reconcile_days=args.reconcile_days,

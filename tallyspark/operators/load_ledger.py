@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
+from ..session import fresh_dir
 from ..sources.partitioned import PartitionedTable
 from ..sources.readers import read_or_empty
+from ..sources.sinks import observed, write_counted
 from .quality import anomalies
 from .staging import _ts, stage_billing_window
 
@@ -48,11 +50,12 @@ class LoadLedger:
 
 def load_window(table: PartitionedTable, ledger: LoadLedger, src_billing: DataFrame, start: dt.date, end: dt.date,
                 as_of: dt.datetime | None = None, iso_text: bool = False) -> dict[str, int]:
-    """Insert the absent rows of [start, end) and write the ledger's line; rows are counted while they are written."""
-    offered, new = Observation("offered"), Observation("new")
-    staged = stage_billing_window(src_billing, start, end, iso_text=iso_text).observe(offered, F.count(F.lit(1)).alias("rows"))
-    table.insert(staged, new)
-    counts = {"rows": offered.get["rows"], "inserted": new.get["rows"]}
+    """Insert the absent rows of [start, end) and write the ledger's line; rows are counted while they are written, those of the window
+    aside first."""
+    path, new = fresh_dir(table.spark, "window"), Observation()
+    offered = write_counted(stage_billing_window(src_billing, start, end, iso_text=iso_text), path)
+    table.insert(table.spark.read.schema(table.schema).parquet(path), new)
+    counts = {"rows": offered, "inserted": observed(new, "rows")}
     ledger.record("stg_billing", start, end, as_of, **counts)
     return counts
 

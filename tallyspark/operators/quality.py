@@ -150,6 +150,12 @@ def quarantine_source(src: DataFrame, rule: IdRule, existing: DataFrame,
     return _quarantine(src, rule, existing, exclude_cols, (rule.null_issue, rule.dup_issue))
 
 
+def quarantine_malformed(lines: DataFrame, source_table: str, existing: DataFrame) -> DataFrame:
+    """Lines (one text column) that could not be read as rows, as {"line": ...}."""
+    image = F.to_json(F.struct(F.col(lines.columns[0]).alias("line")))
+    return _not_already(lines.select(image.alias("row_data"), F.lit(P.ISSUE_MALFORMED_LINE).alias("issue_type")), existing, source_table)
+
+
 def quarantine_all(sources: dict[str, DataFrame], existing: DataFrame,
                    exclude_cols: tuple[str, ...] = ()) -> DataFrame:
     """The quarantine inserts of one run (billing, sessions, customers; of each the NULL ids, then the duplicates)."""

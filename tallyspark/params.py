@@ -47,6 +47,7 @@ UNKNOWN_CUSTOMER_ID = "UNKNOWN"
 
 # Labels of checks the reference only describes in prose (our wording).
 ISSUE_BILLING_ORPHAN = "customer_id not in src_customers"
+ISSUE_MALFORMED_LINE = "malformed line"
 
 # Run parameters of the test fixtures (FIXTURES.md section 2).
 AS_OF = _dt.datetime(2024, 2, 1, 0, 0, 0)

@@ -125,8 +125,9 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     from ..operators import load_ledger as LL
     from ..operators import quality as QL
     from ..session import fresh_dir
+    from ..sources.readers import CORRUPT
     from ..sources.partitioned import PartitionedTable
-    from ..sources.sinks import VersionedTable, append, overwrite
+    from ..sources.sinks import VersionedTable, append, observed, overwrite, write_counted
     from .. import schemas as S
 
     out = out.rstrip("/")
@@ -176,6 +177,10 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
             landed[src_name] = spark.read.parquet(path)
         sources = landed
 
+    # Lines that landing could not read become a quarantine set of their own; only good lines go on.
+    malformed = {name: df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT) for name, df in sources.items() if CORRUPT in df.columns}
+    sources = {name: df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if name in malformed else df for name, df in sources.items()}
+
     # Stage 1: quality. Each source's new bad rows are written aside, side by side; the quarantine step numbers those of
     # all sources that passed and appends them once.
     qpath = f"{out}/quarantine"
@@ -192,7 +197,12 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
                 if total and bad / total > max_bad_ratio:
                     raise ValueError(f"{src_name}: {bad} of {total} rows are bad (> {max_bad_ratio:.2%})")
             path = fresh_dir(spark, f"bad-{src_name}")
-            QL.quarantine_source(sources[src_name], QL.RULES[src_name], stored_quarantine()).write.parquet(path)
+            new = QL.quarantine_source(sources[src_name], QL.RULES[src_name], stored_quarantine())
+            if src_name in malformed:
+                lines = fresh_dir(spark, f"bad-lines-{src_name}")
+                metrics[src_name] = {"bad_lines": write_counted(malformed[src_name], lines)}
+                new = new.unionByName(QL.quarantine_malformed(spark.read.parquet(lines), src_name, stored_quarantine()))
+            new.write.parquet(path)
             aside[src_name] = path
         return run
 
@@ -220,7 +230,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     def stage_customers():
         seen = Observation("customers")
         vt["stg_customers"].commit(ST.stage_customers(sources[P.SRC_CUSTOMERS], as_of).observe(seen, F.count(F.lit(1)).alias("rows")))
-        metrics["stg_customers"] = seen.get
+        metrics["stg_customers"] = {"rows": observed(seen, "rows")}
         tables["stg_customers"] = vt["stg_customers"].root
 
     def stage_billing():

@@ -21,13 +21,13 @@ from .. import schemas as S
 DECLARED = {P.SRC_CUSTOMERS: S.SRC_CUSTOMERS, P.SRC_BILLING: S.SRC_BILLING,
             P.SRC_SESSIONS: S.SRC_SESSIONS}
 
-# a doubled quote in a quoted field is a quote; a header that differs from the schema is an error
+# a doubled quote in a quoted field is a quote
 CSV_OPTIONS = {"header": "true", "nullValue": "", "mode": "FAILFAST", "quote": '"', "escape": '"',
                "enforceSchema": "false",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, **options: str) -> DataFrame:
     """Header CSV with a bound schema. A value that does not fit, or a file whose header differs, is an
     error; with ``mode=PERMISSIVE`` the value becomes NULL (add a ``_corrupt_record`` string field to the
     schema to keep the raw line). ``multiLine=true`` for line breaks in quoted fields."""
@@ -91,32 +91,70 @@ def conform(raw: DataFrame, name: str, load_time: dt.datetime | None = None) ->
 CORRUPT = "_corrupt_record"
 
 
+def headers(spark: SparkSession, location: str) -> dict[str, list[str]]:
+    """First line -> the files that begin with it. Files are listed by Spark; of each only the first line is read, through the
+    file system, some at a time. Files without a line are left out."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(file: str) -> str | None:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            if codec is not None:
+                stream = codec.createInputStream(stream)
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return reader.readLine()
+        finally:
+            stream.close()
+    files = spark.read.text(location).inputFiles()
+    out: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, line in zip(files, pool.map(first_line, files)):
+            if line is not None:
+                out.setdefault(line.removeprefix("\ufeff"), []).append(file)
+    return out
+
+
+def _land_csv(spark: SparkSession, name: str, files: list[str], keep_corrupt: bool, options: dict[str, str]) -> DataFrame:
+    """Files that share a header, read under its names and order."""
+    header = spark.read.options(**{**CSV_OPTIONS, **options}).csv(files[0]).columns
+    wanted = {f.name: f.dataType for f in DECLARED[name].fields}
+    fields = [T.StructField(c, T.StringType(), True) for c in header]
+    if keep_corrupt:
+        fields.append(T.StructField(CORRUPT, T.StringType(), True))
+        options = {"mode": "PERMISSIVE", "enforceSchema": "true", **options, "columnNameOfCorruptRecord": CORRUPT}
+    text = read_csv(spark, files, T.StructType(fields), **options)
+    given = {c: F.when(~F.col(c).isin(*P.MISSING_TOKENS), F.col(c)) for c in header}
+    typed = [c for c in header if c in wanted and not isinstance(wanted[c], T.StringType)]
+    kept = [c for c in header if c in wanted]
+    if not keep_corrupt:
+        return text.select(*(given[c].cast(wanted[c]).alias(c) for c in kept))
+    bad = reduce(Column.__or__, (given[c].isNotNull() & given[c].try_cast(wanted[c]).isNull() for c in typed),
+                 F.lit(False))
+    line = F.coalesce(F.col(CORRUPT), F.when(bad, F.to_csv(F.struct(*header))))
+    # the empty part of a column of the file: Spark refuses queries of the corrupt record alone
+    line = F.concat(line, F.substring(F.coalesce(F.col(header[0]), F.lit("")), 1, 0))
+    return text.select(*(given[c].try_cast(wanted[c]).alias(c) for c in kept), line.alias(CORRUPT))
+
+
 def land(spark: SparkSession, name: str, location: str, fmt: str = "csv",
          load_time: dt.datetime | None = None, keep_corrupt: bool = False,
          **options: str) -> DataFrame:
     """Raw source -> declared table (to be written with ``sinks.overwrite``).
 
-    CSV fields are read as text; those of ``P.MISSING_TOKENS`` are NULL, the others are cast. A value that does not
+    CSV columns are bound by name, file by file: files of a folder may order their columns differently or lack some. Fields
+    are read as text; those of ``P.MISSING_TOKENS`` are NULL, the others are cast. A value that does not
     fit its declared type is an error. With ``keep_corrupt`` it loads as NULL and the line is kept in
-    ``_corrupt_record`` (NULL for good lines) so the caller can quarantine or count malformed input.
+    ``_corrupt_record`` (NULL for good lines) so the caller can quarantine or count malformed input (``run_pipeline`` does both).
     """
     if fmt == "csv":
-        header = spark.read.options(**{**CSV_OPTIONS, **options}).csv(location).columns
-        wanted = {f.name: f.dataType for f in DECLARED[name].fields}
-        fields = [T.StructField(c, T.StringType(), True) for c in header]
-        if keep_corrupt:
-            fields.append(T.StructField(CORRUPT, T.StringType(), True))
-            options = {"mode": "PERMISSIVE", "enforceSchema": "true", **options, "columnNameOfCorruptRecord": CORRUPT}
-        text = read_csv(spark, location, T.StructType(fields), **options)
-        given = {c: F.when(~F.col(c).isin(*P.MISSING_TOKENS), F.col(c)) for c in header}
-        typed = [c for c in header if c in wanted and not isinstance(wanted[c], T.StringType)]
-        if keep_corrupt:
-            bad = reduce(Column.__or__, (given[c].isNotNull() & given[c].try_cast(wanted[c]).isNull() for c in typed),
-                         F.lit(False))
-            line = F.coalesce(F.col(CORRUPT), F.when(bad, F.to_csv(F.struct(*header))))
-            raw = text.select(*(given[c].try_cast(wanted.get(c, T.StringType())).alias(c) for c in header), line.alias(CORRUPT))
-        else:
-            raw = text.select(*(given[c].cast(wanted.get(c, T.StringType())).alias(c) for c in header))
+        parts = [_land_csv(spark, name, files, keep_corrupt, dict(options)) for _, files in sorted(headers(spark, location).items())]
+        raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts \
+            else spark.createDataFrame([], DECLARED[name])
     else:
         raw = read_source(spark, name, location, fmt, **options)
     extra = [F.col(CORRUPT)] if keep_corrupt and CORRUPT in raw.columns else []

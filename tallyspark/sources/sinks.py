@@ -8,12 +8,30 @@ could be lost: an interrupted write has no mark and is never read, and only a fo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEPT_RUNS = 2                   # full runs kept, the current one included, for readers of the one before
 
 
+def observed(seen: Observation, name: str) -> int:
+    """A count that was taken right before a write; 0 if adaptive execution found nothing to write and left it out. (Further
+    up in a plan that would not mean 0: there, an empty join takes the observed side away as well.)"""
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return 0
+
+
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write a new table; the number of its rows, counted while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return observed(seen, "rows")
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full refresh: nothing of the earlier table stays. Rows are clustered by the partition values
     first, so that a folder gets few files; the rebalance hint lets AQE split a hot value."""

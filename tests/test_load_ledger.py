@@ -33,6 +33,8 @@ def test_backfill_is_planned_from_late_rows_and_run_once(spark):
         src = source(spark, [r for r in rows if r[2] <= day + 1])
         got = LL.load_window(table, ledger, src, D(2024, 5, day), D(2024, 5, day + 1), as_of)
         assert got == {"rows": int(day != 3), "inserted": int(day != 3)}
+    again = LL.load_window(table, ledger, source(spark, rows), D(2024, 5, 4), D(2024, 5, 5), dt.datetime(2024, 5, 5, 4))
+    assert again == {"rows": 1, "inserted": 0}
     late = [("l1", "2024-05-01 11:00:00", 7), ("l2", "2024-05-02 11:00:00", 7), ("l3", "2024-05-04 23:00:00", 8), ("l4", None, 8), ("l5", "2024-05-30 01:00:00", 8)]
     src = source(spark, rows + late)
     assert LL.plan_backfill(src, ledger, dt.datetime(2024, 5, 6)) == []                  # not ingested yet

@@ -44,6 +44,37 @@ def test_csv_missing_tokens_quotes_and_bad_numbers(spark):
         land(spark, P.SRC_BILLING, bad).collect()
 
 
+@pytest.mark.parametrize("keep", [False, True])
+def test_csv_columns_are_bound_by_name_in_each_file(spark, keep):
+    path = fresh_dir(spark, "raw-billing")
+    for k, lines in enumerate([["transaction_id,customer_id,amount,transaction_date,currency", "t1,c1,1.50,2024-01-01 10:00:00,NGN"],
+                               ["customer_id,transaction_id,transaction_date,amount", "c2,t2,2024-01-02 10:00:00,2.50"],
+                               ["transaction_id,customer_id", "t3,c3"], []]):
+        _write_lines(spark, f"{path}/f{k}", lines)
+    df = land(spark, P.SRC_BILLING, f"{path}/*", keep_corrupt=keep)
+    got = {r["transaction_id"]: (r["customer_id"], r["amount"] and str(r["amount"]), r["transaction_date"]) for r in df.collect()}
+    assert got == {"t1": ("c1", "1.50", "2024-01-01 10:00:00"), "t2": ("c2", "2.50", "2024-01-02 10:00:00"), "t3": ("c3", None, None)}
+    if keep:
+        assert df.where("_corrupt_record is not null").count() == 0
+
+
+def test_bad_lines_are_quarantined_and_counted_by_the_run(spark):
+    from tallyspark.__main__ import main
+    paths = {n: fresh_dir(spark, f"raw-{n}") for n in ("customers", "billing", "sessions")}
+    _write_lines(spark, paths["customers"], ["customer_id,name,email,country,created_at", "c1,a,b,,2024-01-01 00:00:00"])
+    _write_lines(spark, paths["billing"], ["transaction_id,customer_id,amount,transaction_date", "t1,c1,1.00,2024-01-01 10:00:00", "t2,c1,abc,2024-01-01 11:00:00"])
+    _write_lines(spark, paths["sessions"], ["session_id,customer_id,start_time,end_time,data_used_mb"])
+    out = fresh_dir(spark, "bad-lines")
+    args = [x for n, p in paths.items() for x in (f"--{n}", p)] + ["--out", out, "--mode", "full", "--as-of", "2024-01-02 03:00:00", "--keep-bad-lines"]
+    for turn in range(2):                                    # a rerun adds no line twice
+        report = main(args, spark=spark)
+        assert all(v == "ok" for v in report["status"].values()), report["status"]
+        assert report["metrics"][P.SRC_BILLING] == {"bad_lines": 1}
+        rows = spark.read.parquet(f"{out}/quarantine").collect()
+        assert [(r["issue_type"], "t2,c1,abc" in r["row_data"]) for r in rows] == [(P.ISSUE_MALFORMED_LINE, True)]
+        assert [r["transaction_id"] for r in spark.read.parquet(f"{out}/stg_billing").collect()] == ["t1"]
+
+
 def test_nan_becomes_null_before_decimal_cast(spark):
     raw = spark.createDataFrame([("t1", "1", float("nan"), "2024-01-01 00:00:00"),
                                  ("t2", "1", 3.25, "2024-01-01 00:00:00")],
