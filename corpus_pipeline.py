@@ -48,7 +48,7 @@ STAGES = [
     ("byte_level_bpe", byte_level_bpe),
 ]
 
-#: No SQL: the classifier's score is not expressible; tests/llm compares with a brute-force run.
+#: No SQL: the classifier's score is not expressible; tests/llm compares each stage with its operator's results.
 ORACLE_SQL = None
 
 
