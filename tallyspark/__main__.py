@@ -4,7 +4,7 @@
         [--format csv|parquet] [--t-start 2024-05-18 --t-end 2024-05-19] [--mode incremental|full]
         [--as-of "2024-05-19 03:00:00"] [--max-bad-ratio 0.05] [--iso-text-dates] [--reconcile-days 7]
         [--stamp-changed-only] [--grain month|day] [--gate-min-rows 1000] [--monitor]
-        [--keep-bad-lines]
+        [--keep-bad-lines] [--unknown-customer]
 
 Without --t-start the window is the day before the run date (as-of); --t-end defaults to
 t-start + 1 day. Uses the active Spark session (spark-submit) or creates a local one.
@@ -38,6 +38,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--grain", choices=["month", "day"], default="month")
     ap.add_argument("--gate-min-rows", type=int)
     ap.add_argument("--monitor", action="store_true")
+    ap.add_argument("--unknown-customer", action="store_true", help="a placeholder row for revenue of customers that are not staged yet")
     ap.add_argument("--keep-bad-lines", action="store_true", help="quarantine and count CSV lines that cannot be read, instead of failing")
     ap.add_argument("--master", default="local[*]")
     return ap.parse_args(argv)
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                        billing_mode=args.mode, max_bad_ratio=args.max_bad_ratio, land=True,
                        iso_text_dates=args.iso_text_dates, reconcile_days=args.reconcile_days,
                        stamp_changed_only=args.stamp_changed_only, grain=args.grain, gate_min_rows=args.gate_min_rows,
-                       monitor=args.monitor)
+                       monitor=args.monitor, unknown_customer=args.unknown_customer)
     report = {"status": res.status, "tables": res.tables, "seconds": res.seconds, "metrics": res.metrics}
     print(json.dumps(report, indent=2, default=str))
     return report

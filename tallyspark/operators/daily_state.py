@@ -10,14 +10,14 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import bucket_label, month_start
-from ..sources.partitioned import PART, PartitionedTable
+from ..sources.partitioned import PART, PartitionedTable, partition_files
 from ..sources.readers import read_or_empty
 
 _S, _L, _D = T.StringType(), T.LongType(), T.DateType()
@@ -66,17 +66,45 @@ def session_totals(state: DataFrame) -> DataFrame:
 
 
 class DailyState:
-    """The stored state of one fact table."""
+    """The stored state of one fact table, or of another state: it offers what it needs of its own source."""
 
-    def __init__(self, spark: SparkSession, root: str, facts: PartitionedTable, schema: T.StructType, build: Callable[[DataFrame], DataFrame]):
+    def __init__(self, spark: SparkSession, root: str, facts: PartitionedTable | DailyState, schema: T.StructType,
+                 build: Callable[[DataFrame], DataFrame]):
         self.spark, self.root, self.facts, self.schema, self.build = spark, root.rstrip("/"), facts, schema, build
         self.built = f"{self.root}-built"
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def read(self) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField(PART, _S)])
-        return read_or_empty(self.spark, self.root, schema).select(*self.schema.names)
+    def with_parts(self) -> DataFrame:
+        return read_or_empty(self.spark, self.root, T.StructType([*self.schema.fields, T.StructField(PART, _S)]))
+
+    def read(self, parts: Iterable[str] | None = None) -> DataFrame:
+        df = self.with_parts()
+        if parts is not None:
+            df = df.where(F.col(PART).isin(sorted(parts)))
+        return df.select(*self.schema.names)
+
+    def files(self) -> dict[str, tuple[str, ...]]:
+        return partition_files(self._fs, self._path, self.root)
+
+    def part_of(self, col: Column) -> Column:
+        return self.facts.part_of(col)
+
+    def parts_between(self, first: dt.date, end: dt.date) -> list[str]:
+        return self.facts.parts_between(first, end)
+
+    def rows_of(self, parts: set[str]) -> DataFrame:
+        return self.build(self.facts.read(parts))
+
+    def _replace(self, rows: DataFrame, parts: set[str]) -> None:
+        """Put ``rows`` in place of the partitions ``parts``; one that gets no row goes."""
+        before = self.files()
+        rows = rows.select(*self.schema.names, self.part_of(F.col("day")).alias(PART))
+        (rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.root))
+        after = self.files()
+        for p in parts & set(before):
+            if after.get(p) == before[p]:                    # not written
+                self._fs.delete(self._path(f"{self.root}/{PART}={p}"), True)
 
     def refresh(self, reconcile_days: int = 0, until: dt.date | None = None) -> list[str]:
         """Bring the state up to the facts; the partitions that were recomputed."""
@@ -87,9 +115,7 @@ class DailyState:
             due |= set(self.facts.parts_between(until - dt.timedelta(days=reconcile_days), until))
         gone = set(was) - set(now)
         if due:
-            rows = self.build(self.facts.read(due))
-            rows = rows.select(*self.schema.names, self.facts.part_of(F.col("day")).alias(PART))
-            (rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.root))
+            self._replace(self.rows_of(due), due)
         for p in gone:
             self._fs.delete(self._path(f"{self.root}/{PART}={p}"), True)
         if due or gone:

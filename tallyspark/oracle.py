@@ -506,6 +506,13 @@ SQL["cdc_apply_customers"] = typed(
     extra_ctes=chain("_t", customers="NOT (" + _ts_ge("created_at", "2023-06-01") + ") OR created_at IS NULL")
     + ",\n" + chain("_f", customers=_ts_ge("created_at", "2023-06-01")))
 
+SQL["cdc_late_changes"] = typed(
+    COLS["stg_customers"],
+    "(SELECT unnest(CASE WHEN f.customer_id IS NULL OR t.created_at > f.created_at THEN t ELSE f END) "
+    "FROM stg_customers_t t FULL JOIN stg_customers_f f ON t.customer_id = f.customer_id) m",
+    extra_ctes=chain("_t", customers=_ts_ge("created_at", "2023-06-01")) + ",\n"
+    + chain("_f", customers="NOT (" + _ts_ge("created_at", "2023-06-01") + ") OR created_at IS NULL"))
+
 SQL["dw_missing_inputs"] = typed(
     COLS["dw_user_analytics"],
     "(SELECT * REPLACE (0 AS total_data_used_mb, 0 AS avg_session_duration_sec, 0 AS total_sessions, "
@@ -545,3 +552,15 @@ SQL["pipeline_daily_quarantine"] = typed(
     "(SELECT source_table, issue_type, COUNT(*) AS n_rows FROM ("
     + " UNION ALL ".join(f"SELECT '{t}' AS source_table, '{i}' AS issue_type FROM {t} WHERE {p}"
                          for t, i, p in _QUARANTINE_SETS) + ") q GROUP BY source_table, issue_type) t")
+
+#: Two runs, customers registered since the cutoff unknown to the first: in the end as if they had been there all along.
+SQL["second_day_orphans"] = typed(
+    COLS["dw_user_analytics"], "dw_u", extra_ctes=_RUN + ",\n" + _UNKNOWN.replace("FROM stg_billing)", "FROM stg_billing_run)"))
+SQL["orphan_lines"] = typed(
+    "customer_id s, status s, revenue d, n i",
+    "(SELECT customer_id, 'open' AS status, SUM(amount) AS revenue, COUNT(*) AS n FROM stg_billing_run "
+    "WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM stg_customers) GROUP BY customer_id "
+    "UNION ALL SELECT customer_id, 'released', SUM(amount), COUNT(*) FROM stg_billing_ex "
+    "WHERE customer_id IN (SELECT customer_id FROM stg_customers) AND customer_id NOT IN (SELECT customer_id FROM stg_customers_k) "
+    "GROUP BY customer_id) t",
+    extra_ctes=_RUN + ",\n" + chain("_k", customers="NOT (" + _ts_ge("created_at", "2023-06-01") + ") OR created_at IS NULL"))

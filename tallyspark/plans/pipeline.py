@@ -96,7 +96,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
                  billing_mode: str = "incremental", max_bad_ratio: float | None = None,
                  land: bool = False, iso_text_dates: bool = False, reconcile_days: int = 0,
                  stamp_changed_only: bool = False, grain: str = "month", gate_min_rows: int | None = None,
-                 monitor: bool = False) -> RunResult:
+                 monitor: bool = False, unknown_customer: bool = False) -> RunResult:
     """quality -> staging -> aggregates -> audit + warehouse, each stage written under ``out``.
 
     Written stages cut the lineage (a lost executor recomputes from the last written stage, not
@@ -115,7 +115,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     ``last_updated`` (else every row gets the run's time, as in the reference, and every partition is rewritten).
     ``gate_min_rows``: the source must hold as many billing rows for the window, else billing is not loaded. ``monitor``: backfill late
     rows of windows that were loaded before, quarantine billing rows of unknown customers, and write ``check_freshness`` and
-    ``check_volume``. Freshness, volume and audit read the state, the load ledger and counts taken while writing, not the facts.
+    ``check_volume``. ``unknown_customer``: revenue of customers that are not staged yet counts for a placeholder row of the warehouse and goes
+    to the customer in the run that stages them (see ``operators.orphans``). Freshness, volume and audit read the state, the load ledger and counts taken while writing, not the facts.
     """
     import time
     import traceback
@@ -124,6 +125,8 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     from ..operators import daily_state as DS
     from ..operators import load_ledger as LL
     from ..operators import quality as QL
+    from ..operators.orphans import OrphanRevenue
+    from ..operators.warehouse import with_unknown_customer
     from ..session import fresh_dir
     from ..sources.readers import CORRUPT
     from ..sources.partitioned import PartitionedTable
@@ -146,6 +149,7 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
         ("dw_user_analytics", S.DW_USER_ANALYTICS, "customer_id", "customer_since")]}
     states = {"billing": DS.DailyState(spark, f"{out}/_billing_daily", vt["stg_billing"], DS.BILLING_STATE, DS.billing_days),
               "sessions": DS.DailyState(spark, f"{out}/_session_daily", vt["stg_sessions"], DS.SESSION_STATE, DS.session_days)}
+    orphan_revenue = OrphanRevenue(spark, f"{out}/orphan_revenue", states["billing"])
 
     def step(name: str, deps: tuple[str, ...], fn) -> None:
         blocked = [d for d in deps if status.get(d) != "ok"]
@@ -278,6 +282,14 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
               write_table("_session_rollup", from_state("_session_daily", states["sessions"], DS.session_totals))),
              ("session_buckets", ("stage_sessions",),
               write_table("session_buckets", lambda: A.session_buckets(read["stg_sessions"]()))))
+    def follow_orphans():
+        known = read["stg_customers"]()
+        refreshed["orphans_released"] = orphan_revenue.release(known, as_of)
+        refreshed["orphan_revenue"] = orphan_revenue.book(known, as_of)
+        tables["orphan_revenue"] = orphan_revenue.root
+
+    if unknown_customer:
+        step("orphan_revenue", ("billing_customer_month", "stage_customers"), follow_orphans)
     together(("agg_user_revenue", ("billing_customer_month",),
               write_table("agg_user_revenue", lambda: A.agg_user_revenue(written("_billing_customer_month")))),
              ("agg_monthly_revenue", ("billing_customer_month",),
@@ -302,12 +314,19 @@ def run_pipeline(spark, sources: dict[str, DataFrame], out: str, t_start: dt.dat
     def load_warehouse():
         aggs = [spark.read.parquet(tables[n]) for n in
                 ("agg_user_revenue", "agg_user_usage", "agg_arpu", "agg_session_distribution")]
-        dw = dw_user_analytics(read["stg_customers"](), *aggs, as_of=as_of)
+        customers = read["stg_customers"]()
+        if unknown_customer:
+            revenue, usage, arpu, mix = aggs
+            placeholder = A.billing_metrics(orphan_revenue.placeholder_months())
+            aggs = [revenue.unionByName(placeholder.select("customer_id", "total_revenue", "total_transactions")), usage,
+                    arpu.select("customer_id", "arpu").unionByName(placeholder.select("customer_id", "arpu")), mix]
+            customers = with_unknown_customer(customers, as_of)
+        dw = dw_user_analytics(customers, *aggs, as_of=as_of)
         refreshed["dw_user_analytics"] = vt["dw_user_analytics"].upsert(dw, "last_updated" if stamp_changed_only else None)
         tables["dw_user_analytics"] = vt["dw_user_analytics"].root
 
     together(("audit_pipeline_run", all_aggs, write_audit),
-             ("load_dw_user_analytics", all_aggs, load_warehouse))
+             ("load_dw_user_analytics", all_aggs + (("orphan_revenue",) if unknown_customer else ()), load_warehouse))
     if monitor:
         def orphans():
             known = read["stg_customers"]()

@@ -20,11 +20,11 @@ from .operators import aggregates as A
 from .operators import load_ledger as LL
 from .operators import quality as QL
 from .operators import staging as ST
-from .operators.incremental import apply_customer_changes
 from .operators.warehouse import dw_user_analytics, remap_orphan_months, with_unknown_customer
 from .sources.readers import land, read_or_empty, source_row_counts
 from .sources.partitioned import PartitionedTable
-from .sources.sinks import VersionedTable, overwrite
+from .sources.sinks import overwrite
+from .streaming.feeds import apply_changes, customer_change_stream, customer_table
 from .plans import analytics as Q
 from .plans.pipeline import Stages, audit, build_stages, run_pipeline, warehouse
 from .session import configure, fresh_dir, session_key
@@ -350,29 +350,66 @@ def _daily_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("source_table", "issue_type").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _change_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customer rows from before the cutoff (and those without a date), and those since."""
     src = _srcs(spark, sf_dir)[P.SRC_CUSTOMERS]
     changed = _ts("created_at") >= _at(P.CDC_CUTOFF)
-    table = VersionedTable(spark, fresh_dir(spark, "stg_customers_cdc"), SC.STG_CUSTOMERS)
-    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull()), P.AS_OF))
-    table.commit(apply_customer_changes(table.read(), src.where(changed), P.AS_OF))
+    return src.where(~changed | F.col("created_at").isNull()), src.where(changed)
+
+
+def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before, since = _change_halves(spark, sf_dir)
+    table = customer_table(spark, fresh_dir(spark, "stg_customers_cdc"))
+    table.upsert(ST.stage_customers(before, P.AS_OF))
+    apply_changes(table, since, P.AS_OF)
+    return table.read()
+
+
+def _cdc_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer half is there; the older half arrives late, with changes that may add customers but not undo newer rows."""
+    before, since = _change_halves(spark, sf_dir)
+    table = customer_table(spark, fresh_dir(spark, "stg_customers_late"))
+    table.upsert(ST.stage_customers(since, P.AS_OF))
+    apply_changes(table, before, P.AS_OF)
     return table.read()
 
 
 def _cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change feed written as files and applied by a Structured Streaming query."""
-    from .streaming.feeds import customer_change_stream
-    src = _srcs(spark, sf_dir)[P.SRC_CUSTOMERS]
-    changed = _ts("created_at") >= _at(P.CDC_CUTOFF)
+    before, since = _change_halves(spark, sf_dir)
     feed_dir = fresh_dir(spark, "customer_feed")
-    src.where(changed).write.parquet(feed_dir)
-    table = VersionedTable(spark, fresh_dir(spark, "stg_customers_stream"), SC.STG_CUSTOMERS)
-    table.commit(ST.stage_customers(src.where(~changed | F.col("created_at").isNull()), P.AS_OF))
+    since.write.parquet(feed_dir)
+    table = customer_table(spark, fresh_dir(spark, "stg_customers_stream"))
+    table.upsert(ST.stage_customers(before, P.AS_OF))
     q = customer_change_stream(spark, feed_dir, table, fresh_dir(spark, "cdc_checkpoint"), as_of=P.AS_OF)
     q.awaitTermination()
     return table.read()
 
 
+def _orphan_runs(spark: SparkSession, sf_dir: str):
+    """The written pipeline, run twice: customers registered since the cutoff are unknown to the first run."""
+    srcs = _srcs(spark, sf_dir)
+    date = _ts("transaction_date")
+    first = srcs | {P.SRC_BILLING: srcs[P.SRC_BILLING].where((date < _at(P.T_START)) | date.isNull()),
+                    P.SRC_CUSTOMERS: _change_halves(spark, sf_dir)[0]}
+    out = fresh_dir(spark, "orphan-runs")
+    results = [run_pipeline(spark, first, out, billing_mode="full", as_of=P.AS_OF, unknown_customer=True),
+               run_pipeline(spark, srcs, out, P.T_START, P.T_END, as_of=P.AS_OF, unknown_customer=True)]
+    bad = {k: v for r in results for k, v in r.status.items() if v != "ok"}
+    if bad:
+        raise RuntimeError(f"pipeline steps: {bad}")
+    return results[-1]
+
+
+def _orphans_home(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orphan_runs(spark, sf_dir).read(spark, "dw_user_analytics")
+
+
+def _orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (_orphan_runs(spark, sf_dir).read(spark, "orphan_revenue").groupBy("customer_id", "status")
+            .agg(F.coalesce(F.sum("revenue"), F.lit(0)).cast(SC.TOTAL).alias("revenue"), F.sum("n").alias("n")))
+
+
 _RAW.update({
     "cdc_stream_customers": _cdc_stream,
     "src_customers": _landed(P.SRC_CUSTOMERS),
@@ -390,6 +427,9 @@ _RAW.update({
     "dw_with_unknown_customer": _dw_unknown,
     "agg_reconciliation_window": _reconciliation,
     "cdc_apply_customers": _cdc,
+    "cdc_late_changes": _cdc_late,
+    "second_day_orphans": _orphans_home,
+    "orphan_lines": _orphan_lines,
     "pipeline_daily_run": _daily_run,
     "second_day_revenue": _second_day("agg_user_revenue"),
     "second_day_monthly_revenue": _second_day("agg_monthly_revenue"),

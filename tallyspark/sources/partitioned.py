@@ -1,6 +1,7 @@
-"""Keyed tables in folders by date, of which a load rewrites only the partitions it changes.
+"""Keyed tables in folders by date or by key bucket, of which a load rewrites only the partitions it changes.
 
-A partition is a month or a day of one date column (``none`` without a date). An upsert looks its keys up in the stored key
+A partition is a month or a day of one date column (``none`` without a date), or a bucket of the key's hash: a key never leaves its bucket,
+so an upsert into buckets reads nothing but the buckets of its own keys. By date, an upsert looks its keys up in the stored key
 column, the only one read of all partitions, so a row is also found where its date has moved; then it reads and rewrites
 the partitions that rows leave or enter, and no others. For each partition the digest of the rows that were last put in is kept: where
 the same rows come again, nothing is read or written. Rewritten partitions are first written aside and then put in place by a
@@ -24,17 +25,36 @@ NO_DATE = "none"
 GRAINS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 
+def partition_files(fs, path_of, root: str) -> dict[str, tuple[str, ...]]:
+    """Of each partition folder of ``root`` the names of its data files: a new write always has new names."""
+    out: dict[str, tuple[str, ...]] = {}
+    if fs.exists(path_of(root)):
+        for folder in fs.listStatus(path_of(root)):
+            name = folder.getPath().getName()
+            if name.startswith(f"{PART}="):
+                files = [s.getPath().getName() for s in fs.listStatus(folder.getPath())]
+                out[name.removeprefix(f"{PART}=")] = tuple(sorted(f for f in files if f.endswith(".parquet")))
+    return {p: f for p, f in out.items() if f}
+
+
 class PartitionedTable:
-    """One writer at a time. ``date_col`` is a date or timestamp column of ``schema``."""
+    """One writer at a time. ``date_col`` is a date or timestamp column of ``schema``; with ``buckets`` there is none, and partitions are
+    buckets of the key's hash, so many that one is a task's work. The number belongs to the stored table and must not change."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, date_col: str, grain: str = "month"):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, date_col: str | None = None, grain: str = "month",
+                 buckets: int = 0):
+        if (date_col is None) != bool(buckets):
+            raise ValueError("a table is partitioned by a date column or by key buckets")
         self.spark, self.root, self.schema, self.key, self.date_col, self.grain = spark, root.rstrip("/"), schema, key, date_col, grain
+        self.buckets = buckets
         self.digests = f"{self.root}-digests"
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     # --- reading
     def part_of(self, col: Column | None = None) -> Column:
+        if self.buckets:
+            return F.format_string("b%06d", F.pmod(F.xxhash64(F.col(self.key) if col is None else col), F.lit(self.buckets)))
         col = F.col(self.date_col) if col is None else col
         return F.coalesce(F.date_format(col, GRAINS[self.grain]), F.lit(NO_DATE))
 
@@ -50,15 +70,7 @@ class PartitionedTable:
         return df.select(*self.schema.names)
 
     def files(self) -> dict[str, tuple[str, ...]]:
-        """Of each partition the names of its files: a new write always has new names."""
-        out: dict[str, list[str]] = {}
-        if self._fs.exists(self._path(self.root)):
-            for folder in self._fs.listStatus(self._path(self.root)):
-                name = folder.getPath().getName()
-                if name.startswith(f"{PART}="):
-                    files = [s.getPath().getName() for s in self._fs.listStatus(folder.getPath())]
-                    out[name.removeprefix(f"{PART}=")] = sorted(f for f in files if f.endswith(".parquet"))
-        return {p: tuple(f) for p, f in out.items() if f}
+        return partition_files(self._fs, self._path, self.root)
 
     def parts_between(self, first, end) -> list[str]:
         """The partitions that can hold rows dated from ``first`` to before ``end``."""
@@ -81,10 +93,11 @@ class PartitionedTable:
         h = F.xxhash64(*(c for c in self.schema.names if c not in without)).cast("decimal(38,0)")
         return rows.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"), F.sum(h).alias("digest"))
 
-    def upsert(self, incoming: DataFrame, stamp: str | None = None) -> list[str]:
+    def upsert(self, incoming: DataFrame, stamp: str | None = None, newest_by: str | None = None) -> list[str]:
         """Rows with a stored key replace it, others are added, absent keys stay; the partitions that were rewritten.
 
-        ``incoming`` has each key once. A row that equals the stored one but for the column ``stamp`` leaves it as it is."""
+        ``incoming`` has each key once. A row that equals the stored one but for the column ``stamp`` leaves it as it is.
+        With ``newest_by``, a column, a row that is older than the stored one (both dated) arrived late and leaves it as it is, too."""
         incoming = incoming.select(*self.schema.names, self.part_of().alias(PART))
         seen = T.StructType([T.StructField(PART, T.StringType()), T.StructField("rows", T.LongType()), T.StructField("digest", T.DecimalType(38, 0))])
         if not self.files():                                 # nothing to meet
@@ -102,9 +115,11 @@ class PartitionedTable:
         if not enter:
             return []
         changed = incoming.where(F.col(PART).isin(enter))
-        places = self.with_parts().select(self.key, F.col(PART).alias("old_part"))
-        leave = [r[0] for r in places.join(changed.select(self.key, F.col(PART).alias("new_part")), self.key)
-                 .where("old_part <> new_part").select("old_part").distinct().collect()]
+        leave = []
+        if not self.buckets:                                 # a key's bucket stays
+            places = self.with_parts().select(self.key, F.col(PART).alias("old_part"))
+            leave = [r[0] for r in places.join(changed.select(self.key, F.col(PART).alias("new_part")), self.key)
+                     .where("old_part <> new_part").select("old_part").distinct().collect()]
         touched = sorted({*enter, *leave})
         # what is known of a partition counts no more once it may change
         kept = {p: d for p, d in old.items() if p not in touched}
@@ -113,13 +128,16 @@ class PartitionedTable:
         whole = F.struct(*(F.col(c) for c in self.schema.names), PART)
         both = (current.select(self.key, whole.alias("_old"))
                 .join(changed.select(self.key, whole.alias("_new")), self.key, "full"))
-        row = F.coalesce("_new", "_old")
+        stays = F.col("_new").isNull()
+        if newest_by:
+            stays = stays | F.coalesce(F.col(f"_old.{newest_by}") > F.col(f"_new.{newest_by}"), F.lit(False))
         if stamp:
-            same = F.lit(True)
+            same = F.col("_old").isNotNull()
             for c in [*self.schema.names, PART]:
                 if c != stamp:
                     same = same & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
-            row = F.when(F.col("_new").isNull() | (F.col("_old").isNotNull() & same), F.col("_old")).otherwise(F.col("_new"))
+            stays = stays | same
+        row = F.when(stays, F.col("_old")).otherwise(F.col("_new"))
         merged = both.select(row.alias("_row")).select("_row.*")
         if leave:                                            # a key seen twice: an earlier upsert was interrupted
             merged = merged.dropDuplicates([self.key])
