@@ -25,6 +25,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores added as make it differ from every column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those whose (doc_id, xxhash64 of the text) is in ``bad``(doc_id, tkey); all columns, whatever their names."""
+    i, t = free_names(docs, "bad_id", "bad_key")
+    bad = bad.select(F.col("doc_id").alias(i), F.col("tkey").alias(t)).distinct()
+    return docs.join(bad, (F.col("doc_id").cast("bigint").eqNullSafe(F.col(i))) & (F.xxhash64("text") == F.col(t)), "left_anti")
+
+
+def by_hash(df: DataFrame, hash_col: str, most: int, *ties: str) -> DataFrame:
+    """The ``most`` rows with the smallest 64-bit hash. They are counted first, so that only about so many are ordered, whatever the partitions."""
+    share = 1.1 * (most + 500) / max(1, df.count())
+    if share < 1:
+        df = df.filter(F.col(hash_col) < int(share * 2.0 ** 64) - 2 ** 63)
+    return df.orderBy(hash_col, *ties).limit(most)
+
+
 def dense_ids(df: DataFrame, name: str, id_col: str = "id") -> tuple[DataFrame, int]:
     """``df`` with ``id_col`` from 1 to its number of rows, and that number.
 

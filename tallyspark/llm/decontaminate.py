@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, written
+from .common import hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, without, written
 
 WINDOW = 13
 SHINGLE = 3
@@ -179,11 +179,9 @@ def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> F.Column:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns."""
-    bad = (contamination(docs, items).filter(is_contaminated())
-           .select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__t")).distinct())
-    keyed = docs.withColumn("__k", F.xxhash64("text"))
-    return keyed.join(bad, F.expr("doc_id <=> __id and __k = __t"), "left_anti").drop("__k")
+    """The rows of ``docs`` that are not contaminated, with all their columns, whatever their names. Each row is judged by its own text;
+    NULL and empty texts stay, as do all rows where there are no items; rows without a doc_id are judged like any other."""
+    return without(docs, contamination(docs, items).filter(is_contaminated()))
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,8 +26,8 @@ find links, and links join into components; what then still is in two components
 is lost and a group of copies costs a row each. Comparison is exact, over the texts' own shingles.
 
 Results for odd input: texts without words have no shingles (n_shingles 0) and link with nothing; a row without a doc_id has
-n_shingles, a NULL component, and links with nothing; if a doc_id comes with several texts, the one with the smallest digest is
-linked and all rows of the doc_id get its component; other columns are not read.
+n_shingles, a NULL component, and links with nothing; if a doc_id comes with several texts, it has the links of all of them, and each of
+its rows the same component; repeated rows give a row each; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, written
+from .common import dense_ids, free_names, hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, without, written
 from .components import components
 
 SHINGLE = 5
@@ -195,10 +195,10 @@ def _sides(n: int) -> list[tuple[int, int]]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, sig: digest of the set, n, and for both sides: segments that are not empty)."""
+    """(doc_id, tkey, sig: digest of the set, n, and for both sides: segments that are not empty)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sig, sizes, full = [], [], ([], [])
-        for h, n in hashed(text_bytes(batch.column(1))):
+        for h, n in hashed(text_bytes(batch.column(2))):
             last = np.cumsum(n)
             sig += [hashlib.blake2b(h[x:y].tobytes(), digest_size=16).digest()
                     for x, y in zip((last - n).tolist(), last.tolist())]
@@ -208,10 +208,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                 counts[sets] = np.bincount(chunk_segments(own, m, band)[0], minlength=len(sets))
                 full[side].append(counts)
         own, below = (np.concatenate(x).astype(np.int32) for x in full)
-        return pa.record_batch([batch.column(0), pa.array(sig, pa.binary()), pa.array(np.concatenate(sizes)),
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array(sig, pa.binary()), pa.array(np.concatenate(sizes)),
                                 pa.array(own, mask=own < 0), pa.array(below, mask=below < 0)],
-                               names=["doc_id", "sig", "n", "full_own", "full_below"])
-    return map_arrow(docs, run, "doc_id bigint, sig binary, n bigint, full_own int, full_below int")
+                               names=["doc_id", "tkey", "sig", "n", "full_own", "full_below"])
+    return map_arrow(docs, run, "doc_id bigint, tkey bigint, sig binary, n bigint, full_own int, full_below int")
 
 
 def segment_keys(texts: DataFrame) -> DataFrame:
@@ -292,11 +292,11 @@ def deletion_index(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
 
 def met(rows: DataFrame) -> DataFrame:
-    """Keys that another set shares, with ``f``, the sets that do; one of them at least in its own band."""
-    by_key = Window.partitionBy("key")
-    own = F.sum(F.when(F.col("side") == OWN, 1).otherwise(0)).over(by_key)
-    return (rows.withColumn("f", F.count("*").over(by_key)).withColumn("o", own)
-            .filter((F.col("f") > 1) & (F.col("o") > 0)).drop("o"))
+    """Keys that another set shares, with ``f``, the sets that do; one of them at least in its own band. Counted apart, so
+    that a key that very many share is split in the join."""
+    counts = (rows.groupBy("key").agg(F.count("*").alias("f"), F.count_if(F.col("side") == OWN).alias("o"))
+              .filter((F.col("f") > 1) & (F.col("o") > 0)).select("key", "f"))
+    return rows.join(counts, "key")
 
 
 def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -470,54 +470,69 @@ def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) ->
     return components(links.unionByName(compare(written(last, "last-pairs"), texts)))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def linked_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, bool]:
+    """(doc_id, tkey: hash of the text, n, c) of every row of ``docs``, where c tells the component of its set (NULL without words or
+    doc_id); (c, doc_id, tkey): of each component the smallest row; and whether any doc_id comes twice."""
+    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("tkey"),
+                       F.col(text_col).cast("string").alias("text"))
     sigs = written(signatures(base), "signatures")
-    # one text for each doc_id, one doc_id for each set
-    one = sigs.filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min(F.struct("sig", "n", "full_own", "full_below")).alias("s")).select("doc_id", "s.*")
-    one = written(one, "one-text")
-    sets = written(one.filter("n > 0").groupBy("sig").agg(
-        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("full_own").alias("full_own"),
+    repeats = bool(sigs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1))
+    # one text for each set; its doc_id names the set, unless a doc_id may have several
+    sets = (sigs.filter("doc_id is not null and n > 0").groupBy("sig").agg(
+        F.min(F.struct("doc_id", "tkey")).alias("of"), F.first("n").alias("n"), F.first("full_own").alias("full_own"),
         F.first("full_below").alias("full_below"))
-        .withColumn("most_below", F.expr("cast((n + shiftleft(1L, cast(floor(log2(n + 0.5D)) as int)) - 1) div 9 as int)")), "sets")
-    texts = base.join(sets.select(F.col("id").alias("doc_id"), "id", "n", F.col("sig").alias("the_sig")), "doc_id")
-    # a doc_id with several texts: the linked one is told by its set
-    several = sigs.groupBy("doc_id").agg(F.count_distinct("sig").alias("k")).filter("k > 1 and doc_id is not null").select("doc_id")
-    if several.take(1):
-        texts = _text_of_set(texts)
-    texts = written(texts.dropDuplicates(["id"]) if _repeats(sigs) else texts, "texts") \
-        .select("id", "n", "text")
-    probes, pairs = candidates(texts, sets)
-    comp = linked_components(probes, pairs, texts)
-    member = (one.join(sets.select("sig", "id"), "sig", "left")
-              .join(comp, F.col("id") == F.col("node"), "left")
-              .select("doc_id", F.coalesce("component", "id", "doc_id").alias("component_id")))
-    # a component's smallest id is that of its smallest set, whose id is the smallest of its copies
-    return (sigs.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(member, "doc_id", "left").select("doc_id", "n_shingles", "component_id"))
-
-
-def _repeats(sigs: DataFrame) -> bool:
-    return bool(sigs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1))
-
-
-def _text_of_set(texts: DataFrame) -> DataFrame:
-    """Of rows with the same doc_id, those whose set has the digest ``the_sig``."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        want = batch.column("the_sig").to_pylist()
-        same = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() == w
-                for h, w in zip(shingle_sets(text_bytes(batch.column("text"))), want)]
-        return batch.filter(pa.array(same))
-    cols = texts.select("doc_id", "text", "id", "n", "the_sig")
-    return map_arrow(cols, run, "doc_id bigint, text string, id bigint, n bigint, the_sig binary")
+        .withColumn("most_below", F.expr("cast((n + shiftleft(1L, cast(floor(log2(n + 0.5D)) as int)) - 1) div 9 as int)"))
+        .select("sig", F.col("of.doc_id").alias("of_id"), F.col("of.tkey").alias("of_key"), "n", "full_own", "full_below", "most_below"))
+    sets = written(dense_ids(sets, "set-numbers")[0] if repeats else sets.withColumn("id", F.col("of_id")), "sets")
+    texts = base.join(sets.select("id", "n", "of_id", "of_key"), (F.col("doc_id") == F.col("of_id")) & (F.col("tkey") == F.col("of_key")))
+    texts = written(texts.dropDuplicates(["id"]) if repeats else texts, "texts").select("id", "n", "text")
+    comp = linked_components(*candidates(texts, sets), texts)
+    of_set = written(sets.join(comp, F.col("id") == F.col("node"), "left")
+                     .select("sig", F.coalesce("component", "id").alias("c"), "of_id", "of_key"), "set-components")
+    first = of_set.groupBy("c").agg(F.min(F.struct("of_id", "of_key")).alias("of")) \
+        .select("c", F.col("of.of_id").alias("doc_id"), F.col("of.of_key").alias("tkey"))
+    rows = (sigs.join(of_set.select("sig", "c"), "sig", "left")
+            .select("doc_id", "tkey", "n", F.when(F.col("doc_id").isNotNull(), F.col("c")).alias("c")))
+    return rows, first, repeats
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    rows, first, repeats = linked_sets(docs, id_col, text_col)
+    smallest = first.select("c", F.col("doc_id").alias("low"))
+    if not repeats:
+        return rows.join(smallest, "c", "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id"))
+    # components that share a doc_id are one: all of a doc_id hang under the smallest of them
+    rows = written(rows, "set-rows")
+    of_doc = rows.filter("c is not null").groupBy("doc_id").agg(F.min("c").alias("b"))
+    edges = rows.filter("c is not null").join(of_doc, "doc_id").filter("c <> b").select(F.col("c").alias("a"), "b").distinct()
+    joined = components(edges)
+    whole = smallest.join(joined, F.col("c") == F.col("node"), "left").select("c", F.coalesce("component", "c").alias("whole"), "low")
+    low = whole.join(whole.groupBy("whole").agg(F.min("low").alias("least")), "whole").select(F.col("c").alias("b"), "least")
+    member = of_doc.join(low, "b").select("doc_id", "least")
+    return (rows.select("doc_id", F.col("n").alias("n_shingles")).join(member, "doc_id", "left")
+            .select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each group of linked documents the rows with the smallest doc_id, with all their columns."""
-    go = near_duplicates(docs).filter("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(go, F.expr("cast(doc_id as bigint) = __id"), "left_anti")
+    """Of each group of linked texts one row, that with the smallest doc_id, with all columns of ``docs``, whatever their names.
+
+    A row is judged by its own text: where a doc_id comes with several, one may go and another stay. Of rows with the same doc_id that link, that with
+    the smallest text hash stays; of rows with the same doc_id and text, that with the smallest hash of all columns. Rows without words or without
+    a doc_id link with nothing and stay."""
+    rows, first, repeats = linked_sets(docs)
+    first = first.select("c", F.struct("doc_id", "tkey").alias("first"))
+    kept = without(docs, rows.join(first, "c").filter(F.struct("doc_id", "tkey") != F.col("first")).select("doc_id", "tkey"))
+    if not repeats:
+        return kept
+    i, t, row, order = free_names(docs, "twice_id", "twice_key", "twice_row", "twice_hash")
+    twice = rows.filter("c is not null").groupBy("doc_id", "tkey").count().filter("count > 1").select(F.col("doc_id").alias(i), F.col("tkey").alias(t))
+    same = (F.col("doc_id").cast("bigint") == F.col(i)) & (F.xxhash64("text") == F.col(t))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    one = (kept.join(twice, same).select(i, t, whole.alias(row), F.xxhash64(F.to_json(whole)).alias(order))
+           .groupBy(i, t).agg(F.min_by(row, order).alias(row)).select(f"{row}.*"))
+    return kept.join(twice, same, "left_anti").unionByName(one)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,12 @@
 A text becomes a vector of hashed byte n-grams (1 to 3) of its lower-case form. One linear support vector machine for each family
 (one against the rest) picks the family; within it, one machine for each pair of languages votes.
 
-The fit uses at most ``per_lang`` documents of each language (those with the smallest hash of their id), and beside the whole text of
+Every language of the training rows is learnt, whatever their number. The fit uses some ``per_lang`` documents of each, fewer where
+all would pass ``MOST`` together (those whose hash falls under the language's share), and beside the whole text of
 each, two short runs of its words, so that short texts are learnt too. Every text is predicted from all of its bytes.
 
 Results for odd input: a text without a letter, or NULL, is ``und`` with score 0; without training rows all are ``und``; with one
-language all others are that, with score 1; rows with equal or NULL ids give a row each; other columns are not read.
+language all others are that, with score 1; equal votes go to the larger margin, equal margins to the language first in order; rows with equal or NULL ids give a row each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from .common import map_arrow, split_of, table
 
 HELD_OUT = (3, 1)
 PER_LANG = 700
-MAX_LANGS = 200
+MOST = 8_000                    # documents of all languages together: three vectors each go to the driver
+ALIKE = 0.5                     # cosine from which a language outside the list joins another's family
 DIM = 2048
-# fixed value: families of ISO 639 codes; a language not listed is a family of its own
+# fixed value: families of ISO 639 codes; others are told from the texts
 FAMILY = {"en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
           "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance",
           "pl": "slavic", "cs": "slavic", "ru": "slavic", "uk": "slavic", "bg": "slavic", "hr": "slavic"}
@@ -52,13 +54,16 @@ def training_rows(docs: DataFrame, per_lang: int) -> tuple[np.ndarray, np.ndarra
     """Vectors and languages of the sample; three rows of 2 * DIM bytes for a document."""
     parts, out = HELD_OUT
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (split_of("doc_id", parts) != out))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}     # a row a language
     if not counts:
         return np.zeros((0, DIM), np.float32), np.array([])
-    share = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(per_lang / n))))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    some = known.filter(F.try_element_at(share, "lang") > place).select("doc_id", "lang", "text").limit(2 * per_lang * len(counts))
+    spark = docs.sparkSession
+    per_lang = min(per_lang, max(2, MOST // len(counts)))
+    shares = spark.createDataFrame([(lang, per_lang / n) for lang, n in counts.items()], "of string, share double")
+    # rows of one id have places of their own by their texts; equal rows share one, and count once
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
+    some = (known.join(F.broadcast(shares), F.col("lang") == F.col("of")).filter(F.col("share") > place)
+            .select("doc_id", "lang", "text").distinct())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         vec, lang = [], []
@@ -82,18 +87,38 @@ def training_rows(docs: DataFrame, per_lang: int) -> tuple[np.ndarray, np.ndarra
     return np.frombuffer(b"".join(rows["v"]), np.float16).reshape(-1, DIM).astype(np.float32), rows["lang"].to_numpy(str)
 
 
+def families(langs: list[str], x: np.ndarray, lang: np.ndarray) -> dict[str, str]:
+    """The family of each language: the listed one, else that of the language whose texts are most alike, if they are enough so."""
+    out = {n: FAMILY.get(n, n) for n in langs}
+    mean = np.stack([x[lang == n].mean(0) for n in langs])
+    mean = mean - mean.mean(0)
+    mean /= np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-9)
+    near = mean @ mean.T
+    np.fill_diagonal(near, -1)
+    for k, n in enumerate(langs):
+        if n not in FAMILY and near[k].max() >= ALIKE:
+            old, new = out[n], out[langs[int(near[k].argmax())]]
+            if old != new:
+                out = {m: new if f == old else f for m, f in out.items()}
+    return out
+
+
 class Model:
     def __init__(self, x: np.ndarray, lang: np.ndarray):
         self.langs = sorted(set(lang.tolist()))
-        family = np.array([FAMILY.get(n, n) for n in lang])
+        of = families(self.langs, x, lang)
+        family = np.array([of[n] for n in lang])
         self.families = sorted(set(family.tolist()))
         self.members = {f: sorted(set(lang[family == f].tolist())) for f in self.families}
 
         def two(mask: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, float]:
             y = np.where(mask[rows], 1, -1)
             return svm.fit(x[rows], y, np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())))
-        every = np.arange(len(lang))
-        self.of_family = [two(family == f, every) for f in self.families] if len(self.families) > 1 else []
+        self.of_family = []
+        if len(self.families) > 1:
+            y = np.where(family[:, None] == np.array(self.families), 1, -1)
+            ws, bs = svm.fit_each(x, y, np.where(y > 0, 1 / np.maximum(1, (y > 0).sum(0)), 1 / np.maximum(1, (y < 0).sum(0))))
+            self.of_family = list(zip(ws.T, bs))
         self.pairs = {f: [(a, b, *two(lang == a, np.flatnonzero((lang == a) | (lang == b))))
                           for a, b in combinations(self.members[f], 2)] for f in self.families}
 

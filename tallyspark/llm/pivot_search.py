@@ -6,7 +6,7 @@ q . x. In each block of vectors a query evaluates its candidates in order of the
 below its k-th best score, which is exact. Blocks give k rows a query, merged at the end.
 
 Pivots come from a bounded sample (the ``SAMPLE`` rows with the smallest hash of their id), the farthest point first; they only affect
-speed. Scores are exact while they are below 2**53.
+speed. Where scores of a block may pass 2**53 they are summed as whole numbers of any size; one that does not fit 64 bits is an error.
 
 Results for odd input: vectors that are NULL or hold NULL or non-finite components, and rows with a NULL id, take no part; missing
 components of a shorter vector count as 0; a query never meets rows with its own id; each repeated row is a candidate, and a repeated
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_arrow, table, written
+from .common import by_hash, map_arrow, table, written
 
 TOP = 5
 EVERY = 50
@@ -78,6 +78,12 @@ def best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
+def whole_products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products as whole numbers; an error where one does not fit 64 bits."""
+    q = [int(c) for c in q]
+    return np.array([sum(int(a) * c for a, c in zip(r, q)) for r in x], dtype=object).astype(np.int64)
+
+
 def search_block(q: pa.Table, x: pa.Table, top: int) -> pa.Table:
     """The best ``top`` of a block for each query."""
     q, x = q.combine_chunks(), x.combine_chunks()
@@ -94,25 +100,26 @@ def search_block(q: pa.Table, x: pa.Table, top: int) -> pa.Table:
             bound = (far - low ** 2) / 2 + 1e-9 * far + 1e-6          # above rounding errors
             bound[xi == qid] = -np.inf
             order = np.argsort(-bound, kind="stable")
-            ids, scores = np.zeros(0, np.int64), np.zeros(0)
+            ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            large = np.abs(qm[i]) @ np.abs(xm).max(0) >= 2.0 ** 53        # no partial sum of a product can be larger
             for at in range(0, len(order), 256):
                 part = order[at:at + 256]
                 if len(ids) == top and bound[part[0]] < scores[-1]:
                     break
                 part = part[bound[part] > -np.inf]
-                ids, scores = np.append(ids, xi[part]), np.append(scores, xm[part] @ qm[i])
+                ids, scores = np.append(ids, xi[part]), np.append(scores, whole_products(xm[part], qm[i]) if large else (xm[part] @ qm[i]).astype(np.int64))
                 keep = best(ids, scores, top)
                 ids, scores = ids[keep], scores[keep]
             out[0] += [qid] * len(ids)
             out[1] += ids.tolist()
-            out[2] += scores.astype(np.int64).tolist()
+            out[2] += scores.tolist()
     return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
 
 
 def top_k(vectors: DataFrame, is_query: F.Column, top: int = TOP, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each query the ``top`` rows of the largest inner product, ties to the smaller id."""
     base = usable(vectors, id_col, vec_col)
-    sample = base.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v").orderBy("h", "vec_id").limit(SAMPLE).toArrow()
+    sample = by_hash(base.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v"), "h", SAMPLE, "vec_id").toArrow()
     pivots = choose_pivots(matrix(sample.column("v")), PIVOTS) if sample.num_rows else np.zeros((1, 1))
     full = written(pivot_table(base, pivots), "pivot-table")
     asked = full.filter(is_query).groupBy("vec_id").agg(F.min(F.struct("v", "d")).alias("m")).select("vec_id", "m.v", "m.d")

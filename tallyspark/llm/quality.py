@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gbdt
-from .common import map_arrow, split_of, table, text_bytes, written
+from .common import by_hash, map_arrow, split_of, table, text_bytes, without, written
 
 HELD_OUT = (5, 0)               # crc32 of the id modulo 5 is 0: never learnt from
 MAX_TRAIN = 20_000
@@ -68,9 +68,8 @@ def fit(stats: DataFrame, labels: DataFrame, target: str = "quality", max_train:
     parts, out = HELD_OUT
     marks = (labels.select(F.col("doc_id").cast("bigint").alias("l_id"), F.col(target).cast("int").alias("y"))
              .filter(F.col("y").isNotNull() & F.col("l_id").isNotNull() & (split_of("l_id", parts) != out)))
-    rows = (stats.join(marks, stats["doc_id"] == marks["l_id"])
-            .select("stats", "y", F.xxhash64("l_id").alias("h"), "l_id").orderBy("h", "l_id", "y").limit(max_train)
-            .toPandas())
+    known = stats.join(marks, stats["doc_id"] == marks["l_id"]).select("stats", "y", F.xxhash64("l_id").alias("h"), "l_id")
+    rows = by_hash(known, "h", max_train, "l_id", "y").toPandas()
     x = np.stack(rows["stats"].to_numpy()) if len(rows) else np.zeros((0, len(STATS)))
     return gbdt.fit(x, (rows["y"].to_numpy() > 0).astype(float))
 
@@ -95,11 +94,9 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
-    bad = (scored(docs, labels).filter(F.col("score") < threshold)
-           .select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__t")).distinct())
-    keyed = docs.withColumn("__k", F.xxhash64("text"))
-    return keyed.join(bad, F.expr("cast(doc_id as bigint) <=> __id and __k = __t"), "left_anti").drop("__k")
+    """The rows of ``docs`` that the classifier does not reject, with all their columns, whatever their names. Each row is judged by its own
+    text; NULL and empty texts, repeated rows and rows without a doc_id are scored like any other; an empty table stays empty."""
+    return without(docs, scored(docs, labels).filter(F.col("score") < threshold))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

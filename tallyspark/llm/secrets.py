@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table, written
+from .common import free_names, table, written
 
 
 @dataclass(frozen=True)
@@ -125,27 +125,29 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
 
 
 def mask(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by a mark, and ``n_chars`` to match; no row goes."""
+    """``docs`` with every secret in ``text`` replaced by a mark, and ``n_chars`` to match; no row goes, and no column
+    is lost, whatever its name. NULL stays NULL; repeated rows and rows without a doc_id are masked like any other."""
+    b, blob, spans, m = free_names(docs, "own_blob", "blob", "spans", "merged")
     found, _ = scan(docs, ledger, rules)
-    found = found.filter(F.size("spans") > 0).select(F.col("blob").alias("__blob"), "spans").dropDuplicates(["__blob"])
-    merged = F.aggregate("spans", F.array().cast("array<struct<start:int,end:int>>"), lambda acc, s: F.when(
+    found = found.filter(F.size("spans") > 0).select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob])
+    merged = F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), lambda acc, s: F.when(
         (F.size(acc) > 0) & (s["start"] < F.element_at(acc, -1)["end"]),
         F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
             F.element_at(acc, -1)["start"].alias("start"),
             F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")))))
         .otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
-    starts = F.concat(F.transform("__m", lambda s: s["start"]), F.array(F.length("text")))
-    ends = F.concat(F.array(F.lit(0)), F.transform("__m", lambda s: s["end"]))
+    starts = F.concat(F.transform(m, lambda s: s["start"]), F.array(F.length("text")))
+    ends = F.concat(F.array(F.lit(0)), F.transform(m, lambda s: s["end"]))
     parts = F.zip_with(ends, starts, lambda e, s: F.substring(F.col("text"), e + 1, s - e))
     cols = docs.columns
-    out = (docs.withColumn("__b", F.sha2(F.coalesce("text", F.lit("")), 256))
-           .join(found, F.col("__b") == F.col("__blob"), "left")
-           .withColumn("__m", F.when(F.col("spans").isNotNull(), merged))
-           .withColumn("text", F.when(F.col("__m").isNotNull(), F.concat_ws(MASK, parts)).otherwise(F.col("text"))))
+    out = (docs.withColumn(b, F.sha2(F.coalesce("text", F.lit("")), 256))
+           .join(found, F.col(b) == F.col(blob), "left")
+           .withColumn(m, F.when(F.col(spans).isNotNull(), merged))
+           .withColumn("text", F.when(F.col(m).isNotNull(), F.concat_ws(MASK, parts)).otherwise(F.col("text"))))
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.col("__m").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(m).isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))
-    return out.select(*cols)
+    return out.select(*(F.col(f"`{c}`") for c in cols))
 
 
 def written_spans(spans: Column) -> Column:
