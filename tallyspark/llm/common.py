@@ -25,6 +25,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` once all that reads them is written itself."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            jvm = df.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """``names``, each with as many underscores added as make it differ from every column of ``df``."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        pairs = written(small, "stars")
+        last, pairs = pairs, written(small, "stars")
+        forget(last)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return pairs.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component") \

@@ -42,15 +42,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import dense_ids, free_names, hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, without, written
+from .common import dense_ids, forget, free_names, hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, without, written
 from .components import components
 
 SHINGLE = 5
 PERCENT = 80                    # the bounds below are those of 80 %: (1 - t) / (1 + t) = 1/9
 BITMAP_BITS = 24                # 2 MB
 CHEAP = 24                      # sets that share a key, or a deletion key, at little cost
-MEMBERS = 12                    # of a key's group, whom its sets may be compared with in a round
-ASKS = 6                        # comparisons of a set in a round
+MEMBERS = 3                     # of a key's group, whom its sets may be compared with in a round
+ASKS = 3                        # comparisons of a set in a round
 LEAST_FOUND = 0.05              # rounds go on while they link so large a part of what they compare
 OWN, BELOW = 0, 1
 SKETCH = tuple(f"p{k}" for k in range(16))
@@ -214,15 +214,21 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, run, "doc_id bigint, tkey bigint, sig binary, n bigint, full_own int, full_below int")
 
 
-def segment_keys(texts: DataFrame) -> DataFrame:
-    """(key, id, side) for each segment that is not empty, in the own band and the one below."""
+def segment_keys(texts: DataFrame, bitmap: np.ndarray | None = None) -> DataFrame:
+    """(key, id, side) for each segment that is not empty, in the own band and the one below; with ``bitmap``, only if that has the key."""
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, ids, sides = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int8)]
         names, done = batch.column(0).to_numpy(), 0
         for h, n in hashed(text_bytes(batch.column(1))):
             for side, sets, own, m, band in sides_of(h, n):
                 of, seg, sums, _ = chunk_segments(own, m, band)
-                keys.append(keys_of(seg, sums, band[of]))
+                found = keys_of(seg, sums, band[of])
+                if shared.value is not None:
+                    some = in_bitmap(shared.value, found)
+                    found, of = found[some], of[some]
+                keys.append(found)
                 ids.append(names[done + sets[of]])
                 sides.append(np.full(len(of), side, np.int8))
             done += len(n)
@@ -291,12 +297,15 @@ def deletion_index(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
     return map_arrow(texts.select("id", "text"), run, "key bigint, y bigint, y_side tinyint, y_kind tinyint")
 
 
+def sharers(rows: DataFrame) -> DataFrame:
+    """(key, f: the sets that have it) of keys that two sets share, one of them at least in its own band."""
+    return (rows.groupBy("key").agg(F.count("*").alias("f"), F.count_if(F.col("side") == OWN).alias("o"))
+            .filter((F.col("f") > 1) & (F.col("o") > 0)).select("key", "f"))
+
+
 def met(rows: DataFrame) -> DataFrame:
-    """Keys that another set shares, with ``f``, the sets that do; one of them at least in its own band. Counted apart, so
-    that a key that very many share is split in the join."""
-    counts = (rows.groupBy("key").agg(F.count("*").alias("f"), F.count_if(F.col("side") == OWN).alias("o"))
-              .filter((F.col("f") > 1) & (F.col("o") > 0)).select("key", "f"))
-    return rows.join(counts, "key")
+    """The shared keys, with ``f``. Counted apart, so that a key that very many share is split in the join."""
+    return rows.join(sharers(rows), "key")
 
 
 def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -306,7 +315,11 @@ def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]
         "filter(array(struct(cast(0 as tinyint) as side, full_own as full, cast(n div 4 as int) as most),"
         " struct(cast(1 as tinyint) as side, full_below as full, most_below as most)), s -> s.full is not null)")).alias("s")) \
         .select("id", "s.side", "s.full", "s.most")
-    first = written(met(segment_keys(texts.select("id", "text"))), "met-keys")
+    # keys are made twice, first to be counted: then only those that are shared are shuffled with their sets
+    every = texts.select("id", "text")
+    counts = written(sharers(segment_keys(every)), "shared-keys")
+    first = written(segment_keys(every, hash_bitmap(counts, "key", BITMAP_BITS)).join(counts, "key"), "met-keys")
+    forget(counts)
 
     def balance(rows: DataFrame) -> DataFrame:
         """(id, side, credits): what a set needs besides its free segments; sets that need none are left out."""
@@ -315,14 +328,17 @@ def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]
                 .withColumn("credits", F.col("most") + 1 - (F.col("full") - F.col("shared")))
                 .filter("credits > 0").select("id", "side", "credits"))
     rows = first.drop("f")
+    spent = []
     for _ in range(2):                                       # who leaves takes keys from others
-        rows = written(met(rows.join(balance(rows).select("id", "side"), ["id", "side"])), "met-keys").drop("f")
+        spent.append(written(met(rows.join(balance(rows).select("id", "side"), ["id", "side"])), "met-keys"))
+        rows = spent[-1].drop("f")
     due = written(balance(rows), "credits")
     rows = met(rows.join(due.select("id", "side"), ["id", "side"]))
     ranked = rows.withColumn("nth", F.row_number().over(Window.partitionBy("id", "side").orderBy("f", "key")))
     # a set whose keys left with others in the last round has free segments more than counted: fewer credits would do
     ranked = written(ranked.join(due, ["id", "side"])
                      .withColumn("cheap", (F.col("f") <= CHEAP) & (F.col("nth") <= F.col("credits"))), "ranked")
+    forget(*spent)
 
     # who cannot pay with cheap keys takes one-deletion neighbourhoods of segments that are free or taken already
     paid = ranked.filter("cheap").groupBy("id", "side").agg(F.count("*").alias("paid"))
@@ -425,6 +441,7 @@ def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) ->
                     "candidate-texts")
 
     links = written(compare(pairs, texts), "links")
+    past: list[DataFrame] = []
     tried, small, turn = pairs, texts.drop("text"), 0
     x, y = (small.select(*(F.col(c).alias(f"{side}_{c}") for c in small.columns)) for side in "xy")
     while True:
@@ -434,6 +451,8 @@ def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) ->
         # keys whose sets lie in two components or more; counted apart, so that a key that very many share is not one task
         split = held.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select(F.col("key").alias("key"))
         rows = written(held.join(split, "key"), "open-keys")
+        forget(*past)
+        past = [comp, rows]
         # some members of each key's group, by several orders that are the same for all keys; those go first that the set's bounds allow
         some = rows.groupBy("key").agg(F.array_distinct(F.array(*(
             F.min(F.struct(F.xxhash64(F.lit(k + MEMBERS * turn), "id").alias("o"), "id", "c")) for k in range(MEMBERS)))).alias("some"))
