@@ -354,5 +354,8 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def text(spans: str) -> F.Column:
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+
+    def count(k: int) -> F.Column:               # a second parameter of the lambda, even one with a default, would be the position
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))

@@ -1,5 +1,6 @@
 """Personal data, phrases and ranked search on small tables with odd rows, against plain recomputations."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -100,6 +101,19 @@ def test_personal_data_spreads_labels_over_a_document(spark):
     assert personal_data.find(empty(spark), personal_data.train(empty(spark))).count() == 0
 
 
+def test_personal_data_query_equals_its_contract(spark, tmp_path):
+    rows = ODD + [(100 + k, t) for k, t in enumerate(PII)] + [(200, " a@b.co ".join(PII)), (200, "1.2.3.4 5.6.7.8 9.8.7.6 x@y.zz")]
+    docs_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = personal_data.op11_personal_data(spark, str(tmp_path))
+    want = []
+    for i, t in rows:
+        spans = plain_base(t or "")
+        listed = ",".join(f"{personal_data.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        want.append((i, *(sum(k == kind for _, kind, _ in spans) for k in range(4)), hashlib.sha256(listed.encode()).hexdigest()))
+    assert got.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    assert sorted(str(tuple(r)[:6]) for r in got.collect()) == sorted(map(str, want))
+
+
 # ---- op12
 
 def plain_phrases(rows, least, longest, top):
