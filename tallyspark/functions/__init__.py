@@ -8,6 +8,7 @@ from .exprs import (  # noqa: F401
     round_ratio,
     row_json,
     safe_ratio,
+    struct_json,
     text_to_date,
     text_to_timestamp,
     title_case,

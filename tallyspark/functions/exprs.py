@@ -69,6 +69,11 @@ def round_ratio(num: Column, den: Column, scale: int = 2) -> Column:
     return F.round(safe_ratio(num, den), scale)
 
 
+def struct_json(row: Column | str) -> Column:
+    """A struct as a JSON object with every field, NULLs written as null."""
+    return F.to_json(row, {"ignoreNullFields": "false"})
+
+
 def row_json(cols: list[str]) -> Column:
     """The row as a JSON object with every column, NULLs written as null."""
-    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
+    return struct_json(F.struct(*[F.col(c) for c in cols]))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from .. import schemas as S
-from ..functions import row_json
+from ..functions import row_json, struct_json
 from .ids import dense_ids
 from .skew import expand_copies
 from .staging import _ts, stage_billing
@@ -91,16 +91,18 @@ def _image(rows: DataFrame, exclude_cols: tuple[str, ...]) -> F.Column:
 
 def _problems(src: DataFrame, rule: IdRule, exclude_cols: tuple[str, ...], which: tuple[str, ...]) -> DataFrame:
     """(row_data, issue_type): an image for each issue of ``which`` that a row has. The ids are counted from their column alone; then one scan
-    of the rows tags both issues. Rows without an id are dealt out by number in the join that looks up duplicates, so they never meet in a task."""
+    of the rows tags both issues. Rows without an id are dealt out by number in the join that looks up duplicates, so they never meet in a task.
+    The join carries the columns, and hashes the duplicated ids so that the rows need no sort; an image is made of the rows that have an issue, never
+    of the others."""
     null = F.when(_any_null(rule.null_cols), F.lit(rule.null_issue))
     if which == (rule.null_issue,):
         return src.where(_any_null(rule.null_cols)).select(_image(src, exclude_cols).alias("row_data"), null.alias("issue_type"))
     spread = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % 4096).cast("string"))
     dups = duplicate_ids(src, rule.key).select(F.col(rule.key).alias("_k"), F.lit(True).alias("_dup"))
-    rows = src.select(_image(src, exclude_cols).alias("row_data"), null.alias("_null"), F.coalesce(F.col(rule.key), spread).alias("_k"))
+    rows = src.select(F.struct(*(c for c in src.columns if c not in exclude_cols)).alias("_row"), null.alias("_null"), F.coalesce(F.col(rule.key), spread).alias("_k"))
     issues = ([F.col("_null")] if rule.null_issue in which else []) + [F.when(F.col("_dup"), F.lit(rule.dup_issue))]
-    return (rows.join(dups, "_k", "left").where(F.col("_dup") | F.col("_null").isNotNull())
-            .select("row_data", F.explode(F.array_compact(F.array(*issues))).alias("issue_type")))
+    return (rows.join(dups.hint("shuffle_hash"), "_k", "left").where(F.col("_dup") | F.col("_null").isNotNull())
+            .select(struct_json("_row").alias("row_data"), F.explode(F.array_compact(F.array(*issues))).alias("issue_type")))
 
 
 def _hash(df: DataFrame) -> F.Column:

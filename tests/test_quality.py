@@ -48,6 +48,26 @@ def test_row_images_are_never_a_shuffle_key(spark):
     assert text.count("Scan parquet") == 2                          # the id column to count, then the rows once
 
 
+def test_images_are_made_of_bad_rows_only(spark):
+    """The join that finds them carries columns; the image stands above it, and the duplicated ids are hashed, the rows not sorted."""
+    from tallyspark.sources.fixtures import sources
+    src = sources(spark, "/root/testdata/sf0.001")[P.SRC_BILLING]
+    lines = QL.quarantine_source(src, QL.RULES[P.SRC_BILLING], QL.empty_quarantine(spark))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    image = next(k for k, line in enumerate(lines) if "json" in line.lower())
+    join = next(k for k, line in enumerate(lines) if "Join LeftOuter" in line)
+    assert image < join and not any("json" in line.lower() for line in lines[join:]) and "rightHint=(strategy=shuffle_hash)" in lines[join]
+
+
+def test_daily_queries_derive_their_sources_once(spark):
+    from tallyspark import registry
+    from tallyspark.sources.fixtures import sources
+    from .conftest import SF_SMALL
+    for name, src in registry._delivered(spark, SF_SMALL).items():
+        assert "Generate" not in src._jdf.queryExecution().optimizedPlan().toString()
+        want = sources(spark, SF_SMALL)[name]
+        assert src.dtypes == want.dtypes and sorted(map(str, src.collect())) == sorted(map(str, want.collect()))
+
+
 def test_null_fields_kept_in_row_data(spark, make):
     src = make(S.SRC_BILLING, billing_rows(("t2", None, None, "2024-01-01 00:00:00")))
     r = QL.quarantine_source(src, QL.RULES[P.SRC_BILLING], QL.empty_quarantine(spark)).first()
