@@ -294,6 +294,22 @@ def test_toxicity_kernel():
     assert "idiot" in toxicity.units("you I D I O T!")or "idiot!" in toxicity.units("you I D I O T!") or "idiot" in toxicity.units("an i d i o t here")
 
 
+def test_toxicity_kernel_reads_its_sums_in_blocks(monkeypatch):
+    """Equal to the sum over all pairs of subsequences; strings come to the kernel in blocks, so that its sums stay in the cache."""
+    from itertools import combinations
+    lam, sizes, plain = toxicity.LAMBDA, [], toxicity.common_weight
+
+    def weight(a, b):
+        subs = [[("".join(s[i] for i in c), c[2] - c[0] + 1) for c in combinations(range(len(s)), 3)] for s in (a, b)]
+        return sum(lam ** (m + n) for u, m in subs[0] for v, n in subs[1] if u == v)
+    words, marks = ["^idiot$", "^i.d-iot$", "^a$", "^dodo$"], ["^idiot$", "^todo$"]
+    want = [[weight(w, m) / (weight(w, w) * weight(m, m)) ** 0.5 for m in marks] for w in words]
+    assert np.allclose(toxicity.kernel(words, marks), want, atol=1e-5)
+    monkeypatch.setattr(toxicity, "common_weight", lambda x, y: sizes.append(len(x) * y.shape[1]) or plain(x, y))
+    assert np.allclose(toxicity.kernel(words * 200, marks), want * 200, atol=1e-5)
+    assert max(sizes) <= 512
+
+
 def test_toxicity_filter_lets_bent_forms_through():
     m = toxicity.Model(["^idiot$", "^trash$"], ["^there$"])
     bent = ["t..r..a..s..h", "i..d..i..o..t", "you-idiot-go-away-now", "youaresuchanidiotsogoawaynow", "you_trash_you", "idot", "idiiot"]
