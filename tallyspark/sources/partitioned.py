@@ -107,7 +107,7 @@ class PartitionedTable:
             return sorted(self.files())
         spark = self.spark
         path = fresh_dir(spark, "upsert-rows")               # read several times below
-        incoming.hint("rebalance", PART).write.partitionBy(PART).parquet(path)
+        incoming.write.parquet(path)                         # aside, in any order: only what is put in place is dealt by partition
         incoming = spark.read.schema(T.StructType([*self.schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
         new = {r[PART]: (r["rows"], r["digest"]) for r in self._digest(incoming, (stamp,) if stamp else ()).collect()}   # a row a partition
         old = {r[PART]: (r["rows"], r["digest"]) for r in read_or_empty(spark, self.digests, seen).collect()}
@@ -142,7 +142,7 @@ class PartitionedTable:
         if leave:                                            # a key seen twice: an earlier upsert was interrupted
             merged = merged.dropDuplicates([self.key])
         aside = fresh_dir(spark, "upsert-merged")
-        merged.hint("rebalance", PART).write.partitionBy(PART).parquet(aside)
+        merged.write.parquet(aside)
         merged = spark.read.schema(incoming.schema).parquet(aside)
         left = {r[0] for r in merged.select(PART).distinct().collect()}
         self._write(merged, "overwrite")
