@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, without, written
+from .common import hash_bitmap, in_bitmap, map_arrow, mix, small_batches, table, text_bytes, without, written
 
 WINDOW = 13
 SHINGLE = 3
@@ -130,20 +130,21 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
                   text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per document row: doc_id, tkey (hash of its text), n_words, n_hit, item_ids (sorted as
     strings)."""
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       F.xxhash64(F.col(text_col)).alias("tkey"), F.col(text_col).cast("string").alias("text"))
-    wins = written(benchmark_windows(items, item_col, item_text, window), "bench-windows")
-    sizes = sorted(r["size"] for r in wins.select("size").distinct().collect())     # 1 to SHINGLE
-    tokens = wins.select("window", "len", F.posexplode("shingles").alias("off", "h"))
-    counts = shingle_counts(base.select("text"), hash_bitmap(tokens, "h", BITMAP_BITS), sizes)
-    # a window whose rarest shingle is not in the corpus cannot occur: left join, then drop
-    rarest = (tokens.dropDuplicates(["window", "off"]).join(counts, "h", "left")
-              .groupBy("window", "len")
-              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "off")).alias("m"))
-              .filter("m.n > 0").select("window", "len", "m.h", "m.off"))
-    prefix = written(rarest, "bench-prefix")
-
-    found = written(places(base, hash_bitmap(prefix, "h", BITMAP_BITS), sizes, window), "places")
+    with small_batches(docs.sparkSession):
+        base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                           F.xxhash64(F.col(text_col)).alias("tkey"), F.col(text_col).cast("string").alias("text"))
+        wins = written(benchmark_windows(items, item_col, item_text, window), "bench-windows")
+        sizes = sorted(r["size"] for r in wins.select("size").distinct().collect())     # 1 to SHINGLE
+        tokens = wins.select("window", "len", F.posexplode("shingles").alias("off", "h"))
+        counts = shingle_counts(base.select("text"), hash_bitmap(tokens, "h", BITMAP_BITS), sizes)
+        # a window whose rarest shingle is not in the corpus cannot occur: left join, then drop
+        rarest = (tokens.dropDuplicates(["window", "off"]).join(counts, "h", "left")
+                  .groupBy("window", "len")
+                  .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "off")).alias("m"))
+                  .filter("m.n > 0").select("window", "len", "m.h", "m.off"))
+        prefix = written(rarest, "bench-prefix")
+
+        found = written(places(base, hash_bitmap(prefix, "h", BITMAP_BITS), sizes, window), "places")
     start = F.col("p.pos") - F.col("off")
     hits = (found.select("doc_id", "tkey", "n_words", F.explode("at").alias("p"))
             .withColumn("h", F.col("p.h"))

@@ -4,9 +4,12 @@ import random
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import decontaminate, gbdt, jaccard_join, langid, pivot_search, quality, secrets, svm
-from tallyspark.llm.common import by_hash
+from tallyspark.llm.common import BATCH_BYTES, by_hash, map_arrow
 
 from .test_operators import DOC, ODD, docs_of, empty
 
@@ -193,3 +196,26 @@ def test_forest_equals_a_walk_of_each_tree():
                 node = f.left[node] if row[f.feature[node]] <= f.threshold[node] else f.right[node]
             total += f.value[node]
         assert abs(got - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+@pytest.mark.parametrize("operator", [decontaminate])
+def test_whole_texts_go_to_python_in_small_batches(spark, operator, monkeypatch):
+    """What an operator writes on the way is made from batches of bounded bytes; the session's own bound is kept for the rest."""
+    bound, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, written = spark.conf.get(bound), operator.written
+
+    def sizes(batch):
+        return pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    def watched(df, name):
+        if not seen:
+            seen.extend(r["n"] for r in map_arrow(docs.select("text"), sizes, "n bigint").collect())
+        return written(df, name)
+    monkeypatch.setattr(operator, "written", watched)
+    docs = spark.range(0, 90, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat(concat(id, ' '), 60000)").alias("text"))
+    if operator is decontaminate:
+        operator.contamination(docs, spark.createDataFrame([(1, "a b c")], "item_id bigint, text string"))
+    else:
+        operator.linked_sets(docs)
+    assert sum(seen) > 2 * BATCH_BYTES and max(seen) < BATCH_BYTES + 300_000
+    assert spark.conf.get(bound) == before
