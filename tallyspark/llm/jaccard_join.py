@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import dense_ids, forget, free_names, hash_bitmap, in_bitmap, map_arrow, mix, table, text_bytes, without, written
+from .common import dense_ids, forget, free_names, hash_bitmap, in_bitmap, map_arrow, mix, small_batches, table, text_bytes, without, written
 from .components import components
 
 SHINGLE = 5
@@ -494,18 +494,19 @@ def linked_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     doc_id); (c, doc_id, tkey): of each component the smallest row; and whether any doc_id comes twice."""
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("tkey"),
                        F.col(text_col).cast("string").alias("text"))
-    sigs = written(signatures(base), "signatures")
-    repeats = bool(sigs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1))
-    # one text for each set; its doc_id names the set, unless a doc_id may have several
-    sets = (sigs.filter("doc_id is not null and n > 0").groupBy("sig").agg(
-        F.min(F.struct("doc_id", "tkey")).alias("of"), F.first("n").alias("n"), F.first("full_own").alias("full_own"),
-        F.first("full_below").alias("full_below"))
-        .withColumn("most_below", F.expr("cast((n + shiftleft(1L, cast(floor(log2(n + 0.5D)) as int)) - 1) div 9 as int)"))
-        .select("sig", F.col("of.doc_id").alias("of_id"), F.col("of.tkey").alias("of_key"), "n", "full_own", "full_below", "most_below"))
-    sets = written(dense_ids(sets, "set-numbers")[0] if repeats else sets.withColumn("id", F.col("of_id")), "sets")
-    texts = base.join(sets.select("id", "n", "of_id", "of_key"), (F.col("doc_id") == F.col("of_id")) & (F.col("tkey") == F.col("of_key")))
-    texts = written(texts.dropDuplicates(["id"]) if repeats else texts, "texts").select("id", "n", "text")
-    comp = linked_components(*candidates(texts, sets), texts)
+    with small_batches(docs.sparkSession):
+        sigs = written(signatures(base), "signatures")
+        repeats = bool(sigs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1))
+        # one text for each set; its doc_id names the set, unless a doc_id may have several
+        sets = (sigs.filter("doc_id is not null and n > 0").groupBy("sig").agg(
+            F.min(F.struct("doc_id", "tkey")).alias("of"), F.first("n").alias("n"), F.first("full_own").alias("full_own"),
+            F.first("full_below").alias("full_below"))
+            .withColumn("most_below", F.expr("cast((n + shiftleft(1L, cast(floor(log2(n + 0.5D)) as int)) - 1) div 9 as int)"))
+            .select("sig", F.col("of.doc_id").alias("of_id"), F.col("of.tkey").alias("of_key"), "n", "full_own", "full_below", "most_below"))
+        sets = written(dense_ids(sets, "set-numbers")[0] if repeats else sets.withColumn("id", F.col("of_id")), "sets")
+        texts = base.join(sets.select("id", "n", "of_id", "of_key"), (F.col("doc_id") == F.col("of_id")) & (F.col("tkey") == F.col("of_key")))
+        texts = written(texts.dropDuplicates(["id"]) if repeats else texts, "texts").select("id", "n", "text")
+        comp = linked_components(*candidates(texts, sets), texts)
     of_set = written(sets.join(comp, F.col("id") == F.col("node"), "left")
                      .select("sig", F.coalesce("component", "id").alias("c"), "of_id", "of_key"), "set-components")
     first = of_set.groupBy("c").agg(F.min(F.struct("of_id", "of_key")).alias("of")) \

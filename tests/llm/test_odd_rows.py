@@ -198,7 +198,7 @@ def test_forest_equals_a_walk_of_each_tree():
         assert abs(got - 1 / (1 + np.exp(-total))) < 1e-9
 
 
-@pytest.mark.parametrize("operator", [decontaminate])
+@pytest.mark.parametrize("operator", [decontaminate, jaccard_join])
 def test_whole_texts_go_to_python_in_small_batches(spark, operator, monkeypatch):
     """What an operator writes on the way is made from batches of bounded bytes; the session's own bound is kept for the rest."""
     bound, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
