@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import dense_ids, forget, free_names, hash_bitmap, in_bitmap, map_arrow, mix, small_batches, table, text_bytes, without, written
+from .common import dense_ids, forget, free_names, hash_bitmap, in_bitmap, map_arrow, mix, shuffles_removed, small_batches, table, text_bytes, without, written
 from .components import components
 
 SHINGLE = 5
@@ -51,7 +51,7 @@ BITMAP_BITS = 24                # 2 MB
 CHEAP = 24                      # sets that share a key, or a deletion key, at little cost
 MEMBERS = 3                     # of a key's group, whom its sets may be compared with in a round
 ASKS = 3                        # comparisons of a set in a round
-LEAST_FOUND = 0.05              # rounds go on while they link so large a part of what they compare
+LEAST_FOUND = 0.05              # rounds go on while they find so many links for each pair compared and for each set that is open
 OWN, BELOW = 0, 1
 SKETCH = tuple(f"p{k}" for k in range(16))
 
@@ -308,6 +308,11 @@ def met(rows: DataFrame) -> DataFrame:
     return rows.join(sharers(rows), "key")
 
 
+def largest(rows: DataFrame, sets: DataFrame) -> int | None:
+    """The size of the largest of ``sets`` that is in ``rows``; each set is read once, whatever its number of rows."""
+    return sets.join(rows.select("id").distinct(), "id", "left_semi").agg(F.max("n")).first()[0]
+
+
 def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(key, id, side, probe): shared keys of the sets that may have partners, ``probe`` if the set takes it as a credit;
     and (a, b): pairs from one-deletion neighbourhoods."""
@@ -367,7 +372,7 @@ def candidates(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]
     asked = near.join(chosen, ["id", "side", "seg"]).select("key", "id", "side", "kind").unionByName(
         near.join(poor.filter("all"), ["id", "side"]).select("key", "id", "side", "kind"))
     asked = written(asked.distinct(), "deletion-probes")
-    top = asked.join(sets.select("id", "n"), "id").agg(F.max("n")).first()[0]
+    top = largest(asked, sets)
     if top is None:                                          # nobody asks
         return probes, asked.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     index = deletion_index(texts.filter(100 * F.lit(top) >= PERCENT * F.col("n")), hash_bitmap(
@@ -417,6 +422,12 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
 
 
+def goes_on(found: int, asked: int, sets: int) -> bool:
+    """Is another round worth it? Each reads the keys of all ``sets`` that are open, so a few links do not pay for it, however few pairs were
+    compared: many sets that share a passage stay open, and the pairs that their bounds allow are compared afterwards anyway."""
+    return found >= LEAST_FOUND * max(asked, sets)
+
+
 def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of all sets that link with another."""
     probes, pairs = written(probes, "probes"), written(pairs, "deletion-pairs")
@@ -472,7 +483,7 @@ def linked_components(probes: DataFrame, pairs: DataFrame, texts: DataFrame) ->
         more = written(compare(asks, texts), "links")
         found = more.count()
         links, turn = links.unionByName(more), turn + 1
-        if found < LEAST_FOUND * asked:
+        if not goes_on(found, asked, rows.select("id").distinct().count()):
             break
     # what still is apart is compared pair by pair
     comp = written(components(links), "components")
@@ -494,7 +505,7 @@ def linked_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     doc_id); (c, doc_id, tkey): of each component the smallest row; and whether any doc_id comes twice."""
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("tkey"),
                        F.col(text_col).cast("string").alias("text"))
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), shuffles_removed(docs.sparkSession):
         sigs = written(signatures(base), "signatures")
         repeats = bool(sigs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1))
         # one text for each set; its doc_id names the set, unless a doc_id may have several
@@ -507,8 +518,8 @@ def linked_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         texts = base.join(sets.select("id", "n", "of_id", "of_key"), (F.col("doc_id") == F.col("of_id")) & (F.col("tkey") == F.col("of_key")))
         texts = written(texts.dropDuplicates(["id"]) if repeats else texts, "texts").select("id", "n", "text")
         comp = linked_components(*candidates(texts, sets), texts)
-    of_set = written(sets.join(comp, F.col("id") == F.col("node"), "left")
-                     .select("sig", F.coalesce("component", "id").alias("c"), "of_id", "of_key"), "set-components")
+        of_set = written(sets.join(comp, F.col("id") == F.col("node"), "left")
+                         .select("sig", F.coalesce("component", "id").alias("c"), "of_id", "of_key"), "set-components")
     first = of_set.groupBy("c").agg(F.min(F.struct("of_id", "of_key")).alias("of")) \
         .select("c", F.col("of.of_id").alias("doc_id"), F.col("of.of_key").alias("tkey"))
     rows = (sigs.join(of_set.select("sig", "c"), "sig", "left")
