@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontaminate, gbdt, jaccard_join, langid, pivot_search, quality, secrets, svm
+from tallyspark.llm import common, decontaminate, gbdt, jaccard_join, langid, pivot_search, quality, secrets, svm
 from tallyspark.llm.common import BATCH_BYTES, by_hash, map_arrow
 
 from .test_operators import DOC, ODD, docs_of, empty
@@ -219,3 +219,45 @@ def test_whole_texts_go_to_python_in_small_batches(spark, operator, monkeypatch)
         operator.linked_sets(docs)
     assert sum(seen) > 2 * BATCH_BYTES and max(seen) < BATCH_BYTES + 300_000
     assert spark.conf.get(bound) == before
+
+
+def shuffle_files(spark):
+    jvm = spark._jvm
+    disk = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f.getName() for f in jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles()) if f.getName().startswith("shuffle_")}
+
+
+def test_jaccard_join_leaves_no_shuffle_files(spark):
+    """Each query's shuffle files go when it ends, not when the driver's JVM collects its garbage."""
+    words = [f"w{k}" for k in range(40)]
+    docs = docs_of(spark, [(i, " ".join(words[:30 + i % 5] + [f"x{i}"])) for i in range(20)])
+    cleanup, before = common._CLEANUP, shuffle_files(spark)
+    was = spark.conf.get(cleanup)
+    jaccard_join.linked_sets(docs)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(cleanup) == was
+
+
+def test_rounds_end_when_few_open_sets_link():
+    """Sets that share a passage are open in each round; the few links of a round are measured against them, too."""
+    assert jaccard_join.goes_on(found=5104, asked=5365, sets=5910)
+    assert jaccard_join.goes_on(found=2, asked=3, sets=10)
+    assert not jaccard_join.goes_on(found=75, asked=117, sets=5910)
+    assert not jaccard_join.goes_on(found=100, asked=5000, sets=1000)
+
+
+def test_largest_reads_each_set_once(spark):
+    sets = spark.createDataFrame([(1, 10), (2, 70), (3, 90)], "id long, n long")
+    rows = spark.createDataFrame([(i, k) for i in (1, 2) for k in range(50)], "id long, key long")
+    assert jaccard_join.largest(rows, sets) == 70
+    assert jaccard_join.largest(rows.filter("id > 5"), sets) is None
+
+
+def test_bitmap_comes_to_the_driver_in_columns(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", None)
+    hashes = np.array([5, 1 << 60, -7, 1 << 40], np.int64)
+    df = spark.createDataFrame([(int(h),) for h in hashes], "h long")
+    words = common.hash_bitmap(df, "h", 16)
+    assert common.in_bitmap(words, hashes.view(np.uint64)).all()
+    assert sum(int(w).bit_count() for w in words) == len(set((hashes.view(np.uint64) >> np.uint64(48)).tolist()))
+    assert not common.hash_bitmap(df.limit(0), "h", 16).any()
